@@ -8,9 +8,11 @@ and compares symbols by their bytes (two merge paths giving the same bytes give
 the same symbol).  Hex text orders like unsigned bytes, so the greatest
 `(count, left, right)` is the next merge.
 
-One round = one aggregate over the cached word table (pair counts, top-k to the
-driver), an optional bound job for batched rounds, and a projection that
-applies the accepted merges.  Only the k best pairs ever reach the driver.
+One round = one job over the cached word table (pair counts, the top-k pairs
+with a bound on the counts their merges can create, to the driver) and a
+projection that applies the accepted merges.  A round accepts the prefix of the
+top-k that the one-merge-at-a-time loop would pick too, so the merges are
+exactly the sequential ones.  Only k rows per round ever reach the driver.
 """
 
 from __future__ import annotations
@@ -116,50 +118,27 @@ def apply_merge(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     )
 
 
-def neighbour_bounds(words: DataFrame, cands: list[tuple[str, str]]) -> dict[int, int]:
-    """For candidate pair i, the greatest weighted count of the pair with one
-    fixed left or right neighbour symbol.  Bounds the count of any pair a
-    merge of candidate i can create.  Small result (one row per candidate)."""
-    spark = words.sparkSession
-    cdf = spark.createDataFrame([(i, l, r) for i, (l, r) in enumerate(cands)], "ci int, l string, r string")
-    pattern = "|".join(f"<{l}><{r}>" for l, r in cands)
-    trip = (
-        words.where(F.col("sym").rlike(pattern))
-        .select(T.symbol_array("sym").alias("a"), "n")
-        .select(
-            F.explode(
-                F.expr(
-                    "transform(sequence(0, size(a) - 2), i -> named_struct("
-                    "'x', get(a, i - 1), 'l', get(a, i), 'r', get(a, i + 1), 'y', get(a, i + 2)))"
-                )
-            ).alias("t"),
-            "n",
-        )
-        .select("t.*", "n")
-        .join(F.broadcast(cdf), ["l", "r"])
+def top_pairs_with_bounds(pairs: DataFrame, k: int) -> DataFrame:
+    """Top-k pairs plus, for each, a bound on the count of any pair its merge
+    can create: a new pair (x, lr) occurs at most as often as (x, l), and
+    (lr, y) at most as often as (r, y).  So the bound is the greatest count of
+    a pair ending in l or starting with r (capped by the pair's own count).
+    One job: the aggregated pair table is computed once and reused."""
+    top = top_pairs(pairs, k)
+    ends_in = pairs.groupBy(F.col("r").alias("l")).agg(F.max("c").alias("into_l"))
+    starts_with = pairs.groupBy(F.col("l").alias("r")).agg(F.max("c").alias("from_r"))
+    return (
+        top.join(ends_in, "l", "left")
+        .join(starts_with, "r", "left")
         .select(
-            "ci",
-            F.explode(
-                F.array(
-                    F.struct(F.lit("L").alias("side"), F.col("x").alias("nb")),
-                    F.struct(F.lit("R").alias("side"), F.col("y").alias("nb")),
-                )
-            ).alias("s"),
-            "n",
+            "c", "l", "r",
+            F.least(F.col("c"), F.greatest(F.coalesce("into_l", F.lit(0)), F.coalesce("from_r", F.lit(0)))).alias("bound"),
         )
-        .where(F.col("s.nb").isNotNull())
-        .groupBy("ci", "s.side", "s.nb")
-        .agg(F.sum("n").alias("c"))
-        .groupBy("ci")
-        .agg(F.max("c").alias("bound"))
+        .orderBy(F.desc("c"), F.desc("l"), F.desc("r"))
     )
-    out = {i: 0 for i in range(len(cands))}
-    for row in trip.collect():  # one row per candidate (bounded by the batch size)
-        out[row["ci"]] = row["bound"]
-    return out
 
 
-def _accept_batch(words: DataFrame, top: list, merged: set[str], remaining: int, batch: int):
+def _accept_batch(top: list, merged: set[str], remaining: int):
     """Choose the prefix of `top` that the one-at-a-time loop would pick too.
 
     Stop before candidate j if it shares a symbol with an accepted pair, if its
@@ -168,34 +147,23 @@ def _accept_batch(words: DataFrame, top: list, merged: set[str], remaining: int,
     Disjoint merges do not change each other's counts, so the prefix is exact.
     """
     first = top[0]
-    joined0 = first["l"] + first["r"]
-    if batch <= 1 or remaining <= 1 or joined0 in merged or len(top) == 1:
-        return [first]
-    # candidates passing the checks that need no data
+    accepted = [first]
+    if first["l"] + first["r"] in merged:
+        return accepted  # an existing symbol's counts may rise: batch of one
     used = {first["l"], first["r"]}
-    seen = {joined0}
-    prefix = [first]
+    seen = {first["l"] + first["r"]}
+    u = first["bound"]
     for row in top[1:]:
+        if len(accepted) >= remaining:
+            break
         l, r = row["l"], row["r"]
         j = l + r
-        if l in used or r in used or j in merged or j in seen:
+        if l in used or r in used or j in merged or j in seen or row["c"] <= u:
             break
-        prefix.append(row)
+        accepted.append(row)
         used |= {l, r}
         seen.add(j)
-        if len(prefix) >= remaining:
-            break
-    if len(prefix) == 1:
-        return prefix
-    bounds = neighbour_bounds(words, [(p["l"], p["r"]) for p in prefix[:-1]])
-    accepted = [prefix[0]]
-    u = bounds[0]
-    for i, row in enumerate(prefix[1:], start=1):
-        if row["c"] <= u:
-            break
-        accepted.append(row)
-        if i < len(prefix) - 1:
-            u = max(u, bounds[i])
+        u = max(u, row["bound"])
     return accepted
 
 
@@ -213,13 +181,13 @@ def train_bpe_words(
     previous = None
     rounds = 0
     while len(merges) < num_merges:
-        top = top_pairs(pair_counts(current), max(1, batch)).collect()
+        top = top_pairs_with_bounds(pair_counts(current), max(1, batch)).collect()
         if previous is not None:
             previous.unpersist()
             previous = None
         if not top or top[0]["c"] < 1:
             break
-        accepted = _accept_batch(current, top, merged, num_merges - len(merges), batch)
+        accepted = _accept_batch(top, merged, num_merges - len(merges)) if batch > 1 else top[:1]
         step = [(row["l"], row["r"]) for row in accepted]
         merges.extend(step)
         counts.extend(int(row["c"]) for row in accepted)

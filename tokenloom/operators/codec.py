@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 from tokenloom.functions import text as T
 from tokenloom.functions.bpe_kernel import BpeKernel, kernel_for
 from tokenloom.operators.bpe import Tokenizer
+from tokenloom.session import ship_package
 
 _BROADCASTS: dict[tuple[int, int], object] = {}
 
@@ -30,6 +31,7 @@ _BROADCASTS: dict[tuple[int, int], object] = {}
 def broadcast_tokenizer(spark: SparkSession, tok: Tokenizer):
     key = (id(spark.sparkContext), id(tok))
     bc = _BROADCASTS.get(key)
+    ship_package(spark)
     if bc is None:
         bc = spark.sparkContext.broadcast((dict(tok.vocab), list(tok.merges), list(tok.specials)))
         _BROADCASTS[key] = bc

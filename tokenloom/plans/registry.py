@@ -31,6 +31,13 @@ def register(name: str, oracle: str | Callable[[], str] | None = None):
     return deco
 
 
+def rnd(col, digits: int):
+    """Rounded double with negative zero folded to zero (stable hashing)."""
+    from pyspark.sql import functions as F
+
+    return F.round(col, digits) + F.lit(0.0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -95,3 +95,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def persist(df: DataFrame) -> DataFrame:
     """Cache that spills; recomputed from lineage if an executor is lost."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make `tokenloom` importable in Python workers (what `--py-files` does):
+    zip the package once per application and add it to the context."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="tokenloom-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.join("tokenloom", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
