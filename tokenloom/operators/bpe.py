@@ -171,7 +171,7 @@ def train_bpe_words(
     words: DataFrame,
     num_merges: int,
     batch: int = 32,
-    checkpoint_every: int = 8,
+    checkpoint_every: int = 4,
 ) -> tuple[list[tuple[str, str]], list[int]]:
     """Learn up to `num_merges` merges from a word table; hex pairs + counts."""
     merges: list[tuple[str, str]] = []
@@ -212,7 +212,7 @@ def train_bpe(
     specials: list[str] | None = None,
     text_col: str = "text",
     batch: int = 32,
-    checkpoint_every: int = 8,
+    checkpoint_every: int = 4,
 ) -> Tokenizer:
     """Full training: pretokenize, count, merge until `vocab_size` ids."""
     specials = list(specials or [])

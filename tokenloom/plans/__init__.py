@@ -1,3 +1,3 @@
 """Registered queries and their DuckDB oracles (imported for registration)."""
 
-from tokenloom.plans import stream_queries, tokenizer_queries, vector_queries  # noqa: F401
+from tokenloom.plans import model_queries, stream_queries, tokenizer_queries, vector_queries  # noqa: F401
