@@ -12,7 +12,7 @@ def test_stream_word_frequencies_equal_batch(spark):
     src = f"{SF}/documents.parquet"
     schema = spark.read.parquet(src).schema
     d = tempfile.mkdtemp(prefix="tokenloom-test-stream-")
-    q = CS.stream_word_frequencies(spark, src, schema, ["<|endoftext|>"], d + "/out", d + "/ck")
+    q = CS.stream_word_frequencies(spark, src[:-1] + "[t]", schema, ["<|endoftext|>"], d + "/out", d + "/ck")
     q.awaitTermination()
     got = {r.piece: r.n for r in spark.read.parquet(d + "/out").collect()}
     exp = {r.piece: r.n for r in pretoken.word_frequencies(spark.read.parquet(src), ["<|endoftext|>"]).collect()}
@@ -24,7 +24,7 @@ def test_stream_encode_equal_batch(spark, small_docs):
     src = f"{SF}/documents.parquet"
     schema = spark.read.parquet(src).schema
     d = tempfile.mkdtemp(prefix="tokenloom-test-stream-")
-    q = CS.stream_encode(spark, src, schema, tok, d + "/sink", d + "/ck")
+    q = CS.stream_encode(spark, src[:-1] + "[t]", schema, tok, d + "/sink", d + "/ck")
     q.awaitTermination()
     got = {r.doc_id: list(r.ids) for r in spark.read.parquet(d + "/sink").collect()}
     exp = {r.doc_id: list(r.ids) for r in codec.encode_corpus(spark.read.parquet(src), tok).collect()}

@@ -11,7 +11,9 @@ from tokenloom.streaming import corpus_streams as CS
 
 
 def _source(spark, sf_dir):
-    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    """The documents file as a file-stream source: a file source lists a
+    folder or a glob, so the single file is named by a one-file glob."""
+    path = f"{sf_dir.rstrip('/')}/documents.parque[t]"
     return path, table(spark, sf_dir, "documents").schema
 
 
