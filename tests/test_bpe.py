@@ -66,3 +66,21 @@ def test_longest_token(spark, small_docs):
     row = bpe.longest_token(v).first()
     best = max(tok.vocab.items(), key=lambda kv: (len(kv[1]), -kv[0]))
     assert row.token_id == best[0]
+
+
+def test_incremental_pair_counts_equal_full_recount(spark, small_docs):
+    a = bpe.train_bpe(small_docs, 257 + 25, [SPECIAL], incremental=False)
+    b = bpe.train_bpe(small_docs, 257 + 25, [SPECIAL], incremental=True)
+    assert a.merges == b.merges and a.merge_counts == b.merge_counts
+
+
+def test_update_pair_counts_matches_recount(spark, small_docs):
+    from tokenloom.operators import pretoken
+
+    words = bpe.words_table(pretoken.word_frequencies(small_docs, [SPECIAL]))
+    pc = bpe.pair_counts(words)
+    top = bpe.top_pairs(pc, 3).collect()
+    step = [(top[0]["l"], top[0]["r"])]
+    upd = {(r.l, r.r): r.c for r in bpe.update_pair_counts(pc, words, step).collect()}
+    full = {(r.l, r.r): r.c for r in bpe.pair_counts(bpe.apply_merge(words, step)).collect()}
+    assert upd == full

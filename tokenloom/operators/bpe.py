@@ -17,6 +17,7 @@ exactly the sequential ones.  Only k rows per round ever reach the driver.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -167,42 +168,107 @@ def _accept_batch(top: list, merged: set[str], remaining: int):
     return accepted
 
 
+def pair_rows(words: DataFrame, sign: int = 1) -> DataFrame:
+    """One row per adjacent pair occurrence, weighted by the word count."""
+    return (
+        words.where(F.instr("sym", "><") > 0)
+        .select(T.symbol_array("sym").alias("a"), (F.col("n") * sign).alias("n"))
+        .select(F.explode(_pairs_array()).alias("p"), "n")
+        .select(F.col("p.l").alias("l"), F.col("p.r").alias("r"), "n")
+    )
+
+
+def update_pair_counts(pairs: DataFrame, words: DataFrame, step: list[tuple[str, str]]) -> DataFrame:
+    """Pair counts after merging `step`: only words holding a merged pair
+    change; their old pairs are subtracted and new pairs added, and zero
+    counts drop out.  Equal to a full recount."""
+    pattern = "|".join(f"<{l}><{r}>" for l, r in step)
+    touched = words.where(F.col("sym").rlike(pattern))
+    delta = pair_rows(touched, -1).unionByName(pair_rows(apply_merge(touched, step), 1))
+    both = pairs.select("l", "r", F.col("c").alias("n")).unionByName(delta)
+    return both.groupBy("l", "r").agg(F.sum("n").alias("c")).where(F.col("c") != 0)
+
+
+INCREMENTAL_MIN_WORDS = 2_000_000  # word-table rows from which rounds update pair counts
+
+
+def bounds_from_top(top: list) -> list[int]:
+    """Driver-side bounds for ranked pairs from the top-k list alone: a pair
+    not listed counts at most the last listed count, so for (l, r) the bound
+    is the greatest of: listed pairs ending in l, listed pairs starting with
+    r, and that floor; capped by the pair's own count."""
+    into: dict[str, int] = {}
+    out_of: dict[str, int] = {}
+    for row in top:
+        into[row["r"]] = max(into.get(row["r"], 0), row["c"])
+        out_of[row["l"]] = max(out_of.get(row["l"], 0), row["c"])
+    return [min(row["c"], max(into.get(row["l"], 0), out_of.get(row["r"], 0))) for row in top]
+
+
 def train_bpe_words(
     words: DataFrame,
     num_merges: int,
     batch: int = 32,
     checkpoint_every: int = 4,
+    incremental: bool | None = None,
+    ranked: int = 1024,
 ) -> tuple[list[tuple[str, str]], list[int]]:
-    """Learn up to `num_merges` merges from a word table; hex pairs + counts."""
+    """Learn up to `num_merges` merges from a word table; hex pairs + counts.
+
+    A round is one job: the `ranked` best pairs (a bounded list) come to the
+    driver, which takes the exact batch prefix.  With `incremental`, the
+    aggregated pair table is kept and updated from the words the round
+    touches (cached, computed by the next round's job), so a round costs the
+    distinct pairs plus the touched words, not every symbol of the corpus.
+    The word table is a lazy chain of `replace` projections; both tables are
+    cut with reliable checkpoints every `checkpoint_every` rounds."""
     merges: list[tuple[str, str]] = []
     counts: list[int] = []
     merged: set[str] = set()
-    current = persist(words)
-    previous = None
+    current = cut_lineage(words)
+    if incremental is None:
+        # a full recount re-explodes every symbol each round; past a few
+        # million distinct words the signed-delta update is cheaper
+        incremental = current.count() > INCREMENTAL_MIN_WORDS
+    pairs = cut_lineage(pair_counts(current)) if incremental else None
+    stale: list[DataFrame] = []
     rounds = 0
+    round_secs: list[float] = []
+    t0 = time.time()
     while len(merges) < num_merges:
-        top = top_pairs_with_bounds(pair_counts(current), max(1, batch)).collect()
-        if previous is not None:
-            previous.unpersist()
-            previous = None
+        pc = pairs if incremental else pair_counts(current)
+        k = max(ranked, batch)
+        top = [r.asDict() for r in top_pairs(pc, k).collect()]
+        for df in stale:  # the tables this round's job has just replaced
+            df.unpersist()
+        stale = []
         if not top or top[0]["c"] < 1:
             break
-        accepted = _accept_batch(top, merged, num_merges - len(merges)) if batch > 1 else top[:1]
+        floor = top[-1]["c"] if len(top) == k else 0
+        for row, b in zip(top, bounds_from_top(top)):
+            row["bound"] = min(row["c"], max(b, floor))
+        accepted = _accept_batch(top[:batch], merged, num_merges - len(merges)) if batch > 1 else top[:1]
         step = [(row["l"], row["r"]) for row in accepted]
         merges.extend(step)
         counts.extend(int(row["c"]) for row in accepted)
         merged.update(l + r for l, r in step)
         rounds += 1
+        round_secs.append(round(time.time() - t0, 3))
+        t0 = time.time()
         if len(merges) >= num_merges:
             break
-        nxt = persist(apply_merge(current, step))
+        nxt_words = apply_merge(current, step)
+        nxt_pairs = update_pair_counts(pairs, current, step) if incremental else None
         if rounds % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
-        previous, current = current, nxt
-    current.unpersist()
-    if previous is not None:
-        previous.unpersist()
+            if incremental:
+                nxt_pairs = cut_lineage(nxt_pairs)
+            nxt_words = cut_lineage(nxt_words)
+        elif incremental:
+            nxt_pairs = persist(nxt_pairs)
+            stale.append(pairs)
+        current, pairs = nxt_words, nxt_pairs
     train_bpe_words.last_rounds = rounds
+    train_bpe_words.round_secs = round_secs
     return merges, counts
 
 
@@ -213,6 +279,7 @@ def train_bpe(
     text_col: str = "text",
     batch: int = 32,
     checkpoint_every: int = 4,
+    incremental: bool | None = None,
 ) -> Tokenizer:
     """Full training: pretokenize, count, merge until `vocab_size` ids."""
     specials = list(specials or [])
@@ -220,7 +287,7 @@ def train_bpe(
     if vocab_size < base:
         raise ValueError(f"vocab_size must be at least {base}")
     words = words_table(word_frequencies(docs, specials, text_col))
-    hex_merges, counts = train_bpe_words(words, vocab_size - base, batch, checkpoint_every)
+    hex_merges, counts = train_bpe_words(words, vocab_size - base, batch, checkpoint_every, incremental)
     merges = [(bytes.fromhex(l), bytes.fromhex(r)) for l, r in hex_merges]
     return Tokenizer.from_merges(merges, specials, counts)
 

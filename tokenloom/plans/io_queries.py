@@ -40,6 +40,23 @@ def q_drop_bad_utf8(spark, sf_dir):
     return v.select(F.col("token_id").cast("long"), C.drop_bad_utf8(F.col("token")).alias("text"))
 
 
+@register(
+    "save_tokenizer",
+    lambda: VOCAB_SQL()
+    + f"""
+SELECT 'merges' AS part, count(*) AS n FROM merges
+UNION ALL SELECT 'specials', CAST({len(SPECIALS)} AS BIGINT)
+UNION ALL SELECT 'vocab', count(*) FROM vocab""",
+)
+def q_save_tokenizer(spark, sf_dir):
+    """Rows written per table: 256 + k + m vocabulary rows, m merges, k specials."""
+    path = scratch_path(spark, "tokenizer")
+    TIO.save_tokenizer(spark, trained_tokenizer(spark, sf_dir), path)
+    parts = [spark.read.parquet(f"{path}/{p}").select(F.lit(p).alias("part")) for p in ("merges", "specials", "vocab")]
+    df = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return df.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("load_tokenizer", lambda: VOCAB_SQL() + "\nSELECT token_id, token_hex, is_special FROM vocab")
 def q_load_tokenizer(spark, sf_dir):
     path = scratch_path(spark, "tokenizer")

@@ -43,6 +43,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _TOKENIZERS: dict[tuple, object] = {}
+_DERIVED: dict[tuple, object] = {}
+
+
+def derived(spark: SparkSession, key: tuple, build):
+    """A table Spark derives from the given tables once per application (the
+    encoded corpus, its windows), materialized by the builder with a reliable
+    checkpoint so later queries read it instead of recomputing it."""
+    k = (spark.sparkContext.applicationId,) + tuple(key)
+    if k not in _DERIVED:
+        _DERIVED[k] = build()
+    return _DERIVED[k]
 
 
 def trained_tokenizer(spark: SparkSession, sf_dir: str):

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tokenloom.operators import tokens as TK
-from tokenloom.plans.registry import register, trained_tokenizer
+from tokenloom.plans.registry import derived, register, trained_tokenizer
 from tokenloom.plans.tokenizer_queries import ENCODE_SQL, ids_frame
-from tokenloom.session import scratch_path
+from tokenloom.session import cut_lineage, scratch_path
 from tokenloom.sources import token_stream as TS
 
 WINDOW_T = 32  # context length of the windows
@@ -50,13 +50,17 @@ def _windows_sql(T: int) -> str:
 
 
 class _Stream:
-    """Ids, stream length and windows of one data folder, built once per call."""
+    """Ids, stream length and windows of one data folder; the windows are
+    written once per application and shared by the queries that read them."""
 
     def __init__(self, spark, sf_dir, T=WINDOW_T):
         self.ids = ids_frame(spark, sf_dir)
-        self.n = TK.stream_length(self.ids)
         self.T = T
-        self.windows = TK.pack_windows(self.ids, EOT_ID, T, self.n)
+        self.n, self.windows = derived(spark, ("windows", sf_dir.rstrip("/"), T), self._build)
+
+    def _build(self):
+        n = TK.stream_length(self.ids)
+        return n, cut_lineage(TK.pack_windows(self.ids, EOT_ID, self.T, n))
 
 
 @register("token_stream", lambda: _stream_ctes() + "\nSELECT gpos, token_id FROM stream")

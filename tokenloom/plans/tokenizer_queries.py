@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tokenloom.functions import text as T
 from tokenloom.operators import bpe, codec, pretoken
 from tokenloom.plans import oracle_sql as O
-from tokenloom.plans.registry import NUM_MERGES, SPECIALS, register, table, trained_tokenizer
+from tokenloom.plans.registry import NUM_MERGES, SPECIALS, derived, register, table, trained_tokenizer
+from tokenloom.session import cut_lineage
 
 PAD = "<|pad|>"
 
@@ -194,7 +195,12 @@ def q_register_special_tokens(spark, sf_dir):
 
 # ------------------------------------------------------------------ codec
 def ids_frame(spark, sf_dir) -> DataFrame:
-    return codec.encode_corpus(table(spark, sf_dir, "documents"), trained_tokenizer(spark, sf_dir))
+    """The encoded corpus (doc_id, ids), written once per application."""
+    return derived(
+        spark,
+        ("ids", sf_dir.rstrip("/")),
+        lambda: cut_lineage(codec.encode_corpus(table(spark, sf_dir, "documents"), trained_tokenizer(spark, sf_dir))),
+    )
 
 
 ENCODE_SQL = lambda: O.with_(

@@ -87,9 +87,16 @@ _counter = _count()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder (survives executor loss)."""
+    """Reliable checkpoint in the shared folder (survives executor loss).
+
+    The frame is cached while it is checkpointed: an eager checkpoint runs one
+    job to count and another to write, and without the cache the second would
+    compute the whole plan again."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def persist(df: DataFrame) -> DataFrame:
