@@ -74,24 +74,30 @@ def words_table(freqs: DataFrame) -> DataFrame:
     )
 
 
+# every adjacent pair, found with a zero-width look-ahead at each symbol start
+PAIR_RE = "(?=(<[0-9A-F]+><[0-9A-F]+>))"
+
+
 def _pairs_array() -> Column:
     return F.expr(
         "transform(sequence(0, size(a) - 2), i -> named_struct('l', get(a, i), 'r', get(a, i + 1)))"
     )
 
 
+def _split_pair(p: Column):
+    lr = F.split(F.substring(p, F.lit(2), F.length(p) - 2), "><")
+    return lr.getItem(0).alias("l"), lr.getItem(1).alias("r")
+
+
 def pair_counts(words: DataFrame) -> DataFrame:
     """Weighted count of adjacent symbol pairs: (l, r, c), hex symbols.
 
-    Counting is per position, so `aaa` counts (a, a) twice."""
-    exploded = (
-        words.where(F.instr("sym", "><") > 0)
-        .select(T.symbol_array("sym").alias("a"), "n")
-        .select(F.explode(_pairs_array()).alias("p"), "n")
-    )
-    return exploded.groupBy(F.col("p.l").alias("l"), F.col("p.r").alias("r")).agg(
-        F.sum("n").alias("c")
-    )
+    Counting is per position, so `aaa` counts (a, a) twice.  Each pair is
+    aggregated as one string key `<l><r>` (one hash per row) and split only
+    on the distinct pairs."""
+    exploded = words.select(F.explode(F.regexp_extract_all("sym", F.lit(PAIR_RE), F.lit(1))).alias("p"), "n")
+    agg = exploded.groupBy("p").agg(F.sum("n").alias("c"))
+    return agg.select(*_split_pair(F.col("p")), "c")
 
 
 def top_pairs(pairs: DataFrame, k: int) -> DataFrame:
@@ -170,12 +176,8 @@ def _accept_batch(top: list, merged: set[str], remaining: int):
 
 def pair_rows(words: DataFrame, sign: int = 1) -> DataFrame:
     """One row per adjacent pair occurrence, weighted by the word count."""
-    return (
-        words.where(F.instr("sym", "><") > 0)
-        .select(T.symbol_array("sym").alias("a"), (F.col("n") * sign).alias("n"))
-        .select(F.explode(_pairs_array()).alias("p"), "n")
-        .select(F.col("p.l").alias("l"), F.col("p.r").alias("r"), "n")
-    )
+    ex = words.select(F.explode(F.regexp_extract_all("sym", F.lit(PAIR_RE), F.lit(1))).alias("p"), (F.col("n") * sign).alias("n"))
+    return ex.select(*_split_pair(F.col("p")), "n")
 
 
 def update_pair_counts(pairs: DataFrame, words: DataFrame, step: list[tuple[str, str]]) -> DataFrame:
@@ -225,7 +227,9 @@ def train_bpe_words(
     merges: list[tuple[str, str]] = []
     counts: list[int] = []
     merged: set[str] = set()
-    current = cut_lineage(words)
+    # spread the word table over all cores: AQE would coalesce this small
+    # aggregate into one partition, and every round would run on one task
+    current = cut_lineage(words.repartition(words.sparkSession.sparkContext.defaultParallelism))
     if incremental is None:
         # a full recount re-explodes every symbol each round; past a few
         # million distinct words the signed-delta update is cheaper

@@ -13,6 +13,7 @@ Shapes:
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql.window import Window
 from tokenloom.functions import text as T
 from tokenloom.functions.bpe_kernel import BpeKernel, kernel_for
 from tokenloom.operators.bpe import Tokenizer
-from tokenloom.session import ship_package
+from tokenloom.session import ship_package, spread
 
 _BROADCASTS: dict[tuple[int, int], object] = {}
 
@@ -60,7 +61,7 @@ def encode_udf(bc):
     @F.pandas_udf(Ty.ArrayType(Ty.IntegerType()))
     def encode_batch(pieces: pd.Series) -> pd.Series:
         k = kernel_for(bc)
-        return pd.Series([k.encode_pieces(p) for p in pieces])
+        return pd.Series([np.asarray(k.encode_pieces(p), dtype=np.int32) for p in pieces])
 
     return encode_batch
 
@@ -69,7 +70,7 @@ def encode_corpus(docs: DataFrame, tok: Tokenizer, text_col: str = "text", norma
     """Documents -> (doc_id, ids array<int>), ids in text order."""
     bc = broadcast_tokenizer(docs.sparkSession, tok)
     text = T.normalize_newlines(text_col) if normalize else F.col(text_col)
-    return docs.select("doc_id", encode_udf(bc)(pieces_for_encoding(text, tok.specials)).alias("ids"))
+    return spread(docs).select("doc_id", encode_udf(bc)(pieces_for_encoding(text, tok.specials)).alias("ids"))
 
 
 def encode_words(words: DataFrame, tok: Tokenizer, piece_col: str = "piece") -> DataFrame:

@@ -85,19 +85,22 @@ def count_parameters(params: DataFrame) -> DataFrame:
     return params.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_params"))
 
 
-def with_gradient(params: DataFrame, counts: DataFrame) -> DataFrame:
-    """Adds logprob, n and g to params for bigram counts (prev_id, next_id, n)
-    of one batch; n_total = total count.  Counts are batch-sized: broadcast."""
-    total = F.sum("n").over(Window.partitionBy())  # over the small counts table only
-    c = counts.select("prev_id", "next_id", F.col("n").cast("double").alias("n")).withColumn("n_total", total)
-    j = params.join(F.broadcast(c), ["prev_id", "next_id"], "left")
+def with_gradient(params: DataFrame, counts: DataFrame, n_total: float | None = None, batch_sized: bool = False) -> DataFrame:
+    """Adds logprob, n and g to params for bigram counts (prev_id, next_id, n).
+
+    `n_total` is the number of pairs counted (B x T for a batch); when not
+    given it is one scalar aggregate.  Batch counts (`batch_sized`, at most
+    B x T rows) are broadcast to the parameter table; corpus-wide counts are
+    left to the planner (runtime size check by AQE, else a shuffle join)."""
+    if n_total is None:
+        n_total = float(counts.agg(F.sum("n")).collect()[0][0] or 0.0)
+    c = counts.select("prev_id", "next_id", F.col("n").cast("double").alias("n"))
+    j = params.join(F.broadcast(c) if batch_sized else c, ["prev_id", "next_id"], "left")
     row = Window.partitionBy("run_id", "prev_id")
     s = F.col("w") - F.max("w").over(row)
     lp = s - F.log(F.sum(F.exp(s)).over(row))
     out = j.withColumn("logprob", lp).withColumn("n", F.coalesce("n", F.lit(0.0)))
-    out = out.withColumn("n_prev", F.sum("n").over(row)).withColumn(
-        "n_total", F.max("n_total").over(Window.partitionBy("run_id"))
-    )
+    out = out.withColumn("n_prev", F.sum("n").over(row)).withColumn("n_total", F.lit(float(n_total)))
     g = (F.col("n_prev") * F.exp("logprob") - F.col("n")) / F.col("n_total")
     return out.withColumn("g", F.coalesce(g, F.lit(0.0)))
 
@@ -187,13 +190,15 @@ def train_model(
     checkpoints every few steps."""
     cfg = {c.run_id: c for c in configs}
     counts_by_step = persist(counts_by_step)
+    # pairs counted per step: one row per step
+    totals = {int(r["step"]): float(r["t"]) for r in counts_by_step.groupBy("step").agg(F.sum("n").alias("t")).collect()}
     current = persist(params.select(*PARAM_COLS))
     metrics: list[dict] = []
     last_t = time.time()
     for step in range(start_step, start_step + steps):
         lrs = {r: c.lr(step) for r, c in cfg.items()}
         counts = counts_by_step.where(F.col("step") == step).drop("step")
-        grads = persist(with_gradient(current, counts))
+        grads = persist(with_gradient(current, counts, totals.get(step, 0.0), batch_sized=True))
         ln = loss_and_norm(grads)
         factors = {r: clip_factor(ln.get(r, (0.0, 0.0))[1], cfg[r].max_grad_norm) for r in cfg}
         nxt = adamw_step(clip_gradients(grads, factors), cfg, lrs)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions import text as T
+from tokenloom.session import spread
 
 
 def training_pieces(docs: DataFrame, specials: list[str] | None = None, text_col: str = "text") -> DataFrame:
@@ -20,7 +21,7 @@ def training_pieces(docs: DataFrame, specials: list[str] | None = None, text_col
     Map-only; one output row per piece occurrence: (doc_id, part, pos, piece).
     """
     specials = list(specials or [])
-    parts = docs.select(
+    parts = spread(docs).select(
         "doc_id",
         F.posexplode(T.split_special_drop(T.normalize_newlines(text_col), specials)).alias("part", "chunk"),
     )
@@ -31,7 +32,7 @@ def training_pieces(docs: DataFrame, specials: list[str] | None = None, text_col
 
 def pretokenize_docs(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Plain pretokenizing of each text as is: (doc_id, pos, piece)."""
-    return docs.select("doc_id", F.posexplode(T.pretokenize(text_col)).alias("pos", "piece"))
+    return spread(docs).select("doc_id", F.posexplode(T.pretokenize(text_col)).alias("pos", "piece"))
 
 
 def word_frequencies(docs: DataFrame, specials: list[str] | None = None, text_col: str = "text") -> DataFrame:

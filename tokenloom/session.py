@@ -127,3 +127,14 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.join("tokenloom", os.path.relpath(full, root)))
     sc.addPyFile(path)
     _SHIPPED.add(app)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread CPU-heavy per-row work over all cores when the source has fewer
+    input splits than the default parallelism (e.g. one parquet row group).
+    A large input already has many splits and is left as is (no shuffle).
+    Round-robin repartitioning sorts first, so retried tasks see the same rows."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
