@@ -134,6 +134,8 @@ def spread(df: DataFrame) -> DataFrame:
     input splits than the default parallelism (e.g. one parquet row group).
     A large input already has many splits and is left as is (no shuffle).
     Round-robin repartitioning sorts first, so retried tasks see the same rows."""
+    if df.isStreaming:
+        return df  # micro-batches are split by the source
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
