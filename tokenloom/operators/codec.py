@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 from tokenloom.functions import text as T
 from tokenloom.functions.bpe_kernel import BpeKernel, kernel_for
 from tokenloom.operators.bpe import Tokenizer
-from tokenloom.session import ship_package, spread
+from tokenloom.session import bounded_broadcast, ship_package, spread
 
 _BROADCASTS: dict[tuple[int, int], object] = {}
 
@@ -63,7 +63,9 @@ def encode_udf(bc):
         k = kernel_for(bc)
         return pd.Series([np.asarray(k.encode_pieces(p), dtype=np.int32) for p in pieces])
 
-    return encode_batch
+    # marked non-deterministic only so the optimizer never evaluates it twice
+    # (a filter inferred from explode would otherwise be pushed below it)
+    return encode_batch.asNondeterministic()
 
 
 def encode_corpus(docs: DataFrame, tok: Tokenizer, text_col: str = "text", normalize: bool = False) -> DataFrame:
@@ -98,7 +100,7 @@ def decode_udf(bc):
             out.append(buf.decode("utf-8", errors="replace"))
         return pd.Series(out)
 
-    return decode_batch
+    return decode_batch.asNondeterministic()  # evaluated once (see encode_udf)
 
 
 def decode_corpus(ids: DataFrame, tok: Tokenizer, ids_col: str = "ids") -> DataFrame:
@@ -134,27 +136,27 @@ def vocab_hex(vocab: DataFrame) -> DataFrame:
 
 def token_to_id(symbols: DataFrame, vocab: DataFrame, hex_col: str = "token_hex") -> DataFrame:
     """Symbol bytes (hex) -> id; equal bytes under two ids: the greatest id.
-    The vocabulary side is bounded by the vocabulary size, so it is broadcast."""
+    The vocabulary side is broadcast after a size check (else shuffle join)."""
     inv = vocab.where(~F.col("is_special")).groupBy(F.hex("token").alias(hex_col)).agg(
         F.max("token_id").alias("token_id")
     )
-    return symbols.join(F.broadcast(inv), hex_col, "left")
+    return symbols.join(bounded_broadcast(inv), hex_col, "left")
 
 
 def id_to_token(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """Id -> bytes; unknown ids are dropped (inner join), as decoding skips them."""
-    return tokens.join(F.broadcast(vocab.select("token_id", "token")), "token_id", "inner")
+    return tokens.join(bounded_broadcast(vocab.select("token_id", "token")), "token_id", "inner")
 
 
 def drop_unknown_ids(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
-    return tokens.join(F.broadcast(vocab.select("token_id")), "token_id", "left_semi")
+    return tokens.join(bounded_broadcast(vocab.select("token_id")), "token_id", "left_semi")
 
 
 def merge_rank_lookup(pairs: DataFrame, merges: DataFrame) -> DataFrame:
     """(l, r) hex pairs -> rank; unknown pairs keep a null rank.  A repeated
     pair keeps its later rank."""
     m = merges.groupBy(F.hex("left").alias("l"), F.hex("right").alias("r")).agg(F.max("rank").alias("rank"))
-    return pairs.join(F.broadcast(m), ["l", "r"], "left")
+    return pairs.join(bounded_broadcast(m), ["l", "r"], "left")
 
 
 def register_special_tokens(vocab: DataFrame, specials: list[str]) -> DataFrame:

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tokenloom.session import bounded_broadcast
+
 DOC_BLOCK = 1 << 14  # doc ids per block of the first prefix-sum level
 
 
@@ -138,13 +140,13 @@ def sample_starts(spark, steps: int, batch: int, n_total: int, T: int, seed: int
 def sample_batches(windows: DataFrame, starts: DataFrame, T: int) -> DataFrame:
     """(step, sample, offset, input_id, target_id): inputs = stream[s..s+T-1],
     targets = stream[s+1..s+T].  Tokens [s, s+T] lie in windows s div T and
-    the next one; the draws (bounded by steps x batch) are broadcast and only
-    those windows are read."""
+    the next one; the draws (steps x batch x 2 rows) are broadcast after a size
+    check, so only those windows are read."""
     need = starts.select(
         "step", "sample", "start",
         F.explode(F.array(F.floor(F.col("start") / T), F.floor(F.col("start") / T) + 1)).alias("window_id"),
     )
-    joined = windows.join(F.broadcast(need), "window_id")
+    joined = windows.join(bounded_broadcast(need), "window_id")
     grouped = joined.groupBy("step", "sample", "start").agg(
         F.sort_array(F.collect_list(F.struct("window_id", "ids"))).alias("ws")
     )

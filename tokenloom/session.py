@@ -140,3 +140,16 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+MAX_BROADCAST_ROWS = 1 << 20
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast `df` only after checking its size; beyond `max_rows` it is
+    returned as is and the planner joins by shuffle (with AQE skew handling)."""
+    if df.count() <= max_rows:
+        from pyspark.sql import functions as F
+
+        return F.broadcast(df)
+    return df
