@@ -192,6 +192,7 @@ def update_pair_counts(pairs: DataFrame, words: DataFrame, step: list[tuple[str,
 
 
 INCREMENTAL_MIN_WORDS = 2_000_000  # word-table rows from which rounds update pair counts
+WORDS_PER_PARTITION = 20_000  # word-table rows per partition of the merge loop
 
 
 def bounds_from_top(top: list) -> list[int]:
@@ -227,13 +228,18 @@ def train_bpe_words(
     merges: list[tuple[str, str]] = []
     counts: list[int] = []
     merged: set[str] = set()
-    # spread the word table over all cores: AQE would coalesce this small
-    # aggregate into one partition, and every round would run on one task
-    current = cut_lineage(words.repartition(words.sparkSession.sparkContext.defaultParallelism))
+    # size the word table's partitions by its rows: AQE would coalesce this
+    # aggregate into one task, while a tiny table split over every core only
+    # adds per-task cost to every round
+    words = persist(words)
+    n_words = words.count()
+    parts = max(1, min(words.sparkSession.sparkContext.defaultParallelism, -(-n_words // WORDS_PER_PARTITION)))
+    current = cut_lineage(words.repartition(parts))
+    words.unpersist()
     if incremental is None:
         # a full recount re-explodes every symbol each round; past a few
         # million distinct words the signed-delta update is cheaper
-        incremental = current.count() > INCREMENTAL_MIN_WORDS
+        incremental = n_words > INCREMENTAL_MIN_WORDS
     pairs = cut_lineage(pair_counts(current)) if incremental else None
     stale: list[DataFrame] = []
     rounds = 0
