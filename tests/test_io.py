@@ -2,7 +2,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from tokenloom.operators import bpe, codec, generate, model
+from tokenloom.operators import bpe, generate, model
 from tokenloom.sources import corpus as C
 from tokenloom.sources import tokenizer_io as TIO
 

@@ -1,5 +1,4 @@
 import regex
-from pyspark.sql import functions as F
 
 from tokenloom.functions import text as T
 from tokenloom.operators import pretoken

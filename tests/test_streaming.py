@@ -1,6 +1,5 @@
 import tempfile
 
-from pyspark.sql import functions as F
 
 from tokenloom.operators import bpe, codec, pretoken
 from tokenloom.streaming import corpus_streams as CS

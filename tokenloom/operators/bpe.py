@@ -23,7 +23,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.functions import text as T
 from tokenloom.operators.pretoken import piece_bytes, word_frequencies
 from tokenloom.session import cut_lineage, persist
 
@@ -78,12 +77,6 @@ def words_table(freqs: DataFrame) -> DataFrame:
 PAIR_RE = "(?=(<[0-9A-F]+><[0-9A-F]+>))"
 
 
-def _pairs_array() -> Column:
-    return F.expr(
-        "transform(sequence(0, size(a) - 2), i -> named_struct('l', get(a, i), 'r', get(a, i + 1)))"
-    )
-
-
 def _split_pair(p: Column):
     lr = F.split(F.substring(p, F.lit(2), F.length(p) - 2), "><")
     return lr.getItem(0).alias("l"), lr.getItem(1).alias("r")
@@ -125,26 +118,6 @@ def apply_merge(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     )
 
 
-def top_pairs_with_bounds(pairs: DataFrame, k: int) -> DataFrame:
-    """Top-k pairs plus, for each, a bound on the count of any pair its merge
-    can create: a new pair (x, lr) occurs at most as often as (x, l), and
-    (lr, y) at most as often as (r, y).  So the bound is the greatest count of
-    a pair ending in l or starting with r (capped by the pair's own count).
-    One job: the aggregated pair table is computed once and reused."""
-    top = top_pairs(pairs, k)
-    ends_in = pairs.groupBy(F.col("r").alias("l")).agg(F.max("c").alias("into_l"))
-    starts_with = pairs.groupBy(F.col("l").alias("r")).agg(F.max("c").alias("from_r"))
-    return (
-        top.join(ends_in, "l", "left")
-        .join(starts_with, "r", "left")
-        .select(
-            "c", "l", "r",
-            F.least(F.col("c"), F.greatest(F.coalesce("into_l", F.lit(0)), F.coalesce("from_r", F.lit(0)))).alias("bound"),
-        )
-        .orderBy(F.desc("c"), F.desc("l"), F.desc("r"))
-    )
-
-
 def _accept_batch(top: list, merged: set[str], remaining: int):
     """Choose the prefix of `top` that the one-at-a-time loop would pick too.
 

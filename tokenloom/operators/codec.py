@@ -22,7 +22,7 @@ from pyspark.sql import types as Ty
 from pyspark.sql.window import Window
 
 from tokenloom.functions import text as T
-from tokenloom.functions.bpe_kernel import BpeKernel, kernel_for
+from tokenloom.functions.bpe_kernel import kernel_for
 from tokenloom.operators.bpe import Tokenizer
 from tokenloom.session import bounded_broadcast, ship_package, spread
 
@@ -130,10 +130,6 @@ def _one_row(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------- vocab joins
-def vocab_hex(vocab: DataFrame) -> DataFrame:
-    return vocab.select("token_id", F.hex("token").alias("token_hex"), "is_special")
-
-
 def token_to_id(symbols: DataFrame, vocab: DataFrame, hex_col: str = "token_hex") -> DataFrame:
     """Symbol bytes (hex) -> id; equal bytes under two ids: the greatest id.
     The vocabulary side is broadcast after a size check (else shuffle join)."""
@@ -173,37 +169,3 @@ def register_special_tokens(vocab: DataFrame, specials: list[str]) -> DataFrame:
         (F.col("top") + F.col("rn")).cast("int").alias("token_id"), "token", F.lit(True).alias("is_special")
     )
     return vocab.unionByName(added)
-
-
-def register_special_tokens_local(tok: Tokenizer, specials: list[str]) -> Tokenizer:
-    vocab = dict(tok.vocab)
-    have = {b for b in vocab.values()}
-    nxt = max(vocab) + 1 if vocab else 0
-    for s in specials:
-        b = s.encode("utf-8")
-        if b not in have:
-            vocab[nxt] = b
-            have.add(b)
-            nxt += 1
-    return Tokenizer(vocab, tok.merges, list(specials), tok.merge_counts)
-
-
-def encode_text_local(tok: Tokenizer, text: str) -> list[int]:
-    """Driver-side encode of one short string (prompts, end token check)."""
-    import regex
-
-    if not text:
-        return []
-    k = BpeKernel(tok.vocab, tok.merges, tok.specials)
-    if tok.specials:
-        pat = "|".join(regex.escape(s) for s in T.specials_longest_first(tok.specials))
-        parts = [p for p in regex.split(f"({pat})", text) if p]
-    else:
-        parts = [text]
-    out: list[int] = []
-    for p in parts:
-        if p in k.special_ids:
-            out.append(k.special_ids[p])
-        else:
-            out.extend(k.encode_pieces(m.group() for m in regex.finditer(T.PRETOKEN_PATTERN, p)))
-    return out
