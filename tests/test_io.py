@@ -68,3 +68,58 @@ def test_checkpoint_save_load_and_generation(spark):
         assert len(ids) <= len(prompts.where(F.col("prompt_id") == pid).first().ids) + 5
         if 2 in ids[1:-1]:
             raise AssertionError("generation continued after the end token")
+
+
+def _py_generate(logits, prompts, max_new, temp, top_p, eos, seed):
+    import hashlib
+    import math
+
+    out = {}
+    for pid, ids in prompts:
+        ids = list(ids)
+        if not ids:
+            out[pid] = ids
+            continue
+        for i in range(max_new):
+            row = logits.get(ids[-1])
+            if row is None:
+                break
+            x = {t: v / temp for t, v in row.items()}
+            m = max(x.values())
+            e = {t: math.exp(v - m) for t, v in x.items()}
+            z = sum(e.values())
+            p = sorted(((v / z, t) for t, v in e.items()), key=lambda a: (-a[0], a[1]))
+            if top_p < 1.0:
+                kept, before = [], 0.0
+                for pr, t in p:
+                    if before <= top_p:
+                        kept.append((pr, t))
+                    before += pr
+                s = sum(pr for pr, _ in kept)
+                p = [(pr / s, t) for pr, t in kept]
+            u = int(hashlib.md5(f"{seed}:{pid}:{i}".encode()).hexdigest()[:15], 16) / float(1 << 60)
+            tot, run, tok = sum(pr for pr, _ in p), 0.0, p[-1][1]
+            for pr, t in p:
+                run += pr
+                if run >= u * tot:
+                    tok = t
+                    break
+            ids.append(tok)
+            if tok == eos:
+                break
+        out[pid] = ids
+    return out
+
+
+def test_generation_matches_python_rule(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    V = 6
+    logits = {prev: {t: float(rng.normal() * 2) for t in range(V)} for prev in range(V)}
+    rows = [(prev, t, v) for prev, r in logits.items() for t, v in r.items()]
+    ldf = spark.createDataFrame(rows, "prev_id int, next_id int, logit double")
+    prompts = [(k, [int(k % V)]) for k in range(30)]
+    pdf = spark.createDataFrame(prompts, "prompt_id long, ids array<int>")
+    got = {r.prompt_id: list(r.ids) for r in generate.generate_batch(pdf, ldf, 6, 0.8, 0.9, eos_id=5, seed=3).collect()}
+    assert got == _py_generate(logits, prompts, 6, 0.8, 0.9, 5, 3)
