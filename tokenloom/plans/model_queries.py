@@ -122,24 +122,19 @@ def q_adamw_step(spark, sf_dir):
     + sample_sql(STEPS, BATCH, SEED, 32)
     + f"""
 , cnt AS (SELECT input_id AS prev_id, target_id AS next_id, count(*) AS n FROM pairs GROUP BY ALL)
-, rowsum AS (SELECT prev_id, sum(ln(n + 1)) AS s_seen, count(*) AS k FROM cnt GROUP BY prev_id)
-, lp AS (
-  SELECT c.prev_id, c.next_id, ln(c.n + 1) AS w FROM cnt c
+, grid AS (
+  SELECT p.prev_id, CAST(q.k AS BIGINT) AS next_id, coalesce(ln(c.n + 1), 0) AS w
+  FROM (SELECT DISTINCT prev_id FROM cnt) p, range({V}) q(k)
+  LEFT JOIN cnt c ON c.prev_id = p.prev_id AND c.next_id = q.k
+)
+, lse AS (
+  SELECT prev_id, m + ln(sum(exp(w - m))) AS lse
+  FROM (SELECT prev_id, w, max(w) OVER (PARTITION BY prev_id) AS m FROM grid) GROUP BY prev_id, m
 )
 , bc AS (SELECT step, input_id AS prev_id, target_id AS next_id, count(*) AS n FROM batches GROUP BY ALL)
 , per AS (
-  SELECT b.step, -sum(b.n * (coalesce(l.w, 0) - m.lse)) / sum(b.n) AS loss
-  FROM bc b
-  JOIN (SELECT r.prev_id, max_w + ln(sum_e) AS lse FROM (
-        SELECT prev_id, max(ln(n + 1)) AS max_w,
-               sum(exp(ln(n + 1) - (SELECT 0))) AS dummy FROM cnt GROUP BY prev_id) r
-        JOIN (SELECT g.prev_id, sum(exp(coalesce(c.w, 0) - x.max_w)) AS sum_e
-              FROM (SELECT DISTINCT prev_id FROM cnt) g
-              JOIN (SELECT prev_id, max(ln(n + 1)) AS max_w FROM cnt GROUP BY prev_id) x USING (prev_id),
-              range({V}) q(k)
-              LEFT JOIN lp c ON c.prev_id = g.prev_id AND c.next_id = q.k
-              GROUP BY g.prev_id) s USING (prev_id)) m ON m.prev_id = b.prev_id
-  LEFT JOIN lp l ON l.prev_id = b.prev_id AND l.next_id = b.next_id
+  SELECT b.step, -sum(b.n * (g.w - l.lse)) / sum(b.n) AS loss
+  FROM bc b JOIN grid g USING (prev_id, next_id) JOIN lse l USING (prev_id)
   GROUP BY b.step
 )
 SELECT CAST(0 AS INTEGER) AS run_id, 0.0 + round(avg(loss), 6) AS eval_loss, count(*) AS n_batches FROM per""",
