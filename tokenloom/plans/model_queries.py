@@ -159,18 +159,103 @@ def _train(spark, sf_dir, configs, steps, on_checkpoint=None, checkpoint_every=2
     )
 
 
-@register("train_model")
+TRAIN_LR, TRAIN_WARMUP = 0.5, 1
+
+
+def _train_sql(configs: list | None = None, steps: int = TRAIN_STEPS) -> str:
+    """The training loop unrolled in DuckDB, one chain of CTEs per run: per
+    step the batch counts of the same hashed draws, log-softmax rows,
+    gradient, loss and norm, clipping, then AdamW with the same schedule."""
+    configs = configs or [model.RunConfig(0, lr_max=TRAIN_LR, warmup=TRAIN_WARMUP, cycle=TRAIN_STEPS, max_grad_norm=1.0)]
+    parts = [
+        _stream_ctes()
+        + _PAIRS_SQL
+        + sample_sql(steps, BATCH, SEED, 32)
+        + f"""
+, cnt AS (SELECT input_id AS prev_id, target_id AS next_id, count(*) AS n FROM pairs GROUP BY ALL)
+, bc AS (SELECT step, input_id AS prev_id, target_id AS next_id, CAST(count(*) AS DOUBLE) AS n FROM batches GROUP BY ALL)
+, bt AS (SELECT step, sum(n) AS n_total FROM bc GROUP BY step)
+, p_init AS MATERIALIZED (
+  SELECT p.prev_id, CAST(q.k AS BIGINT) AS next_id, 0.0::DOUBLE AS w, 0.0::DOUBLE AS m, 0.0::DOUBLE AS v
+  FROM (SELECT DISTINCT prev_id FROM cnt) p, range({V}) q(k)
+)"""
+    ]
+    mets = []
+    for cfg in configs:
+        r = cfg.run_id
+        b1, b2 = cfg.betas
+        clip = "1.0" if cfg.max_grad_norm is None else (
+            f"CASE WHEN norm >= {cfg.max_grad_norm} THEN {cfg.max_grad_norm} / (norm + 1e-6) ELSE 1.0 END"
+        )
+        prev = "p_init"
+        for st in range(steps):
+            lr = cfg.lr(st)
+            t = st + 1
+            alpha = f"({lr!r} * sqrt(1 - pow({b2}, {t})) / (1 - pow({b1}, {t})))"
+            decay = f"(1 - {lr!r} * {cfg.weight_decay})" if cfg.weight_decay > 0 else "1.0"
+            x = f"r{r}s{st}"
+            parts.append(
+                f"""
+, g_{x} AS (
+  SELECT p.prev_id, p.next_id, p.w, p.m, p.v, coalesce(c.n, 0.0) AS n,
+         p.w - max(p.w) OVER (PARTITION BY p.prev_id) AS sh
+  FROM {prev} p LEFT JOIN bc c ON c.step = {st} AND c.prev_id = p.prev_id AND c.next_id = p.next_id
+)
+, h_{x} AS MATERIALIZED (
+  SELECT *, sh - ln(sum(exp(sh)) OVER (PARTITION BY prev_id)) AS lp, sum(n) OVER (PARTITION BY prev_id) AS n_prev
+  FROM g_{x}
+)
+, k_{x} AS MATERIALIZED (
+  SELECT *, (n_prev * exp(lp) - n) / (SELECT n_total FROM bt WHERE step = {st}) AS g FROM h_{x}
+)
+, met_{x} AS MATERIALIZED (
+  SELECT CAST({r} AS INTEGER) AS run_id, CAST({st} AS BIGINT) AS step,
+         -sum(n * lp) / (SELECT n_total FROM bt WHERE step = {st}) AS loss, sqrt(sum(g * g)) AS norm, {lr!r} AS lr
+  FROM k_{x}
+)
+, c_{x} AS (
+  SELECT prev_id, next_id, w, {b1} * m + (1 - {b1}) * g * f AS m1, {b2} * v + (1 - {b2}) * (g * f) * (g * f) AS v1
+  FROM k_{x}, (SELECT {clip} AS f FROM met_{x})
+)
+, p_{x} AS MATERIALIZED (
+  SELECT prev_id, next_id, (w - {alpha} * m1 / (sqrt(v1) + {cfg.eps})) * {decay} AS w, m1 AS m, v1 AS v
+  FROM c_{x}
+)"""
+            )
+            mets.append(f"SELECT * FROM met_{x}")
+            prev = f"p_{x}"
+    parts.append(f"""
+SELECT run_id, step, 0.0 + round(loss, 6) AS loss, 0.0 + round(lr, 9) AS lr, 0.0 + round(norm, 9) AS grad_norm
+FROM ({" UNION ALL ".join(mets)})""")
+    return "".join(parts)
+
+
+@register("train_model", lambda: _train_sql())
 def q_train_model(spark, sf_dir):
-    cfg = [model.RunConfig(0, lr_max=0.5, warmup=1, cycle=TRAIN_STEPS, max_grad_norm=1.0)]
+    cfg = [model.RunConfig(0, lr_max=TRAIN_LR, warmup=TRAIN_WARMUP, cycle=TRAIN_STEPS, max_grad_norm=1.0)]
     res = _train(spark, sf_dir, cfg, TRAIN_STEPS)
-    return model.metrics_frame(spark, res.metrics).select("run_id", "step", "loss", "lr", "grad_norm")
+    m = model.metrics_frame(spark, res.metrics)
+    return m.select(
+        "run_id", "step", rnd(F.col("loss"), 6).alias("loss"), rnd(F.col("lr"), 9).alias("lr"),
+        rnd(F.col("grad_norm"), 9).alias("grad_norm"),
+    )
+
+
+SWEEP_STEPS = 3
+
 
+def _sweep_configs():
+    return model.lr_sweep_configs(SWEEP_LRS, warmup=1, cycle=TRAIN_STEPS)
 
-@register("lr_sweep")
+
+@register("lr_sweep", lambda: _train_sql(_sweep_configs(), SWEEP_STEPS))
 def q_lr_sweep(spark, sf_dir):
-    cfg = model.lr_sweep_configs(SWEEP_LRS, warmup=1, cycle=TRAIN_STEPS)
-    res = _train(spark, sf_dir, cfg, 2)
-    return model.metrics_frame(spark, res.metrics).select("run_id", "step", "loss", "lr", "grad_norm")
+    res = _train(spark, sf_dir, _sweep_configs(), SWEEP_STEPS)
+    m = model.metrics_frame(spark, res.metrics)
+    return m.select(
+        "run_id", "step", rnd(F.col("loss"), 6).alias("loss"), rnd(F.col("lr"), 9).alias("lr"),
+        rnd(F.col("grad_norm"), 9).alias("grad_norm"),
+    )
 
 
 @register("save_checkpoint")
@@ -219,13 +304,94 @@ def _generate(spark, sf_dir):
     )
 
 
-@register("generate_batch")
+def _gen_sql() -> str:
+    """Generation in DuckDB: prompts encoded by the unrolled merge chain, the
+    per-context sampling table of the count model, and a recursive CTE with
+    one md5-based draw per step (the same rule as `generate_batch`)."""
+    from tokenloom.plans import oracle_sql as O
+
+    body = (
+        _stream_ctes()
+        + _PAIRS_SQL
+        + f"""
+, cnt AS (SELECT input_id AS prev_id, target_id AS next_id, count(*) AS n FROM pairs GROUP BY ALL)
+, grid AS (
+  SELECT p.prev_id, CAST(q.k AS BIGINT) AS next_id, coalesce(ln(c.n + 1), 0) AS w
+  FROM (SELECT DISTINCT prev_id FROM cnt) p, range({V}) q(k)
+  LEFT JOIN cnt c ON c.prev_id = p.prev_id AND c.next_id = q.k
+)
+, g_m AS (SELECT prev_id, next_id, w / {GEN_TEMP} - max(w / {GEN_TEMP}) OVER (PARTITION BY prev_id) AS s FROM grid)
+, g_p AS (SELECT prev_id, next_id, exp(s) / sum(exp(s)) OVER (PARTITION BY prev_id) AS prob FROM g_m)
+, g_before AS (
+  SELECT prev_id, next_id, prob,
+         coalesce(sum(prob) OVER (PARTITION BY prev_id ORDER BY prob DESC, next_id ASC
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM g_p
+)
+, g_nuc AS (
+  SELECT prev_id, next_id, prob / sum(prob) OVER (PARTITION BY prev_id) AS prob FROM g_before WHERE before <= {GEN_TOP_P}
+)
+, g_tab AS MATERIALIZED (
+  SELECT prev_id, next_id AS token_id,
+         row_number() OVER (PARTITION BY prev_id ORDER BY prob DESC, next_id ASC) AS rank,
+         coalesce(sum(prob) OVER (PARTITION BY prev_id ORDER BY prob DESC, next_id ASC
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run_lo,
+         sum(prob) OVER (PARTITION BY prev_id ORDER BY prob DESC, next_id ASC
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_hi,
+         sum(prob) OVER (PARTITION BY prev_id) AS tot
+  FROM g_nuc
+)
+, bp_lists AS (SELECT item_id AS prompt_id, {O.pretoken_list('text')} AS ps FROM benchmark)
+, bp AS (SELECT prompt_id, unnest(generate_series(0, len(ps) - 1)) AS pos, unnest(ps) AS piece FROM bp_lists)
+, bp_words AS MATERIALIZED (
+  SELECT piece, string_split(substr(s, 2, length(s) - 2), '><') AS syms
+  FROM (SELECT piece, {O.merge_chain(O.hex_sym('piece'), NUM_MERGES)} AS s FROM (SELECT DISTINCT piece FROM bp))
+)
+, bp_sym AS (SELECT piece, unnest(generate_series(0, len(syms) - 1)) AS k, unnest(syms) AS token_hex FROM bp_words)
+, bp_ids AS (SELECT b.piece, b.k, s.token_id FROM bp_sym b JOIN sym_id s USING (token_hex))
+, prompts AS (
+  SELECT b.item_id AS prompt_id, coalesce(x.ids, CAST([] AS BIGINT[])) AS ids
+  FROM benchmark b LEFT JOIN (
+    SELECT p.prompt_id, list(CAST(i.token_id AS BIGINT) ORDER BY p.pos, i.k) AS ids
+    FROM bp p JOIN bp_ids i USING (piece) GROUP BY p.prompt_id
+  ) x ON x.prompt_id = b.item_id
+)
+, gen AS (
+  SELECT prompt_id, CAST(len(ids) AS BIGINT) AS prompt_len, ids, 0 AS i, len(ids) = 0 AS stopped FROM prompts
+  UNION ALL
+  SELECT g.prompt_id, g.prompt_len, list_append(g.ids, CAST(t.token_id AS BIGINT)), g.i + 1, t.token_id = {EOT_ID}
+  FROM gen g JOIN g_tab t ON t.prev_id = g.ids[-1]
+  WHERE NOT g.stopped AND g.i < {GEN_MAX_NEW}
+    AND (t.run_lo < t.tot * CAST(('0x' || substr(md5('{GEN_SEED}:' || CAST(g.prompt_id AS VARCHAR) || ':' || CAST(g.i AS VARCHAR)), 1, 15))::BIGINT AS DOUBLE)
+                        / CAST(1152921504606846976 AS DOUBLE) OR t.rank = 1)
+    AND t.run_hi >= t.tot * CAST(('0x' || substr(md5('{GEN_SEED}:' || CAST(g.prompt_id AS VARCHAR) || ':' || CAST(g.i AS VARCHAR)), 1, 15))::BIGINT AS DOUBLE)
+                        / CAST(1152921504606846976 AS DOUBLE)
+)
+, final AS (SELECT prompt_id, arg_max(ids, i) AS ids, max(i) AS n_new, any_value(prompt_len) AS prompt_len FROM gen GROUP BY prompt_id)"""
+    )
+    return body.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register(
+    "generate_batch",
+    lambda: _gen_sql()
+    + "\nSELECT prompt_id, prompt_len, CAST(n_new AS BIGINT) AS n_new, array_to_string(ids, ' ') AS ids FROM final",
+)
 def q_generate_batch(spark, sf_dir):
     g = _generate(spark, sf_dir)
-    return g.select("prompt_id", "prompt_len", "n_new", F.array_join("ids", " ").alias("ids"))
+    return g.select(
+        "prompt_id", F.col("prompt_len").cast("long"), F.col("n_new").cast("long"), F.array_join("ids", " ").alias("ids")
+    )
 
 
-@register("generation_stats")
+@register(
+    "generation_stats",
+    lambda: _gen_sql()
+    + f"""
+SELECT prompt_id, prompt_len, CAST(n_new AS BIGINT) AS new_tokens, CAST(len(ids) AS BIGINT) AS total_tokens,
+       CASE WHEN n_new > 0 AND ids[-1] = {EOT_ID} THEN 'eos' ELSE 'length' END AS stop_reason
+FROM final""",
+)
 def q_generation_stats(spark, sf_dir):
     return generate.generation_stats(_generate(spark, sf_dir), EOT_ID)
 

@@ -102,6 +102,13 @@ vocab AS (
 )"""
 
 
+def merge_chain(expr: str, num_merges: int) -> str:
+    """Apply the merges of `m1..mN` to a bracketed-hex expression in rank order."""
+    for i in range(1, num_merges + 1):
+        expr = f"replace({expr}, (SELECT '<' || l || '><' || r || '>' FROM m{i}), (SELECT '<' || l || r || '>' FROM m{i}))"
+    return expr
+
+
 def encode_ctes(num_merges: int, table: str = "documents") -> str:
     """After `train_ctes`: `enc(doc_id, part, pos, k, token_id)` for every
     document, pieces encoded by applying the merges in rank order (equal to
