@@ -162,7 +162,7 @@ def _train(spark, sf_dir, configs, steps, on_checkpoint=None, checkpoint_every=2
 TRAIN_LR, TRAIN_WARMUP = 0.5, 1
 
 
-def _train_sql(configs: list | None = None, steps: int = TRAIN_STEPS) -> str:
+def _train_sql(configs: list | None = None, steps: int = TRAIN_STEPS, output: str = "metrics") -> str:
     """The training loop unrolled in DuckDB, one chain of CTEs per run: per
     step the batch counts of the same hashed draws, log-softmax rows,
     gradient, loss and norm, clipping, then AdamW with the same schedule."""
@@ -224,7 +224,15 @@ def _train_sql(configs: list | None = None, steps: int = TRAIN_STEPS) -> str:
             )
             mets.append(f"SELECT * FROM met_{x}")
             prev = f"p_{x}"
-    parts.append(f"""
+    if output == "ctes":  # the chains only, for callers adding their own select
+        return "".join(parts)
+    if output == "params":  # the state after the last step of the (first) run
+        parts.append(f"""
+SELECT CAST({configs[0].run_id} AS INTEGER) AS run_id, prev_id, next_id, 0.0 + round(w, 6) AS w,
+       0.0 + round(m * 1e6, 3) AS m_e6, 0.0 + round(v * 1e12, 3) AS v_e12, {steps} AS t, {steps} AS iteration
+FROM {prev}""")
+    else:
+        parts.append(f"""
 SELECT run_id, step, 0.0 + round(loss, 6) AS loss, 0.0 + round(lr, 9) AS lr, 0.0 + round(norm, 9) AS grad_norm
 FROM ({" UNION ALL ".join(mets)})""")
     return "".join(parts)
@@ -258,21 +266,46 @@ def q_lr_sweep(spark, sf_dir):
     )
 
 
-@register("save_checkpoint")
-def q_save_checkpoint(spark, sf_dir):
+CKPT_STEPS, CKPT_EVERY = 4, 2
+
+
+def _ckpt_configs():
+    return [model.RunConfig(0, lr_max=0.5)]
+
+
+def _train_with_checkpoints(spark, sf_dir):
     path = scratch_path(spark, "model-ckpt")
-    cfg = [model.RunConfig(0, lr_max=0.5)]
-    _train(spark, sf_dir, cfg, 4, on_checkpoint=lambda p, it: model.save_checkpoint(p, it, path), checkpoint_every=2)
-    return spark.read.parquet(path).groupBy("iteration").agg(F.count(F.lit(1)).alias("n_params"))
+    _train(
+        spark, sf_dir, _ckpt_configs(), CKPT_STEPS,
+        on_checkpoint=lambda p, it: model.save_checkpoint(p, it, path), checkpoint_every=CKPT_EVERY,
+    )
+    return path
+
 
+@register(
+    "save_checkpoint",
+    lambda: _train_sql(_ckpt_configs(), CKPT_STEPS, "ctes")
+    + f"""
+SELECT CAST(i AS INTEGER) AS iteration, (SELECT count(*) FROM p_init) AS n_params
+FROM range({CKPT_EVERY}, {CKPT_STEPS} + 1, {CKPT_EVERY}) t(i)""",
+)
+def q_save_checkpoint(spark, sf_dir):
+    """Parameters written per saved iteration (every 2 of 4 steps)."""
+    path = _train_with_checkpoints(spark, sf_dir)
+    df = spark.read.parquet(path).groupBy("iteration").agg(F.count(F.lit(1)).alias("n_params"))
+    return df.select(F.col("iteration").cast("int"), "n_params")
 
-@register("load_checkpoint")
+
+@register("load_checkpoint", lambda: _train_sql(_ckpt_configs(), CKPT_STEPS, "params"))
 def q_load_checkpoint(spark, sf_dir):
-    path = scratch_path(spark, "model-ckpt")
-    cfg = [model.RunConfig(0, lr_max=0.5)]
-    _train(spark, sf_dir, cfg, 4, on_checkpoint=lambda p, it: model.save_checkpoint(p, it, path), checkpoint_every=2)
+    """The latest checkpoint read back: parameters and AdamW state after 4 steps."""
+    path = _train_with_checkpoints(spark, sf_dir)
     params, it = model.load_checkpoint(spark, path)
-    return params.withColumn("iteration", F.lit(it))
+    return params.select(
+        F.col("run_id").cast("int"), F.col("prev_id").cast("long"), F.col("next_id").cast("long"),
+        rnd(F.col("w"), 6).alias("w"), rnd(F.col("m") * 1e6, 3).alias("m_e6"), rnd(F.col("v") * 1e12, 3).alias("v_e12"),
+        F.col("t").cast("int"), F.lit(it).cast("int").alias("iteration"),
+    )
 
 
 @register("log_metrics")
