@@ -114,6 +114,9 @@ def ship_package(spark: SparkSession) -> None:
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    if "tokenloom" in (sc.getConf().get("spark.submit.pyFiles", "") or ""):
+        _SHIPPED.add(app)  # already distributed at submit time
+        return
     import zipfile
 
     root = os.path.dirname(os.path.abspath(__file__))
