@@ -8,9 +8,10 @@ window over a small table) then a running sum inside each block (window
 partitioned by block).  No window ever spans all tokens.
 
 Windows are cut with stride T and hold T+1 tokens (inputs and shifted
-targets).  A document contributes one slice per window it overlaps, so packing
-shuffles about (#windows + #docs) slices, not one row per token; every window
-group is bounded by T+1 tokens.
+targets).  A window wholly inside one document is cut map-side; only windows
+across a document edge are assembled by a shuffle, from one slice per
+document it overlaps.  So packing shuffles about 2 x #docs slices of at most
+T+1 ids, not the corpus, and every window group is bounded by T+1 tokens.
 """
 
 from __future__ import annotations
@@ -82,15 +83,25 @@ def pack_windows(ids: DataFrame, eot_id: int, T: int, n_total: int | None = None
     )
     start = F.greatest(F.col("window_id") * T, F.col("off"))
     end = F.least(F.col("window_id") * T + T, F.col("last"))
-    parts = slices.where(start <= end).select(
+    # a window lying wholly inside one document's segment is cut map-side;
+    # only windows across a document edge are assembled by a shuffle
+    inside = (F.col("window_id") * T >= F.col("off")) & (
+        F.least(F.col("window_id") * T + T, F.lit(n_total - 1)) <= F.col("last")
+    )
+    cut = slices.where(start <= end).select(
         "window_id",
-        F.struct(
-            start.alias("start"),
-            F.slice("seg", (start - F.col("off") + 1).cast("int"), (end - start + 1).cast("int")).alias("part"),
-        ).alias("s"),
+        inside.alias("inside"),
+        start.alias("start"),
+        F.slice("seg", (start - F.col("off") + 1).cast("int"), (end - start + 1).cast("int")).alias("part"),
+    )
+    whole = cut.where(F.col("inside")).select("window_id", F.col("part").alias("ids"))
+    edge = (
+        cut.where(~F.col("inside"))
+        .groupBy("window_id")
+        .agg(F.sort_array(F.collect_list(F.struct("start", "part"))).alias("ss"))
+        .select("window_id", F.flatten(F.transform("ss", lambda x: x["part"])).alias("ids"))
     )
-    grouped = parts.groupBy("window_id").agg(F.sort_array(F.collect_list("s")).alias("ss"))
-    return grouped.select("window_id", F.flatten(F.transform("ss", lambda x: x["part"])).alias("ids"))
+    return whole.unionByName(edge)
 
 
 def next_token_pairs(windows: DataFrame, T: int) -> DataFrame:
