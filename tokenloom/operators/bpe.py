@@ -77,9 +77,8 @@ def words_table(freqs: DataFrame) -> DataFrame:
 PAIR_RE = "(?=(<[0-9A-F]+><[0-9A-F]+>))"
 
 
-def _split_pair(p: Column):
-    lr = F.split(F.substring(p, F.lit(2), F.length(p) - 2), "><")
-    return lr.getItem(0).alias("l"), lr.getItem(1).alias("r")
+_SPLIT_L = "split(substr(p, 2, length(p) - 2), '><')[0]"
+_SPLIT_R = "split(substr(p, 2, length(p) - 2), '><')[1]"
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
@@ -87,10 +86,11 @@ def pair_counts(words: DataFrame) -> DataFrame:
 
     Counting is per position, so `aaa` counts (a, a) twice.  Each pair is
     aggregated as one string key `<l><r>` (one hash per row) and split only
-    on the distinct pairs."""
-    exploded = words.select(F.explode(F.regexp_extract_all("sym", F.lit(PAIR_RE), F.lit(1))).alias("p"), "n")
-    agg = exploded.groupBy("p").agg(F.sum("n").alias("c"))
-    return agg.select(*_split_pair(F.col("p")), "c")
+    on the distinct pairs.  Written as SQL expressions: the loop builds this
+    plan every round, and few driver calls keep that cheap."""
+    ex = words.selectExpr(f"explode(regexp_extract_all(sym, '{PAIR_RE}', 1)) AS p", "n")
+    agg = ex.groupBy("p").agg(F.sum("n").alias("c"))
+    return agg.selectExpr(f"{_SPLIT_L} AS l", f"{_SPLIT_R} AS r", "c")
 
 
 def top_pairs(pairs: DataFrame, k: int) -> DataFrame:
@@ -104,18 +104,35 @@ def best_pair(pairs: DataFrame) -> DataFrame:
     return m.select("m.c", "m.l", "m.r").where(F.col("c").isNotNull())
 
 
-def merge_expr(sym: Column, merges: list[tuple[str, str]]) -> Column:
-    """Apply hex merges in order: nested non-overlapping left-to-right replace."""
+def merge_sql(sym: str, merges: list[tuple[str, str]]) -> str:
+    """SQL for applying hex merges in order: nested non-overlapping
+    left-to-right replace (hex symbols need no quoting).  Few driver calls:
+    the loop builds this plan every round."""
     for l, r in merges:
-        sym = F.replace(sym, F.lit(f"<{l}><{r}>"), F.lit(f"<{l}{r}>"))
+        sym = f"replace({sym}, '<{l}><{r}>', '<{l}{r}>')"
     return sym
 
 
 def apply_merge(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     """Replace accepted pairs in all words; words left with one symbol drop out."""
-    return words.select(merge_expr(F.col("sym"), merges).alias("sym"), "n").where(
-        F.instr("sym", "><") > 0
-    )
+    return words.selectExpr(f"{merge_sql('sym', merges)} AS sym", "n").where("instr(sym, '><') > 0")
+
+
+def pair_rows(words: DataFrame, sign: int = 1) -> DataFrame:
+    """One row per adjacent pair occurrence, weighted by the word count."""
+    ex = words.selectExpr(f"explode(regexp_extract_all(sym, '{PAIR_RE}', 1)) AS p", f"n * {int(sign)} AS n")
+    return ex.selectExpr(f"{_SPLIT_L} AS l", f"{_SPLIT_R} AS r", "n")
+
+
+def update_pair_counts(pairs: DataFrame, words: DataFrame, step: list[tuple[str, str]]) -> DataFrame:
+    """Pair counts after merging `step`: only words holding a merged pair
+    change; their old pairs are subtracted and new pairs added, and zero
+    counts drop out.  Equal to a full recount."""
+    pattern = "|".join(f"<{l}><{r}>" for l, r in step)
+    touched = words.where(F.col("sym").rlike(pattern))
+    delta = pair_rows(touched, -1).unionByName(pair_rows(apply_merge(touched, step), 1))
+    both = pairs.select("l", "r", F.col("c").alias("n")).unionByName(delta)
+    return both.groupBy("l", "r").agg(F.sum("n").alias("c")).where(F.col("c") != 0)
 
 
 def _accept_batch(top: list, merged: set[str], remaining: int):
@@ -147,23 +164,6 @@ def _accept_batch(top: list, merged: set[str], remaining: int):
     return accepted
 
 
-def pair_rows(words: DataFrame, sign: int = 1) -> DataFrame:
-    """One row per adjacent pair occurrence, weighted by the word count."""
-    ex = words.select(F.explode(F.regexp_extract_all("sym", F.lit(PAIR_RE), F.lit(1))).alias("p"), (F.col("n") * sign).alias("n"))
-    return ex.select(*_split_pair(F.col("p")), "n")
-
-
-def update_pair_counts(pairs: DataFrame, words: DataFrame, step: list[tuple[str, str]]) -> DataFrame:
-    """Pair counts after merging `step`: only words holding a merged pair
-    change; their old pairs are subtracted and new pairs added, and zero
-    counts drop out.  Equal to a full recount."""
-    pattern = "|".join(f"<{l}><{r}>" for l, r in step)
-    touched = words.where(F.col("sym").rlike(pattern))
-    delta = pair_rows(touched, -1).unionByName(pair_rows(apply_merge(touched, step), 1))
-    both = pairs.select("l", "r", F.col("c").alias("n")).unionByName(delta)
-    return both.groupBy("l", "r").agg(F.sum("n").alias("c")).where(F.col("c") != 0)
-
-
 INCREMENTAL_MIN_WORDS = 2_000_000  # word-table rows from which rounds update pair counts
 WORDS_PER_PARTITION = 20_000  # word-table rows per partition of the merge loop
 
