@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tokenloom.operators import prob
 from tokenloom.session import cut_lineage, persist
 
 PARAM_COLS = ["run_id", "prev_id", "next_id", "w", "m", "v", "t"]
@@ -295,6 +294,3 @@ def smoothed_params(counts: DataFrame, vocab_size: int) -> DataFrame:
         "run_id", "prev_id", "next_id", F.log(F.coalesce("n", F.lit(0.0)) + 1).alias("w"),
         F.lit(0.0).alias("m"), F.lit(0.0).alias("v"), F.lit(0).alias("t"),
     )
-
-
-__all__ = ["prob"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tokenloom.operators import tokens as TK
-from tokenloom.plans.registry import derived, register, trained_tokenizer
+from tokenloom.plans.registry import derived, register
 from tokenloom.plans.tokenizer_queries import ENCODE_SQL, ids_frame
 from tokenloom.session import cut_lineage, scratch_path
 from tokenloom.sources import token_stream as TS
@@ -180,6 +180,3 @@ def q_read_token_stream(spark, sf_dir):
     path = _write_shards(spark, sf_dir)
     s = TS.read_token_stream(spark, path)
     return s.select(F.col("gpos").cast("long"), F.col("token_id").cast("long"))
-
-
-__all__ = ["trained_tokenizer"]
