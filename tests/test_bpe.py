@@ -83,3 +83,11 @@ def test_update_pair_counts_matches_recount(spark, small_docs):
     upd = {(r.l, r.r): r.c for r in bpe.update_pair_counts(pc, words, step).collect()}
     full = {(r.l, r.r): r.c for r in bpe.pair_counts(bpe.apply_merge(words, step)).collect()}
     assert upd == full
+
+
+def test_alternating_pair_overlap(spark):
+    # 'abab': (a,b) counted twice, both occurrences merged; (b,a) once
+    words = spark.createDataFrame([("<61><62><61><62>", 2)], "sym string, n long")
+    pc = {(r.l, r.r): r.c for r in bpe.pair_counts(words).collect()}
+    assert pc == {("61", "62"): 4, ("62", "61"): 2}
+    assert bpe.apply_merge(words, [("61", "62")]).first().sym == "<6162><6162>"

@@ -14,6 +14,8 @@ ROUND_TRIP = [
     "Héllò hôw are ü? 🙃",
     "Héllò hôw <|endoftext|><|endoftext|> are ü? 🙃<|endoftext|>",
     "line\r\nbreaks\n\n<|endoftext|>\n\ntesting!",
+    "<|endoftext|>\n\n",
+    "<|endoftext|>\n\ntesting!",
 ]
 
 

@@ -141,3 +141,16 @@ def test_causal_attention_matches_numpy(spark):
     p = np.exp(s - s.max(axis=1, keepdims=True))
     p /= p.sum(axis=1, keepdims=True)
     assert np.allclose(out, p @ x)
+
+
+def test_ties_large_values_and_single_token(spark):
+    rows = [(0, 0, 5.0), (0, 1, 5.0), (0, 2, 1.0), (1, 7, 1000.0), (2, 3, 1e3), (2, 4, 1e3 - 50)]
+    df = spark.createDataFrame(rows, "ctx_id long, token_id long, logit double")
+    p = {(r.ctx_id, r.token_id): r.prob for r in prob.softmax(df, "ctx_id").collect()}
+    assert p[(1, 7)] == 1.0 and p[(0, 0)] == p[(0, 1)]
+    assert p[(2, 3)] == pytest.approx(1.0) and p[(2, 4)] < 1e-20
+    # equal probabilities: the smaller id ranks first, so top_p 0.3 keeps token 0 only
+    nuc = {(r.ctx_id, r.token_id) for r in prob.nucleus_filter(prob.softmax(df, "ctx_id"), 0.3).collect()}
+    assert (0, 0) in nuc and (0, 1) not in nuc and (1, 7) in nuc
+    draws = {r.ctx_id: r.token_id for r in prob.sample_token(prob.softmax(df, "ctx_id"), F.lit(0.99)).collect()}
+    assert draws[1] == 7
