@@ -64,8 +64,11 @@ def stream_word_frequencies(
     rocksdb: bool = True,
 ) -> StreamingQuery:
     """Running counts, complete mode; each batch overwrites `out`."""
-    if rocksdb:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if rocksdb and "HDFSBackedStateStoreProvider" in (spark.conf.get(key, "") or "HDFSBackedStateStoreProvider"):
+        # one state row per distinct piece: unbounded, so keep it in RocksDB;
+        # a provider the session already chose is left alone
+        spark.conf.set(key, ROCKSDB)
     counts = word_frequency_stream(document_stream(spark, source, schema), specials)
 
     def write(batch: DataFrame, epoch: int) -> None:
