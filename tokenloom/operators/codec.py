@@ -29,7 +29,14 @@ from tokenloom.session import bounded_broadcast, ship_package, spread
 _BROADCASTS: dict[tuple[int, int], object] = {}
 
 
+MAX_TOKENIZER_ENTRIES = 1 << 20  # vocabulary + merges allowed in one broadcast
+
+
 def broadcast_tokenizer(spark: SparkSession, tok: Tokenizer):
+    """Broadcast the tokenizer once per context; its size is checked (it is a
+    model artifact bounded by the vocabulary, never data-sized)."""
+    if len(tok.vocab) + len(tok.merges) > MAX_TOKENIZER_ENTRIES:
+        raise ValueError("tokenizer too large to broadcast")
     key = (id(spark.sparkContext), id(tok))
     bc = _BROADCASTS.get(key)
     ship_package(spark)
