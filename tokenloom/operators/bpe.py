@@ -8,11 +8,12 @@ and compares symbols by their bytes (two merge paths giving the same bytes give
 the same symbol).  Hex text orders like unsigned bytes, so the greatest
 `(count, left, right)` is the next merge.
 
-One round = one job over the cached word table (pair counts, the top-k pairs
-with a bound on the counts their merges can create, to the driver) and a
-projection that applies the accepted merges.  A round accepts the prefix of the
-top-k that the one-merge-at-a-time loop would pick too, so the merges are
-exactly the sequential ones.  Only k rows per round ever reach the driver.
+One round = one job over the word table: pair counts, of which the top 1,024
+reach the driver.  From that list the driver bounds the counts any accepted
+merge can create and accepts the prefix the one-merge-at-a-time loop would
+pick too, so the merges are exactly the sequential ones.  The accepted merges
+are applied as a lazy projection, cut by a reliable checkpoint every few
+rounds.  Only that bounded list ever reaches the driver.
 """
 
 from __future__ import annotations
