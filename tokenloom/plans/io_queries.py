@@ -26,7 +26,10 @@ def _vocab_tokens(spark, sf_dir):
     return bpe.vocab_frame(spark, trained_tokenizer(spark, sf_dir))
 
 
-@register("replace_bad_utf8")
+@register(
+    "replace_bad_utf8",
+    lambda: VOCAB_SQL() + f"\nSELECT token_id, {O.utf8_decode_sql('token_hex', chr(0xFFFD))} AS text FROM vocab",
+)
 def q_replace_bad_utf8(spark, sf_dir):
     """Every vocabulary entry shown as text; lone bytes above 0x7F and cut
     characters become U+FFFD."""
@@ -34,7 +37,10 @@ def q_replace_bad_utf8(spark, sf_dir):
     return v.select(F.col("token_id").cast("long"), C.replace_bad_utf8(F.col("token")).alias("text"))
 
 
-@register("drop_bad_utf8")
+@register(
+    "drop_bad_utf8",
+    lambda: VOCAB_SQL() + f"\nSELECT token_id, {O.utf8_decode_sql('token_hex', '')} AS text FROM vocab",
+)
 def q_drop_bad_utf8(spark, sf_dir):
     v = _vocab_tokens(spark, sf_dir)
     return v.select(F.col("token_id").cast("long"), C.drop_bad_utf8(F.col("token")).alias("text"))

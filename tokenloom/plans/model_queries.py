@@ -429,7 +429,20 @@ def q_generation_stats(spark, sf_dir):
     return generate.generation_stats(_generate(spark, sf_dir), EOT_ID)
 
 
-@register("complete_text")
+def _complete_sql() -> str:
+    from tokenloom.plans import oracle_sql as O
+
+    return _gen_sql() + f"""
+, fpos AS (SELECT prompt_id, unnest(generate_series(1, len(ids))) AS k, unnest(ids) AS token_id FROM final)
+, fhex AS (
+  SELECT f.prompt_id, string_agg(v.token_hex, '' ORDER BY f.k) AS h
+  FROM fpos f JOIN vocab v ON v.token_id = f.token_id GROUP BY f.prompt_id
+)
+SELECT f.prompt_id, coalesce({O.utf8_decode_sql('h.h', chr(0xFFFD))}, '') AS text
+FROM final f LEFT JOIN fhex h USING (prompt_id)"""
+
+
+@register("complete_text", _complete_sql)
 def q_complete_text(spark, sf_dir):
     g = _generate(spark, sf_dir).select(F.col("prompt_id").alias("doc_id"), "ids")
     return codec.decode_corpus(g, trained_tokenizer(spark, sf_dir)).withColumnRenamed("doc_id", "prompt_id")

@@ -156,3 +156,32 @@ doc_tokens AS MATERIALIZED (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip().rstrip(",") for c in ctes if c.strip())
+
+
+# UTF-8 byte classes in upper-case hex, for decoding with replacement in SQL:
+# whole valid sequences first, then truncated valid prefixes (one maximal
+# subpart each), then any single byte.  Every alternative consumes whole bytes
+# and the last always matches, so the scan stays on byte boundaries.
+_C = "[89AB][0-9A-F]"
+UTF8_VALID = (
+    "[0-7][0-9A-F]|(?:C[2-9A-F]|D[0-9A-F])" + _C
+    + "|E0[AB][0-9A-F]" + _C + "|(?:E[1-9A-CEF])" + _C + _C + "|ED[89][0-9A-F]" + _C
+    + "|F0[9AB][0-9A-F]" + _C + _C + "|F[1-3]" + _C + _C + _C + "|F48[0-9A-F]" + _C + _C
+)
+UTF8_PREFIX = (
+    "F0[9AB][0-9A-F]" + _C + "|F[1-3]" + _C + _C + "|F48[0-9A-F]" + _C
+    + "|F0[9AB][0-9A-F]|F[1-3]" + _C + "|F48[0-9A-F]"
+    + "|E0[AB][0-9A-F]|E[1-9A-CEF]" + _C + "|ED[89][0-9A-F]"
+    + "|C[2-9A-F]|D[0-9A-F]|E[0-9A-F]|F[0-4]"
+)
+
+
+def utf8_decode_sql(hex_expr: str, replacement: str) -> str:
+    """Decode a hex string as UTF-8; each invalid maximal subpart becomes
+    `replacement` (U+FFFD for `replace`, '' for `ignore`)."""
+    pattern = f"(?:{UTF8_VALID})|(?:{UTF8_PREFIX})|.."
+    valid = f"^(?:{UTF8_VALID})$"
+    return (
+        f"array_to_string(list_transform(regexp_extract_all({hex_expr}, {q(pattern)}), "
+        f"lambda x: CASE WHEN regexp_matches(x, {q(valid)}) THEN decode(unhex(x)) ELSE {q(replacement)} END), '')"
+    )
