@@ -162,7 +162,7 @@ def _train(spark, sf_dir, configs, steps, on_checkpoint=None, checkpoint_every=2
 TRAIN_LR, TRAIN_WARMUP = 0.5, 1
 
 
-def _train_sql(configs: list | None = None, steps: int = TRAIN_STEPS, output: str = "metrics") -> str:
+def _train_sql(configs: list | None = None, steps: int = TRAIN_STEPS, output: str = "metrics", extra: str = "") -> str:
     """The training loop unrolled in DuckDB, one chain of CTEs per run: per
     step the batch counts of the same hashed draws, log-softmax rows,
     gradient, loss and norm, clipping, then AdamW with the same schedule."""
@@ -233,7 +233,7 @@ SELECT CAST({configs[0].run_id} AS INTEGER) AS run_id, prev_id, next_id, 0.0 + r
 FROM {prev}""")
     else:
         parts.append(f"""
-SELECT run_id, step, 0.0 + round(loss, 6) AS loss, 0.0 + round(lr, 9) AS lr, 0.0 + round(norm, 9) AS grad_norm
+SELECT run_id, step, 0.0 + round(loss, 6) AS loss, 0.0 + round(lr, 9) AS lr, 0.0 + round(norm, 9) AS grad_norm{extra}
 FROM ({" UNION ALL ".join(mets)})""")
     return "".join(parts)
 
@@ -308,12 +308,30 @@ def q_load_checkpoint(spark, sf_dir):
     )
 
 
-@register("log_metrics")
+LOG_STEPS = 2
+
+
+def _log_configs():
+    return [model.RunConfig(0, lr_max=0.5)]
+
+
+def _log_sql() -> str:
+    return _train_sql(_log_configs(), LOG_STEPS, extra=f", CAST({BATCH * 32} AS BIGINT) AS tokens")
+
+
+@register("log_metrics", _log_sql)
 def q_log_metrics(spark, sf_dir):
+    """Training records appended to the metrics table and read back; the
+    wall-clock columns are written too but are not part of the compared
+    result."""
     path = scratch_path(spark, "run-metrics")
-    res = _train(spark, sf_dir, [model.RunConfig(0, lr_max=0.5)], 2)
+    res = _train(spark, sf_dir, _log_configs(), LOG_STEPS)
     model.log_metrics(model.metrics_frame(spark, res.metrics), path)
-    return spark.read.parquet(path)
+    back = spark.read.parquet(path)
+    return back.select(
+        "run_id", "step", rnd(F.col("loss"), 6).alias("loss"), rnd(F.col("lr"), 9).alias("lr"),
+        rnd(F.col("grad_norm"), 9).alias("grad_norm"), "tokens",
+    )
 
 
 @register("run_throughput")
