@@ -154,3 +154,15 @@ def test_ties_large_values_and_single_token(spark):
     assert (0, 0) in nuc and (0, 1) not in nuc and (1, 7) in nuc
     draws = {r.ctx_id: r.token_id for r in prob.sample_token(prob.softmax(df, "ctx_id"), F.lit(0.99)).collect()}
     assert draws[1] == 7
+
+
+def test_run_throughput_between_records(spark):
+    # records at steps 0, 1, 3 (one skipped); the first counts its own step
+    ms = [
+        {"run_id": 0, "step": 0, "loss": 1.0, "lr": 0.1, "grad_norm": 1.0, "tokens": 100, "seconds": 2.0, "ts": 10.0},
+        {"run_id": 0, "step": 1, "loss": 1.0, "lr": 0.1, "grad_norm": 1.0, "tokens": 100, "seconds": 1.0, "ts": 11.0},
+        {"run_id": 0, "step": 3, "loss": 1.0, "lr": 0.1, "grad_norm": 1.0, "tokens": 100, "seconds": 1.0, "ts": 15.0},
+        {"run_id": 1, "step": 0, "loss": 1.0, "lr": 0.1, "grad_norm": 1.0, "tokens": 50, "seconds": 0.5, "ts": 10.0},
+    ]
+    out = {(r.run_id, r.step): r.tokens_per_sec for r in model.run_throughput(model.metrics_frame(spark, ms)).collect()}
+    assert out == {(0, 0): 50.0, (0, 1): 100.0, (0, 3): 50.0, (1, 0): 100.0}
