@@ -9,6 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.llm import quality_knn as op7
+from tokenloom.llm import simhash as op3
 from tokenloom.llm import token_counts as op1
 from tokenloom.llm.common import table
 
@@ -29,3 +31,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = op1.token_counts(docs, public_tokenizers.path("word_bpe_49k.json"))
     return out.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return op3.simhash_duplicates(docs, shingle=3, max_bits=3).drop("row")
+
+
+@query
+def op7_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
