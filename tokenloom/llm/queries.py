@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.llm import mixing as op8
 from tokenloom.llm import quality_knn as op7
 from tokenloom.llm import simhash as op3
 from tokenloom.llm import token_counts as op1
@@ -42,3 +43,8 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8.mix(table(spark, sf_dir, "documents"))
