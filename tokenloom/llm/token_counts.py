@@ -1,5 +1,10 @@
 """Operator 1, token counts: pieces are counted once per distinct pre-token.
 
+A pre-token is a run of bytes between the separators space and 9 to 13.  The
+operator is for tokenizers that drop white space, as files of the word kind do:
+their own splitting and normalizing never reach across white space, so the
+pieces of a text are those of its pre-tokens, special strings included.
+
 `token_counts` never materialises ids.  It learns the corpus' pre-tokens with
 their frequencies (a map-side count, then one aggregation), counts the pieces
 of each distinct pre-token once with the tokenizer library, and joins the
@@ -17,10 +22,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import json
 import os
-import re
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,121 +32,60 @@ from pyspark.sql import functions as F
 
 from tokenloom.llm.common import rows_of, written
 
-#: Most pre-tokens sent to every worker; those of more characters travel as their MD5.
+#: Most pre-tokens sent to every worker; those of more bytes travel as their MD5.
 HEAD_ROWS = 1 << 17
-HEAD_CHARS = 64
-#: Words remembered by a worker; beyond it the memory is emptied.
-MEMO = 1 << 18
-
-#: Characters for which Python's own tables are not known to agree with the
-#: tokenizer library's: texts that hold one go through the library itself.
-#: (Outside Latin, Greek, Cyrillic, general punctuation, kana, Han and Hangul;
-#: the separators 1C to 1F; the letter sigma, whose lower case depends on its place.)
-UNSURE = re.compile(
-    "[^\x00-\x1b\x20-΢Τ-ԯḀ-ỿ -‧‪-⁯₠-₿←-⏿"
-    "　-〩ぁ-ゖァ-ヺ一-龥가-힣]"
-)
+HEAD_BYTES = 64
+#: Distinct pre-tokens a task counts before it passes them on.
+FLUSH = 1 << 19
 
+_TOKENIZERS: dict[str, object] = {}
 
-class Pretokenizer:
-    """Splits a text as the tokenizer file's normalizer and pre-tokenizer do.
 
-    Made for files whose pre-tokens hold no white space, so a white-space
-    separated word can be split on its own and remembered."""
-
-    def __init__(self, path: str):
+def tokenizer(path: str):
+    """One per worker process and file."""
+    if path not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-        import regex
         from tokenizers import Tokenizer
 
-        spec = json.load(open(path, encoding="utf-8"))
-        split = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
-        self.pattern = regex.compile(split[0]["pattern"]["Regex"])
-        self.full = Tokenizer.from_file(path)
-        self.specials = [t["content"] for t in spec["added_tokens"] if t["special"] and not t["normalized"]]
-        self.special = re.compile("|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) or r"(?!)")
-        self.memo: dict[str, tuple[str, ...]] = {}
-        spec |= {"normalizer": None, "added_tokens": []}
-        self.bare = Tokenizer.from_str(json.dumps(spec))
-
-    def counts(self, text: str) -> tuple[Counter, int]:
-        """Frequencies of the pre-tokens, and the number of special strings."""
-        specials = 0
-        parts = [text]
-        if self.special.search(text):
-            parts = self.special.split(text)
-            specials = len(parts) - 1
-        out: Counter = Counter()
-        for part in parts:
-            if UNSURE.search(part):
-                normal = self.full.normalizer.normalize_str(part)
-                spans = self.full.pre_tokenizer.pre_tokenize_str(normal)
-                out.update(normal[a:b] for _, (a, b) in spans)
-                continue
-            memo = self.memo
-            for word, n in Counter(part.split()).items():
-                pieces = memo.get(word)
-                if pieces is None:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    pieces = memo[word] = tuple(self.pattern.findall(unicodedata.normalize("NFC", word).lower()))
-                for piece in pieces:
-                    out[piece] += n
-        return out, specials
-
-    def n_pieces(self, pretokens: list[str]) -> list[int]:
-        return [len(e) for e in self.bare.encode_batch(pretokens, add_special_tokens=False)]
-
-
-_PRETOKENIZERS: dict[str, Pretokenizer] = {}
-
-
-def pretokenizer(path: str) -> Pretokenizer:
-    """One per worker process and file."""
-    if path not in _PRETOKENIZERS:
-        _PRETOKENIZERS[path] = Pretokenizer(path)
-    return _PRETOKENIZERS[path]
+        t = _TOKENIZERS[path] = Tokenizer.from_file(path)
+        t.no_truncation()
+        t.no_padding()
+    return _TOKENIZERS[path]
 
 
-def _frequencies(path: str):
-    """Texts -> (pretoken, n), summed over as much of the partition as FLUSH distinct pre-tokens allow."""
-    flush = 1 << 19
+def n_pieces(path: str, texts: list[str]) -> list[int]:
+    return [len(e) for e in tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pre = pretokenizer(path)
-        total: Counter = Counter()
 
-        def out():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["pretoken", "n"]
-            )
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts -> (pretoken, n), summed over as much of the partition as FLUSH allows."""
+    total: Counter = Counter()
 
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total.update(pre.counts(text)[0])
-                if len(total) > flush:
-                    yield out()
-                    total.clear()
-        if total:
-            yield out()
+    def out():
+        names = pa.array(total.keys(), pa.binary())
+        return pa.RecordBatch.from_arrays([names, pa.array(total.values(), pa.int64())], ["pretoken", "n"])
 
-    return run
+    for batch in batches:
+        for text in batch.column(0).cast(pa.binary()).to_pylist():
+            total.update(text.split())
+            if len(total) > FLUSH:
+                yield out()
+                total.clear()
+    if total:
+        yield out()
 
 
 def pretoken_pieces(docs: DataFrame, path: str) -> DataFrame:
     """(pretoken, n, pieces): corpus frequency and piece count of each distinct pre-token."""
     texts = rows_of(docs, "text")
-    counts = (
-        texts.mapInArrow(_frequencies(path), "pretoken string, n long").groupBy("pretoken").agg(F.sum("n").alias("n"))
-    )
+    counts = texts.mapInArrow(_frequencies, "pretoken binary, n long").groupBy("pretoken").agg(F.sum("n").alias("n"))
 
     def pieces(batches):
-        pre = pretokenizer(path)
         for b in batches:
-            got = pre.n_pieces(b.column(0).to_pylist())
+            got = n_pieces(path, b.column(0).cast(pa.string()).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.int32())], ["pretoken", "n", "pieces"])
 
-    return counts.mapInArrow(pieces, "pretoken string, n long, pieces int")
+    return counts.mapInArrow(pieces, "pretoken binary, n long, pieces int")
 
 
 def _head_threshold(pieces: DataFrame, most: int) -> int:
@@ -166,39 +107,42 @@ def token_counts(docs: DataFrame, path: str, head_rows: int = HEAD_ROWS) -> Data
     spark = docs.sparkSession
     rows = rows_of(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     pieces = written(pretoken_pieces(docs, path), "pretoken_pieces")
-    least = _head_threshold(pieces, head_rows)
-    in_head = F.col("n") >= least
-    short = F.when(F.length("pretoken") <= HEAD_CHARS, F.col("pretoken")).otherwise(F.md5("pretoken"))
-    head = spark.sparkContext.broadcast({r[0]: r[1] for r in pieces.where(in_head).select(short, "pieces").collect()})
+    in_head = F.col("n") >= _head_threshold(pieces, head_rows)
+    short = F.when(F.length("pretoken") <= HEAD_BYTES, F.col("pretoken")).otherwise(F.unhex(F.md5("pretoken")))
+    head = spark.sparkContext.broadcast(
+        {bytes(r[0]): r[1] for r in pieces.where(in_head).select(short, "pieces").collect()}
+    )
 
     def split(batches):
-        pre, known = pretokenizer(path), head.value
+        known = head.value
         for b in batches:
-            row, doc_id, n_bytes, n_known, names, counts, owner = [], [], [], [], [], [], []
-            for r, d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                freq, total = pre.counts(text)
-                for name, n in freq.items():
-                    k = known.get(name if len(name) <= HEAD_CHARS else hashlib.md5(name.encode()).hexdigest())
+            row, doc_id = b.column(0).to_pylist(), b.column(1).to_pylist()
+            n_bytes, n_known, owner, names, counts = [], [], [], [], []
+            for r, text in zip(row, b.column(2).cast(pa.binary()).to_pylist()):
+                total = 0
+                for name, n in Counter(text.split()).items():
+                    k = known.get(name if len(name) <= HEAD_BYTES else hashlib.md5(name).digest())
                     if k is None:
                         owner.append(r)
                         names.append(name)
                         counts.append(n)
                     else:
                         total += k * n
-                row.append(r)
-                doc_id.append(d)
-                n_bytes.append(len(text.encode()))
+                n_bytes.append(len(text))
                 n_known.append(total)
+            none = [None] * len(owner)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row + owner, pa.int64()), pa.array(doc_id + [None] * len(owner), pa.int64()), pa.array(n_bytes + [None] * len(owner), pa.int64()),
-                 pa.array(n_known + counts, pa.int64()), pa.array([None] * len(row) + names, pa.string())],
+                [
+                    pa.array(row + owner, pa.int64()), pa.array(doc_id + none, pa.int64()), pa.array(n_bytes + none, pa.int64()),
+                    pa.array(n_known + counts, pa.int64()), pa.array([None] * len(row) + names, pa.binary()),
+                ],
                 ["row", "doc_id", "n_bytes", "n", "pretoken"],
             )
 
-    parts = rows.mapInArrow(split, "row long, doc_id long, n_bytes long, n long, pretoken string")
+    parts = rows.mapInArrow(split, "row long, doc_id long, n_bytes long, n long, pretoken binary")
     rare = pieces.where(~in_head).select(F.col("pretoken").alias("p"), "pieces")
-    # rows of documents (no pretoken) pass the outer join untouched; salted by row, since their key is null
-    key = F.coalesce(F.col("pretoken"), F.concat(F.lit(" "), F.col("row").cast("string")))
+    # a document's own row has no pre-token: its key is its number after a space, so those rows spread and match nothing
+    key = F.coalesce(F.col("pretoken"), F.concat(F.lit(" "), F.col("row").cast("string")).cast("binary"))
     joined = parts.withColumn("key", key).join(rare, F.col("key") == F.col("p"), "left")
     tokens = F.when(F.col("pretoken").isNull(), F.col("n")).otherwise(F.col("n") * F.col("pieces"))
     return (
