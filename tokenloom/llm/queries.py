@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.llm import mixing as op8
+from tokenloom.llm import packing as op9
 from tokenloom.llm import quality_knn as op7
 from tokenloom.llm import simhash as op3
 from tokenloom.llm import token_counts as op1
@@ -48,3 +49,8 @@ def op7_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
