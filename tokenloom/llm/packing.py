@@ -10,8 +10,8 @@ levels, hash blocks and then inside a block) takes the k-th place that the
 patterns have for its class, which is arithmetic on a table of at most a few
 thousand intervals.  A sequence's offsets are sums inside that sequence.
 
-Ids are never stored.  The checksum of a cut remainder's second part follows
-from those of the whole and of the first part, because CRC-32 is linear.
+Ids are never stored.  The checksum of a part of a remainder follows from
+those up to its ends, because CRC-32 is linear.
 
 Defined results: a null text counts as empty, and an empty text is one piece
 that holds the appended id; each input row is a document of its own, repeated
@@ -24,6 +24,7 @@ import os
 import re
 import zlib
 from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,8 @@ MEMO = 3 << 18
 BLOCK = 4096
 
 #: White space in any library's sense, for finding places where a space surely starts a token.
-_ODD = r"\s\x1c-\x1f\x85\xa0 ᠎ -​    　﻿"
+_SPACES = (0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)
+_ODD = r"\s\x1c-\x1f\x85\xa0" + "".join(f"\\u{c:04x}" for c in _SPACES)
 _NEAR = re.compile(f" [{_ODD}]|[{_ODD}] ")
 _START = re.compile(f"(?<=[^{_ODD}])(?= [^{_ODD}])")
 
@@ -146,55 +148,47 @@ class Places:
 
     def __init__(self, patterns, cuts, counts: np.ndarray):
         m = len(counts)
-        self.cut_of = {c: [] for c in range(1, m + 1)}  # class -> [(first rank, a, start in class a, start in class c - a)]
-        used = np.zeros(m + 1, dtype=np.int64)  # originals of a class that are cut
+        # items of a class, in order: its own remainders, then what cuts of larger classes add;
+        # the first `used` of them are cut themselves
+        size = np.concatenate([[0], counts])
+        self.used = np.zeros(m + 1, dtype=np.int64)
+        self.cuts: dict[int, list[tuple[int, int, int, int]]] = {}
         for (c, a), n in cuts.items():
-            self.cut_of[c].append([int(used[c]), a, n])
-            used[c] += n
-        self.used = used
-        # items of a class: its uncut originals first, then what cuts add
-        size = np.concatenate([[0], counts]) - used
-        for c, entries in self.cut_of.items():
-            for e in entries:
-                first, a, n = e
-                e += [int(size[a])]
-                size[a] += n
-                e += [int(size[c - a])]
-                size[c - a] += n
-        self.lo = {c: [] for c in range(1, m + 1)}
-        self.to = {c: [] for c in range(1, m + 1)}
+            self.used[c] += n
+            self.cuts.setdefault(c, []).append((int(self.used[c]), a, int(size[a]) + n, 0))
+            size[a] += n
+            self.cuts[c][-1] = (*self.cuts[c][-1][:3], int(size[c - a]) + n)
+            size[c - a] += n
+        self.lo: dict[int, list[int]] = {}
+        self.to: dict[int, list[tuple[int, int, int]]] = {}
         filled, sequence = np.zeros(m + 1, dtype=np.int64), 0
         for pattern, times in patterns:
             place = 0
             for c in range(m, 0, -1):
                 k = int(pattern[c - 1])
                 if k:
-                    self.lo[c].append(int(filled[c]))
-                    self.to[c].append((sequence, k, place))
+                    self.lo.setdefault(c, []).append(int(filled[c]))
+                    self.to.setdefault(c, []).append((sequence, k, place))
                     filled[c] += k * times
                     place += k
             sequence += times
         self.sequences = sequence
-        if (filled != size).any():
+        if (filled != size - self.used).any():
             raise AssertionError("the patterns do not hold every item once")
 
-    def cut(self, c: int, rank: int):
-        """None, or (a, index in class a, index in class c - a) of a cut remainder."""
-        if rank >= self.used[c]:
-            return None
-        for first, a, n, at_a, at_b in self.cut_of[c]:
-            if rank < first + n:
-                return a, at_a + rank - first, at_b + rank - first
-        return None
-
-    def place(self, c: int, index: int) -> tuple[int, int]:
-        """(sequence, place in it) of item `index` of class c."""
-        from bisect import bisect_right
-
-        i = bisect_right(self.lo[c], index) - 1
-        sequence, k, place = self.to[c][i]
-        d = index - self.lo[c][i]
-        return sequence + d // k, place + d % k
+    def pieces(self, c: int, index: int, start: int, end: int) -> Iterator[tuple[int, int, int, int]]:
+        """(start, end, sequence, place) of the pieces of item `index` of class c, which spans start..end."""
+        if index >= self.used[c]:
+            index -= int(self.used[c])
+            i = bisect_right(self.lo[c], index) - 1
+            sequence, k, place = self.to[c][i]
+            n, at = divmod(index - self.lo[c][i], k)
+            yield start, end, sequence + n, place + at
+            return
+        upto, a, end_a, end_b = next(x for x in self.cuts[c] if index < x[0])
+        middle = start + a * UNIT
+        yield from self.pieces(a, end_a - (upto - index), start, middle)
+        yield from self.pieces(c - a, end_b - (upto - index), middle, end)
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, place long"
@@ -217,17 +211,12 @@ def _pieces(places: Places, length: int):
                     piece(doc, i * length, length, crc, total, places.sequences + r["first_full"] + i, 0)
                 if not rest:
                     continue
-                start, c = total - rest, -(-rest // UNIT)
-                cut = places.cut(c, r["rank"])
-                if cut is None:
-                    piece(doc, start, rest, r["rest_crc"], total, *places.place(c, r["rank"] - int(places.used[c])))
-                    continue
-                a, at_a, at_b = cut
-                n = a * UNIT
-                first = r["cut_crc"][n // CUT - 1]
-                piece(doc, start, n, first, total, *places.place(a, at_a))
-                second = crc_of_second(r["rest_crc"], first, 4 * (rest - n))
-                piece(doc, start + n, rest - n, second, total, *places.place(c - a, at_b))
+                # a piece starts and ends at a multiple of CUT or at the remainder's ends
+                upto = [0, *r["cut_crc"]]
+                for start, end, *at in places.pieces(-(-rest // UNIT), r["rank"], 0, rest):
+                    whole = r["rest_crc"] if end == rest else upto[end // CUT]
+                    crc = crc_of_second(whole, upto[start // CUT], 4 * (end - start)) if start else whole
+                    piece(doc, total - rest + start, end - start, crc, total, *at)
             names = [f.split()[0] for f in PIECES.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names)
 
