@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.llm import line_dedup as op5
 from tokenloom.llm import mixing as op8
 from tokenloom.llm import packing as op9
 from tokenloom.llm import quality_knn as op7
@@ -54,3 +55,9 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op5.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.withColumnRenamed("__removed", "n_removed")
