@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import rows_of, written
+from tokenloom.llm.common import fits, rows_of, written
 from tokenloom.llm.components import connected_components
 
 SHINGLE = 3
@@ -201,17 +201,38 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP) -> DataF
         keyed = large.mapInArrow(refine, "start int, mask long, value long, fp long").distinct()
 
 
-def simhash_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(row, doc_id, fingerprint hex, component_id) for every row of `docs`."""
+def _classified(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """(row, doc_id, fp, first): `first` has the smallest doc_id `id` of the
+    component, nulls last, and its first row."""
     fps = written(fingerprints(docs, shingle), "fingerprints")
-    groups = fps.groupBy("fp").agg(F.min("doc_id").alias("lowest"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "row")
+    groups = fps.groupBy("fp").agg(F.min(place).alias("first"))
     labels = connected_components(links(fps, max_bits))
-    classes = groups.join(labels, groups.fp == labels.node, "left").select(
-        "fp", "lowest", F.coalesce("label", "fp").alias("label")
-    )
-    classes = written(classes, "classes")
-    lowest = classes.groupBy("label").agg(F.min("lowest").alias("component_id"))
-    of = classes.join(lowest, "label").select(F.col("fp").alias("f"), "component_id")
-    return fps.join(of, fps.fp == of.f).select(
-        "row", "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    classes = groups.join(labels, groups.fp == labels.node, "left")
+    classes = written(classes.select("fp", "first", F.coalesce("label", "fp").alias("label")), "classes")
+    of = classes.join(classes.groupBy("label").agg(F.min("first").alias("lowest")), "label")
+    of = of.select(F.col("fp").alias("f"), F.col("lowest").alias("first"))
+    return fps.join(of, fps.fp == of.f).drop("f")
+
+
+def simhash_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """(row, doc_id, fingerprint hex, component_id) for every row of `docs`."""
+    fingerprint_hex = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return _classified(docs, shingle, max_bits).select("row", "doc_id", fingerprint_hex, F.col("first.id").alias("component_id"))
+
+
+#: Most rows to drop whose numbers are broadcast (8 MB); more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 20
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of `docs`, columns unchanged, that come first in their component:
+    smallest doc_id, then first row.
+
+    `docs` is scanned twice and must give the same rows in the same partitions
+    both times, as tables read from files do; write anything else first."""
+    found = _classified(docs, shingle, max_bits)
+    drop = written(found.where(F.col("row") != F.col("first.row")).select(F.col("row").alias("drop")), "drop")
+    drop = F.broadcast(drop) if fits(drop, BROADCAST_ROWS) else drop
+    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
+    return whole.join(drop, F.col("row") == F.col("drop"), "left_anti").select("doc.*")
