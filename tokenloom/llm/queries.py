@@ -13,6 +13,7 @@ from tokenloom.llm import line_dedup as op5
 from tokenloom.llm import mixing as op8
 from tokenloom.llm import packing as op9
 from tokenloom.llm import quality_knn as op7
+from tokenloom.llm import quality_rules as op2
 from tokenloom.llm import simhash as op3
 from tokenloom.llm import token_counts as op1
 from tokenloom.llm.common import table
@@ -61,3 +62,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = op5.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.withColumnRenamed("__removed", "n_removed")
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row")
