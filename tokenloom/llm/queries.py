@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.llm import html_extract as op4
 from tokenloom.llm import line_dedup as op5
 from tokenloom.llm import mixing as op8
 from tokenloom.llm import packing as op9
@@ -67,3 +68,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row")
+
+
+@query
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.extract_pages(table(spark, sf_dir, "pages"))
