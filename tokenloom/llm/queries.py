@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenloom.llm import html_extract as op4
 from tokenloom.llm import line_dedup as op5
 from tokenloom.llm import mixing as op8
+from tokenloom.llm import mtree as op6
 from tokenloom.llm import packing as op9
 from tokenloom.llm import quality_knn as op7
 from tokenloom.llm import quality_rules as op2
@@ -73,3 +74,24 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+ORACLES["op6_mtree_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
