@@ -29,7 +29,7 @@ from tokenloom.llm.packing import pack
 from tokenloom.llm.quality_knn import accepted
 from tokenloom.llm.simhash import one_of_each
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
-    return pack(docs, public_tokenizers.path(TOKENIZER))
+    return pack(docs, public_tokenizers.path(TOKENIZER), ranks=public_tokenizers.path(RANKS))
 
 
 STAGES = [

@@ -46,68 +46,68 @@ from tokenloom.session import ship_package
 
 SIMILARITY = 0.8
 MIN_WORDS = 5
-HASH_BUCKETS = 1 << 17
+#: Buckets of the rarity table: the leading bits of a token's hash.
+BUCKET_BITS = 17
+REST_BITS = 64 - BUCKET_BITS
 BLOCK = 1 << 15
-MEMO = 1 << 19
+#: Sets that a task remembers as listed.
+LISTED = 1 << 17
+#: Earliest candidates that a line passes on from one list in round one.
+KEPT = 4
 
-LINES = "row long, doc_id long, line int, words int, same long, sign long, tokens array<long>"
+LINES = "id long, row long, doc_id long, line int, n int, same long, sign long, tokens array<long>"
 
 
-def _token_sets(min_words: int):
-    """Documents (row, doc_id, text) -> lines with their token sets."""
-
-    memo: dict[bytes, int] = {}
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
 
-    def hashes(words: set[bytes]) -> np.ndarray:
-        import xxhash
 
-        out = []
-        for w in words:
-            h = memo.get(w)
-            if h is None:
-                h = xxhash.xxh64_intdigest(w) - (1 << 63)
-                if len(memo) < MEMO:
-                    memo[w] = h
-            out.append(h)
-        return np.array(out, dtype=np.int64)
+def _token_sets(min_words: int):
+    """Documents (row, doc_id, text) -> lines with their token sets.  A line's
+    `id` grows with row and line inside a partition, like row numbers do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        from xxhash import xxh64_digest
+
+        first = TaskContext.get().partitionId() << 33
+        row, doc, line, size, hashes = [], [], [], [], []
+
+        def out():
+            nonlocal first
+            n = np.array(size, dtype=np.int32)
+            tokens = np.frombuffer(b"".join(hashes), dtype=">u8").astype(np.uint64)
+            ends = np.concatenate([[0], np.cumsum(n)])
+            mixed = tokens * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+            mixed *= np.uint64(0xBF58476D1CE4E5B9)
+            mixed ^= mixed >> np.uint64(32)
+            same = np.add.reduceat(mixed, ends[:-1])  # equal sets have equal sums
+            sign = np.bitwise_xor.reduceat(np.uint64(1) << (mixed & np.uint64(63)), ends[:-1])
+            ids = np.arange(first, first + len(n))
+            first += len(n)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens.view(np.int64)))
+            columns = [pa.array(ids), pa.array(row, pa.int64()), pa.array(doc, pa.int64()), pa.array(line, pa.int32()), pa.array(n)]
+            columns += [pa.array(same.view(np.int64)), pa.array(sign.view(np.int64)), lists]
+            for x in (row, doc, line, size, hashes):
+                x.clear()
+            return pa.RecordBatch.from_arrays(columns, _names(LINES))
+
         for b in batches:
-            row, doc, line, size, sets = [], [], [], [], []
             for r, d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist()):
                 for i, part in enumerate(text.split(b"\n")):
                     words = part.split()
                     if len(words) >= min_words:
+                        words = set(words)
                         row.append(r)
                         doc.append(d)
                         line.append(i)
                         size.append(len(words))
-                        sets.append(hashes(set(words)))
-                if len(sets) > 20000:
-                    yield batch(row, doc, line, size, sets)
-                    row, doc, line, size, sets = [], [], [], [], []
-            if sets:
-                yield batch(row, doc, line, size, sets)
-
-    def batch(row, doc, line, size, sets):
-        n = np.array([len(s) for s in sets])
-        flat = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), n)
-        order = np.lexsort((flat, owner))
-        flat = flat[order]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        mixed = flat.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(32)
-        same = np.add.reduceat(mixed, ends[:-1])  # equal sets have equal sums
-        sign = np.bitwise_xor.reduceat(np.uint64(1) << (mixed & np.uint64(63)), ends[:-1])
-        tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(row, pa.int64()), pa.array(doc, pa.int64()), pa.array(line, pa.int32()), pa.array(size, pa.int32()),
-             pa.array(same.view(np.int64)), pa.array(sign.view(np.int64)), tokens],
-            [f.split()[0] for f in LINES.split(", ")],
-        )
+                        hashes.extend(map(xxh64_digest, words))
+                if len(size) >= 8192:
+                    yield out()
+        if size:
+            yield out()
 
     return run
 
@@ -116,28 +116,30 @@ def token_lines(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return rows.mapInArrow(_token_sets(min_words), LINES)
 
 
-def _bucket(tokens: np.ndarray) -> np.ndarray:
-    return (tokens.view(np.uint64) >> np.uint64(13)).astype(np.int64) % HASH_BUCKETS
-
-
-def bucket_counts(lines: DataFrame) -> np.ndarray:
-    """Lines per token bucket: HASH_BUCKETS numbers, whatever the corpus' size."""
+def rarity(lines: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(rank of each token bucket by its number of lines, lines by rank): two
+    tables of 2 ** BUCKET_BITS numbers, whatever the corpus' size."""
+    size = 1 << BUCKET_BITS
 
     def run(batches):
-        total = np.zeros(HASH_BUCKETS, dtype=np.int64)
+        total = np.zeros(size, dtype=np.int64)
         for b in batches:
-            total += np.bincount(_bucket(b.column(0).flatten().to_numpy()), minlength=HASH_BUCKETS)
+            tokens = b.column(0).flatten().to_numpy().view(np.uint64)
+            total += np.bincount((tokens >> np.uint64(REST_BITS)).astype(np.int64), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["k", "n"])
 
-    sums = lines.select("tokens").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-    out = np.zeros(HASH_BUCKETS, dtype=np.int64)
-    got = sums.toPandas()
-    out[got["k"].to_numpy()] = got["n"].to_numpy()
-    return out
+    got = lines.select("tokens").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(size, dtype=np.int64)
+    counts[got["k"].to_numpy()] = got["n"].to_numpy()
+    order = np.argsort(counts, kind="stable")
+    rank = np.empty(size, dtype=np.uint64)
+    rank[order] = np.arange(size, dtype=np.uint64)
+    return rank, counts[order]
 
 
-POSTINGS = "token long, part long, id long, sign long, doc_id long, row long, line int, n int, pos int"
+# `shape` packs what a pair is judged by: 24 bits of n, 21 of pos, 19 of the set's sum
+POSTINGS = "key long, doc_id long, id long, sign long, shape long"
 
 
 def _needed(n: np.ndarray, similarity: float) -> np.ndarray:
@@ -145,52 +147,63 @@ def _needed(n: np.ndarray, similarity: float) -> np.ndarray:
     return np.ceil(similarity * n - 1e-9).astype(np.int64)
 
 
-def _postings(counts, similarity: float, block: int):
-    """Lines -> one row per prefix token (and per block pair of a hot token)."""
+def _postings(table, similarity: float, block: int, only=None):
+    """Lines -> one row per prefix token (and per block pair of a hot token).
+
+    A token's sort value has the rank of its bucket in front and its other bits
+    behind, so it is the token itself under another name, and sorting by it is
+    sorting by rarity.  `only`: a bit table of the keys that are wanted."""
+    rest = np.uint64((1 << REST_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity = counts.value
+        rank, lines_of = table.value
         listed: dict[int, tuple] = {}
         for b in batches:
-            same, sign, doc, row, line = (b.column(k).to_numpy(zero_copy_only=False) for k in (4, 5, 1, 0, 2))
+            ids, doc, n, same, sign = (b.column(k).to_numpy() for k in (0, 2, 4, 5, 6))
             first = np.ones(len(same), dtype=bool)
-            for i, key in enumerate(zip(same.tolist(), doc.tolist(), row.tolist(), line.tolist())):
-                before = listed.get(key[0])
-                if before is not None and before <= key[1:]:
+            for i, (s, d, x) in enumerate(zip(same.tolist(), doc.tolist(), ids.tolist())):
+                before = listed.get(s)
+                if before is not None and before <= (d, x):
                     first[i] = False
-                elif before is not None or len(listed) < MEMO:
-                    listed[key[0]] = key[1:]
-            tokens = b.column(6)
-            n = np.diff(tokens.offsets.to_numpy()).astype(np.int64)
-            flat = tokens.flatten().to_numpy()
+                elif before is not None or len(listed) < LISTED:
+                    listed[s] = (d, x)
+            n = n.astype(np.int64)
+            flat = b.column(7).flatten().to_numpy().view(np.uint64)
+            flat = rank[(flat >> np.uint64(REST_BITS)).astype(np.int64)] << np.uint64(REST_BITS) | flat & rest
+            ends = np.cumsum(n)
+            for s, e in zip((ends - n).tolist(), ends.tolist()):
+                flat[s:e].sort()
             owner = np.repeat(np.arange(len(n)), n)
-            freq = rarity[_bucket(flat)]
-            order = np.lexsort((flat, freq, owner))
-            flat, freq = flat[order], freq[order]
-            pos = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+            pos = np.arange(len(flat)) - np.repeat(ends - n, n)
             keep = (pos < (n - _needed(n, similarity) + 1)[owner]) & first[owner]
-            keep &= freq > 1  # the token of a bucket of one line meets no other
-            flat, freq, pos, owner = flat[keep], freq[keep], pos[keep], owner[keep]
-            parts = 1 + freq // block
-            home = (same[owner].view(np.uint64) % parts.astype(np.uint64)).astype(np.int64)
-            copies = np.repeat(np.arange(len(flat)), parts)
-            other = np.arange(len(copies)) - np.repeat(np.cumsum(parts) - parts, parts)
-            at, home = owner[copies], home[copies]
-            part = np.minimum(home, other) * (1 << 31) + np.maximum(home, other)
+            flat, pos, owner = flat[keep], pos[keep], owner[keep]
+            count = lines_of[(flat >> np.uint64(REST_BITS)).astype(np.int64)]
+            keep = count > 1  # the token of a bucket of one line meets no other
+            if only is not None:
+                keep &= _has(only.value, flat)
+            flat, pos, owner, count = flat[keep], pos[keep], owner[keep], count[keep]
+            shape = (n[owner] << 40 | pos << 19 | same[owner] & 0x7FFFF).astype(np.int64)
+            if (count > block).any():
+                parts = 1 + count // block
+                home = (same[owner].view(np.uint64) % parts.astype(np.uint64)).astype(np.int64)
+                copies = np.repeat(np.arange(len(flat)), parts)
+                other = np.arange(len(copies)) - np.repeat(np.cumsum(parts) - parts, parts)
+                part = np.minimum(home[copies], other) * (1 << 31) + np.maximum(home[copies], other)
+                # a block pair of a hot token is a key of its own; pair 0, 0 keeps the token
+                flat = flat[copies] + part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                owner, shape = owner[copies], shape[copies]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat[copies]), pa.array(part), pa.array(same[at]), pa.array(sign[at]), pa.array(doc[at]),
-                 pa.array(row[at]), pa.array(line[at]), pa.array(n[at].astype(np.int32)), pa.array(pos[copies].astype(np.int32))],
-                [f.split()[0] for f in POSTINGS.split(", ")],
+                [pa.array(x) for x in (flat.view(np.int64), doc[owner], ids[owner], sign[owner], shape)], _names(POSTINGS)
             )
 
     return run
 
 
-PAIRS = "row long, line int, n int, to_row long, to_line int, to_n int, more boolean"
+PAIRS = "id long, n int, to long, to_n int, more boolean"
 
 
 def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256):
-    """Postings sorted by list and place -> candidate pairs, later line first.
+    """Postings sorted by key and place -> candidate pairs, later line first.
 
     `kept`: most candidates of a line from one list, None for all; `more` says
     that a list had, or may have had, further ones."""
@@ -201,7 +214,8 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
         ni, nj = c["n"][i], c["n"][j]
         needed = np.ceil(share * (ni + nj) - 1e-9)
         ok = np.minimum(ni, nj) >= similarity * np.maximum(ni, nj) - 1e-9
-        ok &= 1 + np.minimum(ni - c["pos"][i], nj - c["pos"][j]) - 1 >= needed
+        # the shared token and what follows it on either side
+        ok &= np.minimum(ni - c["pos"][i], nj - c["pos"][j]) >= needed
         apart = np.bitwise_count(c["sign"][i] ^ c["sign"][j])
         return ok & (apart <= ni + nj - 2 * needed)
 
@@ -230,21 +244,21 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
 
     def batch(c):
         # equal sets in one list: the earliest stands for all
-        n = len(c["token"])
-        group = np.concatenate([[0], np.cumsum((c["token"][1:] != c["token"][:-1]) | (c["part"][1:] != c["part"][:-1]))])
-        order = np.lexsort((np.arange(n), c["id"], group))
-        again = np.zeros(n, dtype=bool)
+        n = len(c["key"])
+        group = np.concatenate([[0], np.cumsum(c["key"][1:] != c["key"][:-1])])
+        order = np.lexsort((np.arange(n), c["shape"], c["sign"], group))
         a, b = order[1:], order[:-1]
-        again[a] = (group[a] == group[b]) & (c["id"][a] == c["id"][b]) & (c["sign"][a] == c["sign"][b]) & (c["n"][a] == c["n"][b])
+        again = np.zeros(n, dtype=bool)
+        again[a] = (group[a] == group[b]) & (c["shape"][a] == c["shape"][b]) & (c["sign"][a] == c["sign"][b])
         c = {k: v[~again] for k, v in c.items()}
+        c["n"], c["pos"] = c["shape"] >> 40, c["shape"] >> 19 & 0x1FFFFF
         group = group[~again]
         n = len(group)
         starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         ends = np.append(starts[1:], n)
         size = np.repeat(ends - starts, ends - starts)
-        late, early = [], []
-        at = np.flatnonzero(size <= small)
-        at = at[at + 1 < n]
+        late, early = [np.zeros(0, int)], [np.zeros(0, int)]
+        at = np.flatnonzero((size <= small) & (size > 1))
         lag = 1
         while len(at):
             at = at[at + lag < n]
@@ -253,109 +267,127 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
             early.append(at[ok])
             late.append(at[ok] + lag)
             lag += 1
-        late, early = np.concatenate(late or [np.zeros(0, int)]), np.concatenate(early or [np.zeros(0, int)])
+        late, early = np.concatenate(late), np.concatenate(early)
         more = np.zeros(len(late), dtype=bool)
         if kept is not None and len(late):
             order = np.lexsort((early, late))
             late, early = late[order], early[order]
-            first = np.concatenate([[True], late[1:] != late[:-1]])
-            rank = np.arange(len(late)) - np.maximum.accumulate(np.where(first, np.arange(len(late)), 0))
+            at = np.arange(len(late))
+            rank = at - np.maximum.accumulate(np.where(np.concatenate([[True], late[1:] != late[:-1]]), at, 0))
             many = np.unique(late[rank >= kept])
             late, early = late[rank < kept], early[rank < kept]
             more = np.isin(late, many)
         parts = [(late, early, more)] + [in_large(c, lo, hi) for lo, hi in zip(starts, ends) if hi - lo > small]
         late, early, more = (np.concatenate(p) for p in zip(*parts))
-        cols = [pa.array(c[k][at]) for at in (late, early) for k in ("row", "line", "n")]
-        return pa.RecordBatch.from_arrays([*cols, pa.array(more)], [f.split()[0] for f in PAIRS.split(", ")])
+        columns = [c["id"][late], c["n"][late].astype(np.int32), c["id"][early], c["n"][early].astype(np.int32), more]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], _names(PAIRS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for b in batches:
-            c = {k: b.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(b.schema.names)}
+            c = {k: b.column(i).to_numpy() for i, k in enumerate(_names(POSTINGS))}
             c["sign"] = c["sign"].view(np.uint64)
             if rest is not None:
                 c = {k: np.concatenate([rest[k], c[k]]) for k in c}
-            change = np.flatnonzero((c["token"][1:] != c["token"][:-1]) | (c["part"][1:] != c["part"][:-1]))
+            change = np.flatnonzero(c["key"][1:] != c["key"][:-1])
             cut = int(change[-1]) + 1 if len(change) else 0
             rest = {k: v[cut:] for k, v in c.items()}
             if cut > 1:
                 yield batch({k: v[:cut] for k, v in c.items()})
-        if rest is not None and len(rest["token"]) > 1:
+        if rest is not None and len(rest["key"]) > 1:
             yield batch(rest)
 
     return run
 
 
-#: Bits of the table that says which lines a verification needs, in 64-bit words.
-FILTER_WORDS = 1 << 17
+#: Words of 64 bits in the tables that say which lines or keys are wanted.
+BIT_WORDS = 1 << 17
 
 
-def _spots(row: np.ndarray, line: np.ndarray) -> np.ndarray:
-    x = row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + line.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return (x >> np.uint64(20)) % np.uint64(FILTER_WORDS * 64)
+def _spots(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    x = (values.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
+    return (x >> np.uint64(6)).astype(np.int64) % BIT_WORDS, x & np.uint64(63)
 
 
-def _token_sets_of(lines: DataFrame, keys: DataFrame) -> DataFrame:
-    """(row, line, tokens) of the lines in `keys`.  A bit table of fixed size
-    drops most other lines before the shuffle; a join drops the rest."""
+def _has(words: np.ndarray, values: np.ndarray) -> np.ndarray:
+    word, bit = _spots(values)
+    return (words[word] >> bit & np.uint64(1)).astype(bool)
+
+
+def _bit_table(values: DataFrame):
+    """A broadcast table of BIT_WORDS words that has every value of a one-column
+    frame of longs, and few others while it is sparse: it spares shuffles, a
+    join still decides."""
 
     def bits(batches):
-        words = np.zeros(FILTER_WORDS, dtype=np.uint64)
+        words = np.zeros(BIT_WORDS, dtype=np.uint64)
         for b in batches:
-            at = _spots(b.column(0).to_numpy(), b.column(1).to_numpy())
-            np.bitwise_or.at(words, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+            word, bit = _spots(b.column(0).to_numpy())
+            np.bitwise_or.at(words, word, np.uint64(1) << bit)
         k = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(words[k].view(np.int64))], ["k", "w"])
 
-    got = keys.mapInArrow(bits, "k long, w long").groupBy("k").agg(F.bit_or("w").alias("w")).toPandas()
-    words = np.zeros(FILTER_WORDS, dtype=np.uint64)
+    got = values.mapInArrow(bits, "k long, w long").groupBy("k").agg(F.bit_or("w").alias("w")).toPandas()
+    words = np.zeros(BIT_WORDS, dtype=np.uint64)
     words[got["k"].to_numpy()] = got["w"].to_numpy().view(np.uint64)
-    sent = lines.sparkSession.sparkContext.broadcast(words)
+    return values.sparkSession.sparkContext.broadcast(words)
+
+
+def _lines_of(lines: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
+    """(id, columns) of the lines in `ids`."""
+    wanted = _bit_table(ids)
 
-    def needed(batches):
+    def filtered(batches):
         for b in batches:
-            at = _spots(b.column(0).to_numpy(), b.column(1).to_numpy())
-            hit = sent.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
-            yield b.filter(pa.array(hit.astype(bool)))
+            yield b.filter(pa.array(_has(wanted.value, b.column(0).to_numpy())))
 
-    return lines.select("row", "line", "tokens").mapInArrow(needed, "row long, line int, tokens array<long>").join(
-        keys, ["row", "line"], "left_semi"
-    )
+    some = lines.select("id", *columns)
+    return some.mapInArrow(filtered, some.schema).join(ids, "id", "left_semi")
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """(row, line, more, gone) for every later line of `pairs`."""
-    pairs = written(pairs.groupBy("row", "line", "n", "to_row", "to_line", "to_n").agg(F.max("more").alias("more")), "line_pairs")
-    keys = pairs.select("row", "line").unionByName(pairs.select(F.col("to_row").alias("row"), F.col("to_line").alias("line"))).distinct()
-    sets = written(_token_sets_of(lines, keys), "line_sets")
-    to = sets.select(F.col("row").alias("to_row"), F.col("line").alias("to_line"), F.col("tokens").alias("to_tokens"))
-    both = pairs.join(to, ["to_row", "to_line"]).join(sets, ["row", "line"])
+    """(id, more, gone) for every later line of `pairs`."""
+    pairs = written(pairs.groupBy("id", "n", "to", "to_n").agg(F.max("more").alias("more")), "line_pairs")
+    ids = pairs.select("id").unionByName(pairs.select(F.col("to").alias("id"))).distinct()
+    sets = written(_lines_of(lines, ids, "tokens"), "line_sets")
+    to = sets.select(F.col("id").alias("to"), F.col("tokens").alias("to_tokens"))
+    both = pairs.join(to, "to").join(sets, "id")
     overlap = F.size(F.array_intersect("tokens", "to_tokens"))
     near = overlap >= F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("to_n")) - 1e-9
-    return both.groupBy("row", "line").agg(F.max("more").alias("more"), F.max(near).alias("gone"))
+    return both.groupBy("id").agg(F.max("more").alias("more"), F.max(near).alias("gone"))
+
 
+def _pairs(lines: DataFrame, table, similarity: float, block: int, kept: int | None, only=None) -> DataFrame:
+    listed = lines.mapInArrow(_postings(table, similarity, block, only), POSTINGS)
+    met = listed.repartition("key").sortWithinPartitions("key", "doc_id", "id")
+    return met.mapInArrow(_meet(similarity, kept), PAIRS)
 
-def duplicate_lines(rows: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, kept: int = 2, block: int = BLOCK) -> DataFrame:
+
+def duplicate_lines(
+    rows: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, kept: int = KEPT, block: int = BLOCK
+) -> DataFrame:
     """(row, line): the lines to remove from `rows` (row, doc_id, text)."""
     spark = rows.sparkSession
     lines = written(token_lines(rows, min_words), "lines")
-    counts = spark.sparkContext.broadcast(bucket_counts(lines))
-    place = F.struct("doc_id", "row", "line")
-    first = lines.groupBy("same", "sign", F.size("tokens").alias("n")).agg(F.min(place).alias("first"), F.count("*").alias("k"))
-    first = first.where("k > 1").select(F.col("same").alias("s"), F.col("sign").alias("g"), "n", "first")
-    equal = lines.select("row", "doc_id", "line", "same", "sign", F.size("tokens").alias("size"))
-    equal = equal.join(first, (F.col("same") == F.col("s")) & (F.col("sign") == F.col("g")) & (F.col("size") == F.col("n")))
+    table = spark.sparkContext.broadcast(rarity(lines))
+    place = F.struct("doc_id", "id")
+    first = lines.groupBy("same", "sign", "n").agg(F.min(place).alias("first"), F.count("*").alias("k")).where("k > 1")
+    first = first.select(F.col("same").alias("s"), F.col("sign").alias("g"), F.col("n").alias("m"), "first")
+    equal = lines.select("row", "line", "doc_id", "id", "same", "sign", "n").join(
+        first, (F.col("same") == F.col("s")) & (F.col("sign") == F.col("g")) & (F.col("n") == F.col("m"))
+    )
     equal = equal.where(place != F.col("first")).select("row", "line")
 
-    listed = lines.mapInArrow(_postings(counts, similarity, block), POSTINGS)
-    order = ["token", "part", "doc_id", "row", "line"]
-    met = listed.repartition("token", "part").sortWithinPartitions(*order)
-    done = written(_verified(met.mapInArrow(_meet(similarity, kept), PAIRS), lines, similarity), "line_results")
-    gone = done.where("gone").select("row", "line")
-    again = done.where("more AND NOT gone").select("row", "line")
+    done = written(_verified(_pairs(lines, table, similarity, block, kept), lines, similarity), "line_results")
+    gone = done.where("gone").select("id")
+    again = done.where("more AND NOT gone").select("id")
     if not again.isEmpty():
-        all_pairs = met.mapInArrow(_meet(similarity, None), PAIRS).join(again, ["row", "line"], "left_semi")
-        gone = gone.unionByName(_verified(all_pairs, lines, similarity).where("gone").select("row", "line"))
+        # only the lists that such a line stands in
+        some = _lines_of(lines, again, *(c for c in _names(LINES) if c != "id"))
+        keys = some.mapInArrow(_postings(table, similarity, block), POSTINGS).select("key").distinct()
+        pairs = _pairs(lines, table, similarity, block, None, _bit_table(keys)).join(again, "id", "left_semi")
+        gone = gone.unionByName(_verified(pairs, lines, similarity).where("gone").select("id"))
+    gone = _lines_of(lines, written(gone, "gone_ids"), "row", "line").select("row", "line")
     return gone.unionByName(equal).distinct()
 
 

@@ -42,7 +42,8 @@ NEIGHBOURS = 24
 POWER = 8
 SHAPE_WEIGHT = 1.5
 BLOCK = 256
-MEMO = 1 << 18
+#: Words remembered by a worker.
+MEMO = 1 << 17
 
 _RUNS = [(re.compile(p), r) for p, r in ((r"[^\W\d_A-ZÀ-ÖØ-Þ]+", "a"), (r"[A-ZÀ-ÖØ-Þ]+", "A"), (r"\d+", "0"), (r"([^aA0])\1+", r"\1"))]
 _memo: dict[str, tuple[int, int]] = {}
@@ -54,13 +55,13 @@ def _buckets(word: str) -> tuple[int, int]:
         shape = word[:64]
         for pattern, to in _RUNS:
             shape = pattern.sub(to, shape)
-        if len(_memo) >= MEMO:
-            _memo.clear()
         core = word.lower().strip(".,;:!?\"'()")
-        got = _memo[word] = (
+        got = (
             zlib.crc32(core.encode("utf-8", "replace")) % WORDS,
             WORDS + zlib.crc32(shape.encode("utf-8", "replace")) % (SHAPES - 1),
         )
+        if len(_memo) < MEMO:
+            _memo[word] = got
     return got
 
 

@@ -57,7 +57,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op9.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path
+    return op9.pack(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), ranks=path("byte_bpe_50k.tiktoken"))
 
 
 @query
