@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.llm import chat_format as op10
 from tokenloom.llm import html_extract as op4
 from tokenloom.llm import line_dedup as op5
 from tokenloom.llm import mixing as op8
@@ -19,6 +20,7 @@ from tokenloom.llm import quality_rules as op2
 from tokenloom.llm import simhash as op3
 from tokenloom.llm import token_counts as op1
 from tokenloom.llm.common import table
+from tokenloom.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,15 +86,87 @@ def op6_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op6_mtree_topk"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+
+#: The tool that a user's turn calls in the query's derived messages.
+ANSWER_SCHEMA = (
+    '{"additionalProperties":false,"properties":{"question":{"maxLength":400,"minLength":1,"type":"string"},'
+    '"turn":{"minimum":0,"type":"integer"}},"required":["question","turn"],"type":"object"}'
+)
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Conversations as tool traffic: a user's turn is a call of the tool
+    `answer` (every fourth exchange starts anew, the others come after the
+    exchange before), an assistant's turn is the result of the call one turn
+    earlier, other turns stay messages."""
+    call_id = lambda turn: F.concat(F.lit("call-"), turn.cast("string"))
+    after = F.when(F.col("turn") % 8 >= 2, F.array(call_id(F.col("turn") - 2))).otherwise(F.array().cast("array<string>"))
+    arguments = F.struct(F.col("turn").alias("turn"), F.col("text").alias("question"))
+    call = F.struct(call_id(F.col("turn")).alias("id"), F.lit("answer").alias("name"), arguments.alias("arguments"), after.alias("after"))
+    as_call = F.to_json(F.struct(F.array(call).alias("tool_calls")))
+    as_result = F.to_json(F.struct(call_id(F.col("turn") - 1).alias("tool_call_id"), F.col("text").alias("content")))
+    user, assistant = F.col("role") == "user", F.col("role") == "assistant"
+    return conversations.select(
+        "conv_id", "turn",
+        F.when(user, "assistant").when(assistant, "tool").otherwise(F.col("role")).alias("role"),
+        F.when(user, as_call).when(assistant, as_result).otherwise(F.col("text")).alias("text"),
+    )
+
+
+@query
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = spread(table(spark, sf_dir, "conversations"))
+    schemas = spark.range(1).select(F.lit("answer").alias("name"), F.lit(ANSWER_SCHEMA).alias("parameters"))
+    out = op10.linked_chats(tool_messages(chats), schemas)
+    return out.withColumn("errors", F.array_join("errors", ","))
+
+
+ORACLES["op10_chat_format"] = """
+WITH m AS (
+  SELECT conv_id, turn, role, text, 'call-' || turn AS own, 'call-' || (turn - 1) AS prior FROM conversations
+), u AS (
+  SELECT *, turn % 8 >= 2 AS later FROM m WHERE role = 'user'
+), l0 AS (
+  SELECT conv_id, turn, 0 AS level FROM u WHERE NOT later
+), l1 AS (
+  SELECT u.conv_id, u.turn, 1 AS level FROM u JOIN l0 ON later AND u.conv_id = l0.conv_id AND u.turn = l0.turn + 2
+), l2 AS (
+  SELECT u.conv_id, u.turn, 2 AS level FROM u JOIN l1 ON later AND u.conv_id = l1.conv_id AND u.turn = l1.turn + 2
+), l3 AS (
+  SELECT u.conv_id, u.turn, 3 AS level FROM u JOIN l2 ON later AND u.conv_id = l2.conv_id AND u.turn = l2.turn + 2
+), l AS (
+  SELECT * FROM l0 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l2 UNION ALL SELECT * FROM l3
+), a AS (
+  SELECT r.conv_id, r.turn, u.turn AS call_turn FROM m r JOIN u ON r.role = 'assistant' AND r.conv_id = u.conv_id AND u.turn = r.turn - 1
+)
+SELECT u.conv_id, u.turn, CAST(coalesce(l.level, -1) AS INTEGER) AS level, 0 AS place, 'assistant' AS role, 'call' AS kind, own AS call_id,
+       a.turn IS NOT NULL AS linked,
+       CASE WHEN text IS NULL THEN 'missing question' WHEN length(text) < 1 OR length(text) > 400 THEN 'length question' ELSE '' END AS errors,
+       '{"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE '"question":' || CAST(to_json(text) AS VARCHAR) || ',' END
+         || '"turn":' || u.turn || '},"id":"' || own || '","name":"answer","type":"call"}' AS json
+FROM u LEFT JOIN l ON u.conv_id = l.conv_id AND u.turn = l.turn LEFT JOIN a ON u.conv_id = a.conv_id AND u.turn = a.call_turn
+UNION ALL
+SELECT r.conv_id, r.turn, CAST(coalesce(l.level, -1) AS INTEGER), 0, 'tool', 'result', prior, a.turn IS NOT NULL, NULL,
+       '{' || CASE WHEN text IS NULL THEN '' ELSE '"content":' || CAST(to_json(text) AS VARCHAR) || ',' END
+         || '"id":"' || prior || '","type":"result"}'
+FROM m r LEFT JOIN a ON r.conv_id = a.conv_id AND r.turn = a.turn LEFT JOIN l ON a.conv_id = l.conv_id AND a.call_turn = l.turn
+WHERE role = 'assistant'
+UNION ALL
+SELECT conv_id, turn, -1, -1, role, 'message', NULL, false, NULL,
+       '{' || CASE WHEN text IS NULL THEN '' ELSE '"content":' || CAST(to_json(text) AS VARCHAR) || ',' END
+         || '"role":' || CAST(to_json(role) AS VARCHAR) || ',"type":"message"}'
+FROM m WHERE role NOT IN ('user', 'assistant')
+"""
