@@ -39,7 +39,21 @@ SYMBOLS = "#*$%&|<>"
 
 def _words(text: Column) -> Column:
     """Words of a text; no empty strings."""
-    return F.filter(F.split(text, SPACES), lambda w: w != "")
+    return F.array_remove(F.split(text, SPACES), "")
+
+
+def _chained(hashes: Column | str, distance: int) -> Column:
+    """Hashes of runs twice as long: element i with element i + distance."""
+    h = F.col(hashes) if isinstance(hashes, str) else hashes
+    left = F.slice(h, 1, F.greatest(F.size(h) - distance, F.lit(0)))
+    return F.transform(left, lambda x, i: F.xxhash64(x, F.get(h, i + distance)))
+
+
+def hashed(rows: DataFrame) -> DataFrame:
+    """`rows` with `ones` and `twos`: 64-bit hashes of the words of `text` and of neighbouring pairs."""
+    rows = rows.withColumn("words", _words(F.col("text")))
+    rows = rows.withColumn("ones", F.transform("words", lambda w: F.xxhash64(w)))
+    return rows.withColumn("twos", _chained("ones", 1))
 
 
 def _line_repeats(text: Column) -> Column:
@@ -49,23 +63,21 @@ def _line_repeats(text: Column) -> Column:
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of every row."""
+    """(row, doc_id, ones, twos, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of every row."""
     rows = rows_of(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     t = F.col("text")
-    counted = rows.select(
-        "row", "doc_id", _words(t).alias("words"),
+    counted = hashed(rows).select(
+        "row", "doc_id", "ones", "twos",
         F.length(F.regexp_replace(t, SPACES, "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         F.when(F.instr(t, "\n") > 0, _line_repeats(t)).otherwise(F.lit(0).cast("long")).alias("n_dup_lines"),
     )
-    n = F.size("words")
-    # 64-bit hashes of the windows; a text whose window hashes are all different has no repeats
-    starts = F.when(n >= WINDOW, F.sequence(F.lit(1), n - WINDOW + 1)).otherwise(F.array().cast("array<int>"))
-    hashed = counted.withColumn("windows", F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, WINDOW))))
+    # hashes of the windows, from pairs of pairs; a text whose window hashes are all different has no repeats
+    hashes = counted.withColumn("fours", _chained("twos", 2)).withColumn("windows", _chained("fours", 4)).drop("fours")
     found = F.size(F.array_distinct("windows")) < F.size("windows")
     # else: windows sorted by hash and place; those with an equal neighbour, by place; then the words they cover
     placed = F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    hashed = hashed.withColumn("placed", F.when(found, placed))
+    hashes = hashes.withColumn("placed", F.when(found, placed))
     size = F.size("placed")
     twice = F.filter(
         F.transform(
@@ -76,27 +88,20 @@ def base_counts(docs: DataFrame) -> DataFrame:
         ),
         lambda i: i.isNotNull(),
     )
-    hashed = hashed.withColumn("twice", F.when(size.isNotNull(), F.array_sort(twice)))
+    hashes = hashes.withColumn("twice", F.when(size.isNotNull(), F.array_sort(twice)))
     covered = F.aggregate(
         F.transform("twice", lambda i, k: F.least(F.coalesce(F.get("twice", k + 1) - i, F.lit(WINDOW)), F.lit(WINDOW))),
         F.lit(0).cast("long"),
         lambda total, x: total + x,
     )
-    return hashed.select(
-        "row", "doc_id", "words", n.cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
+    return hashes.select(
+        "row", "doc_id", "ones", "twos", F.size("ones").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
         F.coalesce(covered, F.lit(0).cast("long")).alias("n_repeat_words"),
     )
 
 
-def _grams(words: Column, buckets: int) -> Column:
-    """Buckets of the words and of the pairs of neighbouring words."""
-    ones = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    n = F.size(words)
-    pairs = F.transform(
-        F.when(n > 1, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.pmod(F.xxhash64(F.get(words, i), F.get(words, i + 1)), F.lit(buckets)).cast("int"),
-    )
-    return F.concat(ones, pairs)
+def _bucket(gram: str, buckets: int) -> Column:
+    return F.pmod(F.col(gram), F.lit(buckets)).cast("int")
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -105,8 +110,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
     `trusted`: doc_id of the target documents, distinct."""
     rows = rows_of(docs, "doc_id", "text")
     marked = rows.join(trusted.select(trusted["doc_id"].alias("t")), F.col("doc_id") == F.col("t"), "left")
-    grams = marked.select(F.col("t").isNotNull().alias("target"), _words(F.col("text")).alias("words"))
-    grams = grams.select("target", F.explode(_grams(F.col("words"), buckets)).alias("bucket"))
+    grams = hashed(marked).select(F.col("t").isNotNull().alias("target"), F.explode(F.concat("ones", "twos")).alias("gram"))
+    grams = grams.select("target", _bucket("gram", buckets).alias("bucket"))
     counts = written(
         grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if("target").alias("target")), "buckets"
     )
@@ -119,11 +124,11 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
 
 
 def scores(counted: DataFrame, ratios: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """`counted` without its words, with score: the mean log ratio of a text's n-grams, 0 without any."""
-    kept = [c for c in counted.columns if c not in ("row", "words")]
-    grams = counted.select("*", F.explode_outer(_grams(F.col("words"), buckets)).alias("gram")).drop("words")
+    """`counted` without its hashes, with score: the mean log ratio of a text's n-grams, 0 without any."""
+    kept = [c for c in counted.columns if c not in ("row", "ones", "twos")]
+    grams = counted.select("row", *kept, F.explode_outer(F.concat("ones", "twos")).alias("gram"))
     # at most `buckets` rows of 12 bytes
-    joined = grams.join(F.broadcast(ratios), F.col("gram") == F.col("bucket"), "left")
+    joined = grams.join(F.broadcast(ratios), _bucket("gram", buckets) == F.col("bucket"), "left")
     # a text's n-grams stand together in one task, so nearly all of the sum is made before the shuffle
     summed = joined.groupBy("row").agg(*(F.first(c).alias(c) for c in kept), F.avg("llr").alias("score"))
     return summed.withColumn("score", F.round(F.coalesce("score", F.lit(0.0)), 9))
