@@ -10,11 +10,13 @@ greatest entropy are exponentially tilted in the constrained quantity,
 
     rate / (2 - rate) = exp(lambda * size),   rate = 2 / (1 + exp(-lambda * size)),
 
-with one multiplier per source.  The multipliers minimise the convex dual; all
-sources take Newton steps together, each step one distributed aggregation of
-gradient and curvature over the table of (source, size, documents), which has
-the same sums as the documents and at most as many rows per source as sizes.
-Steps that leave the bracket of a multiplier are replaced by bisection.
+with one multiplier per source.  The multipliers minimise the convex dual, which
+falls apart by source.  The documents enter only through the table of (source,
+size, documents), counted before any shuffle: it has the same sums, and for a
+source as many rows as there are different sizes, so a hot source is no larger
+than another.  The sources are solved side by side, each by Newton iterations
+over its rows in a task; steps that leave the bracket of a multiplier are
+replaced by bisection.
 
 Copies: documents of one source and size share a rate, so a group of them gets
 whole copies and a number of extra ones: from the largest size down, the words
@@ -100,75 +102,52 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return totals.select("source", "source_size", F.least(cap, F.col("weight") * level).alias("target"))
 
 
-def multipliers(hist: DataFrame, targets: DataFrame, steps: int = NEWTON_STEPS) -> DataFrame:
-    """From (source, size, n) and the targets: (source, scale, lam): rate = 2 / (1 + exp(-lam * size / scale)).
-
-    A target of twice the size has no finite multiplier: lam is then infinite."""
-    scale = hist.groupBy("source").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("scale"))
-    ends = targets.select(
-        F.col("source"), "target",
-        F.when(F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12), F.lit(float("inf"))).otherwise(F.lit(0.0)).alias("lam"),
-    )
-    at = ends.join(scale, ends.source.eqNullSafe(scale.source)).drop(scale.source)
-    at = at.withColumn("lo", F.lit(None).cast("double")).withColumn("hi", F.lit(None).cast("double")).withColumn("miss", F.lit(1.0))
-    at = written(at, "multipliers")
-    for _ in range(steps):
-        open_ = at.where(f"miss > {TOLERANCE} AND lam < double('inf')")
-        h = hist.withColumnRenamed("source", "s")
-        x = F.col("size") / F.col("scale")
-        p = 1 / (1 + F.exp(-F.col("lam") * x))
-        sums = (
-            h.join(open_, F.col("s").eqNullSafe(F.col("source")))
-            .groupBy("source")
-            .agg(
-                F.sum(MOST * p * F.col("size") * F.col("n")).alias("got"),
-                F.sum(MOST * p * (1 - p) * x * F.col("size") * F.col("n")).alias("slope"),
-            )
-        )
-        g = sums.withColumnRenamed("source", "s")
-        gap = F.col("got") - F.col("target")
-        lo = F.when(gap < 0, F.col("lam")).otherwise(F.col("lo"))
-        hi = F.when(gap > 0, F.col("lam")).otherwise(F.col("hi"))
-        step = F.col("lam") - gap / F.greatest(F.col("slope"), F.lit(1e-300))
-        inside = (step > F.coalesce(lo, F.lit(-1e300))) & (step < F.coalesce(hi, F.lit(1e300)))
-        wide = F.when(gap < 0, F.col("lam") + 2 * F.greatest(F.abs("lam"), F.lit(1.0))).otherwise(
-            F.col("lam") - 2 * F.greatest(F.abs("lam"), F.lit(1.0))
-        )
-        fallback = F.when(lo.isNotNull() & hi.isNotNull(), (lo + hi) / 2).otherwise(wide)
-        # a Newton step may overshoot where the curve is flat: it may triple the distance, no more
-        bounded = F.abs(step - F.col("lam")) <= 2 * F.greatest(F.abs("lam"), F.lit(1.0))
-        new = F.when(inside & bounded, step).otherwise(fallback)
-        miss = F.abs(gap) / F.greatest(F.col("target"), F.lit(1.0))
-        moved = at.join(g, at.source.eqNullSafe(F.col("s")), "left")
-        done = F.col("got").isNull() | (miss <= TOLERANCE)
-        at = written(
-            moved.select(
-                at.source, "target", F.when(done, F.col("lam")).otherwise(new).alias("lam"), "scale",
-                lo.alias("lo"), hi.alias("hi"), F.coalesce(miss, F.col("miss")).alias("miss"),
-            ),
-            "multipliers",
-        )
-        if at.where(f"miss > {TOLERANCE} AND lam < double('inf')").isEmpty():
+def multiplier(size: np.ndarray, n: np.ndarray, target: float) -> float:
+    """The minimiser of one source's convex dual: lam with
+    sum(n * size * MOST / (1 + exp(-lam * size))) = target, by Newton steps
+    kept inside a bracket.  A target of MOST times the size has none: infinity."""
+    words = n * size
+    if target >= MOST * words.sum() * (1 - 1e-12):
+        return np.inf
+    if target <= 0:
+        return -np.inf
+    x = size * (n.sum() / words.sum())  # sizes around 1
+    lam, low, high = 0.0, -np.inf, np.inf
+    for _ in range(NEWTON_STEPS):
+        p = 1 / (1 + np.exp(np.clip(-lam * x, -700, 700)))
+        gap = (MOST * p * words).sum() - target
+        if abs(gap) <= TOLERANCE * target:
             break
-    return at.select("source", "scale", "lam")
-
-
-def _rounded(groups: pd.DataFrame) -> pd.DataFrame:
-    """Whole and extra copies of one source's sizes (at most as many rows as
-    there are sizes): from the largest down, what a size gets too much or too
-    little, in words, is carried to the next, so the source ends about half its
-    smallest size from its target."""
+        low, high = (lam, high) if gap < 0 else (low, lam)
+        step = lam - gap / max((MOST * p * (1 - p) * x * words).sum(), 1e-300)
+        # a step that leaves the bracket, or flies off where the curve is flat, is replaced
+        reach = 2 * max(abs(lam), 1.0)
+        if not low < step < high or abs(step - lam) > reach:
+            inside = np.isfinite(low) and np.isfinite(high)
+            step = (low + high) / 2 if inside else lam + (reach if gap < 0 else -reach)
+        lam = step
+    return lam * n.sum() / words.sum()
+
+
+def _copies(groups: pd.DataFrame) -> pd.DataFrame:
+    """Whole and extra copies of one source's sizes (as many rows as there are
+    different sizes, however many documents): rates from the source's
+    multiplier; then, from the largest size down, the words that rounding gives
+    too much or too little are carried to the next, so the source ends about
+    half its smallest size from its target."""
     groups = groups.sort_values("sz", ascending=False, ignore_index=True)
-    whole = np.floor(groups["rate"].to_numpy())
-    part = (groups["rate"].to_numpy() - whole) * groups["n"].to_numpy()
     size, n = groups["sz"].to_numpy(), groups["n"].to_numpy()
+    lam = multiplier(size.astype(float), n.astype(float), float(groups["target"].iloc[0]))
+    rate = MOST / (1 + np.exp(np.clip(-lam * size, -700, 700)))
+    if np.isinf(lam):
+        rate = np.full(len(size), MOST if lam > 0 else 0.0)
+    whole = np.floor(rate)
+    part = (rate - whole) * n
     extra, carry = np.zeros(len(groups), dtype=np.int64), 0.0
     for i in range(len(groups)):
         want = part[i] * size[i] + carry
-        if size[i]:
-            room = n[i] if whole[i] < MOST else 0
-            extra[i] = min(max(round(want / size[i]), 0), room)
-            carry = want - extra[i] * size[i]
+        extra[i] = min(max(round(want / size[i]), 0), n[i] if whole[i] < MOST else 0)
+        carry = want - extra[i] * size[i]
     return pd.DataFrame({"src": groups["src"], "sz": size, "whole": whole.astype(np.int64), "extra": extra})
 
 
@@ -177,15 +156,10 @@ def mix_plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFra
     and size `sz` get `whole` copies, and one more if their spot is at most `last`."""
     targets = written(source_targets(sized, weights, share), "targets")
     hist = written(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "sizes")
-    lam = multipliers(hist.where("size > 0"), targets).withColumnRenamed("source", "s")
-
-    # extra copies of each (source, size) group, from the rounded running sum
-    rate = F.when(F.col("size") > 0, MOST / (1 + F.exp(-F.col("lam") * F.col("size") / F.col("scale")))).otherwise(0.0)
-    g = hist.join(lam, hist["source"].eqNullSafe(F.col("s")), "left").withColumn("rate", F.coalesce(rate, F.lit(0.0)))
-    g = g.select(F.col("source").alias("src"), F.col("size").alias("sz"), "n", "rate").groupBy("src").applyInPandas(
-        _rounded, "src string, sz long, whole long, extra long"
-    )
-    g = written(g, "groups")
+    t = targets.withColumnRenamed("source", "ts")
+    per_size = hist.where("size > 0").join(t, hist["source"].eqNullSafe(F.col("ts")))
+    g = per_size.select(F.col("source").alias("src"), F.col("size").alias("sz"), "n", "target")
+    g = written(g.groupBy("src").applyInPandas(_copies, "src string, sz long, whole long, extra long"), "groups")
 
     # the spot of the last document with an extra copy: ranks in two levels, by
     # spans of the hash and then inside a span, so no group is one window
@@ -204,11 +178,11 @@ def mix_plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFra
     near = d.join(open_, d["source"].eqNullSafe(F.col("src")) & (F.col("size") == F.col("sz")) & (F.col("span") == F.col("in_span")))
     near = near.withColumn("k", F.row_number().over(Window.partitionBy("src", "sz").orderBy("spot")))
     last = near.where("k = rank").select(F.col("src").alias("s"), F.col("sz").alias("z"), F.col("spot").alias("last"))
-    t = targets.withColumnRenamed("source", "ts")
-    return (
-        g.join(last, g["src"].eqNullSafe(F.col("s")) & (g["sz"] == F.col("z")), "left")
-        .join(t, F.col("src").eqNullSafe(F.col("ts")))
-        .select("src", "sz", "source_size", "target", "whole", "last")
+    known = g.join(last, g["src"].eqNullSafe(F.col("s")) & (g["sz"] == F.col("z")), "left").select("src", "sz", "whole", "last")
+    k = known.withColumnRenamed("src", "ks").withColumnRenamed("sz", "kz")
+    sizes_of = hist.join(t, hist["source"].eqNullSafe(F.col("ts")))
+    return sizes_of.join(k, F.col("source").eqNullSafe(F.col("ks")) & (F.col("size") == F.col("kz")), "left").select(
+        F.col("source").alias("src"), F.col("size").alias("sz"), "source_size", "target", F.coalesce("whole", F.lit(0)).alias("whole"), "last"
     )
 
 
