@@ -53,7 +53,7 @@ BLOCK = 1 << 15
 #: Sets that a task remembers as listed.
 LISTED = 1 << 17
 #: Earliest candidates that a line passes on from one list in round one.
-KEPT = 4
+KEPT = 1
 
 LINES = "id long, row long, doc_id long, line int, n int, same long, sign long, tokens array<long>"
 
