@@ -181,10 +181,12 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP) -> DataF
         sizes = keyed.groupBy("mask", "value").agg(F.count("*").alias("size")).where("size > 1")
         sized = keyed.join(sizes, ["mask", "value"])
         sized = written(sized.select("start", "mask", "value", "fp", "size"), "buckets")
-        small = sized.where(F.col("size") <= group).select("start", "mask", "value", "fp")
+        # 8 free bits hold 256 fingerprints at most
+        fit = (F.col("size") <= group) | (F.bit_count("mask") >= 56)
+        small = sized.where(fit).select("start", "mask", "value", "fp")
         found = small.repartition("mask", "value").sortWithinPartitions("mask", "value").mapInArrow(_links(max_bits), "u long, v long")
         out = found if out is None else out.unionByName(found)
-        large = sized.where(F.col("size") > group)
+        large = sized.where(~fit)
         if large.isEmpty():
             return out
 
