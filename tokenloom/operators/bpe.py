@@ -18,6 +18,7 @@ rounds.  Only that bounded list ever reaches the driver.
 
 from __future__ import annotations
 
+import hashlib
 import time
 from dataclasses import dataclass, field
 
@@ -41,8 +42,26 @@ class Tokenizer:
     specials: list[str] = field(default_factory=list)
     merge_counts: list[int] = field(default_factory=list)
 
+    def __post_init__(self) -> None:
+        """Specials missing from the vocabulary are registered after the
+        largest id, in the given order; repeated ones count once."""
+        self.specials = list(dict.fromkeys(self.specials))
+        self.vocab = dict(self.vocab)
+        known = set(self.vocab.values())
+        for s in self.specials:
+            if s.encode("utf-8") not in known:
+                self.vocab[max(self.vocab, default=-1) + 1] = s.encode("utf-8")
+
+    def digest(self) -> str:
+        """A checksum of the content: equal tokenizers have equal digests."""
+        h = hashlib.sha256()
+        for part in (sorted(self.vocab.items()), self.merges, self.specials):
+            h.update(repr(part).encode("utf-8", "surrogatepass"))
+        return h.hexdigest()
+
     @staticmethod
     def from_merges(merges: list[tuple[bytes, bytes]], specials: list[str], counts=None) -> "Tokenizer":
+        specials = list(dict.fromkeys(specials))
         vocab = init_vocab_dict(specials)
         k = len(specials)
         for i, (a, b) in enumerate(merges):
@@ -266,7 +285,7 @@ def train_bpe(
     incremental: bool | None = None,
 ) -> Tokenizer:
     """Full training: pretokenize, count, merge until `vocab_size` ids."""
-    specials = list(specials or [])
+    specials = list(dict.fromkeys(specials or []))
     base = len(init_vocab_dict(specials))
     if vocab_size < base:
         raise ValueError(f"vocab_size must be at least {base}")
@@ -283,7 +302,10 @@ MERGES_SCHEMA = "rank int, left binary, right binary"
 
 def vocab_frame(spark: SparkSession, tok: Tokenizer) -> DataFrame:
     specials = {s.encode("utf-8") for s in tok.specials}
-    special_ids = {i for i, b in tok.vocab.items() if b in specials and i < len(tok.specials)}
+    first: dict[bytes, int] = {}
+    for i in sorted(tok.vocab):
+        first.setdefault(tok.vocab[i], i)
+    special_ids = {first[s] for s in specials}
     rows = [(int(i), bytearray(b), i in special_ids) for i, b in sorted(tok.vocab.items())]
     return spark.createDataFrame(rows, VOCAB_SCHEMA)
 

@@ -26,18 +26,13 @@ from tokenloom.functions.bpe_kernel import kernel_for
 from tokenloom.operators.bpe import Tokenizer
 from tokenloom.session import bounded_broadcast, ship_package, spread
 
-_BROADCASTS: dict[tuple[int, int], object] = {}
-
-
-MAX_TOKENIZER_ENTRIES = 1 << 20  # vocabulary + merges allowed in one broadcast
+_BROADCASTS: dict[tuple[str, str], object] = {}
 
 
 def broadcast_tokenizer(spark: SparkSession, tok: Tokenizer):
-    """Broadcast the tokenizer once per context; its size is checked (it is a
-    model artifact bounded by the vocabulary, never data-sized)."""
-    if len(tok.vocab) + len(tok.merges) > MAX_TOKENIZER_ENTRIES:
-        raise ValueError("tokenizer too large to broadcast")
-    key = (id(spark.sparkContext), id(tok))
+    """Broadcast the tokenizer once per application and content (a model
+    artifact bounded by its vocabulary, never data-sized)."""
+    key = (spark.sparkContext.applicationId, tok.digest())
     bc = _BROADCASTS.get(key)
     ship_package(spark)
     if bc is None:
@@ -164,10 +159,10 @@ def merge_rank_lookup(pairs: DataFrame, merges: DataFrame) -> DataFrame:
 
 def register_special_tokens(vocab: DataFrame, specials: list[str]) -> DataFrame:
     """Add specials missing from the vocabulary after the largest id, in the
-    given order; present ones keep their id."""
+    given order; present ones keep their id, repeated ones get one."""
     spark = vocab.sparkSession
     sdf = spark.createDataFrame(
-        [(i, bytearray(s.encode("utf-8"))) for i, s in enumerate(specials)], "ord int, token binary"
+        [(i, bytearray(s.encode("utf-8"))) for i, s in enumerate(dict.fromkeys(specials))], "ord int, token binary"
     )
     missing = sdf.join(vocab.select("token"), "token", "left_anti")
     top = vocab.agg(F.max("token_id").alias("top"))

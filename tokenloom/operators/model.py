@@ -21,6 +21,7 @@ import math
 import time
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -251,25 +252,34 @@ def run_throughput(metrics: DataFrame) -> DataFrame:
 
 
 def evaluate(params: DataFrame, counts_by_step: DataFrame) -> DataFrame:
-    """Mean over evaluation batches of the batch loss, per run."""
+    """Mean over evaluation batches of the batch loss, per run.  A pair whose
+    context has no parameters counts as drawn uniformly: loss ln V, V being
+    the number of different next ids."""
     row = Window.partitionBy("run_id", "prev_id")
     s = F.col("w") - F.max("w").over(row)
     lp = params.select("run_id", "prev_id", "next_id", (s - F.log(F.sum(F.exp(s)).over(row))).alias("logprob"))
     c = counts_by_step.select("step", "prev_id", "next_id", F.col("n").cast("double").alias("n"))
-    per = lp.join(c, ["prev_id", "next_id"]).groupBy("run_id", "step").agg(
-        (-F.sum(F.col("n") * F.col("logprob")) / F.sum("n")).alias("loss")
+    uniform = float(np.log(max(1, params.select("next_id").distinct().count())))
+    known = lp.join(c, ["prev_id", "next_id"]).groupBy("run_id", "step").agg(
+        F.sum(F.col("n") * F.col("logprob")).alias("logprob"), F.sum("n").alias("known")
+    )
+    # every run meets every step, also where none of its contexts occurs; runs are few by design
+    steps = c.groupBy("step").agg(F.sum("n").alias("n")).withColumn("_k", F.lit(1))
+    runs = params.select("run_id").distinct().withColumn("_k", F.lit(1))
+    per = steps.join(runs, "_k").join(known, ["run_id", "step"], "left").select(
+        "run_id",
+        ((uniform * (F.col("n") - F.coalesce("known", F.lit(0.0))) - F.coalesce("logprob", F.lit(0.0))) / F.col("n")).alias("loss"),
     )
     return per.groupBy("run_id").agg(F.avg("loss").alias("eval_loss"), F.count(F.lit(1)).alias("n_batches"))
 
 
 # ------------------------------------------------------------- checkpoints
 def save_checkpoint(params: DataFrame, iteration: int, path: str) -> None:
-    """Parameters and optimizer state of one iteration under `path`."""
+    """Parameters and optimizer state of one iteration under `path`; saving an
+    iteration again replaces it and leaves the others."""
     if not isinstance(iteration, int):
         raise TypeError("iteration must be an int")
-    params.select(*PARAM_COLS).withColumn("iteration", F.lit(iteration)).write.mode("append").partitionBy(
-        "iteration"
-    ).parquet(path)
+    params.select(*PARAM_COLS).write.mode("overwrite").parquet(f"{path}/iteration={iteration}")
 
 
 def load_checkpoint(spark: SparkSession, path: str) -> tuple[DataFrame, int]:

@@ -18,15 +18,17 @@ from tokenloom.session import spread
 def training_pieces(docs: DataFrame, specials: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """Training-side pretokenizing: fold newlines, cut out specials, split.
 
-    Map-only; one output row per piece occurrence: (doc_id, part, pos, piece).
+    Map-only; one output row per piece occurrence: (doc_id, part, pos, piece),
+    without doc_id if the documents have none.
     """
     specials = list(specials or [])
+    ids = [c for c in ("doc_id",) if c in docs.columns]
     parts = spread(docs).select(
-        "doc_id",
+        *ids,
         F.posexplode(T.split_special_drop(T.normalize_newlines(text_col), specials)).alias("part", "chunk"),
     )
     return parts.select(
-        "doc_id", "part", F.posexplode(T.pretokenize("chunk")).alias("pos", "piece")
+        *ids, "part", F.posexplode(T.pretokenize("chunk")).alias("pos", "piece")
     )
 
 

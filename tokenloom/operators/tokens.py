@@ -75,7 +75,8 @@ def pack_windows(ids: DataFrame, eot_id: int, T: int, n_total: int | None = None
     last = F.least(F.col("off") + F.col("len") - 1, F.lit(n_total - 1))
     w_lo = F.greatest(F.lit(0), F.ceil(F.col("off") / F.lit(T)) - 1)
     w_hi = F.least(F.floor((last) / F.lit(T)), F.lit((n_total - 2) // T if n_total >= 2 else -1))
-    slices = seg.where(F.col("off") <= F.lit(n_total - 1)).select(
+    # sequence() counts down when its end is smaller: no window there
+    slices = seg.where((F.col("off") <= F.lit(n_total - 1)) & (w_lo <= w_hi)).select(
         "off",
         "seg",
         last.alias("last"),

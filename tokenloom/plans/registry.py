@@ -60,7 +60,7 @@ def trained_tokenizer(spark: SparkSession, sf_dir: str):
     """The tokenizer learned from `documents` (cached per data folder)."""
     from tokenloom.operators.bpe import train_bpe
 
-    key = (sf_dir.rstrip("/"), NUM_MERGES, tuple(SPECIALS))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), NUM_MERGES, tuple(SPECIALS))
     tok = _TOKENIZERS.get(key)
     if tok is None:
         docs = table(spark, sf_dir, "documents").select("doc_id", "text")

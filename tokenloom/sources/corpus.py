@@ -17,9 +17,12 @@ from tokenloom.functions.text import END_OF_TEXT
 from tokenloom.session import ship_package
 
 
-def read_delimited_corpus(spark: SparkSession, path: str, special: str = END_OF_TEXT) -> DataFrame:
-    """(text) rows, one per document, cut at `special` (separator removed)."""
-    return spark.read.option("lineSep", special).text(path).withColumnRenamed("value", "text")
+def read_delimited_corpus(spark: SparkSession, path: str, special: str = END_OF_TEXT, bad_bytes: str = "keep") -> DataFrame:
+    """(text) rows, one per document, cut at `special` (separator removed).
+    `bad_bytes`: "keep" invalid UTF-8 as it is, "drop" it (as training does) or "replace" it."""
+    rows = spark.read.option("lineSep", special).text(path)
+    text = {"keep": lambda b: b.cast("string"), "drop": drop_bad_utf8, "replace": replace_bad_utf8}[bad_bytes]
+    return rows.select(text(F.col("value").cast("binary")).alias("text"))
 
 
 def write_delimited_corpus(docs: DataFrame, path: str, special: str = END_OF_TEXT, text_col: str = "text") -> None:
@@ -38,10 +41,11 @@ def _drop_bad(b: pd.Series) -> pd.Series:
 
 
 def drop_bad_utf8(b: Column) -> Column:
-    """Bytes -> text with invalid sequences dropped (training side).  Valid
-    rows stay in the JVM; only rows failing the check go to Python."""
+    """Bytes -> text with invalid sequences dropped (training side).  The
+    bytes of valid rows stay in the JVM."""
     active = SparkSession.getActiveSession()
     if active is not None:
         ship_package(active)
     valid = F.is_valid_utf8(b.cast("string"))
-    return F.when(valid, b.cast("string")).otherwise(_drop_bad(b))
+    # valid rows reach the function as null, so no text of theirs is sent to Python
+    return F.coalesce(F.when(valid, b.cast("string")), _drop_bad(F.when(~valid, b)))

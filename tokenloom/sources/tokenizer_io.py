@@ -50,10 +50,14 @@ def printable(token: Column) -> Column:
 
 
 def from_printable(s: Column) -> Column:
-    """GPT-2 printable string -> binary."""
+    """GPT-2 printable string -> binary; a character that stands for no byte raises."""
     chars = byte_to_char()
     m = F.create_map(*[x for b, c in enumerate(chars) for x in (F.lit(c), F.lit(f"{b:02X}"))])
-    return F.unhex(F.array_join(F.transform(F.split(s, ""), lambda c: F.element_at(m, c)), ""))
+    byte = lambda c: F.coalesce(
+        F.try_element_at(m, c), F.raise_error(F.concat(F.lit("stands for no byte: "), c)).cast("string")
+    )
+    chars_of = F.filter(F.split(s, ""), lambda c: c != "")
+    return F.unhex(F.array_join(F.transform(chars_of, byte), ""))
 
 
 # ------------------------------------------------------------- parquet form
@@ -83,8 +87,10 @@ def load_tokenizer(spark: SparkSession, path: str) -> Tokenizer:
 
 # --------------------------------------------------------------- GPT-2 form
 def export_gpt2_tokenizer(vocab: DataFrame, merges: DataFrame, path: str) -> None:
-    """vocab.json (one JSON object) and merges.txt (rank order)."""
-    entries = vocab.select(F.struct(printable(F.col("token")).alias("k"), F.col("token_id").alias("v")).alias("e"))
+    """vocab.json (one JSON object) and merges.txt (rank order).  Equal bytes
+    under several ids: the greatest id."""
+    ids = vocab.groupBy(printable(F.col("token")).alias("k")).agg(F.max("token_id").alias("v"))
+    entries = ids.select(F.struct("k", "v").alias("e"))
     obj = entries.agg(F.to_json(F.map_from_entries(F.collect_list("e"))).alias("value"))
     obj.coalesce(1).write.mode("overwrite").text(f"{path}/vocab.json")
     lines = merges.select("rank", F.concat_ws(" ", printable(F.col("left")), printable(F.col("right"))).alias("value"))
