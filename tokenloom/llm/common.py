@@ -44,4 +44,37 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-__all__ = ["WORD", "SPACES", "table", "rows_of", "written", "checkpointed", "fits", "checkpoint_dir"]
+#: What an operator keeps in a worker process between tasks; one operator's at a time.
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(owner: tuple, make=None):
+    """`make()`, made once per worker process and owner.  Another owner's turn
+    gives the memory of the one before back to the system, so operators that
+    run one after the other in the same workers do not add up."""
+    if owner not in _KEPT:
+        if _KEPT:
+            _KEPT.clear()
+            import ctypes
+            import gc
+
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):
+                pass  # another C library: it keeps what it has
+        _KEPT[owner] = make() if make else None
+    return _KEPT[owner]
+
+
+def slices(batches, rows: int = 256):
+    """The batches in parts of `rows` rows, so few texts are Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+__all__ = ["kept", "slices", "WORD", "SPACES", "table", "rows_of", "written", "checkpointed", "fits", "checkpoint_dir"]

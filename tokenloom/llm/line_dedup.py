@@ -41,7 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import fits, written
+from tokenloom.llm.common import fits, slices, written
+from tokenloom.llm.common import kept as kept_in_worker
 from tokenloom.session import ship_package
 
 SIMILARITY = 0.8
@@ -93,7 +94,8 @@ def _token_sets(min_words: int):
                 x.clear()
             return pa.RecordBatch.from_arrays(columns, _names(LINES))
 
-        for b in batches:
+        kept_in_worker(("lines",))
+        for b in slices(batches):
             for r, d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist()):
                 for i, part in enumerate(text.split(b"\n")):
                     words = part.split()

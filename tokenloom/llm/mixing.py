@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tokenloom.llm.common import fits, written
+from tokenloom.llm.common import fits, kept, written
 from tokenloom.session import ship_package
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -56,6 +56,7 @@ def word_counts(texts: Column) -> Column:
 
     @F.pandas_udf("long")
     def count(t: pd.Series) -> pd.Series:
+        kept(("mixing",))
         # bytes.split() parts at space and 9 to 13, like the contract's pattern
         return pd.Series([len(x.encode("utf-8", "replace").split()) if x else 0 for x in t], dtype="int64")
 

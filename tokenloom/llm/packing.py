@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tokenloom.llm import cutting_stock
-from tokenloom.llm.common import rows_of, written
+from tokenloom.llm.common import kept, rows_of, slices, written
 
 LENGTH = 2048
 END_ID = 1
@@ -113,14 +113,9 @@ class Encoder:
         self.found.clear()
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str, ranks: str | None = None) -> Encoder:
     """One per worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path, ranks)
-    return _ENCODERS[path]
+    return kept(("packing", path), lambda: Encoder(path, ranks))
 
 
 TOKENIZED = (
@@ -139,7 +134,7 @@ def tokenized(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, ranks)
         ids_of = coder.ids
-        for b in batches:
+        for b in slices(batches, 2048):
             coder.forget()
             total, full, rest, rest_crc, cuts = [], [], [], [], []
             for text in b.column(2).to_pylist():

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import rows_of
+from tokenloom.llm.common import kept, rows_of, slices
 from tokenloom.session import ship_package
 
 WORDS, SHAPES = 1536, 512
@@ -46,11 +46,10 @@ BLOCK = 256
 MEMO = 1 << 17
 
 _RUNS = [(re.compile(p), r) for p, r in ((r"[^\W\d_A-ZÀ-ÖØ-Þ]+", "a"), (r"[A-ZÀ-ÖØ-Þ]+", "A"), (r"\d+", "0"), (r"([^aA0])\1+", r"\1"))]
-_memo: dict[str, tuple[int, int]] = {}
 
 
-def _buckets(word: str) -> tuple[int, int]:
-    got = _memo.get(word)
+def _buckets(word: str, memo: dict[str, tuple[int, int]]) -> tuple[int, int]:
+    got = memo.get(word)
     if got is None:
         shape = word[:64]
         for pattern, to in _RUNS:
@@ -60,8 +59,8 @@ def _buckets(word: str) -> tuple[int, int]:
             zlib.crc32(core.encode("utf-8", "replace")) % WORDS,
             WORDS + zlib.crc32(shape.encode("utf-8", "replace")) % (SHAPES - 1),
         )
-        if len(_memo) < MEMO:
-            _memo[word] = got
+        if len(memo) < MEMO:
+            memo[word] = got
     return got
 
 
@@ -72,7 +71,8 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     s = np.zeros(SHAPES, dtype=np.float32)
     if words:
         freq = Counter(words)
-        at = np.array([_buckets(w) for w in freq], dtype=np.int64)
+        memo = kept(("quality",), dict)
+        at = np.array([_buckets(w, memo) for w in freq], dtype=np.int64)
         n = np.fromiter(freq.values(), dtype=np.float64, count=len(freq))
         x[:] = np.bincount(at[:, 0], weights=n, minlength=WORDS)
         s[:] = np.bincount(at[:, 1] - WORDS, weights=n, minlength=SHAPES)
@@ -167,7 +167,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for b in batches:
+        for b in slices(batches):
             got = np.round(m.scores(b.column(1).to_pylist()), 9)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.float64())], ["doc_id", "score"])
 
@@ -189,7 +189,7 @@ def accepted(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Data
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = [t or "" for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(sent.value.scores(texts) >= 0.5))
 

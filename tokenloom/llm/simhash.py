@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import fits, rows_of, written
+from tokenloom.llm.common import fits, kept, rows_of, slices, written
 from tokenloom.llm.components import connected_components
 
 SHINGLE = 3
@@ -71,7 +71,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     rows = rows_of(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        kept(("simhash",))
+        for b in slices(batches):
             fps = [_signed(fingerprint(t, shingle)) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64())], ["row", "doc_id", "fp"])
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import rows_of, written
+from tokenloom.llm.common import kept, rows_of, slices, written
 
 #: Most pre-tokens sent to every worker; those of more bytes travel as their MD5.
 HEAD_ROWS = 1 << 17
@@ -38,19 +38,19 @@ HEAD_BYTES = 64
 #: Distinct pre-tokens a task counts before it passes them on.
 FLUSH = 1 << 19
 
-_TOKENIZERS: dict[str, object] = {}
-
-
 def tokenizer(path: str):
     """One per worker process and file."""
-    if path not in _TOKENIZERS:
+
+    def make():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
-        t = _TOKENIZERS[path] = Tokenizer.from_file(path)
+        t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-    return _TOKENIZERS[path]
+        return t
+
+    return kept(("token counts", path), make)
 
 
 def n_pieces(path: str, texts: list[str]) -> list[int]:
@@ -65,7 +65,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = pa.array(total.keys(), pa.binary())
         return pa.RecordBatch.from_arrays([names, pa.array(total.values(), pa.int64())], ["pretoken", "n"])
 
-    for batch in batches:
+    for batch in slices(batches):
         for text in batch.column(0).cast(pa.binary()).to_pylist():
             total.update(text.split())
             if len(total) > FLUSH:
@@ -115,7 +115,7 @@ def token_counts(docs: DataFrame, path: str, head_rows: int = HEAD_ROWS) -> Data
 
     def split(batches):
         known = head.value
-        for b in batches:
+        for b in slices(batches, 1024):
             row, doc_id = b.column(0).to_pylist(), b.column(1).to_pylist()
             n_bytes, n_known, owner, names, counts = [], [], [], [], []
             for r, text in zip(row, b.column(2).cast(pa.binary()).to_pylist()):
