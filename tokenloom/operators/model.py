@@ -243,12 +243,13 @@ def log_metrics(metrics: DataFrame, path: str) -> None:
 
 def run_throughput(metrics: DataFrame) -> DataFrame:
     """Tokens per second between consecutive records of each run (the first
-    record counts its own step, not a whole logging interval)."""
+    record counts its own step, not a whole logging interval); null where no
+    time has passed."""
     w = Window.partitionBy("run_id").orderBy("step")
     prev_ts = F.lag("ts").over(w)
     steps_between = F.col("step") - F.coalesce(F.lag("step").over(w), F.col("step") - 1)
     secs = F.when(prev_ts.isNull(), F.col("seconds")).otherwise(F.col("ts") - prev_ts)
-    return metrics.withColumn("tokens_per_sec", steps_between * F.col("tokens") / secs)
+    return metrics.withColumn("tokens_per_sec", F.try_divide(steps_between * F.col("tokens"), secs))
 
 
 def evaluate(params: DataFrame, counts_by_step: DataFrame) -> DataFrame:

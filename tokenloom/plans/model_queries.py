@@ -4,6 +4,7 @@ evaluation, training loop, sweep, checkpoints, metrics and generation."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tokenloom.operators import codec, generate, model
 from tokenloom.operators import tokens as TK
@@ -334,10 +335,25 @@ def q_log_metrics(spark, sf_dir):
     )
 
 
-@register("run_throughput")
+@register(
+    "run_throughput",
+    """WITH e AS (
+  SELECT user_id AS run_id, value AS tokens, CAST(epoch_us(ts) AS DOUBLE) / 1e6 AS ts,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS step FROM events
+), s AS (
+  SELECT run_id, step, tokens, ts - lag(ts) OVER (PARTITION BY run_id ORDER BY step) AS secs FROM e
+)
+SELECT run_id, step, 0.0 + round(tokens / nullif(coalesce(secs, 1.0), 0), 6) AS tokens_per_sec FROM s""",
+)
 def q_run_throughput(spark, sf_dir):
-    res = _train(spark, sf_dir, [model.RunConfig(0, lr_max=0.5)], 3)
-    return model.run_throughput(model.metrics_frame(spark, res.metrics)).select("run_id", "step", "tokens_per_sec")
+    """Each user's events as the records of a run; the first takes one second."""
+    events = table(spark, sf_dir, "events")
+    step = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    metrics = events.select(
+        F.col("user_id").alias("run_id"), step.cast("long").alias("step"), F.col("value").alias("tokens"),
+        F.lit(1.0).alias("seconds"), (F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)").cast("double") / 1e6).alias("ts"),
+    )
+    return model.run_throughput(metrics).select("run_id", "step", rnd("tokens_per_sec", 6).alias("tokens_per_sec"))
 
 
 def _prompts(spark, sf_dir):
