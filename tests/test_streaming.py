@@ -13,7 +13,7 @@ def test_stream_word_frequencies_equal_batch(spark):
     d = tempfile.mkdtemp(prefix="tokenloom-test-stream-")
     q = CS.stream_word_frequencies(spark, src[:-1] + "[t]", schema, ["<|endoftext|>"], d + "/out", d + "/ck")
     q.awaitTermination()
-    got = {r.piece: r.n for r in spark.read.parquet(d + "/out").collect()}
+    got = {r.piece: r.n for r in CS.read_word_frequencies(spark, d + "/out").collect()}
     exp = {r.piece: r.n for r in pretoken.word_frequencies(spark.read.parquet(src), ["<|endoftext|>"]).collect()}
     assert got == exp
 
@@ -28,3 +28,21 @@ def test_stream_encode_equal_batch(spark, small_docs):
     got = {r.doc_id: list(r.ids) for r in spark.read.parquet(d + "/sink").collect()}
     exp = {r.doc_id: list(r.ids) for r in codec.encode_corpus(spark.read.parquet(src), tok).collect()}
     assert got == exp
+
+
+def test_many_files_and_a_restart(spark):
+    """Several micro-batches, a second run over new files, and a replayed batch."""
+    d = tempfile.mkdtemp(prefix="tokenloom-test-stream-")
+    docs = spark.createDataFrame([(i, f"one two w{i % 5} the end") for i in range(40)], "doc_id long, text string")
+    docs.where("doc_id < 20").repartition(5).write.parquet(d + "/src")
+    run = lambda: CS.stream_word_frequencies(
+        spark, d + "/src", docs.schema, [], d + "/out", d + "/ck", max_files_per_trigger=2
+    ).awaitTermination()
+    run()
+    docs.where("doc_id >= 20").repartition(3).write.mode("append").parquet(d + "/src")
+    run()
+    run()  # nothing new
+    got = {r.piece: r.n for r in CS.read_word_frequencies(spark, d + "/out").collect()}
+    exp = {r.piece: r.n for r in pretoken.word_frequencies(docs, []).collect()}
+    assert got == exp
+    assert spark.read.parquet(d + "/out").select("batch_id").distinct().count() > 2

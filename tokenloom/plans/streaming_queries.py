@@ -34,7 +34,7 @@ def q_stream_word_frequencies(spark, sf_dir):
     out, ck = scratch_path(spark, "stream-wf"), scratch_path(spark, "stream-wf-ck")
     q = CS.stream_word_frequencies(spark, src, schema, SPECIALS, out, ck)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return CS.read_word_frequencies(spark, out)
 
 
 # the streams must equal their batch forms: same oracles

@@ -4,11 +4,10 @@
 lazy per-item encoding of the reference), stateless, appended to a parquet
 sink; restartable from its checkpoint.
 
-`stream_word_frequencies`: running piece counts of a growing corpus.  The
-aggregation keeps one state row per distinct piece (RocksDB store when asked);
-each micro-batch's complete result overwrites the output table from
-`foreachBatch`, so a replayed batch rewrites the same table (idempotent) and
-nothing is collected to the driver.
+`stream_word_frequencies`: running piece counts of a growing corpus.  Each
+micro-batch writes its own counts below its batch id, from `foreachBatch`, so a
+replayed batch replaces its delta and older ones are never touched; readers
+sum the deltas.  No state store is kept.
 """
 
 from __future__ import annotations
@@ -21,10 +20,11 @@ from tokenloom.operators.bpe import Tokenizer
 from tokenloom.operators.codec import broadcast_tokenizer, encode_udf, pieces_for_encoding
 from tokenloom.operators.pretoken import training_pieces
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Files of one micro-batch, unless the caller says otherwise.
+MAX_FILES_PER_TRIGGER = 256
 
 
-def document_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = 1) -> DataFrame:
+def document_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
 
 
@@ -35,10 +35,16 @@ def encode_stream(docs: DataFrame, tok: Tokenizer, text_col: str = "text") -> Da
 
 
 def stream_encode(
-    spark: SparkSession, source: str, schema, tok: Tokenizer, sink: str, checkpoint: str
+    spark: SparkSession,
+    source: str,
+    schema,
+    tok: Tokenizer,
+    sink: str,
+    checkpoint: str,
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
 ) -> StreamingQuery:
     """Encode every new document file; append (doc_id, ids) to parquet."""
-    enc = encode_stream(document_stream(spark, source, schema), tok)
+    enc = encode_stream(document_stream(spark, source, schema, max_files_per_trigger), tok)
     return (
         enc.writeStream.format("parquet")
         .option("path", sink)
@@ -49,11 +55,6 @@ def stream_encode(
     )
 
 
-def word_frequency_stream(docs: DataFrame, specials: list[str]) -> DataFrame:
-    """Streaming piece counts (same pieces as batch training)."""
-    return training_pieces(docs, specials).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-
-
 def stream_word_frequencies(
     spark: SparkSession,
     source: str,
@@ -61,23 +62,28 @@ def stream_word_frequencies(
     specials: list[str],
     out: str,
     checkpoint: str,
-    rocksdb: bool = True,
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
 ) -> StreamingQuery:
-    """Running counts, complete mode; each batch overwrites `out`."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if rocksdb and "HDFSBackedStateStoreProvider" in (spark.conf.get(key, "") or "HDFSBackedStateStoreProvider"):
-        # one state row per distinct piece: unbounded, so keep it in RocksDB;
-        # a provider the session already chose is left alone
-        spark.conf.set(key, ROCKSDB)
-    counts = word_frequency_stream(document_stream(spark, source, schema), specials)
+    """Piece counts of every new document file, as one delta per micro-batch.
+
+    A batch's counts are written below its own batch id, so a batch that is
+    replayed after a failure replaces its delta, and what is already there is
+    never rewritten: the cost of a batch does not grow with the stream.
+    `read_word_frequencies` sums the deltas."""
+    docs = document_stream(spark, source, schema, max_files_per_trigger)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        counts = training_pieces(batch, specials).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+        counts.write.mode("overwrite").parquet(f"{out}/batch_id={epoch}")
 
     return (
-        counts.writeStream.outputMode("complete")
-        .foreachBatch(write)
+        docs.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_word_frequencies(spark: SparkSession, out: str) -> DataFrame:
+    """(piece, n) over all micro-batches written so far."""
+    return spark.read.parquet(out).groupBy("piece").agg(F.sum("n").alias("n"))
