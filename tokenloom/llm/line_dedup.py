@@ -335,8 +335,8 @@ def _bit_table(values: DataFrame):
     return values.sparkSession.sparkContext.broadcast(words)
 
 
-def _lines_of(lines: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
-    """(id, columns) of the lines in `ids`."""
+def _near_lines_of(lines: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
+    """(id, columns) of the lines in the one-column frame `ids`, and of few others."""
     wanted = _bit_table(ids)
 
     def filtered(batches):
@@ -344,16 +344,21 @@ def _lines_of(lines: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
             yield b.filter(pa.array(_has(wanted.value, b.column(0).to_numpy())))
 
     some = lines.select("id", *columns)
-    return some.mapInArrow(filtered, some.schema).join(ids, "id", "left_semi")
+    return some.mapInArrow(filtered, some.schema)
+
+
+def _lines_of(lines: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
+    """(id, columns) of the lines in `ids`."""
+    return _near_lines_of(lines, ids, *columns).join(ids, "id", "left_semi")
 
 
 def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """(id, more, gone) for every later line of `pairs`."""
+    """(id, more, gone) for every later line of `pairs`.  Token sets travel
+    twice: the earlier lines' to the pairs, both to the later lines."""
     pairs = written(pairs.groupBy("id", "n", "to", "to_n").agg(F.max("more").alias("more")), "line_pairs")
-    ids = pairs.select("id").unionByName(pairs.select(F.col("to").alias("id"))).distinct()
-    sets = written(_lines_of(lines, ids, "tokens"), "line_sets")
-    to = sets.select(F.col("id").alias("to"), F.col("tokens").alias("to_tokens"))
-    both = pairs.join(to, "to").join(sets, "id")
+    early = _near_lines_of(lines, pairs.select("to"), "tokens")
+    late = _near_lines_of(lines, pairs.select("id"), "tokens")
+    both = pairs.join(early.select(F.col("id").alias("to"), F.col("tokens").alias("to_tokens")), "to").join(late, "id")
     overlap = F.size(F.array_intersect("tokens", "to_tokens"))
     near = overlap >= F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("to_n")) - 1e-9
     return both.groupBy("id").agg(F.max("more").alias("more"), F.max(near).alias("gone"))
