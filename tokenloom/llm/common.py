@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.session import checkpoint_dir, scratch_path, ship_package
+from tokenloom.session import scratch_path, ship_package
 
 #: Word separators of every contract: space and the ASCII controls 9 to 13.
-WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -34,11 +33,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in one job (eager checkpoints count the rows first)."""
-    return written(df, "step")
-
-
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether `df` has at most `max_rows` rows, read no further than needed."""
     return df.limit(max_rows + 1).count() <= max_rows
@@ -77,4 +71,4 @@ def slices(batches, rows: int = 256):
             yield b.slice(at, rows)
 
 
-__all__ = ["kept", "slices", "WORD", "SPACES", "table", "rows_of", "written", "checkpointed", "fits", "checkpoint_dir"]
+__all__ = ["SPACES", "fits", "kept", "rows_of", "scratch_path", "slices", "table", "written"]

@@ -210,7 +210,6 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it (0, 1 or 2 times), columns unchanged."""
     sized = written(sizes(docs), "sized")
     plan = mix_plan(sized, weights, share)
-    plan = plan.select(*(F.col(c) for c in plan.columns))
     whole = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
     rows = whole.select(
         "doc", F.col("doc.source").alias("source"), word_counts(F.col("doc.text")).alias("size"),

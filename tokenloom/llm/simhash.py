@@ -171,7 +171,6 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP) -> DataF
     (3 at most, the budget of the four-segment ring) into their components."""
     if not 0 <= max_bits <= 3:
         raise ValueError("four segments serve distances up to 3")
-    spark = fps.sparkSession
     distinct = fps.select("fp").distinct()
     keys = F.array(*(F.struct(F.lit(i).alias("start"), F.lit(_signed(m)).alias("mask")) for i, m in root_masks()))
     keyed = distinct.select("fp", F.explode(keys).alias("k")).select(
