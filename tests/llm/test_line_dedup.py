@@ -71,3 +71,12 @@ def test_hot_lists_in_blocks_and_few_candidates(spark, tmp_path):
 
 def test_empty(spark, tmp_path):
     assert dedup_lines(stored(spark, tmp_path / "d", [])).collect() == []
+
+
+def test_many_variants_of_one_line(spark, tmp_path):
+    """Lines that differ in one token are not taken for equal: all but the first go."""
+    lines = ["the report of day %d was sent to all" % i for i in range(20_000)]
+    lines = [line + " our members" for line in lines]  # 10 words, 9 of them shared
+    rows = [(i, "\n".join(lines[i * 100 : i * 100 + 100]), "en", "s", 0, 0, 0, 0, "") for i in range(200)]
+    got = dedup_lines(stored(spark, tmp_path / "d", rows))
+    assert {r.doc_id: r.text for r in got.collect() if r.text} == {0: lines[0]}

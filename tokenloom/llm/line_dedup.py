@@ -140,8 +140,8 @@ def rarity(lines: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return rank, counts[order]
 
 
-# `shape` packs what a pair is judged by: 24 bits of n, 21 of pos, 19 of the set's sum
-POSTINGS = "key long, doc_id long, id long, sign long, shape long"
+# `shape` packs 24 bits of n and 21 of pos; `same`, the whole sum of the set, decides equality
+POSTINGS = "key long, doc_id long, id long, same long, sign long, shape long"
 
 
 def _needed(n: np.ndarray, similarity: float) -> np.ndarray:
@@ -184,7 +184,7 @@ def _postings(table, similarity: float, block: int, only=None):
             if only is not None:
                 keep &= _has(only.value, flat)
             flat, pos, owner, count = flat[keep], pos[keep], owner[keep], count[keep]
-            shape = (n[owner] << 40 | pos << 19 | same[owner] & 0x7FFFF).astype(np.int64)
+            shape = (n[owner] << 40 | pos << 19).astype(np.int64)
             if (count > block).any():
                 parts = 1 + count // block
                 home = (same[owner].view(np.uint64) % parts.astype(np.uint64)).astype(np.int64)
@@ -195,7 +195,8 @@ def _postings(table, similarity: float, block: int, only=None):
                 flat = flat[copies] + part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 owner, shape = owner[copies], shape[copies]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (flat.view(np.int64), doc[owner], ids[owner], sign[owner], shape)], _names(POSTINGS)
+                [pa.array(x) for x in (flat.view(np.int64), doc[owner], ids[owner], same[owner], sign[owner], shape)],
+                _names(POSTINGS),
             )
 
     return run
@@ -248,10 +249,10 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
         # equal sets in one list: the earliest stands for all
         n = len(c["key"])
         group = np.concatenate([[0], np.cumsum(c["key"][1:] != c["key"][:-1])])
-        order = np.lexsort((np.arange(n), c["shape"], c["sign"], group))
+        order = np.lexsort((np.arange(n), c["shape"], c["same"], group))
         a, b = order[1:], order[:-1]
         again = np.zeros(n, dtype=bool)
-        again[a] = (group[a] == group[b]) & (c["shape"][a] == c["shape"][b]) & (c["sign"][a] == c["sign"][b])
+        again[a] = (group[a] == group[b]) & (c["shape"][a] == c["shape"][b]) & (c["same"][a] == c["same"][b])
         c = {k: v[~again] for k, v in c.items()}
         c["n"], c["pos"] = c["shape"] >> 40, c["shape"] >> 19 & 0x1FFFFF
         group = group[~again]
