@@ -1,8 +1,11 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from helpers import documents, stored
 
+from tokenloom.llm import line_dedup
 from tokenloom.llm.line_dedup import dedup_lines, duplicate_lines
 
 
@@ -80,3 +83,24 @@ def test_many_variants_of_one_line(spark, tmp_path):
     rows = [(i, "\n".join(lines[i * 100 : i * 100 + 100]), "en", "s", 0, 0, 0, 0, "") for i in range(200)]
     got = dedup_lines(stored(spark, tmp_path / "d", rows))
     assert {r.doc_id: r.text for r in got.collect() if r.text} == {0: lines[0]}
+
+
+def postings(n, does):
+    """One list of n near-copies of ten words (no sum twice, all signatures alike)."""
+    at = np.arange(n)
+    shape = np.full(n, 10 << 40 | does)
+    return [np.full(n, 7), at, at, at * 977, np.zeros(n, dtype=np.int64), shape]
+
+
+def test_only_lines_that_look_give_pairs():
+    """Round two: three looking lines in a list of 2,000 have pairs with all
+    earlier lines, the others none, and no batch holds the whole list's pairs."""
+    everyone = postings(2000, line_dedup.MET)
+    looks = [c[[5, 900, 1999]] for c in postings(2000, line_dedup.LOOKING)]
+    both = [np.concatenate(c) for c in zip(everyone, looks)]
+    both = [c[np.lexsort((both[2], both[1]))] for c in both]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in both], line_dedup._names(line_dedup.POSTINGS))
+    got = list(line_dedup._meet(0.8, None)(iter([batch])))
+    pairs = Counter((i, j) for b in got for i, j in zip(b["id"].to_pylist(), b["to"].to_pylist()))
+    assert pairs == Counter((i, j) for i in (5, 900, 1999) for j in range(i))
+    assert max(b.num_rows for b in got) <= 3 * 256

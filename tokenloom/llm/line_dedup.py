@@ -23,7 +23,7 @@ the like say nothing about copying.
 4. Pairs are verified on the full token sets.  A line that one verified pair
    removes is done, so groups of near-copies never give all their pairs.  Lines
    that had more candidates and were not removed go through step 3 again with
-   all their candidates.
+   all their candidates: only they look there, all others are only met.
 5. Lines whose set equals an earlier line's go without any pair: one
    aggregation finds the first line of each set.
 
@@ -140,16 +140,20 @@ def rarity(lines: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return rank, counts[order]
 
 
-# `shape` packs 24 bits of n and 21 of pos; `same`, the whole sum of the set, decides equality
+# `shape` packs 24 bits of n, 21 of pos and 2 of MET and LOOKING; `same`, the whole sum of the set, decides equality
 POSTINGS = "key long, doc_id long, id long, same long, sign long, shape long"
 
 
+#: What a line does in its lists: it is met by later lines, it looks for earlier ones, or both.
+MET, LOOKING, BOTH = 1, 2, 3
+
+
 def _needed(n: np.ndarray, similarity: float) -> np.ndarray:
     """Smallest overlap or length, ceil(similarity * n), safe against rounding."""
     return np.ceil(similarity * n - 1e-9).astype(np.int64)
 
 
-def _postings(table, similarity: float, block: int, only=None):
+def _postings(table, similarity: float, block: int, only=None, does: int = BOTH):
     """Lines -> one row per prefix token (and per block pair of a hot token).
 
     A token's sort value has the rank of its bucket in front and its other bits
@@ -184,7 +188,7 @@ def _postings(table, similarity: float, block: int, only=None):
             if only is not None:
                 keep &= _has(only.value, flat)
             flat, pos, owner, count = flat[keep], pos[keep], owner[keep], count[keep]
-            shape = (n[owner] << 40 | pos << 19).astype(np.int64)
+            shape = (n[owner] << 40 | pos << 19 | does).astype(np.int64)
             if (count > block).any():
                 parts = 1 + count // block
                 home = (same[owner].view(np.uint64) % parts.astype(np.uint64)).astype(np.int64)
@@ -205,7 +209,7 @@ def _postings(table, similarity: float, block: int, only=None):
 PAIRS = "id long, n int, to long, to_n int, more boolean"
 
 
-def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256):
+def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256, wide: int = 4096):
     """Postings sorted by key and place -> candidate pairs, later line first.
 
     `kept`: most candidates of a line from one list, None for all; `more` says
@@ -219,31 +223,33 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
         ok = np.minimum(ni, nj) >= similarity * np.maximum(ni, nj) - 1e-9
         # the shared token and what follows it on either side
         ok &= np.minimum(ni - c["pos"][i], nj - c["pos"][j]) >= needed
+        ok &= c["id"][i] != c["id"][j]
         apart = np.bitwise_count(c["sign"][i] ^ c["sign"][j])
         return ok & (apart <= ni + nj - 2 * needed)
 
     def in_large(c, lo, hi):
-        """One large list: chunks of the earliest lines against all lines still looking."""
-        looking = np.arange(lo + 1, hi)
+        """One large list: chunks of the earliest lines against all lines still
+        looking; yields the pairs of a chunk at a time, (late, early, more)."""
+        looking = lo + np.flatnonzero(c["shape"][lo:hi] & LOOKING)
+        met = lo + np.flatnonzero(c["shape"][lo:hi] & MET)
         found = np.zeros(hi - lo, dtype=np.int64)
-        pairs = []
-        for start in range(lo, hi, chunk):
-            looking = looking[looking > start]
+        for start in range(0, len(met), chunk):
+            early = met[start : start + chunk]
+            looking = looking[looking > early[0]]
             if not len(looking):
                 break
-            early = np.arange(start, min(start + chunk, hi))
-            for at in range(0, len(looking), 4096):
-                late = looking[at : at + 4096]
+            for at in range(0, len(looking), wide):
+                late = looking[at : at + wide]
                 ok = passes(c, early[:, None], late[None, :]) & (early[:, None] < late[None, :])
                 if kept is not None:
                     ok &= np.cumsum(ok, axis=0) + found[late - lo] <= kept
-                e, x = np.nonzero(ok)
-                pairs.append((late[x], early[e]))
                 found[late - lo] += ok.sum(axis=0)
+                e, x = np.nonzero(ok)
+                if len(e):
+                    # a line that found `kept` may have had more
+                    yield late[x], early[e], found[late[x] - lo] >= (kept or 1 << 60)
             if kept is not None:
                 looking = looking[found[looking - lo] < kept]
-        late, early = (np.concatenate(p) for p in zip(*pairs)) if pairs else (np.zeros(0, int), np.zeros(0, int))
-        return late, early, found[late - lo] >= (kept or 1 << 60)
 
     def batch(c):
         # equal sets in one list: the earliest stands for all
@@ -266,7 +272,7 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
         while len(at):
             at = at[at + lag < n]
             at = at[group[at] == group[at + lag]]
-            ok = passes(c, at, at + lag)
+            ok = passes(c, at, at + lag) & (c["shape"][at] & MET > 0) & (c["shape"][at + lag] & LOOKING > 0)
             early.append(at[ok])
             late.append(at[ok] + lag)
             lag += 1
@@ -280,8 +286,13 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
             many = np.unique(late[rank >= kept])
             late, early = late[rank < kept], early[rank < kept]
             more = np.isin(late, many)
-        parts = [(late, early, more)] + [in_large(c, lo, hi) for lo, hi in zip(starts, ends) if hi - lo > small]
-        late, early, more = (np.concatenate(p) for p in zip(*parts))
+        yield out(c, late, early, more)
+        for lo, hi in zip(starts, ends):
+            if hi - lo > small:
+                for part in in_large(c, lo, hi):
+                    yield out(c, *part)
+
+    def out(c, late, early, more):
         columns = [c["id"][late], c["n"][late].astype(np.int32), c["id"][early], c["n"][early].astype(np.int32), more]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], _names(PAIRS))
 
@@ -296,9 +307,9 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
             cut = int(change[-1]) + 1 if len(change) else 0
             rest = {k: v[cut:] for k, v in c.items()}
             if cut > 1:
-                yield batch({k: v[:cut] for k, v in c.items()})
+                yield from batch({k: v[:cut] for k, v in c.items()})
         if rest is not None and len(rest["key"]) > 1:
-            yield batch(rest)
+            yield from batch(rest)
 
     return run
 
@@ -365,8 +376,14 @@ def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFram
     return both.groupBy("id").agg(F.max("more").alias("more"), F.max(near).alias("gone"))
 
 
-def _pairs(lines: DataFrame, table, similarity: float, block: int, kept: int | None, only=None) -> DataFrame:
-    listed = lines.mapInArrow(_postings(table, similarity, block, only), POSTINGS)
+def _pairs(lines: DataFrame, table, similarity: float, block: int, kept: int | None, only=None, looking=None) -> DataFrame:
+    """Candidate pairs of `lines`; of those in `looking`, if given, with all of
+    `lines` in the lists `only`."""
+    if looking is None:
+        listed = lines.mapInArrow(_postings(table, similarity, block), POSTINGS)
+    else:
+        listed = lines.mapInArrow(_postings(table, similarity, block, only, MET), POSTINGS)
+        listed = listed.unionByName(looking.mapInArrow(_postings(table, similarity, block, None, LOOKING), POSTINGS))
     met = listed.repartition("key").sortWithinPartitions("key", "doc_id", "id")
     return met.mapInArrow(_meet(similarity, kept), PAIRS)
 
@@ -391,9 +408,10 @@ def duplicate_lines(
     again = done.where("more AND NOT gone").select("id")
     if not again.isEmpty():
         # only the lists that such a line stands in
-        some = _lines_of(lines, again, *(c for c in _names(LINES) if c != "id"))
-        keys = some.mapInArrow(_postings(table, similarity, block), POSTINGS).select("key").distinct()
-        pairs = _pairs(lines, table, similarity, block, None, _bit_table(keys)).join(again, "id", "left_semi")
+        some = written(_lines_of(lines, again, *(c for c in _names(LINES) if c != "id")).select(*_names(LINES)), "again")
+        # whole lists: a block's key is not its token's
+        keys = some.mapInArrow(_postings(table, similarity, 1 << 62), POSTINGS).select("key").distinct()
+        pairs = _pairs(lines, table, similarity, block, None, _bit_table(keys), some)
         gone = gone.unionByName(_verified(pairs, lines, similarity).where("gone").select("id"))
     gone = _lines_of(lines, written(gone, "gone_ids"), "row", "line").select("row", "line")
     return gone.unionByName(equal).distinct()
