@@ -7,6 +7,7 @@ from helpers import documents, stored
 
 from tokenloom.llm import line_dedup
 from tokenloom.llm.line_dedup import dedup_lines, duplicate_lines
+from tokenloom.llm.simhash import one_of_each
 
 
 def brute(rows, similarity=0.8, min_words=5):
@@ -104,3 +105,20 @@ def test_only_lines_that_look_give_pairs():
     pairs = Counter((i, j) for b in got for i, j in zip(b["id"].to_pylist(), b["to"].to_pylist()))
     assert pairs == Counter((i, j) for i in (5, 900, 1999) for j in range(i))
     assert max(b.num_rows for b in got) <= 3 * 256
+
+
+def test_input_split_otherwise_after_the_search(spark, tmp_path):
+    """Decisions hold for their rows when the files are packed anew before the result is read."""
+    docs = stored(spark, tmp_path / "d", noisy(40))
+    expected = Counter(t for t in brute(noisy(40)).values())
+    whole, firsts = dedup_lines(docs), one_of_each(docs)
+    before = Counter(r.doc_id for r in one_of_each(docs).collect())
+    names = ["spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes"]
+    try:
+        for name in names:
+            spark.conf.set(name, "1")
+        assert Counter(r.text for r in whole.collect()) == expected
+        assert Counter(r.doc_id for r in firsts.collect()) == before
+    finally:
+        for name in names:
+            spark.conf.unset(name)

@@ -33,6 +33,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row, doc) of every row of `docs`, doc with all its columns, as a table:
+    the numbers stay the rows' own however later scans are split."""
+    ship_package(docs.sparkSession)
+    whole = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.struct(*(docs[c] for c in docs.columns)).alias("doc")
+    )
+    return written(whole, "rows")
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether `df` has at most `max_rows` rows, read no further than needed."""
     return df.limit(max_rows + 1).count() <= max_rows
@@ -71,4 +81,4 @@ def slices(batches, rows: int = 256):
             yield b.slice(at, rows)
 
 
-__all__ = ["SPACES", "fits", "kept", "rows_of", "scratch_path", "slices", "table", "written"]
+__all__ = ["SPACES", "fits", "kept", "numbered", "rows_of", "scratch_path", "slices", "table", "written"]

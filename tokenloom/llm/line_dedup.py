@@ -41,9 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import fits, slices, written
+from tokenloom.llm.common import fits, numbered, slices, written
 from tokenloom.llm.common import kept as kept_in_worker
-from tokenloom.session import ship_package
 
 SIMILARITY = 0.8
 MIN_WORDS = 5
@@ -426,12 +425,9 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int
     shortened and `n_chars`, if there, counted anew; one more column, __removed,
     has the number of lines taken out.
 
-    `docs` is scanned twice and must give the same rows in the same partitions
-    both times, as tables read from files do; write anything else first."""
-    ship_package(docs.sparkSession)
-    whole = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.struct(*(docs[c] for c in docs.columns)).alias("doc")
-    )
+    `docs` is scanned once: its rows are written with their numbers, and both
+    the search and the removal read that table."""
+    whole = numbered(docs)
     text = F.coalesce("doc.text", F.lit(""))
     last = F.lit((1 << 63) - 1)
     rows = whole.select("row", F.coalesce("doc.doc_id", last).alias("doc_id"), text.alias("text"))

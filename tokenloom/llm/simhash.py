@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import fits, kept, rows_of, slices, written
+from tokenloom.llm.common import fits, kept, numbered, rows_of, slices, written
 from tokenloom.llm.components import connected_components
 
 SHINGLE = 3
@@ -66,9 +66,9 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(row, doc_id, fp long) of every row."""
-    rows = rows_of(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+def fingerprints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(row, doc_id, fp long) of every row of `rows` (row, doc_id, text)."""
+    rows = rows_of(rows, "row", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept(("simhash",))
@@ -203,10 +203,10 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP) -> DataF
         keyed = large.mapInArrow(refine, "start int, mask long, value long, fp long").distinct()
 
 
-def _classified(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
-    """(row, doc_id, fp, first): `first` has the smallest doc_id `id` of the
+def _classified(rows: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """(row, doc_id, fp, first) of `rows` (row, doc_id, text): `first` has the smallest doc_id `id` of the
     component, nulls last, and its first row."""
-    fps = written(fingerprints(docs, shingle), "fingerprints")
+    fps = written(fingerprints(rows, shingle), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "row")
     groups = fps.groupBy("fp").agg(F.min(place).alias("first"))
     labels = connected_components(links(fps, max_bits))
@@ -220,7 +220,8 @@ def _classified(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
 def simhash_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(row, doc_id, fingerprint hex, component_id) for every row of `docs`."""
     fingerprint_hex = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return _classified(docs, shingle, max_bits).select("row", "doc_id", fingerprint_hex, F.col("first.id").alias("component_id"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return _classified(rows, shingle, max_bits).select("row", "doc_id", fingerprint_hex, F.col("first.id").alias("component_id"))
 
 
 #: Most rows to drop whose numbers are broadcast (8 MB); more are joined by a shuffle.
@@ -231,10 +232,10 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     """The rows of `docs`, columns unchanged, that come first in their component:
     smallest doc_id, then first row.
 
-    `docs` is scanned twice and must give the same rows in the same partitions
-    both times, as tables read from files do; write anything else first."""
-    found = _classified(docs, shingle, max_bits)
+    `docs` is scanned once: its rows are written with their numbers, and both
+    the search and the removal read that table."""
+    whole = numbered(docs)
+    found = _classified(whole.select("row", "doc.doc_id", "doc.text"), shingle, max_bits)
     drop = written(found.where(F.col("row") != F.col("first.row")).select(F.col("row").alias("drop")), "drop")
     drop = F.broadcast(drop) if fits(drop, BROADCAST_ROWS) else drop
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
     return whole.join(drop, F.col("row") == F.col("drop"), "left_anti").select("doc.*")
