@@ -23,7 +23,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.llm.common import scratch_path, table
-from tokenloom.llm.line_dedup import dedup_lines
+from tokenloom.llm.line_dedup import ANY_WORDS, dedup_lines
 from tokenloom.llm.mixing import mixed
 from tokenloom.llm.packing import pack
 from tokenloom.llm.quality_knn import accepted
@@ -39,7 +39,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without lines that repeat an earlier one."""
-    return dedup_lines(docs).drop("__removed")
+    return dedup_lines(docs, min_words=ANY_WORDS).drop("__removed")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

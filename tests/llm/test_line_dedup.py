@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 from helpers import documents, stored
@@ -122,3 +123,13 @@ def test_input_split_otherwise_after_the_search(spark, tmp_path):
     finally:
         for name in names:
             spark.conf.unset(name)
+
+
+def test_short_lines(spark, tmp_path):
+    """The pipeline's stage takes lines of any length; four words of five are near."""
+    extra = ["Last.", "a b c d", "a b c", "a b c", "e d c b a", "日本語", "Last.\n日本語", "a b", "c b a"]
+    rows = noisy(60, seed=5) + [(2000 + i, t, "en", "s", 0, 0, 0, 0, "") for i, t in enumerate(extra)]
+    got = corpus_pipeline.lines(spark, stored(spark, tmp_path / "d", rows), "")
+    expected = brute(rows, min_words=1)
+    assert [expected[60 + i] for i in range(9)] == ["Last.", "a b c d", "a b c", "", "", "日本語", "", "a b", ""]
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((rows[i][0], t) for i, t in expected.items())

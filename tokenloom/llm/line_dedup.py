@@ -1,10 +1,10 @@
 """Operator 5, line dedup: an exact set-similarity join of lines.
 
 A line is a \\n-separated part of a document, its tokens the set of its words.
-A line of at least MIN_WORDS words goes if an earlier line (smaller doc_id,
-then smaller line number) of at least MIN_WORDS words has a Jaccard similarity
-of SIMILARITY or more with it.  Shorter lines stay: headings, list marks and
-the like say nothing about copying.
+A line of at least `min_words` words goes if an earlier line (smaller doc_id,
+then smaller line number) of at least `min_words` words has a Jaccard similarity
+of SIMILARITY or more with it.  The query and the pipeline take every line with
+a word (ANY_WORDS); MIN_WORDS is the functions' default.
 
 1. One pass over the texts writes the lines' token sets (64-bit hashes) and
    counts the lines of each token, in HASH_BUCKETS hash buckets.
@@ -13,7 +13,9 @@ the like say nothing about copying.
    gets).  Two sets as similar as asked share a token of their prefixes, the
    first n - ceil(SIMILARITY * n) + 1 tokens.  Each line is listed under its
    prefix tokens, with its length, the token's position, and a 64-bit parity
-   signature of the set.  A task lists equal sets once, the earliest.
+   signature of the set.  A task lists equal sets once, the earliest.  Sets so
+   small that a similar one must be equal (under 4 words) are not listed: step 5
+   has them.
 3. The lists meet by token; pairs must pass the length filter, the positional
    filter (tokens left after the shared one) and the signature filter (every
    differing bit is a differing token).  A list of a hot token is cut into
@@ -46,6 +48,7 @@ from tokenloom.llm.common import kept as kept_in_worker
 
 SIMILARITY = 0.8
 MIN_WORDS = 5
+ANY_WORDS = 1
 #: Buckets of the rarity table: the leading bits of a token's hash.
 BUCKET_BITS = 17
 REST_BITS = 64 - BUCKET_BITS
@@ -180,7 +183,9 @@ def _postings(table, similarity: float, block: int, only=None, does: int = BOTH)
                 flat[s:e].sort()
             owner = np.repeat(np.arange(len(n)), n)
             pos = np.arange(len(flat)) - np.repeat(ends - n, n)
-            keep = (pos < (n - _needed(n, similarity) + 1)[owner]) & first[owner]
+            # a set one token larger is the nearest that is not equal
+            near = first & (n >= similarity * (n + 1) - 1e-9)
+            keep = (pos < (n - _needed(n, similarity) + 1)[owner]) & near[owner]
             flat, pos, owner = flat[keep], pos[keep], owner[keep]
             count = lines_of[(flat >> np.uint64(REST_BITS)).astype(np.int64)]
             keep = count > 1  # the token of a bucket of one line meets no other

@@ -65,7 +65,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = op5.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = op5.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=op5.ANY_WORDS)
     return out.withColumnRenamed("__removed", "n_removed")
 
 
