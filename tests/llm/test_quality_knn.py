@@ -3,7 +3,7 @@ import zlib
 
 from helpers import documents, frame, words
 
-from tokenloom.llm.quality_knn import accepted, quality_scores
+from tokenloom.llm.quality_knn import accepted, features, quality_scores
 
 
 def corpus(n=300, seed=8):
@@ -51,3 +51,9 @@ def test_without_labels_and_rows(spark):
     assert quality_scores(frame(spark, []), none).collect() == []
     kept = accepted(frame(spark), none)
     assert kept.columns == frame(spark).columns and kept.count() == len(documents())
+
+
+def test_shape_of_a_long_word_is_of_all_of_it():
+    one, other = "ab1" * 40 + "%%" * 30, "ab1" * 40 + "XY" * 30
+    assert (features(one)[1] != features(other)[1]).any()
+    assert (features(one)[1] == features("cd22" * 40 + "%" * 7)[1]).all()

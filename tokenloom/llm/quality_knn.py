@@ -51,7 +51,7 @@ _RUNS = [(re.compile(p), r) for p, r in ((r"[^\W\d_A-ZÀ-ÖØ-Þ]+", "a"), (r"[A
 def _buckets(word: str, memo: dict[str, tuple[int, int]]) -> tuple[int, int]:
     got = memo.get(word)
     if got is None:
-        shape = word[:64]
+        shape = word
         for pattern, to in _RUNS:
             shape = pattern.sub(to, shape)
         core = word.lower().strip(".,;:!?\"'()")
