@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.llm import chat_format as op10
+from tokenloom.llm import divergence as op13
 from tokenloom.llm import html_extract as op4
 from tokenloom.llm import line_dedup as op5
 from tokenloom.llm import mixing as op8
@@ -170,3 +171,49 @@ SELECT conv_id, turn, -1, -1, role, 'message', NULL, false, NULL,
          || '"role":' || CAST(to_json(role) AS VARCHAR) || ',"type":"message"}'
 FROM m WHERE role NOT IN ('user', 'assistant')
 """
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+  FROM documents
+), w AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d
+), kept AS MATERIALIZED (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+), c AS MATERIALIZED (
+  SELECT w.lang, w.source, w.term, CAST(count(*) AS HUGEINT) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL
+), langs AS (
+  SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(total) AS size FROM kept GROUP BY lang
+), sizes AS (
+  SELECT lang, source, sum(n) AS size FROM c GROUP BY lang, source
+), groups AS MATERIALIZED (
+  SELECT g.lang, g.source, coalesce(s.size, 0) AS size, coalesce(l.v, 0) AS v, l.size AS lang_size
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN sizes s USING (lang, source) LEFT JOIN langs l USING (lang)
+), p AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.size + 5 * g.v) AS p,
+         1 + (1000000000::HUGEINT * (k.total + 5)) // (g.lang_size + 5 * g.v) AS q
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value FROM p WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
