@@ -20,6 +20,7 @@ from tokenloom.llm import quality_knn as op7
 from tokenloom.llm import quality_rules as op2
 from tokenloom.llm import simhash as op3
 from tokenloom.llm import token_counts as op1
+from tokenloom.llm import url_filter as op12
 from tokenloom.llm.common import table
 from tokenloom.session import spread
 
@@ -217,3 +218,12 @@ WITH d AS (
 )
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
 """
+
+
+#: The rules of the url filter, host and path with their verdicts.
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+
+
+@query
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
