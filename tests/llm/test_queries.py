@@ -11,7 +11,7 @@ def test_oracles(spark):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    for name in ("op6_mtree_topk", "op10_chat_format"):
+    for name in ("op6_mtree_topk", "op10_chat_format", "op11_vector_codes", "op13_source_divergence"):
         assert digest(E.queries()[name](spark, SF).toPandas()) == digest(con.execute(E.oracle_sql()[name]).df()), name
 
 

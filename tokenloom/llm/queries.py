@@ -21,6 +21,7 @@ from tokenloom.llm import quality_rules as op2
 from tokenloom.llm import simhash as op3
 from tokenloom.llm import token_counts as op1
 from tokenloom.llm import url_filter as op12
+from tokenloom.llm import vector_codes as op11
 from tokenloom.llm.common import table
 from tokenloom.session import spread
 
@@ -227,3 +228,50 @@ URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/
 @query
 def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def _codes_sql(rounds: int) -> str:
+    """Lloyd rounds unrolled: a{i} holds the nearest entries under the codebooks b{i}."""
+    parts = ["""
+v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT r, CAST(s AS BIGINT) AS part, v[s * (len(v) // 8) + 1 : (s + 1) * (len(v) // 8)] AS x FROM v, range(8) t(s)
+), b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x FROM p WHERE r <= 16)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT r, part, CAST(m % 256 AS BIGINT) AS entry, CAST(m // 256 AS BIGINT) AS error FROM (
+    SELECT p.r, p.part, min(CAST(list_sum(list_transform(list_zip(p.x, b.x), lambda q: (q[1] - q[2]) * (q[1] - q[2]))) AS HUGEINT) * 256 + b.entry) AS m
+    FROM p JOIN b{i} b USING (part) GROUP BY p.r, p.part)
+)""")
+        if i < rounds:
+            parts.append(f"""
+b{i + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(n.x, b.x) AS x FROM b{i} b LEFT JOIN (
+    SELECT part, entry, list(CAST((s - ((s % c) + c) % c) // c AS BIGINT) ORDER BY i) AS x FROM (
+      SELECT part, entry, i, sum(x[i]) AS s, count(*) AS c
+      FROM (SELECT a.part, a.entry, p.x, unnest(generate_series(1, len(p.x))) AS i FROM a{i} a JOIN p USING (r, part))
+      GROUP BY part, entry, i)
+    GROUP BY part, entry) n USING (part, entry)
+)""")
+    return "WITH " + ",".join(parts) + f""",
+c AS (
+  SELECT r, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' ORDER BY part) AS code, CAST(sum(error) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY r
+), l AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM c JOIN v USING (r) GROUP BY label)
+SELECT v.vec_id, c.code, c.error, l.label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM v JOIN c USING (r) JOIN l ON v.label IS NOT DISTINCT FROM l.label
+"""
+
+
+ORACLES["op11_vector_codes"] = _codes_sql(op11.ROUNDS)
