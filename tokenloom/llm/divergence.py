@@ -134,6 +134,8 @@ def term_ids(kept: DataFrame, width: int) -> DataFrame:
     terms = terms.withColumn("octave", F.floor(F.log2(F.col("total").cast("double"))))
     sizes = terms.groupBy("lang", "octave").agg(F.ceil(F.count("*") / (width // 2)).alias("parts"))
     dealt = terms.join(sizes, ["lang", "octave"]).withColumn("part", F.pmod(F.xxhash64("term"), F.col("parts")))
+    # by part, too: the join alone would leave an octave of a language in one task
+    dealt = dealt.repartition("lang", "octave", "part")
     at = F.row_number().over(Window.partitionBy("lang", "octave", "part").orderBy(F.desc("total"), "term")) - 1
     # a part that chance made longer than a block goes on in another block
     block = F.concat_ws(":", "octave", "part", F.floor(F.col("n") / width))
