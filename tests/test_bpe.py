@@ -67,22 +67,51 @@ def test_longest_token(spark, small_docs):
     assert row.token_id == best[0]
 
 
-def test_incremental_pair_counts_equal_full_recount(spark, small_docs):
-    a = bpe.train_bpe(small_docs, 257 + 25, [SPECIAL], incremental=False)
-    b = bpe.train_bpe(small_docs, 257 + 25, [SPECIAL], incremental=True)
-    assert a.merges == b.merges and a.merge_counts == b.merge_counts
+def golden_size_docs(spark, n_bytes=133_027):
+    """sf0.01 documents up to a text of the published benchmark's size."""
+    texts, size = [], 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").select("text").toLocalIterator():
+        texts.append(r.text)
+        size += len(r.text.encode())
+        if size >= n_bytes:
+            return texts
+    return texts
+
+
+def test_golden_size_in_few_rounds(spark):
+    texts = golden_size_docs(spark)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tok = bpe.train_bpe(docs, 500, [SPECIAL])
+    assert tok.merges == bruteforce.train(texts, 243, [SPECIAL])
+    assert len(tok.merges) == 243 and bpe.train_bpe_words.last_rounds <= 8
+
+
+def test_wrong_guesses_cost_rounds_only(spark, small_docs):
+    """A forecast from three words, or none, gives the same merges and counts."""
+    from tokenloom.operators import pretoken
+
+    words = bpe.words_table(pretoken.word_frequencies(small_docs, [SPECIAL]))
+    full = bpe.train_bpe_words(words, 40)
+    for head in (0, 3):
+        assert bpe.train_bpe_words(words, 40, batch=8, head_words=head) == full
 
 
-def test_update_pair_counts_matches_recount(spark, small_docs):
+def test_merge_changes_match_recounts(spark, small_docs):
     from tokenloom.operators import pretoken
 
-    words = bpe.words_table(pretoken.word_frequencies(small_docs, [SPECIAL]))
-    pc = bpe.pair_counts(words)
-    top = bpe.top_pairs(pc, 3).collect()
-    step = [(top[0]["l"], top[0]["r"])]
-    upd = {(r.l, r.r): r.c for r in bpe.update_pair_counts(pc, words, step).collect()}
-    full = {(r.l, r.r): r.c for r in bpe.pair_counts(bpe.apply_merge(words, step)).collect()}
-    assert upd == full
+    words = bpe.words_table(pretoken.word_frequencies(small_docs, [SPECIAL])).cache()
+    step = [("20", "74"), ("74", "68"), ("68", "65"), ("2074", "68"), ("65", "20"), ("65", "72")]
+    changes = [tuple(r) for r in bpe.merge_changes(words, step).collect()]
+    state = {(r.l, r.r): r.c for r in bpe.pair_counts(words).collect()}
+    for i in range(len(step)):
+        for s, l, r, n in changes:
+            if s == i:
+                state[l, r] = state.get((l, r), 0) + n
+        after = words
+        for m in step[: i + 1]:
+            after = bpe.apply_merge(after, [m])
+        assert {p: c for p, c in state.items() if c} == {(r.l, r.r): r.c for r in bpe.pair_counts(after).collect()}
+    assert sorted(map(tuple, bpe.walked(words, step).collect())) == sorted(map(tuple, after.collect()))
 
 
 def test_alternating_pair_overlap(spark):

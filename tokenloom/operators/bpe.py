@@ -8,25 +8,25 @@ and compares symbols by their bytes (two merge paths giving the same bytes give
 the same symbol).  Hex text orders like unsigned bytes, so the greatest
 `(count, left, right)` is the next merge.
 
-One round = one job over the word table: pair counts, of which the top 1,024
-reach the driver.  From that list the driver bounds the counts any accepted
-merge can create and accepts the prefix the one-merge-at-a-time loop would
-pick too, so the merges are exactly the sequential ones.  The accepted merges
-are applied as a lazy projection, cut by a reliable checkpoint every few
-rounds.  Only that bounded list ever reaches the driver.
+A round guesses a run of merges from the most frequent words, has every word
+say what each of them would change, and takes the guesses as far as each is the
+best pair at its turn, so the merges are exactly the sequential ones.  Only the
+bounded list of most frequent words and pairs ever reaches the driver.
 """
 
 from __future__ import annotations
 
 import hashlib
-import time
+from collections import Counter
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.functions.merge_walk import Forecast, bracketed, pair_changes, symbols, turns, walk
 from tokenloom.operators.pretoken import piece_bytes, word_frequencies
-from tokenloom.session import cut_lineage, persist
+from tokenloom.session import cut_lineage, persist, ship_package
 
 
 # ---------------------------------------------------------------- data types
@@ -138,140 +138,161 @@ def apply_merge(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     return words.selectExpr(f"{merge_sql('sym', merges)} AS sym", "n").where("instr(sym, '><') > 0")
 
 
-def pair_rows(words: DataFrame, sign: int = 1) -> DataFrame:
-    """One row per adjacent pair occurrence, weighted by the word count."""
-    ex = words.selectExpr(f"explode(regexp_extract_all(sym, '{PAIR_RE}', 1)) AS p", f"n * {int(sign)} AS n")
-    return ex.selectExpr(f"{_SPLIT_L} AS l", f"{_SPLIT_R} AS r", "n")
-
-
-def update_pair_counts(pairs: DataFrame, words: DataFrame, step: list[tuple[str, str]]) -> DataFrame:
-    """Pair counts after merging `step`: only words holding a merged pair
-    change; their old pairs are subtracted and new pairs added, and zero
-    counts drop out.  Equal to a full recount."""
-    pattern = "|".join(f"<{l}><{r}>" for l, r in step)
-    touched = words.where(F.col("sym").rlike(pattern))
-    delta = pair_rows(touched, -1).unionByName(pair_rows(apply_merge(touched, step), 1))
-    both = pairs.select("l", "r", F.col("c").alias("n")).unionByName(delta)
-    return both.groupBy("l", "r").agg(F.sum("n").alias("c")).where(F.col("c") != 0)
-
-
-def _accept_batch(top: list, merged: set[str], remaining: int):
-    """Choose the prefix of `top` that the one-at-a-time loop would pick too.
-
-    Stop before candidate j if it shares a symbol with an accepted pair, if its
-    joined bytes already name a symbol (its counts could rise), or if its count
-    is not strictly above the bound on pairs created by accepted merges.
-    Disjoint merges do not change each other's counts, so the prefix is exact.
-    """
-    first = top[0]
-    accepted = [first]
-    if first["l"] + first["r"] in merged:
-        return accepted  # an existing symbol's counts may rise: batch of one
-    used = {first["l"], first["r"]}
-    seen = {first["l"] + first["r"]}
-    u = first["bound"]
-    for row in top[1:]:
-        if len(accepted) >= remaining:
-            break
-        l, r = row["l"], row["r"]
-        j = l + r
-        if l in used or r in used or j in merged or j in seen or row["c"] <= u:
-            break
-        accepted.append(row)
-        used |= {l, r}
-        seen.add(j)
-        u = max(u, row["bound"])
-    return accepted
-
-
-INCREMENTAL_MIN_WORDS = 2_000_000  # word-table rows from which rounds update pair counts
-WORDS_PER_PARTITION = 20_000  # word-table rows per partition of the merge loop
-
-
-def bounds_from_top(top: list) -> list[int]:
-    """Driver-side bounds for ranked pairs from the top-k list alone: a pair
-    not listed counts at most the last listed count, so for (l, r) the bound
-    is the greatest of: listed pairs ending in l, listed pairs starting with
-    r, and that floor; capped by the pair's own count."""
-    into: dict[str, int] = {}
-    out_of: dict[str, int] = {}
-    for row in top:
-        into[row["r"]] = max(into.get(row["r"], 0), row["c"])
-        out_of[row["l"]] = max(out_of.get(row["l"], 0), row["c"])
-    return [min(row["c"], max(into.get(row["l"], 0), out_of.get(row["r"], 0))) for row in top]
+# ------------------------------------------------------------- training loop
+#: Most frequent words that the driver forecasts merges from; a bounded list
+#: that guides the rounds and never decides a merge.
+HEAD_WORDS = 1 << 16
+#: Words of more hex characters take no part in the forecast (they do in every count).
+HEAD_WIDTH = 512
+#: Most frequent pairs whose exact counts a forecast starts from.
+RANKED = 1024
+#: Word-table rows per partition of the loop.
+WORDS_PER_PARTITION = 20_000
+#: (merge, pair) changes that a task gathers before it passes them on.
+FLUSH = 1 << 18
+
+
+def walked(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """The word table after the merges, in order; one-symbol words drop out."""
+    ship_package(words.sparkSession)
+    at = turns(merges)
+
+    def run(batches):
+        for b in batches:
+            after = [bracketed(walk(symbols(w), at)) for w in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(after, pa.string()), b.column(1)], ["sym", "n"])
+
+    return words.select("sym", F.col("n").cast("long")).mapInArrow(run, "sym string, n long").where("instr(sym, '><') > 0")
+
+
+def merge_changes(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """(step, l, r, n): by how much merge number `step` changes the count of
+    each pair, were the merges applied one after the other."""
+    ship_package(words.sparkSession)
+    at = turns(merges)
+
+    def run(batches):
+        total: Counter = Counter()
+
+        def out():
+            keys = list(total)
+            columns = [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.string())]
+            columns += [pa.array([k[2] for k in keys], pa.string()), pa.array([total[k] for k in keys], pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["step", "l", "r", "n"])
+
+        for b in batches:
+            for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+
+                def changed(step, before, after, n=n):
+                    for (l, r), d in pair_changes(before, after).items():
+                        total[step, l, r] += d * n
+
+                walk(symbols(word), at, changed)
+                if len(total) > FLUSH:
+                    yield out()
+                    total.clear()
+        if total:
+            yield out()
+
+    parts = words.select("sym", F.col("n").cast("long")).mapInArrow(run, "step int, l string, r string, n long")
+    return parts.groupBy("step", "l", "r").agg(F.sum("n").alias("n")).where("n != 0")
+
+
+def best_by_step(pairs: DataFrame, changes: DataFrame, steps: int, least: float) -> list[tuple | None]:
+    """For each number of merges done, 0 to `steps` - 1, the best pair (c, l, r)
+    then, or None if no pair reaches `least`.
+
+    A pair that no merge changes keeps its count, so the best of those is one
+    row; a changed pair counts at each step what it had and gained so far.
+    Pairs that never reach `least` are left out before they are spread over the
+    steps, and at most `steps` + 1 rows reach the driver."""
+    of_pair = changes.groupBy("l", "r").agg(F.collect_list(F.struct("step", "n")).alias("ch"))
+    both = pairs.join(of_pair, ["l", "r"], "full_outer")
+    counts = F.expr(
+        f"transform(sequence(0, {steps - 1}), i -> coalesce(c, 0L) + aggregate(filter(ch, x -> x.step < i), 0L, (s, x) -> s + x.n))"
+    )
+    kept = F.when(F.col("ch").isNull(), F.array("c")).otherwise(counts)
+    at = both.select("l", "r", F.col("ch").isNull().alias("still"), kept.alias("cs")).where(F.array_max("cs") >= F.lit(least))
+    rows = at.select("l", "r", "still", F.posexplode("cs").alias("i", "c"))
+    found = rows.groupBy("still", "i").agg(F.max(F.struct("c", "l", "r")).alias("m")).select("still", "i", "m.*").collect()
+    still = max([(r.c, r.l, r.r) for r in found if r.still], default=None)
+    best: list[tuple | None] = [still] * steps
+    for r in found:
+        if not r.still:
+            best[r.i] = max((r.c, r.l, r.r), best[r.i] or (-1, "", ""))
+    return [b if b and b[0] >= max(least, 1) else None for b in best]
 
 
 def train_bpe_words(
-    words: DataFrame,
-    num_merges: int,
-    batch: int = 32,
-    checkpoint_every: int = 4,
-    incremental: bool | None = None,
-    ranked: int = 1024,
+    words: DataFrame, num_merges: int, batch: int = 64, checkpoint_every: int = 4, head_words: int = HEAD_WORDS
 ) -> tuple[list[tuple[str, str]], list[int]]:
     """Learn up to `num_merges` merges from a word table; hex pairs + counts.
 
-    A round is one job: the `ranked` best pairs (a bounded list) come to the
-    driver, which takes the exact batch prefix.  With `incremental`, the
-    aggregated pair table is kept and updated from the words the round
-    touches (cached, computed by the next round's job), so a round costs the
-    distinct pairs plus the touched words, not every symbol of the corpus.
-    The word table is a lazy chain of `replace` projections; both tables are
-    cut with reliable checkpoints every `checkpoint_every` rounds."""
+    A round guesses a run of merges (`Forecast`) and has all words say what
+    each would change, one pass over the word table.  With the pair table, that
+    gives the best pair after every number of merges; the guesses are taken as
+    far as each is the best pair at its turn.  So the merges, ties and counts
+    are those of the loop that merges one pair at a time, whatever was guessed,
+    and pairs that overlap or build on each other pass in one round.  The first
+    guess is the best pair of the table, so every round advances.  The pair
+    table is kept and changed by the accepted merges' rows only; both tables
+    are cut with reliable checkpoints every `checkpoint_every` rounds."""
     merges: list[tuple[str, str]] = []
     counts: list[int] = []
-    merged: set[str] = set()
-    # size the word table's partitions by its rows: AQE would coalesce this
-    # aggregate into one task, while a tiny table split over every core only
-    # adds per-task cost to every round
     words = persist(words)
     n_words = words.count()
+    # AQE would coalesce this aggregate into one task, while a tiny table over
+    # every core only adds per-task cost to every round
     parts = max(1, min(words.sparkSession.sparkContext.defaultParallelism, -(-n_words // WORDS_PER_PARTITION)))
     current = cut_lineage(words.repartition(parts))
     words.unpersist()
-    if incremental is None:
-        # a full recount re-explodes every symbol each round; past a few
-        # million distinct words the signed-delta update is cheaper
-        incremental = n_words > INCREMENTAL_MIN_WORDS
-    pairs = cut_lineage(pair_counts(current)) if incremental else None
-    stale: list[DataFrame] = []
-    rounds = 0
-    round_secs: list[float] = []
-    t0 = time.time()
+    pairs = cut_lineage(pair_counts(current))
+    short = current.where(F.length("sym") <= HEAD_WIDTH).orderBy(F.desc("n"), "sym").limit(head_words)
+    forecast = Forecast([(r.sym, r.n) for r in short.collect()])
+    most, rounds, stale, replaced = batch, 0, [], None
     while len(merges) < num_merges:
-        pc = pairs if incremental else pair_counts(current)
-        k = max(ranked, batch)
-        top = [r.asDict() for r in top_pairs(pc, k).collect()]
-        for df in stale:  # the tables this round's job has just replaced
+        known = {(r.l, r.r): r.c for r in top_pairs(pairs, RANKED).collect()}
+        for df in stale:  # the tables that this round's job has just replaced
             df.unpersist()
         stale = []
-        if not top or top[0]["c"] < 1:
+        if not known or max(known.values()) < 1:
             break
-        floor = top[-1]["c"] if len(top) == k else 0
-        for row, b in zip(top, bounds_from_top(top)):
-            row["bound"] = min(row["c"], max(b, floor))
-        accepted = _accept_batch(top[:batch], merged, num_merges - len(merges)) if batch > 1 else top[:1]
-        step = [(row["l"], row["r"]) for row in accepted]
-        merges.extend(step)
-        counts.extend(int(row["c"]) for row in accepted)
-        merged.update(l + r for l, r in step)
+        guesses = forecast.guess(known, min(most, num_merges - len(merges)))
+        first = max(known, key=lambda p: (known[p], p))
+        if not guesses or guesses[0][0] != first:
+            guesses = [(first, float(known[first]))]
+            forecast.accept(0)
+            forecast.merge(first)
+        step = [g for g, _ in guesses]
+        changes = persist(merge_changes(current, step))
+        # counts below half the last guess' are not looked at; a step whose best falls there is not taken
+        best = best_by_step(pairs, changes, len(step), min(known[first], guesses[-1][1] / 2))
+        if replaced is not None:
+            replaced.unpersist()
+        taken = 0
+        while taken < len(step) and best[taken] and best[taken][1:] == step[taken]:
+            counts.append(int(best[taken][0]))
+            taken += 1
+        merges += step[:taken]
+        most = 2 * most if taken == len(step) else max(16, 2 * taken)
         rounds += 1
-        round_secs.append(round(time.time() - t0, 3))
-        t0 = time.time()
-        if len(merges) >= num_merges:
+        if taken == 0 or len(merges) >= num_merges:
+            changes.unpersist()
             break
-        nxt_words = apply_merge(current, step)
-        nxt_pairs = update_pair_counts(pairs, current, step) if incremental else None
+        forecast.accept(taken)
+        applied = changes.where(F.col("step") < taken).select("l", "r", F.col("n").alias("c"))
+        nxt_pairs = pairs.unionByName(applied).groupBy("l", "r").agg(F.sum("c").alias("c")).where("c != 0")
+        nxt_words = walked(current, step[:taken])
         if rounds % checkpoint_every == 0:
-            if incremental:
-                nxt_pairs = cut_lineage(nxt_pairs)
-            nxt_words = cut_lineage(nxt_words)
-        elif incremental:
-            nxt_pairs = persist(nxt_pairs)
-            stale.append(pairs)
+            nxt_pairs, nxt_words = cut_lineage(nxt_pairs), cut_lineage(nxt_words)
+            for df in (changes, pairs, current):
+                df.unpersist()
+            replaced = None
+        else:
+            nxt_pairs, nxt_words = persist(nxt_pairs), persist(nxt_words)
+            stale, replaced = [changes, pairs], current
         current, pairs = nxt_words, nxt_pairs
     train_bpe_words.last_rounds = rounds
-    train_bpe_words.round_secs = round_secs
     return merges, counts
 
 
@@ -280,9 +301,8 @@ def train_bpe(
     vocab_size: int,
     specials: list[str] | None = None,
     text_col: str = "text",
-    batch: int = 32,
+    batch: int = 64,
     checkpoint_every: int = 4,
-    incremental: bool | None = None,
 ) -> Tokenizer:
     """Full training: pretokenize, count, merge until `vocab_size` ids."""
     specials = list(dict.fromkeys(specials or []))
@@ -290,7 +310,7 @@ def train_bpe(
     if vocab_size < base:
         raise ValueError(f"vocab_size must be at least {base}")
     words = words_table(word_frequencies(docs, specials, text_col))
-    hex_merges, counts = train_bpe_words(words, vocab_size - base, batch, checkpoint_every, incremental)
+    hex_merges, counts = train_bpe_words(words, vocab_size - base, batch, checkpoint_every)
     merges = [(bytes.fromhex(l), bytes.fromhex(r)) for l, r in hex_merges]
     return Tokenizer.from_merges(merges, specials, counts)
 
