@@ -111,7 +111,8 @@ def test_merge_changes_match_recounts(spark, small_docs):
         for m in step[: i + 1]:
             after = bpe.apply_merge(after, [m])
         assert {p: c for p, c in state.items() if c} == {(r.l, r.r): r.c for r in bpe.pair_counts(after).collect()}
-    assert sorted(map(tuple, bpe.walked(words, step).collect())) == sorted(map(tuple, after.collect()))
+    walked = bpe.walked(words, step).where("instr(sym, '><') > 0")
+    assert sorted(map(tuple, walked.collect())) == sorted(map(tuple, after.collect()))
 
 
 def test_alternating_pair_overlap(spark):

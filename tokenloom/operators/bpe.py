@@ -153,7 +153,7 @@ FLUSH = 1 << 18
 
 
 def walked(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
-    """The word table after the merges, in order; one-symbol words drop out."""
+    """The word table after the merges, in order."""
     ship_package(words.sparkSession)
     at = turns(merges)
 
@@ -162,7 +162,7 @@ def walked(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
             after = [bracketed(walk(symbols(w), at)) for w in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(after, pa.string()), b.column(1)], ["sym", "n"])
 
-    return words.select("sym", F.col("n").cast("long")).mapInArrow(run, "sym string, n long").where("instr(sym, '><') > 0")
+    return words.select("sym", F.col("n").cast("long")).mapInArrow(run, "sym string, n long")
 
 
 def merge_changes(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
@@ -282,7 +282,7 @@ def train_bpe_words(
         forecast.accept(taken)
         applied = changes.where(F.col("step") < taken).select("l", "r", F.col("n").alias("c"))
         nxt_pairs = pairs.unionByName(applied).groupBy("l", "r").agg(F.sum("c").alias("c")).where("c != 0")
-        nxt_words = walked(current, step[:taken])
+        nxt_words = walked(current, step[:taken]).where("instr(sym, '><') > 0")  # one symbol never pairs
         if rounds % checkpoint_every == 0:
             nxt_pairs, nxt_words = cut_lineage(nxt_pairs), cut_lineage(nxt_words)
             for df in (changes, pairs, current):

@@ -372,13 +372,15 @@ def _generate(spark, sf_dir):
 
 
 def _gen_sql() -> str:
-    """Generation in DuckDB: prompts encoded by the unrolled merge chain, the
+    """Generation in DuckDB: prompts encoded with the corpus, the
     per-context sampling table of the count model, and a recursive CTE with
     one md5-based draw per step (the same rule as `generate_batch`)."""
     from tokenloom.plans import oracle_sql as O
 
+    prompt_pieces = f"""bp_lists AS (SELECT item_id AS prompt_id, {O.pretoken_list('text')} AS ps FROM benchmark),
+bp AS (SELECT prompt_id, unnest(generate_series(0, len(ps) - 1)) AS pos, unnest(ps) AS piece FROM bp_lists)"""
     body = (
-        _stream_ctes()
+        _stream_ctes("SELECT piece FROM bp", prompt_pieces)
         + _PAIRS_SQL
         + f"""
 , cnt AS (SELECT input_id AS prev_id, target_id AS next_id, count(*) AS n FROM pairs GROUP BY ALL)
@@ -408,19 +410,11 @@ def _gen_sql() -> str:
          sum(prob) OVER (PARTITION BY prev_id) AS tot
   FROM g_nuc
 )
-, bp_lists AS (SELECT item_id AS prompt_id, {O.pretoken_list('text')} AS ps FROM benchmark)
-, bp AS (SELECT prompt_id, unnest(generate_series(0, len(ps) - 1)) AS pos, unnest(ps) AS piece FROM bp_lists)
-, bp_words AS MATERIALIZED (
-  SELECT piece, string_split(substr(s, 2, length(s) - 2), '><') AS syms
-  FROM (SELECT piece, {O.merge_chain(O.hex_sym('piece'), NUM_MERGES)} AS s FROM (SELECT DISTINCT piece FROM bp))
-)
-, bp_sym AS (SELECT piece, unnest(generate_series(0, len(syms) - 1)) AS k, unnest(syms) AS token_hex FROM bp_words)
-, bp_ids AS (SELECT b.piece, b.k, s.token_id FROM bp_sym b JOIN sym_id s USING (token_hex))
 , prompts AS (
   SELECT b.item_id AS prompt_id, coalesce(x.ids, CAST([] AS BIGINT[])) AS ids
   FROM benchmark b LEFT JOIN (
     SELECT p.prompt_id, list(CAST(i.token_id AS BIGINT) ORDER BY p.pos, i.k) AS ids
-    FROM bp p JOIN bp_ids i USING (piece) GROUP BY p.prompt_id
+    FROM bp p JOIN enc_piece_ids i USING (piece) GROUP BY p.prompt_id
   ) x ON x.prompt_id = b.item_id
 )
 , gen AS (

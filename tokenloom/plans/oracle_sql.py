@@ -63,15 +63,19 @@ def pairs_sql(words: str) -> str:
       SELECT syms, n, unnest(generate_series(1, len(syms) - 1)) AS j FROM (
         SELECT string_split(substr(sym, 2, length(sym) - 2), '><') AS syms, n FROM {words}
         WHERE instr(sym, '><') > 0)))
-  GROUP BY l, r"""
+  GROUP BY l, r HAVING sum(n) > 0"""
 
 
-def train_ctes(num_merges: int) -> str:
-    """CTEs ending in `merges(rank, l, r, c)` (hex symbols) and `w{n}`."""
+def train_ctes(num_merges: int, more: str = "") -> str:
+    """CTEs ending in `merges(rank, l, r, c)` (hex symbols) and `w{n}(piece,
+    sym, n)`, every training piece as its symbols.  `more`: SQL of further
+    pieces, carried along with the weight 0, so that they count for nothing
+    and end up encoded: each merge is applied to all words in rank order."""
+    words = "SELECT piece, n FROM freqs"
+    if more:
+        words += f" UNION ALL SELECT DISTINCT piece, 0 FROM ({more}) WHERE piece NOT IN (SELECT piece FROM freqs)"
     parts = [freqs_cte() + f""",
-w0 AS MATERIALIZED (
-  SELECT {hex_sym('piece')} AS sym, n FROM freqs WHERE instr({hex_sym('piece')}, '><') > 0
-)"""]
+w0 AS MATERIALIZED (SELECT piece, {hex_sym('piece')} AS sym, n FROM ({words}))"""]
     for i in range(1, num_merges + 1):
         parts.append(f"""
 m{i} AS MATERIALIZED (
@@ -79,7 +83,7 @@ m{i} AS MATERIALIZED (
   ORDER BY c DESC, l DESC, r DESC LIMIT 1
 ),
 w{i} AS MATERIALIZED (
-  SELECT replace(sym, '<' || m.l || '><' || m.r || '>', '<' || m.l || m.r || '>') AS sym, n
+  SELECT piece, replace(sym, '<' || m.l || '><' || m.r || '>', '<' || m.l || m.r || '>') AS sym, n
   FROM w{i - 1}, m{i} AS m
 )""")
     union = " UNION ALL ".join(f"SELECT * FROM m{i}" for i in range(1, num_merges + 1))
@@ -102,30 +106,16 @@ vocab AS (
 )"""
 
 
-def merge_chain(expr: str, num_merges: int) -> str:
-    """Apply the merges of `m1..mN` to a bracketed-hex expression in rank order."""
-    for i in range(1, num_merges + 1):
-        expr = f"replace({expr}, (SELECT '<' || l || '><' || r || '>' FROM m{i}), (SELECT '<' || l || r || '>' FROM m{i}))"
-    return expr
-
-
-def encode_ctes(num_merges: int, table: str = "documents") -> str:
-    """After `train_ctes`: `enc(doc_id, part, pos, k, token_id)` for every
-    document, pieces encoded by applying the merges in rank order (equal to
+def encode_ctes(num_merges: int) -> str:
+    """After `train_ctes`: `enc_piece_ids(piece, k, token_id)` for every piece
+    that went through the merges (applying them in rank order equals
     lowest-rank-first when no two merges give the same bytes)."""
-    chain = "ps.sym"
-    for i in range(1, num_merges + 1):
-        chain = f"replace({chain}, (SELECT '<' || l || '><' || r || '>' FROM m{i}), (SELECT '<' || l || r || '>' FROM m{i}))"
     return f"""
 sym_id AS (
   SELECT token_hex, max(token_id) AS token_id FROM vocab WHERE NOT is_special GROUP BY token_hex
 ),
-enc_pieces AS (
-  SELECT DISTINCT piece FROM ep_pieces
-),
-enc_words AS MATERIALIZED (
-  SELECT piece, string_split(substr(s, 2, length(s) - 2), '><') AS syms
-  FROM (SELECT piece, {chain.replace('ps.sym', hex_sym('piece'))} AS s FROM enc_pieces)
+enc_words AS (
+  SELECT piece, string_split(substr(sym, 2, length(sym) - 2), '><') AS syms FROM w{num_merges}
 ),
 enc_symbols AS (
   SELECT piece, unnest(generate_series(0, len(syms) - 1)) AS k, unnest(syms) AS token_hex FROM enc_words

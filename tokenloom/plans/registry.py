@@ -17,8 +17,8 @@ ORACLES: dict[str, str] = {}
 
 # shared parameters of the registered queries
 SPECIALS = [END_OF_TEXT]
-NUM_MERGES = 16  # learned merges (vocabulary 256 + 1 + 16)
-BATCH_MERGES = 32  # candidate pairs ranked per round of the merge loop
+NUM_MERGES = 243  # learned merges (vocabulary 256 + 1 + 243 = 500)
+BATCH_MERGES = 64  # merges guessed in the first round of the merge loop
 
 
 def register(name: str, oracle: str | Callable[[], str] | None = None):

@@ -15,9 +15,9 @@ STEPS, BATCH, SEED = 4, 8, 7  # batch sampling parameters
 EOT_ID = 0  # the end-of-text special has id 0
 
 
-def _stream_ctes() -> str:
+def _stream_ctes(more: str = "", ctes: str = "") -> str:
     return (
-        ENCODE_SQL()
+        ENCODE_SQL(more, ctes)
         + """,
 doc_len AS (
   SELECT d.doc_id, count(t.token_id) + 1 AS len FROM documents d LEFT JOIN doc_tokens t USING (doc_id) GROUP BY d.doc_id
@@ -91,7 +91,8 @@ def q_pack_windows(spark, sf_dir):
 
 _PAIRS_SQL = """
 , pairs AS (
-  SELECT a.gpos, a.token_id AS input_id, b.token_id AS target_id FROM stream a JOIN stream b ON b.gpos = a.gpos + 1
+  SELECT * FROM (SELECT gpos, token_id AS input_id, lead(token_id) OVER (ORDER BY gpos) AS target_id FROM stream)
+  WHERE target_id IS NOT NULL
 )"""
 
 
@@ -125,10 +126,14 @@ def sample_sql(steps: int, batch: int, seed: int, T: int) -> str:
            % ((SELECT n FROM total) - {T}) AS start
   FROM draws
 )
+, need AS (SELECT step, sample, o, start + o AS gpos FROM starts, range({T} + 1) v(o))
+, drawn AS (
+  SELECT n.step, n.sample, n.o, s.token_id AS input_id,
+         lead(s.token_id) OVER (PARTITION BY n.step, n.sample ORDER BY n.o) AS target_id
+  FROM need n JOIN stream s ON s.gpos = n.gpos
+)
 , batches AS (
-  SELECT d.step, d.sample, CAST(o AS BIGINT) AS "offset", a.token_id AS input_id, b.token_id AS target_id
-  FROM starts d, range({T}) v(o)
-  JOIN stream a ON a.gpos = d.start + o JOIN stream b ON b.gpos = d.start + o + 1
+  SELECT step, sample, CAST(o AS BIGINT) AS "offset", input_id, target_id FROM drawn WHERE o < {T}
 )"""
 
 

@@ -203,16 +203,18 @@ def ids_frame(spark, sf_dir) -> DataFrame:
     )
 
 
-ENCODE_SQL = lambda: O.with_(
-    O.train_ctes(NUM_MERGES), O.vocab_cte(), O.encode_pieces_cte(), O.encode_ctes(NUM_MERGES), O.doc_tokens_cte()
-)
+def ENCODE_SQL(more: str = "", ctes: str = "") -> str:  # noqa: N802
+    """Training and encoding of `documents`; `more`: SQL of further pieces to
+    encode, over the CTEs `ctes`."""
+    pieces = "SELECT piece FROM ep_pieces" + (f" UNION ALL {more}" if more else "")
+    return O.with_(
+        O.encode_pieces_cte(), ctes, O.train_ctes(NUM_MERGES, pieces), O.vocab_cte(), O.encode_ctes(NUM_MERGES), O.doc_tokens_cte()
+    )
 
 
 @register(
     "encode_words",
-    lambda: O.with_(
-        O.train_ctes(NUM_MERGES), O.vocab_cte(), "ep_pieces AS (SELECT piece FROM freqs)", O.encode_ctes(NUM_MERGES)
-    )
+    lambda: O.with_(O.train_ctes(NUM_MERGES), O.vocab_cte(), O.encode_ctes(NUM_MERGES))
     + "\nSELECT piece, string_agg(CAST(token_id AS VARCHAR), ' ' ORDER BY k) AS ids FROM enc_piece_ids GROUP BY piece",
 )
 def q_encode_words(spark, sf_dir):
@@ -297,7 +299,8 @@ FROM syms s LEFT JOIN vocab v ON v.token_hex = s.token_hex AND NOT v.is_special
 )
 def q_token_to_id(spark, sf_dir):
     tok = trained_tokenizer(spark, sf_dir)
-    words = bpe.apply_merge(_words(spark, sf_dir), [(a.hex().upper(), b.hex().upper()) for a, b in tok.merges])
+    words = pretoken.piece_bytes(pretoken.word_frequencies(table(spark, sf_dir, "documents"), SPECIALS)).where("sym <> ''")
+    words = bpe.walked(words, [(a.hex().upper(), b.hex().upper()) for a, b in tok.merges])
     syms = words.select(F.explode(T.symbol_array("sym")).alias("token_hex")).distinct()
     out = codec.token_to_id(syms, _vocab_df(spark, sf_dir))
     return out.select("token_hex", F.col("token_id").cast("long"))
