@@ -36,6 +36,63 @@ def test_stream_and_windows(spark, ids):
         assert sorted(w) == list(range((n - 2) // T + 1))
 
 
+def exchanges(df):
+    """The keys and columns of every exchange of the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange" in line]
+
+
+def test_ordered_ids_are_not_moved(spark):
+    """No exchange of the whole ids, with broadcast joins off: only slices at
+    document edges are shuffled."""
+    from tokenloom.session import cut_lineage
+
+    rows = [(i, list(range(i % 50 + 1))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, ids array<int>").repartitionByRange(6, "doc_id").sortWithinPartitions("doc_id")
+    kept = cut_lineage(df)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert exchanges(TK.doc_offsets(kept, stable=True)) == []
+        assert exchanges(TK.token_stream(kept, 0, stable=True)) == []
+        moved = exchanges(TK.pack_windows(kept, 0, 8, stable=True))
+        assert len(moved) == 1 and "rangepartitioning(window_id" in moved[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exp = flat(rows)
+    assert [r.token_id for r in TK.token_stream(kept, 0, stable=True).orderBy("gpos").collect()] == exp
+
+
+def test_any_kind_of_id_and_equal_ids(spark):
+    rows = [("b", [3, 4]), ("a", [1]), ("é", [9]), ("b", [3, 2]), ("Z", []), ("c", list(range(20, 60)))]
+    df = spark.createDataFrame(rows, "doc_id string, ids array<int>").repartition(3)
+    order = sorted(rows, key=lambda r: (r[0].encode(), r[1]))
+    exp = [t for i, (_, x) in enumerate(order) for t in ([0] if i else []) + x]
+    assert [r.token_id for r in TK.token_stream(df, 0).orderBy("gpos").collect()] == exp
+    offs = sorted((r.off, r.doc_id, r.len) for r in TK.doc_offsets(df).collect())
+    assert [o[1] for o in offs] == [r[0] for r in order] and [o[2] for o in offs] == [len(r[1]) + 1 for r in order]
+    w = {r.window_id: list(r.ids) for r in TK.pack_windows(df, 0, 5).collect()}
+    assert all(seq == exp[i * 5 : i * 5 + 6] for i, seq in w.items()) and len(w) == (len(exp) - 2) // 5 + 1
+
+
+def test_draws_prune_the_window_table(spark, tmp_path):
+    """Only blocks that a draw needs are read."""
+    rows = [(i, [i % 250] * 40) for i in range(400)]
+    ids = spark.createDataFrame(rows, "doc_id long, ids array<int>")
+    T, n = 8, TK.stream_length(ids)
+    w = TK.write_windows(TK.pack_windows(ids, 0, T, n), str(tmp_path / "w"), per_block=32)
+    assert w.select("block").distinct().count() == -(-((n - 2) // T + 1) // 32)
+    starts = TK.sample_starts(spark, 1, 2, n, T, seed=5)
+    b = TK.sample_batches(w, starts, T, per_block=32)
+    assert "dynamicpruning" in b._jdf.queryExecution().executedPlan().toString().lower()
+    exp, st = flat(rows), {(r.step, r.sample): r.start for r in starts.collect()}
+    got = b.collect()
+    assert len(got) == 2 * T
+    for r in got:
+        s = st[r.step, r.sample] + r.offset
+        assert (r.input_id, r.target_id) == (exp[s], exp[s + 1])
+
+
 def test_pairs_cover_stream_once(spark, ids):
     exp = flat([(r.doc_id, list(r.ids)) for r in ids.collect()])
     w = TK.pack_windows(ids, 0, 4)

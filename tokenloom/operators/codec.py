@@ -74,7 +74,7 @@ def encode_corpus(docs: DataFrame, tok: Tokenizer, text_col: str = "text", norma
     """Documents -> (doc_id, ids array<int>), ids in text order."""
     bc = broadcast_tokenizer(docs.sparkSession, tok)
     text = T.normalize_newlines(text_col) if normalize else F.col(text_col)
-    return spread(docs).select("doc_id", encode_udf(bc)(pieces_for_encoding(text, tok.specials)).alias("ids"))
+    return spread(docs, order="doc_id").select("doc_id", encode_udf(bc)(pieces_for_encoding(text, tok.specials)).alias("ids"))
 
 
 def encode_words(words: DataFrame, tok: Tokenizer, piece_col: str = "piece") -> DataFrame:

@@ -2,10 +2,12 @@
 random batches.
 
 The stream is every document's ids in `doc_id` order with one end-of-text id
-between documents.  Global offsets come from a two-level prefix sum over the
-narrow (doc_id, length) table: block totals (one row per block of doc ids,
-window over a small table) then a running sum inside each block (window
-partitioned by block).  No window ever spans all tokens.
+between documents.  Its table is kept in that order, by partition and inside
+partitions, as a reliable checkpoint: a document's global offset is then the
+total of the partitions before (one number a partition, on the driver) plus a
+running sum inside its partition, added in the map that reads it.  No join by
+document and no window function; the ids are moved once if they are not in
+order to begin with, and never after.
 
 Windows are cut with stride T and hold T+1 tokens (inputs and shifted
 targets).  A window wholly inside one document is cut map-side; only windows
@@ -16,32 +18,86 @@ T+1 ids, not the corpus, and every window group is bounded by T+1 tokens.
 
 from __future__ import annotations
 
+import itertools
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-from tokenloom.session import bounded_broadcast
-
-DOC_BLOCK = 1 << 14  # doc ids per block of the first prefix-sum level
 
-
-def doc_offsets(ids: DataFrame, block: int = DOC_BLOCK) -> DataFrame:
-    """(doc_id, ids) -> (doc_id, off, len): the document's segment (its ids
-    plus a trailing separator) starts at global position `off`."""
-    lens = ids.select("doc_id", (F.size("ids") + 1).cast("long").alias("len")).withColumn(
-        "blk", F.floor(F.col("doc_id") / F.lit(block))
-    )
-    totals = lens.groupBy("blk").agg(F.sum("len").alias("blen"))
-    # one row per block of doc ids: a small table, ordered on one task
-    boff = totals.select(
-        "blk",
-        F.coalesce(
-            F.sum("blen").over(Window.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("boff"),
-    )
-    inner = Window.partitionBy("blk").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    within = lens.select("doc_id", "blk", "len", F.coalesce(F.sum("len").over(inner), F.lit(0)).alias("ioff"))
-    return within.join(boff, "blk").select("doc_id", (F.col("boff") + F.col("ioff")).alias("off"), "len")
+from tokenloom.session import bounded_broadcast, cut_lineage, ship_package
+
+#: Windows of one block of the window table: some 16 million tokens at T = 256.
+WINDOWS_PER_BLOCK = 1 << 16
+
+
+def partition_totals(ids: DataFrame) -> list[tuple]:
+    """(partition, tokens with separators, first doc_id, last doc_id, whether
+    sorted) of every partition that has rows, in partition order."""
+    ship_package(ids.sparkSession)
+    kind = ids.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        total, first, last, ok = 0, None, None, True
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = b.column(0)
+            ok = ok and keys.null_count == 0
+            if ok:
+                whole = pa.concat_arrays([last.cast(keys.type), keys]) if last is not None else keys
+                ok = bool(pc.all(pc.less_equal(whole[:-1], whole[1:]), min_count=0).as_py())
+            first = keys[:1] if first is None else first
+            last = keys[-1:]
+            total += pc.sum(b.column(1)).as_py()
+        if first is not None:
+            at = pa.array([TaskContext.get().partitionId()], pa.int32())
+            yield pa.RecordBatch.from_arrays([at, pa.array([total], pa.int64()), first, last, pa.array([ok])], ["p", "n", "first", "last", "ok"])
+
+    narrow = ids.select("doc_id", (F.size("ids") + 1).cast("long").alias("n"))
+    rows = narrow.mapInArrow(run, f"p int, n long, first {kind}, last {kind}, ok boolean").collect()
+    return sorted(((r.p, r.n, r.first, r.last, r.ok) for r in rows), key=lambda r: r[0])
+
+
+def in_order(parts: list[tuple]) -> bool:
+    """Whether reading the partitions one after the other gives the documents in order."""
+    return all(p[4] for p in parts) and all(a[3] <= b[2] for a, b in itertools.pairwise(parts))
+
+
+def segments(ids: DataFrame, stable: bool = False) -> tuple[DataFrame, int]:
+    """(doc_id, ids, off) and the stream's length: each document's segment, its
+    ids plus a separator, starts at global position `off`.
+
+    Documents come in the order of their ids, of any type that sorts; documents
+    of equal ids come in the order of their tokens.  `stable` says that `ids` is
+    a checkpoint, whose partitions stay what they are; else it becomes one."""
+    kept = ids.select("doc_id", "ids") if stable else cut_lineage(ids.select("doc_id", "ids"))
+    parts = partition_totals(kept)
+    if not in_order(parts):
+        kept = cut_lineage(kept.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids"))
+        parts = partition_totals(kept)
+    before = dict(zip((p[0] for p in parts), itertools.accumulate((p[1] for p in parts), initial=0)))
+    n_total = max(0, sum(p[1] for p in parts) - 1)
+
+    def run(batches):
+        at = before.get(TaskContext.get().partitionId(), 0)
+        for b in batches:
+            n = pc.list_value_length(b.column(1)).to_numpy().astype(np.int64) + 1
+            ends = at + np.cumsum(n)
+            if len(n):
+                at = int(ends[-1])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ends - n)], [*b.schema.names, "off"])
+
+    kind = kept.schema["doc_id"].dataType.simpleString()
+    return kept.mapInArrow(run, f"doc_id {kind}, ids array<int>, off long"), n_total
+
+
+def doc_offsets(ids: DataFrame, stable: bool = False) -> DataFrame:
+    """(doc_id, ids) -> (doc_id, off, len): where each document's segment starts."""
+    seg, _ = segments(ids, stable)
+    return seg.select("doc_id", "off", (F.size("ids") + 1).cast("long").alias("len"))
 
 
 def stream_length(ids: DataFrame) -> int:
@@ -50,28 +106,22 @@ def stream_length(ids: DataFrame) -> int:
     return max(0, int(row["s"] or 0) - 1)
 
 
-def segments(ids: DataFrame, eot_id: int) -> DataFrame:
-    """(doc_id, off, seg): ids followed by the separator, at offset `off`."""
-    offs = doc_offsets(ids)
-    return ids.join(offs, "doc_id").select(
-        "doc_id", "off", F.concat("ids", F.array(F.lit(eot_id).cast("int"))).alias("seg")
-    )
-
-
-def token_stream(ids: DataFrame, eot_id: int, n_total: int | None = None) -> DataFrame:
+def token_stream(ids: DataFrame, eot_id: int, n_total: int | None = None, stable: bool = False) -> DataFrame:
     """Long form of the stream: (gpos long, token_id int)."""
-    n_total = stream_length(ids) if n_total is None else n_total
-    seg = segments(ids, eot_id)
-    out = seg.select(F.col("off"), F.posexplode("seg").alias("k", "token_id"))
+    seg, length = segments(ids, stable)
+    n_total = length if n_total is None else n_total
+    whole = F.concat("ids", F.array(F.lit(eot_id).cast("int")))
+    out = seg.select(F.col("off"), F.posexplode(whole).alias("k", "token_id"))
     return out.select((F.col("off") + F.col("k")).alias("gpos"), "token_id").where(F.col("gpos") < n_total)
 
 
-def pack_windows(ids: DataFrame, eot_id: int, T: int, n_total: int | None = None) -> DataFrame:
+def pack_windows(ids: DataFrame, eot_id: int, T: int, n_total: int | None = None, stable: bool = False) -> DataFrame:
     """(window_id, ids): window w holds stream positions [wT, wT+T]; only
     windows with at least an input and a target are kept (the last may be
     shorter than T+1)."""
-    n_total = stream_length(ids) if n_total is None else n_total
-    seg = segments(ids, eot_id).withColumn("len", F.size("seg"))
+    seg, length = segments(ids, stable)
+    n_total = length if n_total is None else n_total
+    seg = seg.select("off", F.concat("ids", F.array(F.lit(eot_id).cast("int"))).alias("seg"), (F.size("ids") + 1).alias("len"))
     last = F.least(F.col("off") + F.col("len") - 1, F.lit(n_total - 1))
     w_lo = F.greatest(F.lit(0), F.ceil(F.col("off") / F.lit(T)) - 1)
     w_hi = F.least(F.floor((last) / F.lit(T)), F.lit((n_total - 2) // T if n_total >= 2 else -1))
@@ -98,6 +148,8 @@ def pack_windows(ids: DataFrame, eot_id: int, T: int, n_total: int | None = None
     whole = cut.where(F.col("inside")).select("window_id", F.col("part").alias("ids"))
     edge = (
         cut.where(~F.col("inside"))
+        # by range, so that neighbours are written side by side; the grouping needs no other exchange
+        .repartitionByRange("window_id")
         .groupBy("window_id")
         .agg(F.sort_array(F.collect_list(F.struct("start", "part"))).alias("ss"))
         .select("window_id", F.flatten(F.transform("ss", lambda x: x["part"])).alias("ids"))
@@ -149,16 +201,30 @@ def sample_starts(spark, steps: int, batch: int, n_total: int, T: int, seed: int
     return draws.select("step", "sample", F.pmod(h, F.lit(n_total - T)).alias("start"))
 
 
-def sample_batches(windows: DataFrame, starts: DataFrame, T: int) -> DataFrame:
+def write_windows(windows: DataFrame, path: str, per_block: int = WINDOWS_PER_BLOCK) -> DataFrame:
+    """The window table, stored by blocks of `per_block` consecutive windows, so
+    that a reader of few windows opens few files: (window_id, ids, block)."""
+    block = F.floor(F.col("window_id") / F.lit(per_block)).cast("long")
+    windows.withColumn("block", block).write.partitionBy("block").parquet(path)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in windows.schema)
+    return windows.sparkSession.read.schema(f"{fields}, block long").parquet(path)
+
+
+def sample_batches(windows: DataFrame, starts: DataFrame, T: int, per_block: int | None = None) -> DataFrame:
     """(step, sample, offset, input_id, target_id): inputs = stream[s..s+T-1],
     targets = stream[s+1..s+T].  Tokens [s, s+T] lie in windows s div T and
-    the next one; the draws (steps x batch x 2 rows) are broadcast after a size
-    check, so only those windows are read."""
+    the next one.  The draws are broadcast after a size check; over a table of
+    `write_windows` with `per_block`, they prune the blocks that are read."""
     need = starts.select(
         "step", "sample", "start",
         F.explode(F.array(F.floor(F.col("start") / T), F.floor(F.col("start") / T) + 1)).alias("window_id"),
     )
-    joined = windows.join(bounded_broadcast(need), "window_id")
+    keys = ["window_id"]
+    if per_block:
+        # the filter marks the draws as the selective side, whose blocks prune the scan
+        need = need.withColumn("block", F.floor(F.col("window_id") / F.lit(per_block)).cast("long")).where(F.col("start") >= 0)
+        keys = ["block", "window_id"]
+    joined = windows.join(bounded_broadcast(need), keys)
     grouped = joined.groupBy("step", "sample", "start").agg(
         F.sort_array(F.collect_list(F.struct("window_id", "ids"))).alias("ws")
     )

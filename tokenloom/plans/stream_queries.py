@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from tokenloom.operators import tokens as TK
 from tokenloom.plans.registry import derived, register
 from tokenloom.plans.tokenizer_queries import ENCODE_SQL, ids_frame
-from tokenloom.session import cut_lineage, scratch_path
+from tokenloom.session import scratch_path
 from tokenloom.sources import token_stream as TS
 
 WINDOW_T = 32  # context length of the windows
+PER_BLOCK = 4096  # windows of one block of the window table
 STEPS, BATCH, SEED = 4, 8, 7  # batch sampling parameters
 EOT_ID = 0  # the end-of-text special has id 0
 
@@ -60,13 +61,14 @@ class _Stream:
 
     def _build(self):
         n = TK.stream_length(self.ids)
-        return n, cut_lineage(TK.pack_windows(self.ids, EOT_ID, self.T, n))
+        windows = TK.pack_windows(self.ids, EOT_ID, self.T, n, stable=True)
+        return n, TK.write_windows(windows, scratch_path(self.ids.sparkSession, "windows"), PER_BLOCK)
 
 
 @register("token_stream", lambda: _stream_ctes() + "\nSELECT gpos, token_id FROM stream")
 def q_token_stream(spark, sf_dir):
     ids = ids_frame(spark, sf_dir)
-    s = TK.token_stream(ids, EOT_ID)
+    s = TK.token_stream(ids, EOT_ID, stable=True)
     return s.select("gpos", F.col("token_id").cast("long"))
 
 
@@ -75,7 +77,7 @@ def q_token_stream(spark, sf_dir):
     lambda: _stream_ctes() + "\nSELECT doc_id, CAST(off AS BIGINT) AS off, CAST(len AS BIGINT) AS len FROM doc_off",
 )
 def q_doc_offsets(spark, sf_dir):
-    return TK.doc_offsets(ids_frame(spark, sf_dir)).select("doc_id", F.col("off").cast("long"), "len")
+    return TK.doc_offsets(ids_frame(spark, sf_dir), stable=True).select("doc_id", F.col("off").cast("long"), "len")
 
 
 @register(
@@ -144,7 +146,7 @@ def sample_sql(steps: int, batch: int, seed: int, T: int) -> str:
 def q_sample_batches(spark, sf_dir):
     st = _Stream(spark, sf_dir)
     starts = TK.sample_starts(spark, STEPS, BATCH, st.n, st.T, SEED)
-    b = TK.sample_batches(st.windows, starts, st.T)
+    b = TK.sample_batches(st.windows, starts, st.T, PER_BLOCK)
     return b.select(
         "step", "sample", F.col("offset").cast("long"), F.col("input_id").cast("long"), F.col("target_id").cast("long")
     )

@@ -133,15 +133,18 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, order: str | None = None) -> DataFrame:
     """Spread CPU-heavy per-row work over all cores when the source has fewer
     input splits than the default parallelism (e.g. one parquet row group).
     A large input already has many splits and is left as is (no shuffle).
-    Round-robin repartitioning sorts first, so retried tasks see the same rows."""
+    Round-robin repartitioning sorts first, so retried tasks see the same rows;
+    with `order`, rows are dealt by ranges of that column and stay in its order."""
     if df.isStreaming:
         return df  # micro-batches are split by the source
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
+        if order:
+            return df.repartitionByRange(target, order).sortWithinPartitions(order)
         return df.repartition(target)
     return df
 
