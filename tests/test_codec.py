@@ -94,3 +94,16 @@ def test_token_frequencies_and_stats(spark, tok, small_docs):
     assert sum(r.n for r in codec.token_frequencies(ids).collect()) == n
     st = codec.corpus_stats(small_docs, ids).first()
     assert st.n_tokens == n and st.n_docs == 40
+
+
+def test_decoding_stays_in_the_jvm(spark):
+    from tokenloom.operators import bpe, codec
+
+    tok = bpe.Tokenizer.from_merges([(b"\xc3", b"\xa9")], ["<|endoftext|>"])
+    rows = [(0, [0xC3 + 1, 0xA9 + 1, 257]), (1, [0xC3 + 1, 98, -1, 5000]), (2, []), (3, None), (4, [0xE2 + 1, 0x82 + 1, 0xFF + 1])]
+    df = spark.createDataFrame(rows, "doc_id long, ids array<int>")
+    out = codec.decode_corpus(df, tok)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Join" not in plan
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert got == {0: "éé", 1: "\ufffda", 2: "", 3: None, 4: b"\xe2\x82\xff".decode("utf-8", "replace")}

@@ -46,17 +46,17 @@ def test_printable_map_is_a_bijection():
 
 def test_checkpoint_save_load_and_generation(spark):
     counts = spark.createDataFrame([(0, 1, 3), (1, 2, 2), (2, 0, 2), (1, 0, 1)], "prev_id int, next_id int, n long")
-    params = model.init_params(counts.select("prev_id"), 3, [0])
+    params = model.init_params(spark, 3, [0])
     d = tempfile.mkdtemp(prefix="tokenloom-test-ckpt-")
     steps = counts.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(3))))
     res = model.train_model(
-        params, steps, [model.RunConfig(0, lr_max=0.5)], 4, 8, checkpoint_every=2,
+        params, steps, [model.RunConfig(0, lr_max=0.5)], checkpoint_every=2,
         on_checkpoint=lambda p, it: model.save_checkpoint(p, it, d),
     )
     loaded, it = model.load_checkpoint(spark, d)
-    assert it == 4 and loaded.count() == 9
-    a = {(r.prev_id, r.next_id): r.w for r in loaded.collect()}
-    b = {(r.prev_id, r.next_id): r.w for r in res.params.collect()}
+    assert it == 4 and loaded.count() == 3
+    a = {r.prev_id: r.w for r in loaded.collect()}
+    b = {r.prev_id: r.w for r in res.params.collect()}
     assert a == b
     prompts = spark.createDataFrame([(0, [1]), (1, [2, 0]), (2, [])], "prompt_id long, ids array<int>")
     logits = model.logits_for(model.smoothed_params(counts, 3))
@@ -121,5 +121,25 @@ def test_generation_matches_python_rule(spark):
     ldf = spark.createDataFrame(rows, "prev_id int, next_id int, logit double")
     prompts = [(k, [int(k % V)]) for k in range(30)]
     pdf = spark.createDataFrame(prompts, "prompt_id long, ids array<int>")
-    got = {r.prompt_id: list(r.ids) for r in generate.generate_batch(pdf, ldf, 6, 0.8, 0.9, eos_id=5, seed=3).collect()}
-    assert got == _py_generate(logits, prompts, 6, 0.8, 0.9, 5, 3)
+    rows = generate.candidate_rows(ldf.where("prev_id <> 4"))  # a context without a row ends the text
+    del logits[4]
+    exp = _py_generate(logits, prompts, 6, 0.8, 0.9, 5, 3)
+    states = []
+    for most in (generate.MAX_TABLE_BYTES, 0):  # in the map, and joined step by step
+        out = generate.generate_batch(pdf, rows, 6, 0.8, 0.9, eos_id=5, seed=3, max_table_bytes=most)
+        assert {r.prompt_id: list(r.ids) for r in out.collect()} == exp
+        states.append(sorted((r.prompt_id, r.prompt_len, r.n_new, r.stopped) for r in out.collect()))
+    assert states[0] == states[1]
+
+
+def test_complete_text_and_its_end(spark):
+    from tokenloom.operators.bpe import Tokenizer
+
+    tok = Tokenizer.from_merges([(b"a", b"b")], ["<|endoftext|>"])
+    assert generate.end_id(tok, "<|endoftext|>") == 0 and generate.end_id(tok, "ab") == 257
+    assert generate.end_id(tok, "abc") is None and generate.end_id(tok, "") is None and generate.end_id(tok, None) is None
+    rows = spark.createDataFrame([(257, [98 + 1 + 1], [0.0]), (100, [0], [0.0])], "prev_id int, next_ids array<int>, logits array<double>")
+    prompts = spark.createDataFrame([(1, "xab"), (2, ""), (3, "é")], "prompt_id long, text string")
+    run = lambda **kw: {r.prompt_id: (r.text, r.n_new) for r in generate.complete_text(prompts, tok, rows, 5, **kw).collect()}
+    assert run() == {1: ("xabc<|endoftext|>", 2), 2: ("", 0), 3: ("é", 0)}
+    assert run(end="c")[1] == ("xabc", 1)

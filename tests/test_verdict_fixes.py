@@ -39,14 +39,14 @@ def test_projection_keeps_labels(spark):
 
 
 def test_unseen_contexts_count_in_the_evaluation(spark):
-    params = spark.createDataFrame([(0, 1, n, 0.0) for n in range(4)], "run_id int, prev_id int, next_id int, w double")
-    counts = spark.createDataFrame([(0, 1, 2, 1), (0, 7, 2, 9), (1, 8, 0, 2)], "step int, prev_id int, next_id int, n long")
+    params = spark.createDataFrame([(0, 1, [0.0] * 4)], "run_id int, prev_id int, w array<double>")
+    counts = spark.createDataFrame([(1, 2, 1), (7, 2, 9), (8, 0, 2), (1, 9, 3)], "prev_id int, next_id int, n long")
     r = model.evaluate(params, counts).first()
-    assert r.n_batches == 2 and r.eval_loss == pytest.approx(math.log(4))
+    assert r.n_pairs == 15 and r.eval_loss == pytest.approx(math.log(4))
 
 
 def test_saving_an_iteration_twice_replaces_it(spark, tmp_path):
-    params = model.init_params(spark.createDataFrame([(1,)], "prev_id int"), 3, [0])
+    params = model.init_params(spark, 3, [0])
     path = str(tmp_path / "c")
     for i in (1, 2, 2):
         model.save_checkpoint(params, i, path)

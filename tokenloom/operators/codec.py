@@ -88,30 +88,25 @@ def token_positions(ids: DataFrame) -> DataFrame:
     return ids.select("doc_id", F.posexplode("ids").alias("pos", "token_id"))
 
 
-def decode_udf(bc):
-    @F.pandas_udf(Ty.StringType())
-    def decode_batch(ids: pd.Series) -> pd.Series:
-        vocab = bc.value[0]
-        out = []
-        for arr in ids:
-            buf = bytearray()
-            for i in arr:
-                b = vocab.get(int(i))
-                if b is not None:  # unknown ids are skipped
-                    buf += b
-            out.append(buf.decode("utf-8", errors="replace"))
-        return pd.Series(out)
-
-    return decode_batch.asNondeterministic()  # evaluated once (see encode_udf)
-
-
-def decode_corpus(ids: DataFrame, tok: Tokenizer, ids_col: str = "ids") -> DataFrame:
-    """(doc_id, ids) -> (doc_id, text).  Bytes are joined before decoding, so
-    a character split over tokens comes back whole; bad bytes become U+FFFD."""
+#: Ids of the longest vocabulary that decodes by lookup in one array.
+MAX_LITERAL_IDS = 1 << 17
+
+
+def decode_corpus(ids: DataFrame, tok: Tokenizer, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, ids) -> (doc_id, text), map-only and in the JVM: ids become
+    their entries' hex by array lookup, joined before decoding, so a character
+    split over tokens comes back whole; bad bytes become U+FFFD and unknown ids
+    are skipped.  `keep` names further columns to carry along."""
     if not tok.vocab or not tok.merges:
         raise ValueError("tokenizer has no vocabulary or no merges")
-    bc = broadcast_tokenizer(ids.sparkSession, tok)
-    return ids.select("doc_id", decode_udf(bc)(F.col(ids_col)).alias("text"))
+    top = max(tok.vocab)
+    if top >= MAX_LITERAL_IDS:
+        raise ValueError(f"ids beyond {MAX_LITERAL_IDS} are not supported")
+    # a constant that the optimizer folds into one array
+    entries = F.split(F.lit(",".join(tok.vocab.get(i, b"").hex() for i in range(top + 1))), ",")
+    known = F.filter(F.col(ids_col), lambda i: (i >= 0) & (i <= top))
+    text = F.unhex(F.array_join(F.transform(known, lambda i: F.get(entries, i)), ""))
+    return ids.select("doc_id", F.make_valid_utf8(text.cast("string")).alias("text"), *(keep or []))
 
 
 def token_frequencies(ids: DataFrame) -> DataFrame:

@@ -7,28 +7,66 @@ gradient are exact aggregates over bigram counts n(prev, next):
   loss = -(1/N) * sum n(prev,next) * log p(next|prev)
   g    = (n(prev) * p(next|prev) - n(prev,next)) / N
 
-Parameters are a table `params(run_id, prev_id, next_id, w, m, v, t)`, one
-row per weight with its AdamW state; several runs (a learning-rate sweep) live
-in one table and every operator is keyed by `run_id`.  Softmax groups are one
-row of W (bounded by the vocabulary size).  A step's bigram counts are at most
-batch x context rows, so they are broadcast to the parameter table; the
-parameters themselves are never broadcast or collected.
+Parameters are a table `params(run_id, prev_id, w, m, v, t)`: one row per run
+and context, holding its whole row of W and the AdamW state as arrays over the
+vocabulary.  Softmax, gradient and update are local to a row; what rows share
+(loss, norm) is one aggregate of a few numbers.  Bigram counts are joined by
+context, pre-aggregated to one row each, at most V entries long.  Several runs
+(a learning-rate sweep) live in one table and every operator is keyed by
+`run_id`.  The parameters are never collected.
 """
 
 from __future__ import annotations
 
 import math
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tokenloom.session import cut_lineage, persist
+from tokenloom.session import bounded_broadcast, cut_lineage, persist, ship_package
 
-PARAM_COLS = ["run_id", "prev_id", "next_id", "w", "m", "v", "t"]
+PARAM_COLS = ["run_id", "prev_id", "w", "m", "v", "t"]
+PARAM_SCHEMA = "run_id int, prev_id int, w array<double>, m array<double>, v array<double>, t int"
+#: Rows of counts that are sent to every task of the join; beyond, it shuffles.
+MAX_COUNT_ROWS = 1 << 12
+
+
+def as_matrix(column: pa.Array) -> np.ndarray:
+    """A column of equally long lists as the rows of a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def as_lists(x: np.ndarray) -> pa.Array:
+    ends = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32) if x.shape[1] else np.zeros(len(x) + 1, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(x.ravel()))
+
+
+def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], list], schema: str) -> DataFrame:
+    """`fn` over Arrow batches of rows (bounded in bytes by the session); it
+    returns the columns of `schema`."""
+    ship_package(df.sparkSession)
+    names = [f.strip().split(" ")[0] for f in schema.split(",")]
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays(fn(b), names)
+
+    return df.mapInArrow(run, schema)
+
+
+def long_form(df: DataFrame, *values: str) -> DataFrame:
+    """(run_id, prev_id, next_id, values...): array columns a row per weight."""
+    zipped = F.arrays_zip(*values)
+    return df.select("run_id", "prev_id", F.posexplode(zipped).alias("next_id", "x")).select(
+        "run_id", "prev_id", "next_id", *(F.col(f"x.{c}").alias(c) for c in values)
+    )
 
 
 @dataclass
@@ -64,58 +102,78 @@ def lr_sweep_configs(lrs: list[float], **kw) -> list[RunConfig]:
     return [RunConfig(run_id=i, lr_max=lr, **kw) for i, lr in enumerate(lrs)]
 
 
-def init_params(prevs: DataFrame, vocab_size: int, run_ids: list[int]) -> DataFrame:
-    """Zero weights and state for each (run, prev, next): one row of W per
-    context id in `prevs(prev_id)` (the ids seen in the corpus), every next id
-    of the vocabulary.  A context never seen has no row; sampling stops there."""
-    prevs = prevs.select(F.col("prev_id").cast("int").alias("prev_id")).distinct()
-    # rows of W per run: the runs are the caller's config list
-    per_prev = prevs.select("prev_id", F.explode(F.array(*[F.lit(int(r)) for r in run_ids])).alias("run_id"))
-    return per_prev.select(
-        "run_id",
-        "prev_id",
-        F.explode(F.sequence(F.lit(0), F.lit(vocab_size - 1))).alias("next_id"),
-    ).select(
-        "run_id", "prev_id", "next_id",
-        F.lit(0.0).alias("w"), F.lit(0.0).alias("m"), F.lit(0.0).alias("v"), F.lit(0).alias("t"),
-    )
+def init_params(spark: SparkSession, vocab_size: int, run_ids: list[int]) -> DataFrame:
+    """Zero weights and state: a row of W for every run and id of the vocabulary."""
+    zeros = F.array_repeat(F.lit(0.0), vocab_size)
+    # the runs are the caller's config list
+    ids = spark.range(vocab_size).select(F.explode(F.array(*[F.lit(int(r)) for r in run_ids])).alias("run_id"), F.col("id").cast("int").alias("prev_id"))
+    return ids.select("run_id", "prev_id", zeros.alias("w"), zeros.alias("m"), zeros.alias("v"), F.lit(0).alias("t"))
 
 
 def count_parameters(params: DataFrame) -> DataFrame:
-    return params.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_params"))
+    return params.groupBy("run_id").agg(F.sum(F.size("w")).cast("long").alias("n_params"))
+
+
+def by_context(counts: DataFrame) -> DataFrame:
+    """(prev_id, next_id, n) -> (prev_id, ids, ns): a row per context, at most
+    as long as the vocabulary."""
+    one = counts.groupBy("prev_id", "next_id").agg(F.sum(F.col("n").cast("double")).alias("n"))
+    c = one.groupBy("prev_id").agg(F.collect_list(F.struct("next_id", "n")).alias("c"))
+    return c.select("prev_id", F.col("c.next_id").cast("array<int>").alias("ids"), F.col("c.n").alias("ns"))
+
+
+def _dense(ids: pa.Array, ns: pa.Array, width: int) -> np.ndarray:
+    """Counts of each row over the vocabulary; ids outside it are left out."""
+    out = np.zeros((len(ids), width))
+    sizes = np.diff(ids.offsets.to_numpy())
+    row = np.repeat(np.arange(len(ids)), sizes)
+    at, n = ids.flatten().to_numpy(), ns.flatten().to_numpy()
+    ok = (at >= 0) & (at < width)
+    np.add.at(out, (row[ok], at[ok]), n[ok])
+    return out
+
+
+def _log_softmax(w: np.ndarray) -> np.ndarray:
+    s = w - w.max(axis=1, keepdims=True)
+    return s - np.log(np.exp(s).sum(axis=1, keepdims=True))
+
 
+def _with_counts(params: DataFrame, counts: DataFrame) -> DataFrame:
+    """params with (ids, ns) of each row's context, empty where it has none."""
+    rows = bounded_broadcast(by_context(counts), MAX_COUNT_ROWS)
+    joined = params.join(rows, "prev_id", "left")
+    return joined.withColumns({"ids": F.coalesce("ids", F.array().cast("array<int>")), "ns": F.coalesce("ns", F.array().cast("array<double>"))})
 
-def with_gradient(params: DataFrame, counts: DataFrame, n_total: float | None = None, batch_sized: bool = False) -> DataFrame:
-    """Adds logprob, n and g to params for bigram counts (prev_id, next_id, n).
 
-    `n_total` is the number of pairs counted (B x T for a batch); when not
-    given it is one scalar aggregate.  Batch counts (`batch_sized`, at most
-    B x T rows) are broadcast to the parameter table; corpus-wide counts are
-    left to the planner (runtime size check by AQE, else a shuffle join)."""
+def with_gradient(params: DataFrame, counts: DataFrame, n_total: float | None = None) -> DataFrame:
+    """params with g, the gradient of the mean loss over bigram counts
+    (prev_id, next_id, n), and the row's share of the loss (nll) and of the
+    squared norm (sq).  `n_total` is the number of pairs counted; when not
+    given it is one scalar aggregate."""
     if n_total is None:
         n_total = float(counts.agg(F.sum("n")).collect()[0][0] or 0.0)
-    c = counts.select("prev_id", "next_id", F.col("n").cast("double").alias("n"))
-    j = params.join(F.broadcast(c) if batch_sized else c, ["prev_id", "next_id"], "left")
-    row = Window.partitionBy("run_id", "prev_id")
-    s = F.col("w") - F.max("w").over(row)
-    lp = s - F.log(F.sum(F.exp(s)).over(row))
-    out = j.withColumn("logprob", lp).withColumn("n", F.coalesce("n", F.lit(0.0)))
-    out = out.withColumn("n_prev", F.sum("n").over(row)).withColumn("n_total", F.lit(float(n_total)))
-    g = (F.col("n_prev") * F.exp("logprob") - F.col("n")) / F.col("n_total")
-    return out.withColumn("g", F.coalesce(g, F.lit(0.0)))
+    total = n_total or 1.0
+
+    def grad(b):
+        w = as_matrix(b.column("w"))
+        n = _dense(b.column("ids"), b.column("ns"), w.shape[1])
+        lp = _log_softmax(w)
+        g = (n.sum(axis=1, keepdims=True) * np.exp(lp) - n) / total
+        nll = -(n * lp).sum(axis=1) / total
+        return [*(b.column(c) for c in PARAM_COLS), as_lists(g), pa.array(nll), pa.array((g * g).sum(axis=1))]
+
+    joined = _with_counts(params.select(*PARAM_COLS), counts).select(*PARAM_COLS, "ids", "ns")
+    return map_rows(joined, grad, f"{PARAM_SCHEMA}, g array<double>, nll double, sq double")
 
 
 def loss_and_norm(grads: DataFrame) -> dict[int, tuple[float, float]]:
     """Per run: batch loss and global L2 norm of the gradient (one row per run)."""
-    agg = grads.groupBy("run_id").agg(
-        (-F.sum(F.col("n") * F.col("logprob")) / F.max("n_total")).alias("loss"),
-        F.sqrt(F.sum(F.col("g") * F.col("g"))).alias("norm"),
-    )
+    agg = grads.groupBy("run_id").agg(F.sum("nll").alias("loss"), F.sqrt(F.sum("sq")).alias("norm"))
     return {r["run_id"]: (float(r["loss"] or 0.0), float(r["norm"] or 0.0)) for r in agg.collect()}
 
 
 def gradient_norm(grads: DataFrame) -> DataFrame:
-    return grads.groupBy("run_id").agg(F.sqrt(F.sum(F.col("g") * F.col("g"))).alias("norm"))
+    return grads.groupBy("run_id").agg(F.sqrt(F.sum("sq")).alias("norm"))
 
 
 def clip_factor(norm: float, max_norm: float | None, eps: float = 1e-6) -> float:
@@ -129,36 +187,29 @@ def clip_gradients(grads: DataFrame, factors: dict[int, float]) -> DataFrame:
     f = F.lit(1.0)
     for run, k in factors.items():
         f = F.when(F.col("run_id") == run, F.lit(float(k))).otherwise(f)
-    return grads.withColumn("g", F.col("g") * f)
-
-
-def adamw_step(grads: DataFrame, cfg: dict[int, RunConfig], lrs: dict[int, float]) -> DataFrame:
-    """One AdamW update of every weight with a gradient (all of them here):
-    moments, bias-corrected step, then decoupled weight decay."""
-
-    def per_run(fn):
-        col = None
-        for run in cfg:
-            val = fn(run)
-            col = F.when(F.col("run_id") == run, val) if col is None else col.when(F.col("run_id") == run, val)
-        return col
-
-    b1 = per_run(lambda r: F.lit(cfg[r].betas[0]))
-    b2 = per_run(lambda r: F.lit(cfg[r].betas[1]))
-    eps = per_run(lambda r: F.lit(cfg[r].eps))
-    lr = per_run(lambda r: F.lit(float(lrs[r])))
-    wd = per_run(lambda r: F.lit(cfg[r].weight_decay))
-    t = F.col("t") + 1
-    m = b1 * F.col("m") + (1 - b1) * F.col("g")
-    v = b2 * F.col("v") + (1 - b2) * F.col("g") * F.col("g")
-    alpha = lr * F.sqrt(1 - F.pow(b2, t)) / (1 - F.pow(b1, t))
-    stepped = grads.select(
-        "run_id", "prev_id", "next_id", "w", m.alias("m"), v.alias("v"), t.cast("int").alias("t"),
-        alpha.alias("_alpha"), eps.alias("_eps"), lr.alias("_lr"), wd.alias("_wd"),
-    )
-    w = F.col("w") - F.col("_alpha") * F.col("m") / (F.sqrt("v") + F.col("_eps"))
-    w = F.when(F.col("_wd") > 0, w * (1 - F.col("_lr") * F.col("_wd"))).otherwise(w)
-    return stepped.select("run_id", "prev_id", "next_id", w.alias("w"), "m", "v", "t")
+    return grads.withColumn("_f", f).withColumn("g", F.transform("g", lambda x: x * F.col("_f"))).drop("_f")
+
+
+def adamw_step(grads: DataFrame, cfg: dict[int, RunConfig], lrs: dict[int, float], factors: dict[int, float] | None = None) -> DataFrame:
+    """One AdamW update of every weight: moments, bias-corrected step, then
+    decoupled weight decay.  `factors` scale each run's gradient (clipping)."""
+    factors = factors or {}
+
+    def step(b):
+        runs = b.column("run_id").to_pylist()
+        each = lambda fn: np.array([fn(cfg[r]) for r in runs], dtype=np.float64)[:, None]
+        b1, b2, eps, wd = each(lambda c: c.betas[0]), each(lambda c: c.betas[1]), each(lambda c: c.eps), each(lambda c: c.weight_decay)
+        lr, f = each(lambda c: lrs[c.run_id]), each(lambda c: factors.get(c.run_id, 1.0))
+        g = as_matrix(b.column("g")) * f
+        t = b.column("t").to_numpy() + 1
+        m = b1 * as_matrix(b.column("m")) + (1 - b1) * g
+        v = b2 * as_matrix(b.column("v")) + (1 - b2) * g * g
+        alpha = lr * np.sqrt(1 - b2 ** t[:, None]) / (1 - b1 ** t[:, None])
+        w = as_matrix(b.column("w")) - alpha * m / (np.sqrt(v) + eps)
+        w = np.where(wd > 0, w * (1 - lr * wd), w)
+        return [b.column("run_id"), b.column("prev_id"), as_lists(w), as_lists(m), as_lists(v), pa.array(t.astype(np.int32))]
+
+    return map_rows(grads.select(*PARAM_COLS, "g"), step, PARAM_SCHEMA)
 
 
 def batch_counts(batches: DataFrame) -> DataFrame:
@@ -174,35 +225,50 @@ class TrainResult:
     metrics: list[dict] = field(default_factory=list)
 
 
+def epoch_counts(windows: DataFrame, per_step: int) -> DataFrame:
+    """(step, prev_id, next_id, n): one epoch over all windows (window_id, ids),
+    `per_step` consecutive windows a step, so the steps follow from the data."""
+    ids = F.col("ids")
+    pairs = windows.select(
+        F.floor(F.col("window_id") / F.lit(per_step)).cast("long").alias("step"),
+        F.explode(F.arrays_zip(F.slice(ids, 1, F.size(ids) - 1).alias("a"), F.slice(ids, 2, F.size(ids) - 1).alias("b"))).alias("p"),
+    )
+    return pairs.groupBy("step", F.col("p.a").alias("prev_id"), F.col("p.b").alias("next_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def train_model(
     params: DataFrame,
     counts_by_step: DataFrame,
     configs: list[RunConfig],
-    steps: int,
-    tokens_per_step: int,
+    steps: int | None = None,
     start_step: int = 0,
-    checkpoint_every: int = 2,
+    checkpoint_every: int = 4,
     on_checkpoint=None,
 ) -> TrainResult:
-    """lr -> batch counts -> loss and gradient -> clip -> AdamW -> log, per step.
-    Batch counts for all steps are computed once (steps x batch x context rows)
-    and each step's slice is broadcast.  Lineage is cut with reliable
-    checkpoints every few steps."""
+    """lr -> step counts -> loss and gradient -> clip -> AdamW -> log, per step;
+    `steps` defaults to all steps that have counts.
+
+    The counts (step, prev_id, next_id, n) are computed once; a step joins its
+    own, one row per context, to the parameter rows.  Lineage is cut with
+    reliable checkpoints every few steps, where `on_checkpoint` sees the
+    parameters."""
     cfg = {c.run_id: c for c in configs}
     counts_by_step = persist(counts_by_step)
     # pairs counted per step: one row per step
-    totals = {int(r["step"]): float(r["t"]) for r in counts_by_step.groupBy("step").agg(F.sum("n").alias("t")).collect()}
+    totals = {int(r["step"]): int(r["t"]) for r in counts_by_step.groupBy("step").agg(F.sum("n").alias("t")).collect()}
+    steps = max(totals, default=-1) + 1 - start_step if steps is None else steps
     current = persist(params.select(*PARAM_COLS))
     metrics: list[dict] = []
     last_t = time.time()
     for step in range(start_step, start_step + steps):
         lrs = {r: c.lr(step) for r, c in cfg.items()}
         counts = counts_by_step.where(F.col("step") == step).drop("step")
-        grads = persist(with_gradient(current, counts, totals.get(step, 0.0), batch_sized=True))
+        grads = persist(with_gradient(current, counts, float(totals.get(step, 0))))
         ln = loss_and_norm(grads)
         factors = {r: clip_factor(ln.get(r, (0.0, 0.0))[1], cfg[r].max_grad_norm) for r in cfg}
-        nxt = adamw_step(clip_gradients(grads, factors), cfg, lrs)
-        if (step + 1 - start_step) % checkpoint_every == 0:
+        nxt = adamw_step(grads, cfg, lrs, factors)
+        last = step + 1 == start_step + steps
+        if (step + 1 - start_step) % checkpoint_every == 0 or last:
             nxt = cut_lineage(nxt)
             if on_checkpoint is not None:
                 on_checkpoint(nxt, step + 1)
@@ -217,7 +283,7 @@ def train_model(
             loss, norm = ln.get(r, (0.0, 0.0))
             metrics.append(
                 {"run_id": r, "step": step, "loss": loss, "lr": lrs[r], "grad_norm": norm,
-                 "tokens": tokens_per_step, "seconds": now - last_t, "ts": now}
+                 "tokens": totals.get(step, 0), "seconds": now - last_t, "ts": now}
             )
         last_t = now
     counts_by_step.unpersist()
@@ -252,26 +318,26 @@ def run_throughput(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("tokens_per_sec", F.try_divide(steps_between * F.col("tokens"), secs))
 
 
-def evaluate(params: DataFrame, counts_by_step: DataFrame) -> DataFrame:
-    """Mean over evaluation batches of the batch loss, per run.  A pair whose
-    context has no parameters counts as drawn uniformly: loss ln V, V being
-    the number of different next ids."""
-    row = Window.partitionBy("run_id", "prev_id")
-    s = F.col("w") - F.max("w").over(row)
-    lp = params.select("run_id", "prev_id", "next_id", (s - F.log(F.sum(F.exp(s)).over(row))).alias("logprob"))
-    c = counts_by_step.select("step", "prev_id", "next_id", F.col("n").cast("double").alias("n"))
-    uniform = float(np.log(max(1, params.select("next_id").distinct().count())))
-    known = lp.join(c, ["prev_id", "next_id"]).groupBy("run_id", "step").agg(
-        F.sum(F.col("n") * F.col("logprob")).alias("logprob"), F.sum("n").alias("known")
-    )
-    # every run meets every step, also where none of its contexts occurs; runs are few by design
-    steps = c.groupBy("step").agg(F.sum("n").alias("n")).withColumn("_k", F.lit(1))
-    runs = params.select("run_id").distinct().withColumn("_k", F.lit(1))
-    per = steps.join(runs, "_k").join(known, ["run_id", "step"], "left").select(
-        "run_id",
-        ((uniform * (F.col("n") - F.coalesce("known", F.lit(0.0))) - F.coalesce("logprob", F.lit(0.0))) / F.col("n")).alias("loss"),
-    )
-    return per.groupBy("run_id").agg(F.avg("loss").alias("eval_loss"), F.count(F.lit(1)).alias("n_batches"))
+def evaluate(params: DataFrame, counts: DataFrame) -> DataFrame:
+    """(run_id, eval_loss, n_pairs): mean loss over all counted pairs (prev_id,
+    next_id, n), which may be a whole corpus': the pairs are aggregated to one
+    row per context and meet the parameters in one join.  A pair whose context
+    or next id has no parameters counts as drawn uniformly: loss ln V."""
+    total = int(counts.agg(F.sum("n")).collect()[0][0] or 0)
+
+    def score(b):
+        w = as_matrix(b.column("w"))
+        n = _dense(b.column("ids"), b.column("ns"), w.shape[1])
+        nll = -(n * _log_softmax(w)).sum(axis=1)
+        width = np.full(len(nll), float(w.shape[1]))
+        return [b.column("run_id"), pa.array(nll), pa.array(n.sum(axis=1)), pa.array(width)]
+
+    joined = _with_counts(params.select("run_id", "prev_id", "w"), counts).select("run_id", "w", "ids", "ns")
+    rows = map_rows(joined, score, "run_id int, nll double, n double, width double")
+    per = rows.groupBy("run_id").agg(F.sum("nll").alias("nll"), F.sum("n").alias("n"), F.max("width").alias("width"))
+    missing = F.lit(float(total)) - F.col("n")
+    loss = F.try_divide(F.col("nll") + missing * F.log("width"), F.lit(float(total)))
+    return per.select("run_id", loss.alias("eval_loss"), F.lit(total).cast("long").alias("n_pairs"))
 
 
 # ------------------------------------------------------------- checkpoints
@@ -293,15 +359,18 @@ def load_checkpoint(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
 
 
 def logits_for(params: DataFrame, run_id: int = 0) -> DataFrame:
-    return params.where(F.col("run_id") == run_id).select("prev_id", "next_id", F.col("w").alias("logit"))
+    """(prev_id, next_ids, logits): the candidates after each context."""
+    ids = F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: i.cast("int"))
+    return params.where(F.col("run_id") == run_id).select("prev_id", ids.alias("next_ids"), F.col("w").alias("logits"))
 
 
 def smoothed_params(counts: DataFrame, vocab_size: int) -> DataFrame:
     """Count model as parameters: w = ln(n(prev,next) + 1) for every next."""
-    base = init_params(counts.select("prev_id"), vocab_size, [0]).select("run_id", "prev_id", "next_id")
-    c = counts.select("prev_id", "next_id", F.col("n").cast("double").alias("n"))
-    j = base.join(c, ["prev_id", "next_id"], "left")
-    return j.select(
-        "run_id", "prev_id", "next_id", F.log(F.coalesce("n", F.lit(0.0)) + 1).alias("w"),
-        F.lit(0.0).alias("m"), F.lit(0.0).alias("v"), F.lit(0).alias("t"),
-    )
+    base = init_params(counts.sparkSession, vocab_size, [0])
+
+    def logs(b):
+        zeros = as_matrix(b.column("w"))
+        w = np.log(_dense(b.column("ids"), b.column("ns"), zeros.shape[1]) + 1)
+        return [b.column("run_id"), b.column("prev_id"), as_lists(w), as_lists(zeros), as_lists(zeros), b.column("t")]
+
+    return map_rows(_with_counts(base, counts).select(*PARAM_COLS, "ids", "ns"), logs, PARAM_SCHEMA)

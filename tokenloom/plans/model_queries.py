@@ -10,13 +10,17 @@ from tokenloom.operators import codec, generate, model
 from tokenloom.operators import tokens as TK
 from tokenloom.plans.registry import NUM_MERGES, SPECIALS, register, rnd, table, trained_tokenizer
 from tokenloom.plans.stream_queries import (
-    BATCH, EOT_ID, SEED, STEPS, _PAIRS_SQL, _Stream, _stream_ctes, sample_sql,
+    EOT_ID, _PAIRS_SQL, _Stream, _stream_ctes,
 )
+from tokenloom.functions.text import END_OF_TEXT
+from tokenloom.plans.tokenizer_queries import VOCAB_SQL
 from tokenloom.session import scratch_path
 
 V = 256 + len(SPECIALS) + NUM_MERGES
 LR, WD, MAX_NORM = 1e-3, 0.01, 1e-3
-TRAIN_STEPS = 4
+STEP_WINDOWS = 16384  # windows of one training step; the steps of an epoch follow from the data
+SQL_STEPS = 3  # steps that the SQL unrolls, at least an epoch of the checked table
+CYCLE = 4
 SWEEP_LRS = [1e-2, 3e-3, 1e-3]
 GEN_MAX_NEW, GEN_TEMP, GEN_TOP_P, GEN_SEED = 12, 0.8, 0.95, 5
 
@@ -26,10 +30,7 @@ def _corpus_counts(st):
 
 
 def _zero_grads(spark, sf_dir):
-    st = _Stream(spark, sf_dir)
-    counts = _corpus_counts(st)
-    params = model.init_params(counts.select("prev_id"), V, [0])
-    return model.with_gradient(params, counts)
+    return model.with_gradient(model.init_params(spark, V, [0]), _corpus_counts(_Stream(spark, sf_dir)))
 
 
 GRAD_SQL = lambda: (
@@ -37,38 +38,39 @@ GRAD_SQL = lambda: (
     + _PAIRS_SQL
     + f"""
 , cnt AS (SELECT input_id AS prev_id, target_id AS next_id, count(*) AS n FROM pairs GROUP BY ALL)
-, prevs AS (SELECT DISTINCT prev_id FROM cnt)
 , tot AS (SELECT sum(n) AS n_all FROM cnt)
 , nprev AS (SELECT prev_id, sum(n) AS n_prev FROM cnt GROUP BY prev_id)
 , grad AS (
-  SELECT p.prev_id, CAST(r.k AS BIGINT) AS next_id,
-         (np.n_prev * (1.0 / {V}) - coalesce(c.n, 0)) / (SELECT n_all FROM tot) AS g
-  FROM prevs p JOIN nprev np USING (prev_id), range({V}) r(k)
-  LEFT JOIN cnt c ON c.prev_id = p.prev_id AND c.next_id = r.k
+  SELECT CAST(p.k AS BIGINT) AS prev_id, CAST(r.k AS BIGINT) AS next_id,
+         (coalesce(np.n_prev, 0) * (1.0 / {V}) - coalesce(c.n, 0)) / (SELECT n_all FROM tot) AS g
+  FROM range({V}) p(k) CROSS JOIN range({V}) r(k) LEFT JOIN nprev np ON np.prev_id = p.k
+  LEFT JOIN cnt c ON c.prev_id = p.k AND c.next_id = r.k
 )"""
 )
 
 
-@register("count_parameters", lambda: GRAD_SQL() + "\nSELECT CAST(0 AS INTEGER) AS run_id, count(*) AS n_params FROM grad")
+@register(
+    "count_parameters",
+    lambda: VOCAB_SQL() + "\nSELECT CAST(0 AS INTEGER) AS run_id, CAST(count(*) * count(*) AS BIGINT) AS n_params FROM vocab",
+)
 def q_count_parameters(spark, sf_dir):
-    st = _Stream(spark, sf_dir)
-    params = model.init_params(_corpus_counts(st).select("prev_id"), V, [0])
-    return model.count_parameters(params)
+    size = len(trained_tokenizer(spark, sf_dir).vocab)
+    return model.count_parameters(model.init_params(spark, size, [0]))
 
 
-@register("model_gradient", lambda: GRAD_SQL() + "\nSELECT prev_id, next_id, 0.0 + round(g, 12) AS g FROM grad")
+@register("model_gradient", lambda: GRAD_SQL() + "\nSELECT prev_id, next_id, 0.0 + round(g, 10) AS g FROM grad")
 def q_model_gradient(spark, sf_dir):
-    g = _zero_grads(spark, sf_dir)
-    return g.select(F.col("prev_id").cast("long"), F.col("next_id").cast("long"), rnd(F.col("g"), 12).alias("g"))
+    g = model.long_form(_zero_grads(spark, sf_dir), "g")
+    return g.select(F.col("prev_id").cast("long"), F.col("next_id").cast("long"), rnd(F.col("g"), 10).alias("g"))
 
 
 @register(
     "gradient_norm",
-    lambda: GRAD_SQL() + "\nSELECT CAST(0 AS INTEGER) AS run_id, 0.0 + round(sqrt(sum(g * g)), 12) AS norm FROM grad",
+    lambda: GRAD_SQL() + "\nSELECT CAST(0 AS INTEGER) AS run_id, 0.0 + round(sqrt(sum(g * g)), 10) AS norm FROM grad",
 )
 def q_gradient_norm(spark, sf_dir):
     n = model.gradient_norm(_zero_grads(spark, sf_dir))
-    return n.select("run_id", rnd(F.col("norm"), 12).alias("norm"))
+    return n.select("run_id", rnd(F.col("norm"), 10).alias("norm"))
 
 
 CLIP_SQL = lambda: (
@@ -86,13 +88,14 @@ CLIP_SQL = lambda: (
 def _clipped(spark, sf_dir):
     g = _zero_grads(spark, sf_dir)
     norm = model.loss_and_norm(g)[0][1]
-    return model.clip_gradients(g, {0: model.clip_factor(norm, MAX_NORM)})
+    return g, model.clip_factor(norm, MAX_NORM)
 
 
-@register("clip_gradients", lambda: CLIP_SQL() + "\nSELECT prev_id, next_id, 0.0 + round(g * 1e6, 9) AS g_e6 FROM clipped")
+@register("clip_gradients", lambda: CLIP_SQL() + "\nSELECT prev_id, next_id, 0.0 + round(g * 1e6, 7) AS g_e6 FROM clipped")
 def q_clip_gradients(spark, sf_dir):
-    c = _clipped(spark, sf_dir)
-    return c.select(F.col("prev_id").cast("long"), F.col("next_id").cast("long"), rnd(F.col("g") * 1e6, 9).alias("g_e6"))
+    g, factor = _clipped(spark, sf_dir)
+    c = model.long_form(model.clip_gradients(g, {0: factor}), "g")
+    return c.select(F.col("prev_id").cast("long"), F.col("next_id").cast("long"), rnd(F.col("g") * 1e6, 7).alias("g_e6"))
 
 
 @register(
@@ -101,18 +104,18 @@ def q_clip_gradients(spark, sf_dir):
     + f"""
 , st AS (SELECT prev_id, next_id, 0.1 * g AS m, 0.001 * g * g AS v FROM clipped)
 SELECT prev_id, next_id,
-       0.0 + round(1e6 * (0.0 - {LR} * sqrt(1 - 0.999) / (1 - 0.9) * m / (sqrt(v) + 1e-8)) * (1 - {LR} * {WD}), 6) AS w_e6,
-       0.0 + round(m * 1e6, 9) AS m_e6, 0.0 + round(v * 1e12, 9) AS v_e12, 1 AS t
+       0.0 + round(1e6 * (0.0 - {LR} * sqrt(1 - 0.999) / (1 - 0.9) * m / (sqrt(v) + 1e-8)) * (1 - {LR} * {WD}), 4) AS w_e6,
+       0.0 + round(m * 1e6, 7) AS m_e6, 0.0 + round(v * 1e12, 7) AS v_e12, 1 AS t
 FROM st""",
 )
 def q_adamw_step(spark, sf_dir):
-    c = _clipped(spark, sf_dir)
+    g, factor = _clipped(spark, sf_dir)
     cfg = {0: model.RunConfig(0, lr_max=LR, weight_decay=WD, max_grad_norm=MAX_NORM)}
-    p = model.adamw_step(c, cfg, {0: LR})
+    p = model.long_form(model.adamw_step(g, cfg, {0: LR}, {0: factor}), "w", "m", "v")
     return p.select(
         F.col("prev_id").cast("long"), F.col("next_id").cast("long"),
-        rnd(F.col("w") * 1e6, 6).alias("w_e6"), rnd(F.col("m") * 1e6, 9).alias("m_e6"),
-        rnd(F.col("v") * 1e12, 9).alias("v_e12"), "t",
+        rnd(F.col("w") * 1e6, 4).alias("w_e6"), rnd(F.col("m") * 1e6, 7).alias("m_e6"),
+        rnd(F.col("v") * 1e12, 7).alias("v_e12"), F.lit(1).alias("t"),
     )
 
 
@@ -120,65 +123,49 @@ def q_adamw_step(spark, sf_dir):
     "evaluate",
     lambda: _stream_ctes()
     + _PAIRS_SQL
-    + sample_sql(STEPS, BATCH, SEED, 32)
     + f"""
 , cnt AS (SELECT input_id AS prev_id, target_id AS next_id, count(*) AS n FROM pairs GROUP BY ALL)
-, grid AS (
-  SELECT p.prev_id, CAST(q.k AS BIGINT) AS next_id, coalesce(ln(c.n + 1), 0) AS w
-  FROM (SELECT DISTINCT prev_id FROM cnt) p, range({V}) q(k)
-  LEFT JOIN cnt c ON c.prev_id = p.prev_id AND c.next_id = q.k
-)
-, lse AS (
-  SELECT prev_id, m + ln(sum(exp(w - m))) AS lse
-  FROM (SELECT prev_id, w, max(w) OVER (PARTITION BY prev_id) AS m FROM grid) GROUP BY prev_id, m
-)
-, bc AS (SELECT step, input_id AS prev_id, target_id AS next_id, count(*) AS n FROM batches GROUP BY ALL)
-, per AS (
-  SELECT b.step, -sum(b.n * (g.w - l.lse)) / sum(b.n) AS loss
-  FROM bc b JOIN grid g USING (prev_id, next_id) JOIN lse l USING (prev_id)
-  GROUP BY b.step
-)
-SELECT CAST(0 AS INTEGER) AS run_id, 0.0 + round(avg(loss), 6) AS eval_loss, count(*) AS n_batches FROM per""",
+, rows_of AS (SELECT prev_id, sum(n + 1) + {V} - count(*) AS mass FROM cnt GROUP BY prev_id)
+SELECT CAST(0 AS INTEGER) AS run_id, 0.0 + round(-sum(c.n * (ln(c.n + 1) - ln(r.mass))) / sum(c.n), 6) AS eval_loss,
+       CAST(sum(c.n) AS BIGINT) AS n_pairs
+FROM cnt c JOIN rows_of r USING (prev_id)""",
 )
 def q_evaluate(spark, sf_dir):
-    st = _Stream(spark, sf_dir)
-    params = model.smoothed_params(_corpus_counts(st), V)
-    starts = TK.sample_starts(spark, STEPS, BATCH, st.n, st.T, SEED)
-    counts = model.batch_counts(TK.sample_batches(st.windows, starts, st.T))
-    ev = model.evaluate(params, counts)
-    return ev.select("run_id", rnd(F.col("eval_loss"), 6).alias("eval_loss"), "n_batches")
+    """The count model's loss over every pair of the corpus."""
+    counts = _corpus_counts(_Stream(spark, sf_dir))
+    ev = model.evaluate(model.smoothed_params(counts, V), counts)
+    return ev.select("run_id", rnd(F.col("eval_loss"), 6).alias("eval_loss"), "n_pairs")
 
 
-def _train(spark, sf_dir, configs, steps, on_checkpoint=None, checkpoint_every=2):
+def _train(spark, sf_dir, configs, on_checkpoint=None, checkpoint_every=4):
     st = _Stream(spark, sf_dir)
-    prevs = _corpus_counts(st).select("prev_id")
-    params = model.init_params(prevs, V, [c.run_id for c in configs])
-    starts = TK.sample_starts(spark, steps, BATCH, st.n, st.T, SEED)
-    counts = model.batch_counts(TK.sample_batches(st.windows, starts, st.T))
-    return model.train_model(
-        params, counts, configs, steps, BATCH * st.T, checkpoint_every=checkpoint_every, on_checkpoint=on_checkpoint
-    )
+    params = model.init_params(spark, V, [c.run_id for c in configs])
+    counts = model.epoch_counts(st.windows, STEP_WINDOWS)
+    return model.train_model(params, counts, configs, checkpoint_every=checkpoint_every, on_checkpoint=on_checkpoint)
 
 
 TRAIN_LR, TRAIN_WARMUP = 0.5, 1
 
 
-def _train_sql(configs: list | None = None, steps: int = TRAIN_STEPS, output: str = "metrics", extra: str = "") -> str:
+def _train_sql(configs: list | None = None, output: str = "metrics", extra: str = "") -> str:
     """The training loop unrolled in DuckDB, one chain of CTEs per run: per
-    step the batch counts of the same hashed draws, log-softmax rows,
-    gradient, loss and norm, clipping, then AdamW with the same schedule."""
-    configs = configs or [model.RunConfig(0, lr_max=TRAIN_LR, warmup=TRAIN_WARMUP, cycle=TRAIN_STEPS, max_grad_norm=1.0)]
+    step the counts of its windows, log-softmax rows, gradient, loss and norm,
+    clipping, then AdamW with the same schedule.  A step after the epoch's end
+    has no counts: it changes nothing and reports nothing."""
+    steps = SQL_STEPS
+    configs = configs or [model.RunConfig(0, lr_max=TRAIN_LR, warmup=TRAIN_WARMUP, cycle=CYCLE, max_grad_norm=1.0)]
     parts = [
         _stream_ctes()
         + _PAIRS_SQL
-        + sample_sql(steps, BATCH, SEED, 32)
         + f"""
-, cnt AS (SELECT input_id AS prev_id, target_id AS next_id, count(*) AS n FROM pairs GROUP BY ALL)
-, bc AS (SELECT step, input_id AS prev_id, target_id AS next_id, CAST(count(*) AS DOUBLE) AS n FROM batches GROUP BY ALL)
-, bt AS (SELECT step, sum(n) AS n_total FROM bc GROUP BY step)
+, bc AS MATERIALIZED (
+  SELECT gpos // {STEP_WINDOWS * 32} AS step, input_id AS prev_id, target_id AS next_id, CAST(count(*) AS DOUBLE) AS n
+  FROM pairs GROUP BY ALL
+)
+, bt AS MATERIALIZED (SELECT step, sum(n) AS n_total FROM bc GROUP BY step)
 , p_init AS MATERIALIZED (
-  SELECT p.prev_id, CAST(q.k AS BIGINT) AS next_id, 0.0::DOUBLE AS w, 0.0::DOUBLE AS m, 0.0::DOUBLE AS v
-  FROM (SELECT DISTINCT prev_id FROM cnt) p, range({V}) q(k)
+  SELECT CAST(p.k AS BIGINT) AS prev_id, CAST(q.k AS BIGINT) AS next_id, 0.0::DOUBLE AS w, 0.0::DOUBLE AS m, 0.0::DOUBLE AS v
+  FROM range({V}) p(k) CROSS JOIN range({V}) q(k)
 )"""
     ]
     mets = []
@@ -211,7 +198,8 @@ def _train_sql(configs: list | None = None, steps: int = TRAIN_STEPS, output: st
 )
 , met_{x} AS MATERIALIZED (
   SELECT CAST({r} AS INTEGER) AS run_id, CAST({st} AS BIGINT) AS step,
-         -sum(n * lp) / (SELECT n_total FROM bt WHERE step = {st}) AS loss, sqrt(sum(g * g)) AS norm, {lr!r} AS lr
+         -sum(n * lp) / (SELECT n_total FROM bt WHERE step = {st}) AS loss, sqrt(sum(g * g)) AS norm, {lr!r} AS lr,
+         (SELECT CAST(n_total AS BIGINT) FROM bt WHERE step = {st}) AS tokens
   FROM k_{x}
 )
 , c_{x} AS (
@@ -220,29 +208,29 @@ def _train_sql(configs: list | None = None, steps: int = TRAIN_STEPS, output: st
 )
 , p_{x} AS MATERIALIZED (
   SELECT prev_id, next_id, (w - {alpha} * m1 / (sqrt(v1) + {cfg.eps})) * {decay} AS w, m1 AS m, v1 AS v
-  FROM c_{x}
+  FROM c_{x} WHERE EXISTS (SELECT 1 FROM bt WHERE step = {st})
+  UNION ALL SELECT prev_id, next_id, w, m, v FROM {prev} WHERE NOT EXISTS (SELECT 1 FROM bt WHERE step = {st})
 )"""
             )
             mets.append(f"SELECT * FROM met_{x}")
             prev = f"p_{x}"
-    if output == "ctes":  # the chains only, for callers adding their own select
-        return "".join(parts)
     if output == "params":  # the state after the last step of the (first) run
         parts.append(f"""
 SELECT CAST({configs[0].run_id} AS INTEGER) AS run_id, prev_id, next_id, 0.0 + round(w, 6) AS w,
-       0.0 + round(m * 1e6, 3) AS m_e6, 0.0 + round(v * 1e12, 3) AS v_e12, {steps} AS t, {steps} AS iteration
+       0.0 + round(m * 1e6, 3) AS m_e6, 0.0 + round(v * 1e12, 3) AS v_e12,
+       (SELECT CAST(count(*) AS INTEGER) FROM bt) AS t, (SELECT CAST(count(*) AS INTEGER) FROM bt) AS iteration
 FROM {prev}""")
     else:
         parts.append(f"""
 SELECT run_id, step, 0.0 + round(loss, 6) AS loss, 0.0 + round(lr, 9) AS lr, 0.0 + round(norm, 9) AS grad_norm{extra}
-FROM ({" UNION ALL ".join(mets)})""")
+FROM ({" UNION ALL ".join(mets)}) WHERE tokens IS NOT NULL""")
     return "".join(parts)
 
 
 @register("train_model", lambda: _train_sql())
 def q_train_model(spark, sf_dir):
-    cfg = [model.RunConfig(0, lr_max=TRAIN_LR, warmup=TRAIN_WARMUP, cycle=TRAIN_STEPS, max_grad_norm=1.0)]
-    res = _train(spark, sf_dir, cfg, TRAIN_STEPS)
+    cfg = [model.RunConfig(0, lr_max=TRAIN_LR, warmup=TRAIN_WARMUP, cycle=CYCLE, max_grad_norm=1.0)]
+    res = _train(spark, sf_dir, cfg)
     m = model.metrics_frame(spark, res.metrics)
     return m.select(
         "run_id", "step", rnd(F.col("loss"), 6).alias("loss"), rnd(F.col("lr"), 9).alias("lr"),
@@ -250,16 +238,13 @@ def q_train_model(spark, sf_dir):
     )
 
 
-SWEEP_STEPS = 3
-
-
 def _sweep_configs():
-    return model.lr_sweep_configs(SWEEP_LRS, warmup=1, cycle=TRAIN_STEPS)
+    return model.lr_sweep_configs(SWEEP_LRS, warmup=1, cycle=CYCLE)
 
 
-@register("lr_sweep", lambda: _train_sql(_sweep_configs(), SWEEP_STEPS))
+@register("lr_sweep", lambda: _train_sql(_sweep_configs()))
 def q_lr_sweep(spark, sf_dir):
-    res = _train(spark, sf_dir, _sweep_configs(), SWEEP_STEPS)
+    res = _train(spark, sf_dir, _sweep_configs())
     m = model.metrics_frame(spark, res.metrics)
     return m.select(
         "run_id", "step", rnd(F.col("loss"), 6).alias("loss"), rnd(F.col("lr"), 9).alias("lr"),
@@ -267,8 +252,6 @@ def q_lr_sweep(spark, sf_dir):
     )
 
 
-CKPT_STEPS, CKPT_EVERY = 4, 2
-
 
 def _ckpt_configs():
     return [model.RunConfig(0, lr_max=0.5)]
@@ -277,31 +260,32 @@ def _ckpt_configs():
 def _train_with_checkpoints(spark, sf_dir):
     path = scratch_path(spark, "model-ckpt")
     _train(
-        spark, sf_dir, _ckpt_configs(), CKPT_STEPS,
-        on_checkpoint=lambda p, it: model.save_checkpoint(p, it, path), checkpoint_every=CKPT_EVERY,
+        spark, sf_dir, _ckpt_configs(), on_checkpoint=lambda p, it: model.save_checkpoint(p, it, path), checkpoint_every=1,
     )
     return path
 
 
 @register(
     "save_checkpoint",
-    lambda: _train_sql(_ckpt_configs(), CKPT_STEPS, "ctes")
+    lambda: _stream_ctes()
     + f"""
-SELECT CAST(i AS INTEGER) AS iteration, (SELECT count(*) FROM p_init) AS n_params
-FROM range({CKPT_EVERY}, {CKPT_STEPS} + 1, {CKPT_EVERY}) t(i)""",
+, steps AS (SELECT CAST(CASE WHEN n < 2 THEN 0 ELSE ((n - 2) // 32) // {STEP_WINDOWS} + 1 END AS INTEGER) AS k FROM total)
+SELECT CAST(i AS INTEGER) AS iteration, CAST({V * V} AS BIGINT) AS n_params FROM steps, range(1, steps.k + 1) t(i)""",
 )
 def q_save_checkpoint(spark, sf_dir):
-    """Parameters written per saved iteration (every 2 of 4 steps)."""
+    """Parameters written per saved iteration (every step)."""
     path = _train_with_checkpoints(spark, sf_dir)
-    df = spark.read.parquet(path).groupBy("iteration").agg(F.count(F.lit(1)).alias("n_params"))
+    df = spark.read.parquet(path).groupBy("iteration").agg(F.sum(F.size("w")).cast("long").alias("n_params"))
     return df.select(F.col("iteration").cast("int"), "n_params")
 
 
-@register("load_checkpoint", lambda: _train_sql(_ckpt_configs(), CKPT_STEPS, "params"))
+@register("load_checkpoint", lambda: _train_sql(_ckpt_configs(), "params"))
 def q_load_checkpoint(spark, sf_dir):
-    """The latest checkpoint read back: parameters and AdamW state after 4 steps."""
+    """The latest checkpoint read back: parameters and AdamW state after the epoch."""
     path = _train_with_checkpoints(spark, sf_dir)
     params, it = model.load_checkpoint(spark, path)
+    steps = params.select("run_id", "prev_id", "t")
+    params = model.long_form(params, "w", "m", "v").join(steps, ["run_id", "prev_id"])
     return params.select(
         F.col("run_id").cast("int"), F.col("prev_id").cast("long"), F.col("next_id").cast("long"),
         rnd(F.col("w"), 6).alias("w"), rnd(F.col("m") * 1e6, 3).alias("m_e6"), rnd(F.col("v") * 1e12, 3).alias("v_e12"),
@@ -309,15 +293,13 @@ def q_load_checkpoint(spark, sf_dir):
     )
 
 
-LOG_STEPS = 2
-
 
 def _log_configs():
     return [model.RunConfig(0, lr_max=0.5)]
 
 
 def _log_sql() -> str:
-    return _train_sql(_log_configs(), LOG_STEPS, extra=f", CAST({BATCH * 32} AS BIGINT) AS tokens")
+    return _train_sql(_log_configs(), extra=", tokens")
 
 
 @register("log_metrics", _log_sql)
@@ -326,7 +308,7 @@ def q_log_metrics(spark, sf_dir):
     wall-clock columns are written too but are not part of the compared
     result."""
     path = scratch_path(spark, "run-metrics")
-    res = _train(spark, sf_dir, _log_configs(), LOG_STEPS)
+    res = _train(spark, sf_dir, _log_configs())
     model.log_metrics(model.metrics_frame(spark, res.metrics), path)
     back = spark.read.parquet(path)
     return back.select(
@@ -472,5 +454,9 @@ FROM final f LEFT JOIN fhex h USING (prompt_id)"""
 
 @register("complete_text", _complete_sql)
 def q_complete_text(spark, sf_dir):
-    g = _generate(spark, sf_dir).select(F.col("prompt_id").alias("doc_id"), "ids")
-    return codec.decode_corpus(g, trained_tokenizer(spark, sf_dir)).withColumnRenamed("doc_id", "prompt_id")
+    prompts = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("prompt_id"), "text")
+    candidates = model.logits_for(model.smoothed_params(_corpus_counts(_Stream(spark, sf_dir)), V))
+    done = generate.complete_text(
+        prompts, trained_tokenizer(spark, sf_dir), candidates, GEN_MAX_NEW, GEN_TEMP, GEN_TOP_P, END_OF_TEXT, GEN_SEED
+    )
+    return done.select("prompt_id", "text")
