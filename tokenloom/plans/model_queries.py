@@ -367,9 +367,8 @@ bp AS (SELECT prompt_id, unnest(generate_series(0, len(ps) - 1)) AS pos, unnest(
         + f"""
 , cnt AS (SELECT input_id AS prev_id, target_id AS next_id, count(*) AS n FROM pairs GROUP BY ALL)
 , grid AS (
-  SELECT p.prev_id, CAST(q.k AS BIGINT) AS next_id, coalesce(ln(c.n + 1), 0) AS w
-  FROM (SELECT DISTINCT prev_id FROM cnt) p, range({V}) q(k)
-  LEFT JOIN cnt c ON c.prev_id = p.prev_id AND c.next_id = q.k
+  SELECT CAST(p.k AS BIGINT) AS prev_id, CAST(q.k AS BIGINT) AS next_id, coalesce(ln(c.n + 1), 0) AS w
+  FROM range({V}) p(k) CROSS JOIN range({V}) q(k) LEFT JOIN cnt c ON c.prev_id = p.k AND c.next_id = q.k
 )
 , g_m AS (SELECT prev_id, next_id, w / {GEN_TEMP} - max(w / {GEN_TEMP}) OVER (PARTITION BY prev_id) AS s FROM grid)
 , g_p AS (SELECT prev_id, next_id, exp(s) / sum(exp(s)) OVER (PARTITION BY prev_id) AS prob FROM g_m)
