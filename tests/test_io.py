@@ -143,3 +143,38 @@ def test_complete_text_and_its_end(spark):
     run = lambda **kw: {r.prompt_id: (r.text, r.n_new) for r in generate.complete_text(prompts, tok, rows, 5, **kw).collect()}
     assert run() == {1: ("xabc<|endoftext|>", 2), 2: ("", 0), 3: ("é", 0)}
     assert run(end="c")[1] == ("xabc", 1)
+
+
+def test_from_file_to_encoded_stream(spark):
+    """A corpus file read with ids trains a tokenizer and becomes a stream."""
+    from tokenloom.operators import bpe, codec
+    from tokenloom.operators import tokens as TK
+    from tokenloom.sources import corpus
+
+    d = tempfile.mkdtemp(prefix="tokenloom-test-file-")
+    texts = [f"the {i} cat é sat on the mat " * (i % 7 + 1) for i in range(60)]
+    for name, part in (("a.txt", texts[:25]), ("b.txt", texts[25:])):
+        with open(f"{d}/{name}", "w", encoding="utf-8") as f:
+            f.write("<|endoftext|>".join(part))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")  # many splits a file
+    try:
+        docs = corpus.read_delimited_corpus(spark, d, with_ids=True)
+        assert [tuple(r) for r in docs.orderBy("doc_id").collect()] == list(enumerate(texts))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    tok = bpe.train_bpe(docs, 257 + 20, ["<|endoftext|>"])
+    ids = codec.encode_corpus(docs, tok)
+    stream = TK.token_stream(ids, 0)
+    assert stream.count() == TK.stream_length(ids)
+    assert [r.text for r in codec.decode_corpus(ids, tok).orderBy("doc_id").collect()] == texts
+
+
+def test_dropping_bad_bytes_in_the_jvm(spark):
+    from tokenloom.sources import corpus
+
+    rows = [b"ok \xef\xbf\xbd", b"\xe2\x82a\xac", b"\xf0\x9f\x99\x82\xf0\x9f", b"\xff\xc0\xaf\xed\xa0\x80z", b"", None, b"\xf4\x90\x80\x80", b"\xc3\xa9\x80"]
+    df = spark.createDataFrame([(i, None if b is None else bytearray(b)) for i, b in enumerate(rows)], "i int, b binary")
+    out = df.select("i", corpus.drop_bad_utf8(F.col("b")).alias("t"))
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r.i: r.t for r in out.collect()} == {i: None if b is None else b.decode("utf-8", "ignore") for i, b in enumerate(rows)}

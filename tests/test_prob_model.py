@@ -144,6 +144,29 @@ def test_causal_attention_matches_numpy(spark):
     assert np.allclose(out, p @ x)
 
 
+@pytest.mark.parametrize("causal", [True, False])
+def test_attention_of_unequal_lengths(spark, causal):
+    """12 queries and 16 keys of their own, large scores, blocks of any size."""
+    rng = np.random.default_rng(9)
+    data = {seq: (rng.normal(size=(nq, 4)) * 30, rng.normal(size=(nk, 4)), rng.normal(size=(nk, 3))) for seq, nq, nk in (("a", 12, 16), ("b", 5, 2), ("c", 1, 1))}
+    qs = spark.createDataFrame([(s, i, x.tolist()) for s, (q, _, _) in data.items() for i, x in enumerate(q)], "seq string, pos long, q array<double>")
+    ks = spark.createDataFrame([(s, i, k[i].tolist(), v[i].tolist()) for s, (_, k, v) in data.items() for i in range(len(k))], "seq string, pos long, k array<double>, v array<double>")
+    for block in (1, 5, 64):
+        got = {(r.seq, r.pos): r.attn for r in vectors.attention(qs, ks, causal, block).collect()}
+        for s, (q, k, v) in data.items():
+            z = q @ k.T / 2.0
+            if causal:
+                z[np.triu_indices(len(q), 1, len(k))] = -np.inf
+            p = np.exp(z - z.max(axis=1, keepdims=True))
+            assert np.allclose([got[s, i] for i in range(len(q))], p / p.sum(axis=1, keepdims=True) @ v)
+    one = spark.createDataFrame([([float(x) for x in data["a"][0].ravel()], [float(x) for x in data["a"][1].ravel()])], "q array<double>, k array<double>")
+    out = np.array(vectors.causal_attention(one, "q", "k", "k", 4).first().attn).reshape(12, 4)
+    z = data["a"][0] @ data["a"][1].T / 2.0
+    z[np.triu_indices(12, 1, 16)] = -np.inf
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    assert np.allclose(out, p / p.sum(axis=1, keepdims=True) @ data["a"][1])
+
+
 def test_ties_large_values_and_single_token(spark):
     rows = [(0, 0, 5.0), (0, 1, 5.0), (0, 2, 1.0), (1, 7, 1000.0), (2, 3, 1e3), (2, 4, 1e3 - 50)]
     df = spark.createDataFrame(rows, "ctx_id long, token_id long, logit double")

@@ -137,13 +137,34 @@ def test_shards_round_trip_and_range_check(spark, ids):
         TS.write_token_stream(bad, path + "-bad", 4, 2)
 
 
-def test_raw_file_reader(spark):
+def test_raw_file_of_any_size(spark):
+    """A prime number of tokens, read by many tasks without an RDD."""
     import numpy as np
 
-    arr = np.arange(0, 6000, dtype=np.uint16) * 7
+    from tokenloom.sources import raw_tokens as RT
+
     d = tempfile.mkdtemp(prefix="tokenloom-test-raw-")
-    f = os.path.join(d, "tokens.bin")
-    arr.tofile(f)
-    rec = TS.raw_record_tokens(os.path.getsize(f))
-    got = [r.token_id for r in TS.read_raw_token_file(spark, f, rec).orderBy("gpos").collect()]
-    assert got == arr.tolist()
+    for n in (0, 1, 7919):
+        arr = (np.arange(n) * 7 % 65536).astype(np.uint16)
+        f = os.path.join(d, f"tokens{n}.bin")
+        arr.tofile(f)
+        df = RT.read_raw_stream(spark, f, range_bytes=1001)
+        assert [(r.gpos, r.token_id) for r in df.orderBy("gpos").collect()] == list(enumerate(arr.tolist()))
+    assert df.rdd.getNumPartitions() == -(-2 * 7919 // 1000)
+    with open(os.path.join(d, "odd.bin"), "wb") as f:
+        f.write(b"abc")
+    with pytest.raises(Exception, match="16-bit"):
+        RT.read_raw_stream(spark, os.path.join(d, "odd.bin")).collect()
+
+
+def test_raw_round_trip(spark, ids):
+    from tokenloom.sources import raw_tokens as RT
+
+    T, n = 4, TK.stream_length(ids)
+    d = tempfile.mkdtemp(prefix="tokenloom-test-raw-")
+    TS.write_token_stream(TK.pack_windows(ids, 0, T, n), d + "/s", T, n)
+    assert RT.write_raw_stream(spark.read.parquet(d + "/s"), d + "/raw") == n
+    exp = flat([(r.doc_id, list(r.ids)) for r in ids.collect()])
+    assert [r.token_id for r in RT.read_raw_stream(spark, d + "/raw").orderBy("gpos").collect()] == exp
+    whole = b"".join(open(os.path.join(d, "raw", f), "rb").read() for f in sorted(os.listdir(d + "/raw")) if f.endswith(".bin"))
+    assert len(whole) == 2 * n

@@ -22,28 +22,48 @@ def q_read_delimited_corpus(spark, sf_dir):
     return C.read_delimited_corpus(spark, path)
 
 
-def _vocab_tokens(spark, sf_dir):
-    return bpe.vocab_frame(spark, trained_tokenizer(spark, sf_dir))
+@register(
+    "number_delimited_corpus",
+    "SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS doc_id, text FROM documents",
+)
+def q_number_delimited_corpus(spark, sf_dir):
+    """Documents written as text files in order, read back and numbered."""
+    path = scratch_path(spark, "corpus-numbered")
+    docs = table(spark, sf_dir, "documents").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    C.write_delimited_corpus(docs, path)
+    return C.read_delimited_corpus(spark, path, with_ids=True)
 
 
-@register(
-    "replace_bad_utf8",
-    lambda: VOCAB_SQL() + f"\nSELECT token_id, {O.utf8_decode_sql('token_hex', chr(0xFFFD))} AS text FROM vocab",
+CUT = 97  # bytes of a range of a text, cut without regard to characters
+
+
+def _cut_bytes(spark, sf_dir):
+    """(doc_id, part, b): every document's bytes in ranges of CUT."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("b"))
+    starts = F.sequence(F.lit(0), F.floor((F.length("b") - 1) / CUT).cast("int"))
+    parts = docs.where(F.length("b") > 0).select("doc_id", "b", F.explode(starts).alias("part"))
+    return parts.select("doc_id", F.col("part").cast("long"), F.substring("b", F.col("part") * CUT + 1, F.lit(CUT)).alias("b"))
+
+
+def _cut_sql(replacement: str) -> str:
+    return f"""
+WITH h AS (SELECT doc_id, hex(encode(text)) AS h FROM documents WHERE text <> ''),
+parts AS (
+  SELECT doc_id, h, unnest(generate_series(0, (length(h) // 2 - 1) // {CUT})) AS part FROM h
 )
+SELECT doc_id, part, {O.utf8_decode_sql(f"substr(h, part * {2 * CUT} + 1, {2 * CUT})", replacement)} AS text FROM parts"""
+
+
+@register("replace_bad_utf8", lambda: _cut_sql(chr(0xFFFD)))
 def q_replace_bad_utf8(spark, sf_dir):
-    """Every vocabulary entry shown as text; lone bytes above 0x7F and cut
-    characters become U+FFFD."""
-    v = _vocab_tokens(spark, sf_dir)
-    return v.select(F.col("token_id").cast("long"), C.replace_bad_utf8(F.col("token")).alias("text"))
+    """Byte ranges of all documents as text; cut characters become U+FFFD."""
+    return _cut_bytes(spark, sf_dir).select("doc_id", "part", C.replace_bad_utf8(F.col("b")).alias("text"))
 
 
-@register(
-    "drop_bad_utf8",
-    lambda: VOCAB_SQL() + f"\nSELECT token_id, {O.utf8_decode_sql('token_hex', '')} AS text FROM vocab",
-)
+@register("drop_bad_utf8", lambda: _cut_sql(""))
 def q_drop_bad_utf8(spark, sf_dir):
-    v = _vocab_tokens(spark, sf_dir)
-    return v.select(F.col("token_id").cast("long"), C.drop_bad_utf8(F.col("token")).alias("text"))
+    """Byte ranges of all documents as text; cut characters are dropped."""
+    return _cut_bytes(spark, sf_dir).select("doc_id", "part", C.drop_bad_utf8(F.col("b")).alias("text"))
 
 
 @register(

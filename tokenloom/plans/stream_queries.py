@@ -8,6 +8,7 @@ from tokenloom.operators import tokens as TK
 from tokenloom.plans.registry import derived, register
 from tokenloom.plans.tokenizer_queries import ENCODE_SQL, ids_frame
 from tokenloom.session import scratch_path
+from tokenloom.sources import raw_tokens as RT
 from tokenloom.sources import token_stream as TS
 
 WINDOW_T = 32  # context length of the windows
@@ -187,3 +188,11 @@ def q_read_token_stream(spark, sf_dir):
     path = _write_shards(spark, sf_dir)
     s = TS.read_token_stream(spark, path)
     return s.select(F.col("gpos").cast("long"), F.col("token_id").cast("long"))
+
+
+@register("raw_token_stream", lambda: _stream_ctes() + "\nSELECT gpos, token_id FROM stream")
+def q_raw_token_stream(spark, sf_dir):
+    """The stream written as flat 16-bit files and read back by byte ranges."""
+    path = scratch_path(spark, "raw-stream")
+    RT.write_raw_stream(spark.read.parquet(_write_shards(spark, sf_dir)), path)
+    return RT.read_raw_stream(spark, path).select("gpos", F.col("token_id").cast("long"))

@@ -161,6 +161,27 @@ def _vocab_df(spark, sf_dir) -> DataFrame:
 VOCAB_SQL = lambda: O.with_(O.train_ctes(NUM_MERGES), O.vocab_cte())
 
 
+@register(
+    "init_vocab",
+    lambda: O.with_(O.train_ctes(0))
+    + f"""
+SELECT CAST(0 AS BIGINT) AS token_id, hex(encode({O.q(T.END_OF_TEXT)})) AS token_hex, CAST(0 AS BIGINT) AS n
+UNION ALL
+SELECT CAST(1 + b AS BIGINT), v.h, CAST(coalesce(sum(s.n), 0) AS BIGINT)
+FROM (SELECT b, upper(lpad(to_hex(b), 2, '0')) AS h FROM range(256) t(b)) v
+LEFT JOIN (SELECT unnest(string_split(substr(sym, 2, length(sym) - 2), '><')) AS h, n FROM w0 WHERE sym <> '') s ON s.h = v.h
+GROUP BY b, v.h""",
+)
+def q_init_vocab(spark, sf_dir):
+    """The vocabulary before any merge, with each byte's occurrences in the corpus."""
+    vocab = bpe.vocab_frame(spark, bpe.Tokenizer.from_merges([], SPECIALS))
+    words = pretoken.piece_bytes(pretoken.word_frequencies(table(spark, sf_dir, "documents"), SPECIALS))
+    used = words.select(F.explode(T.symbol_array("sym")).alias("token_hex"), "n").groupBy("token_hex").agg(F.sum("n").alias("n"))
+    out = vocab.select(F.col("token_id").cast("long"), F.hex("token").alias("token_hex"), "is_special")
+    n = F.when(F.col("is_special"), F.lit(0)).otherwise(F.coalesce("n", F.lit(0))).cast("long")
+    return out.join(used, "token_hex", "left").select("token_id", "token_hex", n.alias("n"))
+
+
 @register("extend_vocab", lambda: VOCAB_SQL() + "\nSELECT token_id, token_hex, is_special FROM vocab")
 def q_extend_vocab(spark, sf_dir):
     tok = trained_tokenizer(spark, sf_dir)
