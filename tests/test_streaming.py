@@ -45,4 +45,35 @@ def test_many_files_and_a_restart(spark):
     got = {r.piece: r.n for r in CS.read_word_frequencies(spark, d + "/out").collect()}
     exp = {r.piece: r.n for r in pretoken.word_frequencies(docs, []).collect()}
     assert got == exp
-    assert spark.read.parquet(d + "/out").select("batch_id").distinct().count() > 2
+    assert CS.DeltaTables(spark, d + "/out").versions()[-1] > 2
+
+
+def test_many_batches_are_few_tables_and_replays_are_never_half_seen(spark, monkeypatch):
+    import os
+
+    d = tempfile.mkdtemp(prefix="tokenloom-test-deltas-") + "/out"
+    tables = CS.DeltaTables(spark, d)
+    assert CS.read_word_frequencies(spark, d).collect() == []
+    batch = lambda i: spark.createDataFrame([("a", 1), (f"p{i % 4}", i + 1)], "piece string, n long").coalesce(1)
+    exp = {}
+    for i in range(14):
+        tables.add(batch(i), i, fanout=3)
+        exp["a"] = exp.get("a", 0) + 1
+        exp[f"p{i % 4}"] = exp.get(f"p{i % 4}", 0) + i + 1
+    counts = lambda: {r.piece: r.n for r in CS.read_word_frequencies(spark, d).collect()}
+    assert counts() == exp
+    entries = tables.entries(13)
+    assert [level for level, _ in entries] == [2, 1, 0, 0]  # 9 + 3 + 1 + 1 batches
+    assert len(tables.versions()) == CS.KEPT_MANIFESTS
+    assert len(os.listdir(f"{d}/tables")) < 14
+    # a batch that fails after its table is written, before its manifest is there
+    with monkeypatch.context() as m:
+        m.setattr(CS.DeltaTables, "_publish", lambda *a: 1 / 0)
+        try:
+            tables.add(batch(13), 13, fanout=3)
+            raise AssertionError("the replay should have failed")
+        except ZeroDivisionError:
+            pass
+    assert counts() == exp
+    tables.add(batch(13), 13, fanout=3)  # replayed: replaces itself
+    assert counts() == exp and len(tables.entries(13)) == 4
