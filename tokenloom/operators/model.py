@@ -29,13 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tokenloom.session import bounded_broadcast, cut_lineage, persist, ship_package
+from tokenloom.session import cut_lineage, persist, ship_package
 
 PARAM_COLS = ["run_id", "prev_id", "w", "m", "v", "t"]
 PARAM_SCHEMA = "run_id int, prev_id int, w array<double>, m array<double>, v array<double>, t int"
-#: Rows of counts that are sent to every task of the join; beyond, it shuffles.
-MAX_COUNT_ROWS = 1 << 12
-
 
 def as_matrix(column: pa.Array) -> np.ndarray:
     """A column of equally long lists as the rows of a matrix."""
@@ -140,8 +137,8 @@ def _log_softmax(w: np.ndarray) -> np.ndarray:
 
 def _with_counts(params: DataFrame, counts: DataFrame) -> DataFrame:
     """params with (ids, ns) of each row's context, empty where it has none."""
-    rows = bounded_broadcast(by_context(counts), MAX_COUNT_ROWS)
-    joined = params.join(rows, "prev_id", "left")
+    # at most a row per context of each side: the planner sizes this join at run time
+    joined = params.join(by_context(counts), "prev_id", "left")
     return joined.withColumns({"ids": F.coalesce("ids", F.array().cast("array<int>")), "ns": F.coalesce("ns", F.array().cast("array<double>"))})
 
 
