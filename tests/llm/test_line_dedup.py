@@ -11,7 +11,7 @@ from tokenloom.llm.line_dedup import dedup_lines, duplicate_lines
 from tokenloom.llm.simhash import one_of_each
 
 
-def brute(rows, similarity=0.8, min_words=5):
+def brute(rows, similarity=0.8, min_words=1):
     """Texts by position, every line compared with every earlier one."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
     seen, out = [], {}

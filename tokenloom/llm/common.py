@@ -24,15 +24,36 @@ def rows_of(docs: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Spark removes a query's shuffle files when the query has ended.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, paths: list[str] | None = None, **options: str) -> DataFrame:
     """`df` as a table below the shared checkpoint folder: it is computed once,
-    and a lost executor costs a reread."""
+    and a lost executor costs a reread.  The shuffles of the write are freed
+    with it.  `paths`, if given, gets the table's path, for `discard`."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    if paths is not None:
+        paths.append(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.mode("overwrite").options(**options).parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables that no frame will read again."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    paths.clear()
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """(row, doc) of every row of `docs`, doc with all its columns, as a table:
     the numbers stay the rows' own however later scans are split."""
@@ -40,7 +61,7 @@ def numbered(docs: DataFrame) -> DataFrame:
     whole = docs.select(
         F.monotonically_increasing_id().alias("row"), F.struct(*(docs[c] for c in docs.columns)).alias("doc")
     )
-    return written(whole, "rows")
+    return written(whole, "rows", compression="zstd")
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
@@ -81,4 +102,4 @@ def slices(batches, rows: int = 256):
             yield b.slice(at, rows)
 
 
-__all__ = ["SPACES", "fits", "kept", "numbered", "rows_of", "scratch_path", "slices", "table", "written"]
+__all__ = ["SPACES", "discard", "fits", "kept", "numbered", "rows_of", "scratch_path", "slices", "table", "written"]

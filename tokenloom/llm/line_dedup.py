@@ -1,10 +1,9 @@
 """Operator 5, line dedup: an exact set-similarity join of lines.
 
 A line is a \\n-separated part of a document, its tokens the set of its words.
-A line of at least `min_words` words goes if an earlier line (smaller doc_id,
-then smaller line number) of at least `min_words` words has a Jaccard similarity
-of SIMILARITY or more with it.  The query and the pipeline take every line with
-a word (ANY_WORDS); MIN_WORDS is the functions' default.
+A line goes if an earlier line (smaller doc_id, then smaller line number) has a
+Jaccard similarity of SIMILARITY or more with it.  Every line with a word takes
+part (ANY_WORDS); with `min_words`, only lines of so many words or more.
 
 1. One pass over the texts writes the lines' token sets (64-bit hashes) and
    counts the lines of each token, in HASH_BUCKETS hash buckets.
@@ -27,7 +26,13 @@ a word (ANY_WORDS); MIN_WORDS is the functions' default.
    that had more candidates and were not removed go through step 3 again with
    all their candidates: only they look there, all others are only met.
 5. Lines whose set equals an earlier line's go without any pair: one
-   aggregation finds the first line of each set.
+   aggregation finds the first line of each set.  They are met, but their own
+   candidates are not verified.
+
+Tokens are 64-bit hashes, and sets are equal if the 64-bit sums of their mixed
+hashes, their signatures and lengths are: a false match needs a collision there.
+Every table but the rows and the removed lines is deleted once it is used up,
+and the shuffles of a step are freed when its table is written.
 
 Defined results: null and empty texts stay as they are; a document all of whose
 lines go keeps its row with an empty text; ties (equal doc_ids) are broken by
@@ -43,11 +48,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import fits, numbered, slices, written
+from tokenloom.llm.common import discard, fits, numbered, slices, written
 from tokenloom.llm.common import kept as kept_in_worker
 
 SIMILARITY = 0.8
-MIN_WORDS = 5
 ANY_WORDS = 1
 #: Buckets of the rarity table: the leading bits of a token's hash.
 BUCKET_BITS = 17
@@ -58,6 +62,9 @@ LISTED = 1 << 17
 #: Earliest candidates that a line passes on from one list in round one.
 KEPT = 1
 
+#: Token sets repeat their tokens: dictionaries of up to 8 MB a row group take the place of most hashes.
+COMPACT = {"parquet.dictionary.page.size": str(8 << 20), "compression": "zstd"}
+
 LINES = "id long, row long, doc_id long, line int, n int, same long, sign long, tokens array<long>"
 
 
@@ -116,7 +123,7 @@ def _token_sets(min_words: int):
     return run
 
 
-def token_lines(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def token_lines(rows: DataFrame, min_words: int = ANY_WORDS) -> DataFrame:
     return rows.mapInArrow(_token_sets(min_words), LINES)
 
 
@@ -368,10 +375,11 @@ def _lines_of(lines: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
     return _near_lines_of(lines, ids, *columns).join(ids, "id", "left_semi")
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
-    """(id, more, gone) for every later line of `pairs`.  Token sets travel
-    twice: the earlier lines' to the pairs, both to the later lines."""
-    pairs = written(pairs.groupBy("id", "n", "to", "to_n").agg(F.max("more").alias("more")), "line_pairs")
+def _verified(pairs: DataFrame, lines: DataFrame, done: DataFrame, similarity: float, paths: list[str]) -> DataFrame:
+    """(id, more, gone) for every later line of `pairs` that is not in `done`.
+    Token sets travel twice: the earlier lines' to the pairs, both to the later lines."""
+    pairs = pairs.groupBy("id", "n", "to", "to_n").agg(F.max("more").alias("more"))
+    pairs = written(pairs.join(done, "id", "left_anti"), "line_pairs", paths)
     early = _near_lines_of(lines, pairs.select("to"), "tokens")
     late = _near_lines_of(lines, pairs.select("id"), "tokens")
     both = pairs.join(early.select(F.col("id").alias("to"), F.col("tokens").alias("to_tokens")), "to").join(late, "id")
@@ -393,11 +401,12 @@ def _pairs(lines: DataFrame, table, similarity: float, block: int, kept: int | N
 
 
 def duplicate_lines(
-    rows: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, kept: int = KEPT, block: int = BLOCK
+    rows: DataFrame, similarity: float = SIMILARITY, min_words: int = ANY_WORDS, kept: int = KEPT, block: int = BLOCK
 ) -> DataFrame:
     """(row, line): the lines to remove from `rows` (row, doc_id, text)."""
     spark = rows.sparkSession
-    lines = written(token_lines(rows, min_words), "lines")
+    paths: list[str] = []
+    lines = written(token_lines(rows, min_words), "lines", paths, **COMPACT)
     table = spark.sparkContext.broadcast(rarity(lines))
     place = F.struct("doc_id", "id")
     first = lines.groupBy("same", "sign", "n").agg(F.min(place).alias("first"), F.count("*").alias("k")).where("k > 1")
@@ -405,27 +414,31 @@ def duplicate_lines(
     equal = lines.select("row", "line", "doc_id", "id", "same", "sign", "n").join(
         first, (F.col("same") == F.col("s")) & (F.col("sign") == F.col("g")) & (F.col("n") == F.col("m"))
     )
-    equal = equal.where(place != F.col("first")).select("row", "line")
+    equal = written(equal.where(place != F.col("first")).select("id", "row", "line"), "equal_lines", paths)
 
-    done = written(_verified(_pairs(lines, table, similarity, block, kept), lines, similarity), "line_results")
+    pairs = _pairs(lines, table, similarity, block, kept)
+    done = written(_verified(pairs, lines, equal.select("id"), similarity, paths), "line_results", paths)
     gone = done.where("gone").select("id")
     again = done.where("more AND NOT gone").select("id")
     if not again.isEmpty():
         # only the lists that such a line stands in
-        some = written(_lines_of(lines, again, *(c for c in _names(LINES) if c != "id")).select(*_names(LINES)), "again")
+        some = _lines_of(lines, again, *(c for c in _names(LINES) if c != "id")).select(*_names(LINES))
+        some = written(some, "again", paths)
         # whole lists: a block's key is not its token's
         keys = some.mapInArrow(_postings(table, similarity, 1 << 62), POSTINGS).select("key").distinct()
         pairs = _pairs(lines, table, similarity, block, None, _bit_table(keys), some)
-        gone = gone.unionByName(_verified(pairs, lines, similarity).where("gone").select("id"))
-    gone = _lines_of(lines, written(gone, "gone_ids"), "row", "line").select("row", "line")
-    return gone.unionByName(equal).distinct()
+        gone = gone.unionByName(_verified(pairs, lines, equal.select("id"), similarity, paths).where("gone").select("id"))
+    gone = _lines_of(lines, written(gone, "gone_ids", paths), "row", "line").select("row", "line")
+    out = written(gone.unionByName(equal.select("row", "line")), "gone")
+    discard(spark, paths)
+    return out
 
 
 #: Most lines to remove that are broadcast, as lists by document (under 20 MB); more are joined by a shuffle.
 BROADCAST_LINES = 1 << 19
 
 
-def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = ANY_WORDS) -> DataFrame:
     """`docs` without its later similar lines: the same rows and columns, `text`
     shortened and `n_chars`, if there, counted anew; one more column, __removed,
     has the number of lines taken out.
@@ -436,7 +449,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int
     text = F.coalesce("doc.text", F.lit(""))
     last = F.lit((1 << 63) - 1)
     rows = whole.select("row", F.coalesce("doc.doc_id", last).alias("doc_id"), text.alias("text"))
-    gone = written(duplicate_lines(rows, similarity, min_words), "gone")
+    gone = duplicate_lines(rows, similarity, min_words)
     lists = written(gone.groupBy("row").agg(F.collect_list("line").alias("lines")), "gone_of")
     lists = lists.withColumnRenamed("row", "of")
     lists = F.broadcast(lists) if fits(gone, BROADCAST_LINES) else lists
