@@ -11,10 +11,10 @@ part (ANY_WORDS); with `min_words`, only lines of so many words or more.
    the whole corpus (the counts are a table of fixed size that every worker
    gets).  Two sets as similar as asked share a token of their prefixes, the
    first n - ceil(SIMILARITY * n) + 1 tokens.  Each line is listed under its
-   prefix tokens, with its length, the token's position, and a 64-bit parity
-   signature of the set.  A task lists equal sets once, the earliest.  Sets so
-   small that a similar one must be equal (under 4 words) are not listed: step 5
-   has them.
+   prefix tokens, with its length, the token's position, and a 128-bit parity
+   signature of the set.  Of equal sets only the earliest is listed, and sets so
+   small that a similar one must be equal (under 4 words) are not: step 5 has
+   the others.
 3. The lists meet by token; pairs must pass the length filter, the positional
    filter (tokens left after the shared one) and the signature filter (every
    differing bit is a differing token).  A list of a hot token is cut into
@@ -25,9 +25,8 @@ part (ANY_WORDS); with `min_words`, only lines of so many words or more.
    removes is done, so groups of near-copies never give all their pairs.  Lines
    that had more candidates and were not removed go through step 3 again with
    all their candidates: only they look there, all others are only met.
-5. Lines whose set equals an earlier line's go without any pair: one
-   aggregation finds the first line of each set.  They are met, but their own
-   candidates are not verified.
+5. Lines whose set equals an earlier line's go without any pair: before the
+   lists are made, one aggregation finds the first line of each set.
 
 Tokens are 64-bit hashes, and sets are equal if the 64-bit sums of their mixed
 hashes, their signatures and lengths are: a false match needs a collision there.
@@ -57,15 +56,16 @@ ANY_WORDS = 1
 BUCKET_BITS = 17
 REST_BITS = 64 - BUCKET_BITS
 BLOCK = 1 << 15
-#: Sets that a task remembers as listed.
-LISTED = 1 << 17
 #: Earliest candidates that a line passes on from one list in round one.
 KEPT = 1
 
 #: Token sets repeat their tokens: dictionaries of up to 8 MB a row group take the place of most hashes.
 COMPACT = {"parquet.dictionary.page.size": str(8 << 20), "compression": "zstd"}
 
-LINES = "id long, row long, doc_id long, line int, n int, same long, sign long, tokens array<long>"
+#: Most numbers of lines (8 bytes each) that are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 1 << 20
+
+LINES = "id long, row long, doc_id long, line int, n int, same long, sign long, sign2 long, tokens array<long>"
 
 
 def _names(schema: str) -> list[str]:
@@ -93,12 +93,14 @@ def _token_sets(min_words: int):
             mixed *= np.uint64(0xBF58476D1CE4E5B9)
             mixed ^= mixed >> np.uint64(32)
             same = np.add.reduceat(mixed, ends[:-1])  # equal sets have equal sums
-            sign = np.bitwise_xor.reduceat(np.uint64(1) << (mixed & np.uint64(63)), ends[:-1])
+            # a token flips one of 128 bits, in two words
+            bit, low = np.uint64(1) << (mixed & np.uint64(63)), mixed & np.uint64(64) == 0
+            sign, sign2 = (np.bitwise_xor.reduceat(np.where(x, bit, np.uint64(0)), ends[:-1]) for x in (low, ~low))
             ids = np.arange(first, first + len(n))
             first += len(n)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens.view(np.int64)))
             columns = [pa.array(ids), pa.array(row, pa.int64()), pa.array(doc, pa.int64()), pa.array(line, pa.int32()), pa.array(n)]
-            columns += [pa.array(same.view(np.int64)), pa.array(sign.view(np.int64)), lists]
+            columns += [pa.array(same.view(np.int64)), pa.array(sign.view(np.int64)), pa.array(sign2.view(np.int64)), lists]
             for x in (row, doc, line, size, hashes):
                 x.clear()
             return pa.RecordBatch.from_arrays(columns, _names(LINES))
@@ -149,8 +151,8 @@ def rarity(lines: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return rank, counts[order]
 
 
-# `shape` packs 24 bits of n, 21 of pos and 2 of MET and LOOKING; `same`, the whole sum of the set, decides equality
-POSTINGS = "key long, doc_id long, id long, same long, sign long, shape long"
+# `shape` packs 24 bits of n, 21 of pos and 2 of MET and LOOKING
+POSTINGS = "key long, doc_id long, id long, sign long, sign2 long, shape long"
 
 
 #: What a line does in its lists: it is met by later lines, it looks for earlier ones, or both.
@@ -172,18 +174,10 @@ def _postings(table, similarity: float, block: int, only=None, does: int = BOTH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, lines_of = table.value
-        listed: dict[int, tuple] = {}
         for b in batches:
-            ids, doc, n, same, sign = (b.column(k).to_numpy() for k in (0, 2, 4, 5, 6))
-            first = np.ones(len(same), dtype=bool)
-            for i, (s, d, x) in enumerate(zip(same.tolist(), doc.tolist(), ids.tolist())):
-                before = listed.get(s)
-                if before is not None and before <= (d, x):
-                    first[i] = False
-                elif before is not None or len(listed) < LISTED:
-                    listed[s] = (d, x)
+            ids, doc, n, sign, sign2 = (b.column(k).to_numpy() for k in (0, 2, 4, 6, 7))
             n = n.astype(np.int64)
-            flat = b.column(7).flatten().to_numpy().view(np.uint64)
+            flat = b.column(8).flatten().to_numpy().view(np.uint64)
             flat = rank[(flat >> np.uint64(REST_BITS)).astype(np.int64)] << np.uint64(REST_BITS) | flat & rest
             ends = np.cumsum(n)
             for s, e in zip((ends - n).tolist(), ends.tolist()):
@@ -191,7 +185,7 @@ def _postings(table, similarity: float, block: int, only=None, does: int = BOTH)
             owner = np.repeat(np.arange(len(n)), n)
             pos = np.arange(len(flat)) - np.repeat(ends - n, n)
             # a set one token larger is the nearest that is not equal
-            near = first & (n >= similarity * (n + 1) - 1e-9)
+            near = n >= similarity * (n + 1) - 1e-9
             keep = (pos < (n - _needed(n, similarity) + 1)[owner]) & near[owner]
             flat, pos, owner = flat[keep], pos[keep], owner[keep]
             count = lines_of[(flat >> np.uint64(REST_BITS)).astype(np.int64)]
@@ -202,7 +196,8 @@ def _postings(table, similarity: float, block: int, only=None, does: int = BOTH)
             shape = (n[owner] << 40 | pos << 19 | does).astype(np.int64)
             if (count > block).any():
                 parts = 1 + count // block
-                home = (same[owner].view(np.uint64) % parts.astype(np.uint64)).astype(np.int64)
+                spot = (ids[owner].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24)
+                home = (spot % parts.astype(np.uint64)).astype(np.int64)
                 copies = np.repeat(np.arange(len(flat)), parts)
                 other = np.arange(len(copies)) - np.repeat(np.cumsum(parts) - parts, parts)
                 part = np.minimum(home[copies], other) * (1 << 31) + np.maximum(home[copies], other)
@@ -210,7 +205,7 @@ def _postings(table, similarity: float, block: int, only=None, does: int = BOTH)
                 flat = flat[copies] + part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 owner, shape = owner[copies], shape[copies]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (flat.view(np.int64), doc[owner], ids[owner], same[owner], sign[owner], shape)],
+                [pa.array(x) for x in (flat.view(np.int64), doc[owner], ids[owner], sign[owner], sign2[owner], shape)],
                 _names(POSTINGS),
             )
 
@@ -235,7 +230,8 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
         # the shared token and what follows it on either side
         ok &= np.minimum(ni - c["pos"][i], nj - c["pos"][j]) >= needed
         ok &= c["id"][i] != c["id"][j]
-        apart = np.bitwise_count(c["sign"][i] ^ c["sign"][j])
+        apart = np.bitwise_count(c["sign"][i] ^ c["sign"][j]).astype(np.int64)
+        apart += np.bitwise_count(c["sign2"][i] ^ c["sign2"][j])
         return ok & (apart <= ni + nj - 2 * needed)
 
     def in_large(c, lo, hi):
@@ -263,17 +259,9 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
                 looking = looking[found[looking - lo] < kept]
 
     def batch(c):
-        # equal sets in one list: the earliest stands for all
         n = len(c["key"])
         group = np.concatenate([[0], np.cumsum(c["key"][1:] != c["key"][:-1])])
-        order = np.lexsort((np.arange(n), c["shape"], c["same"], group))
-        a, b = order[1:], order[:-1]
-        again = np.zeros(n, dtype=bool)
-        again[a] = (group[a] == group[b]) & (c["shape"][a] == c["shape"][b]) & (c["same"][a] == c["same"][b])
-        c = {k: v[~again] for k, v in c.items()}
         c["n"], c["pos"] = c["shape"] >> 40, c["shape"] >> 19 & 0x1FFFFF
-        group = group[~again]
-        n = len(group)
         starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         ends = np.append(starts[1:], n)
         size = np.repeat(ends - starts, ends - starts)
@@ -311,7 +299,7 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
         rest = None
         for b in batches:
             c = {k: b.column(i).to_numpy() for i, k in enumerate(_names(POSTINGS))}
-            c["sign"] = c["sign"].view(np.uint64)
+            c |= {k: c[k].view(np.uint64) for k in ("sign", "sign2")}  # bits of negative numbers are not counted
             if rest is not None:
                 c = {k: np.concatenate([rest[k], c[k]]) for k in c}
             change = np.flatnonzero(c["key"][1:] != c["key"][:-1])
@@ -359,14 +347,18 @@ def _bit_table(values: DataFrame):
 
 
 def _near_lines_of(lines: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
-    """(id, columns) of the lines in the one-column frame `ids`, and of few others."""
+    """(id, columns) of the lines in the one-column frame `ids`, and of few
+    others where there are too many ids to send them to every task."""
+    some = lines.select("id", *columns)
+    ids = ids.toDF("id").distinct()
+    if fits(ids, BROADCAST_IDS):
+        return some.join(F.broadcast(ids), "id", "left_semi")
     wanted = _bit_table(ids)
 
     def filtered(batches):
         for b in batches:
             yield b.filter(pa.array(_has(wanted.value, b.column(0).to_numpy())))
 
-    some = lines.select("id", *columns)
     return some.mapInArrow(filtered, some.schema)
 
 
@@ -375,11 +367,10 @@ def _lines_of(lines: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
     return _near_lines_of(lines, ids, *columns).join(ids, "id", "left_semi")
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, done: DataFrame, similarity: float, paths: list[str]) -> DataFrame:
-    """(id, more, gone) for every later line of `pairs` that is not in `done`.
-    Token sets travel twice: the earlier lines' to the pairs, both to the later lines."""
-    pairs = pairs.groupBy("id", "n", "to", "to_n").agg(F.max("more").alias("more"))
-    pairs = written(pairs.join(done, "id", "left_anti"), "line_pairs", paths)
+def _verified(pairs: DataFrame, lines: DataFrame, similarity: float, paths: list[str]) -> DataFrame:
+    """(id, more, gone) for every later line of `pairs`.  Token sets travel
+    twice: the earlier lines' to the pairs, both to the later lines."""
+    pairs = written(pairs.groupBy("id", "n", "to", "to_n").agg(F.max("more").alias("more")), "line_pairs", paths)
     early = _near_lines_of(lines, pairs.select("to"), "tokens")
     late = _near_lines_of(lines, pairs.select("id"), "tokens")
     both = pairs.join(early.select(F.col("id").alias("to"), F.col("tokens").alias("to_tokens")), "to").join(late, "id")
@@ -415,9 +406,13 @@ def duplicate_lines(
         first, (F.col("same") == F.col("s")) & (F.col("sign") == F.col("g")) & (F.col("n") == F.col("m"))
     )
     equal = written(equal.where(place != F.col("first")).select("id", "row", "line"), "equal_lines", paths)
+    # of equal sets, the lists hold the first
+    repeats = equal.select("id")
+    repeats = F.broadcast(repeats) if fits(repeats, BROADCAST_IDS) else repeats
+    sets = lines.join(repeats, "id", "left_anti")
 
-    pairs = _pairs(lines, table, similarity, block, kept)
-    done = written(_verified(pairs, lines, equal.select("id"), similarity, paths), "line_results", paths)
+    pairs = _pairs(sets, table, similarity, block, kept)
+    done = written(_verified(pairs, lines, similarity, paths), "line_results", paths)
     gone = done.where("gone").select("id")
     again = done.where("more AND NOT gone").select("id")
     if not again.isEmpty():
@@ -426,8 +421,8 @@ def duplicate_lines(
         some = written(some, "again", paths)
         # whole lists: a block's key is not its token's
         keys = some.mapInArrow(_postings(table, similarity, 1 << 62), POSTINGS).select("key").distinct()
-        pairs = _pairs(lines, table, similarity, block, None, _bit_table(keys), some)
-        gone = gone.unionByName(_verified(pairs, lines, equal.select("id"), similarity, paths).where("gone").select("id"))
+        pairs = _pairs(sets, table, similarity, block, None, _bit_table(keys), some)
+        gone = gone.unionByName(_verified(pairs, lines, similarity, paths).where("gone").select("id"))
     gone = _lines_of(lines, written(gone, "gone_ids", paths), "row", "line").select("row", "line")
     out = written(gone.unionByName(equal.select("row", "line")), "gone")
     discard(spark, paths)
