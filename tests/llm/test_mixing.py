@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 import pytest
 from helpers import documents, frame
 
-from tokenloom.llm.mixing import mix, mixed
+from tokenloom.llm.mixing import mix, mixed, multipliers
 
 
 def plain_targets(size):
@@ -63,3 +63,30 @@ def test_rows_of_the_mix(spark):
         plan[r.doc_id] += r.copies
     assert Counter(r.doc_id for r in out.collect()) == Counter({k: v for k, v in plan.items() if v})
     assert mix(frame(spark, [])).collect() == [] and mixed(frame(spark, [])).collect() == []
+
+
+def test_multipliers_equal_an_independent_solver(spark):
+    """Plain bisection of each source's constraint, in Python floats."""
+    import math
+    import random
+
+    rng = random.Random(5)
+    hist, targets = [], []
+    for i, share in enumerate([0.02, 0.5, 1.0, 1.4, 1.99, 2.0, 0.0]):
+        name = None if i == 3 else f"s{i}"
+        sizes = {rng.randint(1, 20000 if i % 2 else 300): rng.randint(1, 400) for _ in range(200)}
+        hist += [(name, s, n) for s, n in sizes.items()]
+        targets.append((name, share * sum(s * n for s, n in sizes.items())))
+    got = dict(map(tuple, multipliers(spark.createDataFrame(hist, "source string, size long, n long"), spark.createDataFrame(targets, "source string, target double")).collect()))
+    assert got["s5"] == math.inf and got["s6"] == -math.inf
+
+    def taken(name, lam):
+        return sum(n * s * 2 / (1 + math.exp(min(max(-lam * s, -700), 700))) for x, s, n in hist if x == name)
+
+    for name, target in targets[:5]:
+        low, high = -60.0, 60.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if taken(name, mid) < target else (low, mid)
+        assert taken(name, got[name]) == pytest.approx(target, rel=1e-5)
+        assert got[name] == pytest.approx(low, rel=1e-3, abs=1e-8)

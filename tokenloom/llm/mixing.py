@@ -14,14 +14,18 @@ with one multiplier per source.  The multipliers minimise the convex dual, which
 falls apart by source.  The documents enter only through the table of (source,
 size, documents), counted before any shuffle: it has the same sums, and for a
 source as many rows as there are different sizes, so a hot source is no larger
-than another.  The sources are solved side by side, each by Newton iterations
-over its rows in a task; steps that leave the bracket of a multiplier are
-replaced by bisection.
+than another.  The Newton iterations are distributed: a round joins all
+multipliers to that table, sums gradient and curvature by source with map-side
+partial sums, and moves every multiplier at once; the multipliers themselves are
+a table.  Sums are decimals, so they do not depend on the order of rows.  A
+step that leaves the bracket of its multiplier is replaced by bisection.
 
 Copies: documents of one source and size share a rate, so a group of them gets
 whole copies and a number of extra ones: from the largest size down, the words
 that rounding gives too much or too little are carried to the next size, so a
-source ends within about half its smallest document of its target.  The extra
+source ends within about half its smallest document of its target.  That pass
+holds one source's different sizes, at most as many as the longest document has
+words.  The extra
 copies go to the first of the group by the hash of their id, so they do not
 depend on the files or partitions.  That rank is taken in two levels, spans of
 the hash and then inside one span, so a group of any size stays spread.  Rows
@@ -103,45 +107,63 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return totals.select("source", "source_size", F.least(cap, F.col("weight") * level).alias("target"))
 
 
-def multiplier(size: np.ndarray, n: np.ndarray, target: float) -> float:
-    """The minimiser of one source's convex dual: lam with
-    sum(n * size * MOST / (1 + exp(-lam * size))) = target, by Newton steps
-    kept inside a bracket.  A target of MOST times the size has none: infinity."""
-    words = n * size
-    if target >= MOST * words.sum() * (1 - 1e-12):
-        return np.inf
-    if target <= 0:
-        return -np.inf
-    x = size * (n.sum() / words.sum())  # sizes around 1
-    lam, low, high = 0.0, -np.inf, np.inf
+#: Most sources whose multipliers are broadcast; more are joined by a shuffle.
+BROADCAST_SOURCES = 1 << 16
+
+
+def multipliers(hist: DataFrame, targets: DataFrame, most: float = MOST) -> DataFrame:
+    """(ms, lam): the minimisers of the convex dual, one multiplier per source, with
+    sum(n * size * most / (1 + exp(-lam * size))) = target, by Newton rounds over all
+    sources.  A target of `most` times the size has none: infinity.
+
+    `hist` has (source, size, n) with sizes above 0, `targets` (source, target)."""
+    def exact(x: Column) -> Column:
+        return F.sum(x.cast("decimal(28,6)")).cast("double")
+
+    base = hist.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("words"), F.sum("n").alias("docs"))
+    t = targets.select(F.col("source").alias("ts"), "target")
+    base = base.join(t, base["source"].eqNullSafe(F.col("ts")))
+    none = F.lit(None).cast("double")
+    state = base.select(
+        F.col("source").alias("ms"), "target", (F.col("docs") / F.col("words")).alias("unit"),  # sizes around 1
+        F.when(F.col("target") >= most * F.col("words") * (1 - 1e-12), float("inf"))
+        .when(F.col("target") <= 0, float("-inf")).otherwise(0.0).alias("lam"),
+        none.alias("low"), none.alias("high"),
+    ).withColumn("done", F.abs("lam") == float("inf"))
+    state = written(state, "multipliers")
+    broad = fits(state, BROADCAST_SOURCES)
     for _ in range(NEWTON_STEPS):
-        p = 1 / (1 + np.exp(np.clip(-lam * x, -700, 700)))
-        gap = (MOST * p * words).sum() - target
-        if abs(gap) <= TOLERANCE * target:
+        if state.where("NOT done").isEmpty():
             break
-        low, high = (lam, high) if gap < 0 else (low, lam)
-        step = lam - gap / max((MOST * p * (1 - p) * x * words).sum(), 1e-300)
+        open_ = state.where("NOT done").select(F.col("ms").alias("os"), F.col("lam").alias("at"), F.col("unit").alias("u"))
+        rows = hist.join(F.broadcast(open_) if broad else open_, hist["source"].eqNullSafe(F.col("os")))
+        x, words = F.col("size") * F.col("u"), F.col("n") * F.col("size")
+        p = 1 / (1 + F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), -F.col("at") * x))))
+        sums = rows.groupBy("os").agg(exact(most * p * words).alias("taken"), exact(most * p * (1 - p) * x * words).alias("curve"))
+        gap, lam = F.col("taken") - F.col("target"), F.col("lam")
+        moved = state.join(sums, F.col("ms").eqNullSafe(F.col("os")), "left").select(
+            "ms", "target", "unit", "lam", gap.alias("gap"), "curve",
+            F.when(gap < 0, lam).otherwise(F.col("low")).alias("low"), F.when(gap >= 0, lam).otherwise(F.col("high")).alias("high"),
+            (F.col("done") | (F.abs(gap) <= TOLERANCE * F.col("target"))).alias("done"),
+        )
+        gap = F.col("gap")
+        step = lam - gap / F.greatest(F.col("curve"), F.lit(1e-300))
         # a step that leaves the bracket, or flies off where the curve is flat, is replaced
-        reach = 2 * max(abs(lam), 1.0)
-        if not low < step < high or abs(step - lam) > reach:
-            inside = np.isfinite(low) and np.isfinite(high)
-            step = (low + high) / 2 if inside else lam + (reach if gap < 0 else -reach)
-        lam = step
-    return lam * n.sum() / words.sum()
+        reach = 2 * F.greatest(F.abs(lam), F.lit(1.0))
+        inside = F.coalesce(step > F.col("low"), F.lit(True)) & F.coalesce(step < F.col("high"), F.lit(True))
+        halved = F.coalesce((F.col("low") + F.col("high")) / 2, lam + F.when(gap < 0, reach).otherwise(-reach))
+        new = F.when(F.col("done"), lam).when(inside & (F.abs(step - lam) <= reach), step).otherwise(halved)
+        state = written(moved.select("ms", "target", "unit", new.alias("lam"), "low", "high", "done"), "multipliers")
+    return state.select("ms", (F.col("lam") * F.col("unit")).alias("lam"))
 
 
 def _copies(groups: pd.DataFrame) -> pd.DataFrame:
     """Whole and extra copies of one source's sizes (as many rows as there are
-    different sizes, however many documents): rates from the source's
-    multiplier; then, from the largest size down, the words that rounding gives
-    too much or too little are carried to the next, so the source ends about
-    half its smallest size from its target."""
+    different sizes, however many documents) from their rates: from the largest
+    size down, the words that rounding gives too much or too little are carried
+    to the next, so the source ends about half its smallest size from its target."""
     groups = groups.sort_values("sz", ascending=False, ignore_index=True)
-    size, n = groups["sz"].to_numpy(), groups["n"].to_numpy()
-    lam = multiplier(size.astype(float), n.astype(float), float(groups["target"].iloc[0]))
-    rate = MOST / (1 + np.exp(np.clip(-lam * size, -700, 700)))
-    if np.isinf(lam):
-        rate = np.full(len(size), MOST if lam > 0 else 0.0)
+    size, n, rate = (groups[c].to_numpy() for c in ("sz", "n", "rate"))
     whole = np.floor(rate)
     part = (rate - whole) * n
     extra, carry = np.zeros(len(groups), dtype=np.int64), 0.0
@@ -158,8 +180,12 @@ def mix_plan(sized: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFra
     targets = written(source_targets(sized, weights, share), "targets")
     hist = written(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "sizes")
     t = targets.withColumnRenamed("source", "ts")
-    per_size = hist.where("size > 0").join(t, hist["source"].eqNullSafe(F.col("ts")))
-    g = per_size.select(F.col("source").alias("src"), F.col("size").alias("sz"), "n", "target")
+    sized_hist = hist.where("size > 0")
+    lam = multipliers(sized_hist, targets)
+    power = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), -F.col("lam") * F.col("size")))
+    rate = F.when(F.col("lam") == float("inf"), MOST).when(F.col("lam") == float("-inf"), 0.0).otherwise(MOST / (1 + F.exp(power)))
+    g = sized_hist.join(lam, F.col("source").eqNullSafe(F.col("ms")))
+    g = g.select(F.col("source").alias("src"), F.col("size").alias("sz"), "n", rate.alias("rate"))
     g = written(g.groupBy("src").applyInPandas(_copies, "src string, sz long, whole long, extra long"), "groups")
 
     # the spot of the last document with an extra copy: ranks in two levels, by
