@@ -1,6 +1,6 @@
 import json
 
-from tokenloom.llm.chat_format import levels, linked_chats, validated
+from tokenloom.llm.chat_format import canonical, levels, linked_chats, validated
 
 CHAT = "conv_id long, turn long, role string, text string, row long, kind string"
 SPEC = {
@@ -67,3 +67,47 @@ def test_linking(spark):
     assert by[2, 2, "message", None].json == '{"content":"{not json","role":"assistant","type":"message"}'
     assert by[2, 3, "message", None].json == '{"role":"user","type":"message"}'
     assert linked_chats(spark.createDataFrame([], CHAT), schemas(spark)).collect() == []
+
+
+NESTED = {
+    "type": "object", "required": ["o"], "oneOf": [],
+    "properties": {
+        "o": {"type": "object", "required": ["id"], "additionalProperties": False,
+              "properties": {"id": {"type": ["integer", "null"]}, "code": {"type": "string", "pattern": "^[A-Z]{2}$"}, "deep": {"type": "object", "properties": {"x": {"type": "number", "exclusiveMinimum": 0}}}}},
+        "l": {"type": "array", "minItems": 1, "items": {"type": "object", "required": ["k"], "properties": {"k": {"type": "integer", "maximum": 5}}}},
+    },
+}
+
+
+def test_nested_validation(spark):
+    free = ["unchecked oneOf"]
+    cases = [
+        ('{"o":{"id":1.0}}', []), ('{"o":{"id":1e2}}', []), ('{"o":{"id":null,"code":"AB","deep":{"x":0.5}},"l":[{"k":5}]}', []),
+        ('{"o":{"id":1.5}}', ["type o.id"]), ('{"o":{}}', ["missing o.id"]), ('{"o":{"id":1,"code":"ab","z":1,"deep":{"x":0}}}', ["pattern o.code", "range o.deep.x", "unknown o.z"]),
+        ('{"o":{"id":1},"l":[]}', ["length l"]), ('{"o":{"id":1},"l":[{"k":6},{},{"k":"x"},7]}', ["missing l[1].k", "range l[0].k", "type l[2].k", "type l[3]"]),
+        ('{"o":[]}', ["type o"]), ("{}", ["missing o"]),
+    ]
+    df = spark.createDataFrame([(i, "n", a) for i, (a, _) in enumerate(cases)], "i int, name string, arguments string")
+    got = {r.i: r.errors for r in validated(df, spark.createDataFrame([("n", json.dumps(NESTED))], "name string, parameters string")).collect()}
+    assert [got[i] for i in range(len(cases))] == [sorted(e + free) for _, e in cases]
+
+
+def test_equal_numbers_have_one_form(spark):
+    texts = ['{"a":1e2}', '{"a":100}', '{"a":100.0}', '{"a":1.0E+2}', '{"a":15e-8,"b":"1e2, \\" 1e2, \\\\"}', '{"a":0.00000015,"b":"1e2, \\" 1e2, \\\\"}', '[true,1E1,false,null]', '{"a":1e400}', "no 1e2 json", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.c for r in df.select("i", canonical(df["t"]).alias("c")).orderBy("i").collect()]
+    assert set(got[:4]) == {'{"a":100}'} and got[4] == got[5] == '{"a":0.00000015,"b":"1e2, \\" 1e2, \\\\"}'
+    assert got[6] == "[true,10,false,null]" and got[8] is got[9] is None
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    from tokenloom.llm import chat_format
+
+    rounds = []
+    plain = chat_format.written
+    monkeypatch.setattr(chat_format, "written", lambda df, name, *a, **k: (rounds.append(name), plain(df, name, *a, **k))[1])
+    rows = [(1, str(i), [str(i - 1)] if i else []) for i in range(1000)] + [(1, "top", ["999", "500"]), (1, "after", ["top"])]
+    rows += [(2, "a", ["b"]), (2, "b", ["a"]), (2, "c", ["b"]), (2, "d", ["c", "x"]), (2, "x", [])]
+    got = {(r.conv, r.id): r.level for r in levels(spark.createDataFrame(rows, "conv long, id string, after array<string>")).collect()}
+    assert got == {**{(1, str(i)): i for i in range(1000)}, (1, "top"): 1000, (1, "after"): 1001, (2, "x"): 0}
+    assert rounds.count("call_leads") + rounds.count("call_front") < 15
