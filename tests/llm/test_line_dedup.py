@@ -133,3 +133,15 @@ def test_short_lines(spark, tmp_path):
     expected = brute(rows, min_words=1)
     assert [expected[60 + i] for i in range(9)] == ["Last.", "a b c d", "a b c", "", "", "日本語", "", "a b", ""]
     assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((rows[i][0], t) for i, t in expected.items())
+
+
+def test_a_line_with_a_few_candidates_is_settled_in_one_round(spark, monkeypatch):
+    words = [f"w{i}" for i in range(100)]
+    near = [" ".join(words[: 12 * k] + [f"x{k}_{j}" for j in range(12)] + words[12 * k + 12 :]) for k in range(4)]
+    # the words that set them apart are the frequent ones, so that the others are looked up
+    apart = [" ".join(f"x{k}_{j}" for k in range(4) for j in range(12)) + "".join(f" y{i}_{j}" for j in range(60)) for i in range(9)]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate([*apart, *near, " ".join(words)])], "doc_id long, text string")
+    names, write = [], line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, name, *a, **k: names.append(name) or write(df, name, *a, **k))
+    assert line_dedup.dedup_lines(docs).agg({"__removed": "sum"}).first()[0] == 0  # 88 of 112 words shared
+    assert "line_pairs" in names and "again" not in names

@@ -56,8 +56,8 @@ ANY_WORDS = 1
 BUCKET_BITS = 17
 REST_BITS = 64 - BUCKET_BITS
 BLOCK = 1 << 15
-#: Earliest candidates that a line passes on from one list in round one.
-KEPT = 1
+#: Earliest candidates that a line passes on from one list in round one: few lines have more, so few lists are made again.
+KEPT = 4
 
 #: Token sets repeat their tokens: dictionaries of up to 8 MB a row group take the place of most hashes.
 COMPACT = {"parquet.dictionary.page.size": str(8 << 20), "compression": "zstd"}
@@ -429,8 +429,8 @@ def duplicate_lines(
     return out
 
 
-#: Most lines to remove that are broadcast, as lists by document (under 20 MB); more are joined by a shuffle.
-BROADCAST_LINES = 1 << 19
+#: Most lines to remove that are broadcast, as lists by document (under 3 MB); more are joined by a shuffle.
+BROADCAST_LINES = 1 << 16
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = ANY_WORDS) -> DataFrame:
