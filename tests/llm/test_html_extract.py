@@ -1,5 +1,6 @@
 from helpers import words
 
+from tokenloom.llm import dom
 from tokenloom.llm.dom import match, parse, texts
 from tokenloom.llm.html_extract import extract, extract_pages, grouped, induce, wrappers
 
@@ -133,3 +134,13 @@ def test_all_pages_by_an_independent_reading(spark):
         texts_ = [" ".join(html.unescape(re.sub(r"</?b>", "", p)).split()) for p in parts]
         want[r.page_id] = "\n\n".join(t for t in texts_ if t)
     assert got == want
+
+
+def test_a_reference_is_measured_once():
+    """A tree that every page of a group is matched with is not walked anew for each."""
+    ref, html = dom.parse("<body><p class=x1>a</p><p class=x2>b</p></body>"), "<body><p class=x3>a</p><p>c</p></body>"
+    size, texts = dom.match(dom.parse(html), ref)
+    assert size == 5 and [(p.text, q.text) for p, q in texts] == [("a", "a")]
+    mark = ref.children[0].children[1].sum = object()
+    dom.match(dom.parse(html), ref)
+    assert ref.children[0].children[1].sum is mark

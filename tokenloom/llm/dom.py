@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import xxhash
@@ -24,8 +25,7 @@ CLOSES = {
 SCOPE = frozenset("table ul ol dl select article section main div body html".split())
 
 #: What may start a tag, a comment or a declaration.
-_MARK = re.compile(r"<(?:/?[a-zA-Z]|[!?])")
-_NAME = re.compile(r"[^\s/>]+")
+_MARK = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)|[!?])")
 _STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _DIGITS = re.compile(r"[0-9]+")
@@ -36,12 +36,11 @@ class Node:
 
     __slots__ = ("tag", "attrs", "children", "text", "label", "size", "sum", "kinds")
 
-    def __init__(self, tag: str, attrs: dict[str, str] | None = None, text: str = ""):
+    def __init__(self, tag: str, attrs: dict[str, str] | None = None, text: str = "", label: str = ""):
         self.tag, self.attrs, self.text = tag, attrs or {}, text
         self.children: list[Node] = []
-        self.label = tag
-        if attrs and ("class" in attrs or "id" in attrs):  # numbers in them name the page, not the layout
-            self.label = _DIGITS.sub("", f"{tag}.{' '.join(attrs.get('class', '').split()[:1])}#{attrs.get('id', '')}")
+        self.label = label or tag
+        self.size = 0
 
 
 class _TagEnds:
@@ -66,6 +65,19 @@ class _TagEnds:
         return self.html.find(">", at)
 
 
+def _read_tag(tag: str, given: str) -> tuple[dict[str, str] | None, str]:
+    """(attributes, label) of a start tag; attributes are read, never changed."""
+    attrs = {k.lower(): unescape(a or b or c) for k, a, b, c in _ATTR.findall(given)} if given.strip(" /\n\t\r") else None
+    if attrs and ("class" in attrs or "id" in attrs):  # numbers in them name the page, not the layout
+        return attrs, _DIGITS.sub("", f"{tag}.{' '.join(attrs.get('class', '').split()[:1])}#{attrs.get('id', '')}")
+    return attrs, tag
+
+
+#: Pages of a host repeat their tags: the last used short ones are read once.
+_tag_read = lru_cache(4096)(_read_tag)
+LONG_TAG = 256
+
+
 def _closes_itself(given: str) -> bool:
     """Whether attributes end in a "/" that is not part of an unquoted value."""
     return given.endswith("/") and ("=" not in given.split()[-1] or given[-2] in "\"'")
@@ -86,7 +98,8 @@ def parse(html: str) -> Node:
             stack[-1].children.append(Node("#text", None, " "))
 
     def close(i: int) -> None:
-        opened.subtract(n.tag for n in stack[i:])
+        for n in stack[i:]:
+            opened[n.tag] -= 1
         del stack[i:]
 
     while at < end:
@@ -95,7 +108,7 @@ def parse(html: str) -> Node:
             text(html[at:])
             break
         mark = m.start()
-        if html[mark + 1] in "!?":
+        if m[2] is None:
             opening, closing = ("<!--", "-->") if html.startswith("<!--", mark) else ("<![CDATA[", "]]>")
             if html.startswith(opening, mark):
                 stop = html.find(closing, mark + len(opening))
@@ -110,16 +123,16 @@ def parse(html: str) -> Node:
                 text(html[at:mark])
             at = after
             continue
-        name = _NAME.match(html, m.end() - 1)
-        stop = ends_of.after(name.end())
+        named = m.end()
+        stop = named if html.startswith(">", named) else ends_of.after(named)
         if stop < 0:  # no later tag ends either
             text(html[at:])
             break
         if mark > at:
             text(html[at:mark])
         at = stop + 1
-        tag = name[0].lower()
-        if html[mark + 1] == "/":
+        tag = m[2].lower()
+        if m[1]:
             if opened[tag] > 0:
                 close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             continue
@@ -139,9 +152,9 @@ def parse(html: str) -> Node:
                         break
                 elif stack[i].tag in SCOPE:
                     break
-        given = html[name.end() : stop]
-        attrs = {k.lower(): unescape(a or b or c) for k, a, b, c in _ATTR.findall(given)} if given.strip(" /\n\t\r") else None
-        node = Node(tag, attrs)
+        given = html[named:stop]
+        attrs, label = (_tag_read if len(given) <= LONG_TAG else _read_tag)(tag, given)
+        node = Node(tag, attrs, "", label)
         stack[-1].children.append(node)
         if tag in RAW:
             shut = re.compile(rf"</{tag}", re.I).search(html, at)
@@ -158,20 +171,35 @@ CELLS = 4096
 
 
 def measured(root: Node) -> Node:
-    """The tree with `size`, `sum` (checksum of labels and texts) and `kinds`
-    (labels and checksums of the children) of every subtree set."""
+    """The tree with `size` and `sum` (checksum of labels and texts) of every
+    subtree set; `kinds` (labels and checksums of the children) is counted when
+    a weight asks for it.  A tree already measured, as a reference is by every
+    page of its group, stays as it is."""
+    if root.size:
+        return root
     order, stack = [], [root]
     while stack:
         n = stack.pop()
         order.append(n)
         stack += n.children
     for n in reversed(order):
-        n.size = 1 + sum(c.size for c in n.children)
-        n.sum = hash((n.label, n.text, *(c.sum for c in n.children)))
-        n.kinds = Counter(k for c in n.children for k in (c.label, c.sum))
+        size, sums = 1, [n.label, n.text]
+        for c in n.children:
+            size += c.size
+            sums.append(c.sum)
+        n.size, n.sum, n.kinds = size, hash(tuple(sums)), None
     return root
 
 
+def _kinds(n: Node) -> dict:
+    if n.kinds is None:
+        n.kinds = kinds = {}
+        for c in n.children:
+            kinds[c.label] = kinds.get(c.label, 0) + 1
+            kinds[c.sum] = kinds.get(c.sum, 0) + 1
+    return n.kinds
+
+
 def _weight(a: Node, b: Node) -> int:
     """How well two subtrees fit, by one rule whatever their sizes: equal ones
     by their size, others by the children that both have, of equal label and of
@@ -182,13 +210,22 @@ def _weight(a: Node, b: Node) -> int:
         return 2 if a.text == b.text else 1
     if a.sum == b.sum:
         return a.size + 1
-    return 1 + (a.kinds & b.kinds).total()
+    few, many = _kinds(a), _kinds(b)
+    if len(few) > len(many):
+        few, many = many, few
+    total = 1
+    for k, n in few.items():
+        other = many.get(k, 0)
+        total += n if n < other else other
+    return total
 
 
 def _aligned(x: list[Node], y: list[Node]) -> list[tuple[Node, Node]]:
     """Pairs of two lists of children, in order, with equal labels and the most weight."""
     if not x or not y:
         return []
+    if len(x) == len(y) == 1:
+        return [(x[0], y[0])] if x[0].label == y[0].label else []
     if len(x) * len(y) > CELLS:
         # long lists: children that are equal and single in both part them; what
         # is still long is paired from the front, label by label
@@ -209,7 +246,7 @@ def _aligned(x: list[Node], y: list[Node]) -> list[tuple[Node, Node]]:
                 out.append((x[i], y[j]))
             i0, j0 = i + 1, j + 1
         return out
-    w = [[_weight(p, q) for q in y] for p in x]
+    w = [[_weight(p, q) if p.label == q.label else 0 for q in y] for p in x]
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i, given in enumerate(w):
         above, row = best[i], best[i + 1]
