@@ -5,6 +5,7 @@ import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 from helpers import documents, stored
+from xxhash import xxh64_intdigest
 
 from tokenloom.llm import line_dedup
 from tokenloom.llm.line_dedup import dedup_lines, duplicate_lines
@@ -145,3 +146,36 @@ def test_a_line_with_a_few_candidates_is_settled_in_one_round(spark, monkeypatch
     monkeypatch.setattr(line_dedup, "written", lambda df, name, *a, **k: names.append(name) or write(df, name, *a, **k))
     assert line_dedup.dedup_lines(docs).agg({"__removed": "sum"}).first()[0] == 0  # 88 of 112 words shared
     assert "line_pairs" in names and "again" not in names
+
+
+def test_no_texts_and_no_lines_are_shuffled_for_marks(spark, tmp_path, monkeypatch):
+    """Removed lines and first lines are marked by bits: no join of the result's
+    rows, and no join of all lines; beyond MARKED_LINES, joins give the same."""
+    rows = [*noisy(60, seed=11), (None, None, "en", "s", 0, 0, 0, 0, ""), (5, "", "en", "s", 0, 0, 0, 0, "")]
+    got = check(spark, tmp_path / "d", rows)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(line_dedup, "MARKED_LINES", 0)
+    joined = check(spark, tmp_path / "e", rows)
+    assert "Join" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert Counter((r.doc_id, r["__removed"]) for r in got.collect()) == Counter((r.doc_id, r["__removed"]) for r in joined.collect())
+
+
+def test_marks_hold_exactly_their_values(spark):
+    rng = random.Random(2)
+    ids = {rng.randrange(5) << 33 | rng.randrange(300) for _ in range(200)} | {63, 7 << 33 | 64}
+    marks = line_dedup._marks(spark.createDataFrame([(i,) for i in ids], "id long")).value
+    every = np.array([p << 33 | i for p in range(9) for i in range(400)])
+    assert set(every[line_dedup._marked(marks, every)].tolist()) == ids
+    none = line_dedup._marks(spark.createDataFrame([], "id long")).value
+    assert not line_dedup._marked(none, every).any()
+
+
+def test_words_are_those_between_ascii_white_space():
+    texts = ["a b\ta\n\n \n c\x0b\x0cd \r\n日 本 x b\x1cb", "", "\n", "z"]
+    text, line, n, tokens = line_dedup._words(pa.array(texts), 1)
+    expected = [(i, j, set(w)) for i, t in enumerate(texts) for j, part in enumerate(t.encode().split(b"\n")) if (w := part.split())]
+    assert list(zip(text.tolist(), line.tolist(), n.tolist())) == [(i, j, len(w)) for i, j, w in expected]
+    at = np.concatenate([[0], np.cumsum(n)])
+    assert [set(tokens[a:b].tolist()) for a, b in zip(at, at[1:])] == [{xxh64_intdigest(w) for w in x} for _, _, x in expected]
+    assert line_dedup._words(pa.array(texts), 4)[2].tolist() == []
+    assert line_dedup._words(pa.array(texts), 3)[1].tolist() == [0, 4]

@@ -41,13 +41,15 @@ the order of the rows; a null doc_id counts as later than any other.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import discard, fits, numbered, slices, written
+from tokenloom.llm.common import discard, fits, ship_package, written
 from tokenloom.llm.common import kept as kept_in_worker
 
 SIMILARITY = 0.8
@@ -56,6 +58,8 @@ ANY_WORDS = 1
 BUCKET_BITS = 17
 REST_BITS = 64 - BUCKET_BITS
 BLOCK = 1 << 15
+#: Numbers of lines and places are counted up inside a partition, below its number.
+PART_BITS = 33
 #: Earliest candidates that a line passes on from one list in round one: few lines have more, so few lists are made again.
 KEPT = 4
 
@@ -72,21 +76,60 @@ def _names(schema: str) -> list[str]:
     return [f.split()[0] for f in schema.split(", ")]
 
 
+def _words(texts: pa.Array, min_words: int):
+    """(text, line number, number of tokens) of the lines with `min_words` words
+    or more, and all their tokens: the words are split, told apart and made sets
+    for all texts at once, and each different word is hashed once."""
+    from xxhash import xxh64_intdigest
+
+    lines = pc.split_pattern(texts, "\n")
+    per_text = np.diff(lines.offsets.to_numpy())
+    words = pc.ascii_split_whitespace(lines.flatten())
+    per_line = np.diff(words.offsets.to_numpy())
+    flat = words.flatten()
+    line = np.repeat(np.arange(len(per_line)), per_line)
+    real = pc.binary_length(flat).to_numpy() > 0  # white space at either end leaves an empty part
+    coded = flat.dictionary_encode()
+    codes = coded.indices.to_numpy()[real].astype(np.int64)
+    line = line[real]
+    different = coded.dictionary  # joined and split, which is much faster than one Arrow scalar a word
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(different)], pa.int32()), different.cast(pa.binary())), b"\n")
+    hashes = np.fromiter(map(xxh64_intdigest, joined[0].as_py().split(b"\n") if len(different) else []), np.uint64, len(different))
+    kept = np.bincount(line, minlength=len(per_line)) >= max(min_words, 1)
+    if not kept.all():
+        some = kept[line]
+        line, codes = line[some], codes[some]
+    both = np.sort(line << 32 | codes)
+    both = both[np.concatenate([[True], both[1:] != both[:-1]])] if len(both) else both
+    size = np.bincount(both >> 32, minlength=len(per_line))[kept]
+    text = np.repeat(np.arange(len(per_text)), per_text)
+    number = np.arange(len(per_line)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+    return text[kept], number[kept], size, hashes[both & 0xFFFFFFFF]
+
+
+def _by_size(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most `size` bytes of text, or of one row."""
+    for b in batches:
+        ends, at = np.cumsum(pc.binary_length(b.column(2)).to_numpy().astype(np.int64)), 0
+        while at < b.num_rows:
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+            yield b.slice(at, stop - at)
+            at = stop
+
+
 def _token_sets(min_words: int):
     """Documents (row, doc_id, text) -> lines with their token sets.  A line's
     `id` grows with row and line inside a partition, like row numbers do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        from xxhash import xxh64_digest
 
-        first = TaskContext.get().partitionId() << 33
-        row, doc, line, size, hashes = [], [], [], [], []
-
-        def out():
-            nonlocal first
-            n = np.array(size, dtype=np.int32)
-            tokens = np.frombuffer(b"".join(hashes), dtype=">u8").astype(np.uint64)
+        first = TaskContext.get().partitionId() << PART_BITS
+        kept_in_worker(("lines",))
+        for b in _by_size(batches):
+            text, line, n, tokens = _words(b.column(2), min_words)
+            if not len(n):
+                continue
             ends = np.concatenate([[0], np.cumsum(n)])
             mixed = tokens * np.uint64(0x9E3779B97F4A7C15)
             mixed ^= mixed >> np.uint64(29)
@@ -98,29 +141,11 @@ def _token_sets(min_words: int):
             sign, sign2 = (np.bitwise_xor.reduceat(np.where(x, bit, np.uint64(0)), ends[:-1]) for x in (low, ~low))
             ids = np.arange(first, first + len(n))
             first += len(n)
+            row, doc = (b.column(i).to_numpy()[text] for i in (0, 1))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens.view(np.int64)))
-            columns = [pa.array(ids), pa.array(row, pa.int64()), pa.array(doc, pa.int64()), pa.array(line, pa.int32()), pa.array(n)]
+            columns = [pa.array(ids), pa.array(row), pa.array(doc), pa.array(line, pa.int32()), pa.array(n, pa.int32())]
             columns += [pa.array(same.view(np.int64)), pa.array(sign.view(np.int64)), pa.array(sign2.view(np.int64)), lists]
-            for x in (row, doc, line, size, hashes):
-                x.clear()
-            return pa.RecordBatch.from_arrays(columns, _names(LINES))
-
-        kept_in_worker(("lines",))
-        for b in slices(batches):
-            for r, d, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist()):
-                for i, part in enumerate(text.split(b"\n")):
-                    words = part.split()
-                    if len(words) >= min_words:
-                        words = set(words)
-                        row.append(r)
-                        doc.append(d)
-                        line.append(i)
-                        size.append(len(words))
-                        hashes.extend(map(xxh64_digest, words))
-                if len(size) >= 8192:
-                    yield out()
-        if size:
-            yield out()
+            yield pa.RecordBatch.from_arrays(columns, _names(LINES))
 
     return run
 
@@ -151,10 +176,42 @@ def rarity(lines: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return rank, counts[order]
 
 
+#: Most lines that are marked by one bit each, in a table that every worker gets (16 MB); more are joined by a shuffle.
+MARKED_LINES = 1 << 27
+
+
+def _marks(ids: DataFrame):
+    """A broadcast table of one bit per line number (or place) that has exactly
+    the values of a one-column frame: (first word of each partition, words)."""
+    name = ids.columns[0]
+    bit = F.expr(f"shiftleft(1L, CAST(`{name}` & 63 AS INT))")
+    got = ids.groupBy(F.shiftright(name, 6).alias("k")).agg(F.bit_or(bit).alias("w")).toPandas()
+    k, low = got["k"].to_numpy(np.int64), PART_BITS - 6
+    part, word = k >> low, k & ((1 << low) - 1)
+    size = np.zeros(int(part.max(initial=-1)) + 1, dtype=np.int64)
+    np.maximum.at(size, part, word + 1)
+    starts = np.concatenate([[0], np.cumsum(size)])
+    words = np.zeros(int(starts[-1]) + 1, dtype=np.uint64)
+    words[starts[part] + word] = got["w"].to_numpy(np.int64).view(np.uint64)
+    return ids.sparkSession.sparkContext.broadcast((starts, words))
+
+
+def _marked(marks: tuple[np.ndarray, np.ndarray], ids: np.ndarray) -> np.ndarray:
+    starts, words = marks
+    part = np.minimum(ids >> PART_BITS, len(starts) - 1)
+    spot = starts[part] + ((ids & ((1 << PART_BITS) - 1)) >> 6)
+    inside = spot < starts[np.minimum(part + 1, len(starts) - 1)]
+    bits = words[np.where(inside, spot, len(words) - 1)] >> (ids & 63).view(np.uint64)
+    return inside & (bits & np.uint64(1)).astype(bool)
+
+
 # `shape` packs 24 bits of n, 21 of pos and 2 of MET and LOOKING
 POSTINGS = "key long, doc_id long, id long, sign long, sign2 long, shape long"
 
 
+#: Lines of up to this many words are listed with a parity signature of 64 bits in place of 128, as they may differ in few words.
+SHORT = 64
+
 #: What a line does in its lists: it is met by later lines, it looks for earlier ones, or both.
 MET, LOOKING, BOTH = 1, 2, 3
 
@@ -164,19 +221,23 @@ def _needed(n: np.ndarray, similarity: float) -> np.ndarray:
     return np.ceil(similarity * n - 1e-9).astype(np.int64)
 
 
-def _postings(table, similarity: float, block: int, only=None, does: int = BOTH):
+def _postings(table, similarity: float, block: int, only=None, does: int = BOTH, firsts=None):
     """Lines -> one row per prefix token (and per block pair of a hot token).
 
     A token's sort value has the rank of its bucket in front and its other bits
     behind, so it is the token itself under another name, and sorting by it is
-    sorting by rarity.  `only`: a bit table of the keys that are wanted."""
+    sorting by rarity.  `only`: a bit table of the keys that are wanted;
+    `firsts`: marks of the lines that are listed."""
     rest = np.uint64((1 << REST_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, lines_of = table.value
         for b in batches:
+            if firsts is not None:
+                b = b.filter(pa.array(_marked(firsts.value, b.column(0).to_numpy())))
             ids, doc, n, sign, sign2 = (b.column(k).to_numpy() for k in (0, 2, 4, 6, 7))
             n = n.astype(np.int64)
+            sign, sign2 = np.where(n <= SHORT, sign ^ sign2, sign), np.where(n <= SHORT, 0, sign2)
             flat = b.column(8).flatten().to_numpy().view(np.uint64)
             flat = rank[(flat >> np.uint64(REST_BITS)).astype(np.int64)] << np.uint64(REST_BITS) | flat & rest
             ends = np.cumsum(n)
@@ -216,23 +277,31 @@ PAIRS = "id long, n int, to long, to_n int, more boolean"
 
 
 def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256, wide: int = 4096):
-    """Postings sorted by key and place -> candidate pairs, later line first.
+    """Postings sorted by key -> candidate pairs, later line first.  A list is
+    put in order of place here, so that Spark sorts by one number only.
 
     `kept`: most candidates of a line from one list, None for all; `more` says
     that a list had, or may have had, further ones."""
     share = similarity / (1 + similarity)
 
+    def near(ni, nj):
+        return np.minimum(ni, nj) >= similarity * np.maximum(ni, nj) - 1e-9
+
     def passes(c, i, j):
-        """Whether lines at i and j may be as similar as asked."""
+        """Which of the lines at i and j, near in length, may be as similar as asked."""
         ni, nj = c["n"][i], c["n"][j]
         needed = np.ceil(share * (ni + nj) - 1e-9)
-        ok = np.minimum(ni, nj) >= similarity * np.maximum(ni, nj) - 1e-9
         # the shared token and what follows it on either side
-        ok &= np.minimum(ni - c["pos"][i], nj - c["pos"][j]) >= needed
+        ok = np.minimum(ni - c["pos"][i], nj - c["pos"][j]) >= needed
         ok &= c["id"][i] != c["id"][j]
-        apart = np.bitwise_count(c["sign"][i] ^ c["sign"][j]).astype(np.int64)
-        apart += np.bitwise_count(c["sign2"][i] ^ c["sign2"][j])
-        return ok & (apart <= ni + nj - 2 * needed)
+        some = np.flatnonzero(ok)
+        i, j = i[some], j[some]
+        x, y = c["sign"][i] ^ c["sign"][j], c["sign2"][i] ^ c["sign2"][j]
+        apart = np.bitwise_count(x).astype(np.int64) + np.bitwise_count(y)
+        # a short line has its two words in one: there, the longer one's are put together too
+        apart = np.where(np.minimum(ni, nj)[some] <= SHORT, np.bitwise_count(x ^ y), apart)
+        ok[some] = apart <= (ni + nj - 2 * needed)[some]
+        return ok
 
     def in_large(c, lo, hi):
         """One large list: chunks of the earliest lines against all lines still
@@ -247,7 +316,10 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
                 break
             for at in range(0, len(looking), wide):
                 late = looking[at : at + wide]
-                ok = passes(c, early[:, None], late[None, :]) & (early[:, None] < late[None, :])
+                ok = near(c["n"][early][:, None], c["n"][late][None, :])
+                ok &= early[:, None] < late[None, :]
+                e, x = np.nonzero(ok)
+                ok[e, x] = passes(c, early[e], late[x])
                 if kept is not None:
                     ok &= np.cumsum(ok, axis=0) + found[late - lo] <= kept
                 found[late - lo] += ok.sum(axis=0)
@@ -260,6 +332,8 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
 
     def batch(c):
         n = len(c["key"])
+        order = np.lexsort((c["id"], c["doc_id"], c["key"]))
+        c = {k: v[order] for k, v in c.items()}
         group = np.concatenate([[0], np.cumsum(c["key"][1:] != c["key"][:-1])])
         c["n"], c["pos"] = c["shape"] >> 40, c["shape"] >> 19 & 0x1FFFFF
         starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
@@ -271,9 +345,10 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
         while len(at):
             at = at[at + lag < n]
             at = at[group[at] == group[at + lag]]
-            ok = passes(c, at, at + lag) & (c["shape"][at] & MET > 0) & (c["shape"][at + lag] & LOOKING > 0)
-            early.append(at[ok])
-            late.append(at[ok] + lag)
+            some = at[near(c["n"][at], c["n"][at + lag]) & (c["shape"][at] & MET > 0) & (c["shape"][at + lag] & LOOKING > 0)]
+            some = some[passes(c, some, some + lag)]
+            early.append(some)
+            late.append(some + lag)
             lag += 1
         late, early = np.concatenate(late), np.concatenate(early)
         more = np.zeros(len(late), dtype=bool)
@@ -379,15 +454,15 @@ def _verified(pairs: DataFrame, lines: DataFrame, similarity: float, paths: list
     return both.groupBy("id").agg(F.max("more").alias("more"), F.max(near).alias("gone"))
 
 
-def _pairs(lines: DataFrame, table, similarity: float, block: int, kept: int | None, only=None, looking=None) -> DataFrame:
+def _pairs(lines: DataFrame, table, similarity: float, block: int, kept: int | None, only=None, looking=None, firsts=None) -> DataFrame:
     """Candidate pairs of `lines`; of those in `looking`, if given, with all of
     `lines` in the lists `only`."""
     if looking is None:
-        listed = lines.mapInArrow(_postings(table, similarity, block), POSTINGS)
+        listed = lines.mapInArrow(_postings(table, similarity, block, None, BOTH, firsts), POSTINGS)
     else:
-        listed = lines.mapInArrow(_postings(table, similarity, block, only, MET), POSTINGS)
+        listed = lines.mapInArrow(_postings(table, similarity, block, only, MET, firsts), POSTINGS)
         listed = listed.unionByName(looking.mapInArrow(_postings(table, similarity, block, None, LOOKING), POSTINGS))
-    met = listed.repartition("key").sortWithinPartitions("key", "doc_id", "id")
+    met = listed.repartition("key").sortWithinPartitions("key")
     return met.mapInArrow(_meet(similarity, kept), PAIRS)
 
 
@@ -399,19 +474,16 @@ def duplicate_lines(
     paths: list[str] = []
     lines = written(token_lines(rows, min_words), "lines", paths, **COMPACT)
     table = spark.sparkContext.broadcast(rarity(lines))
-    place = F.struct("doc_id", "id")
-    first = lines.groupBy("same", "sign", "n").agg(F.min(place).alias("first"), F.count("*").alias("k")).where("k > 1")
-    first = first.select(F.col("same").alias("s"), F.col("sign").alias("g"), F.col("n").alias("m"), "first")
-    equal = lines.select("row", "line", "doc_id", "id", "same", "sign", "n").join(
-        first, (F.col("same") == F.col("s")) & (F.col("sign") == F.col("g")) & (F.col("n") == F.col("m"))
-    )
-    equal = written(equal.where(place != F.col("first")).select("id", "row", "line"), "equal_lines", paths)
     # of equal sets, the lists hold the first
-    repeats = equal.select("id")
-    repeats = F.broadcast(repeats) if fits(repeats, BROADCAST_IDS) else repeats
-    sets = lines.join(repeats, "id", "left_anti")
+    first = lines.groupBy("same", "sign", "n").agg(F.min(F.struct("doc_id", "id")).alias("first")).select("first.id")
+    firsts, sets = None, lines
+    if lines.count() <= MARKED_LINES:
+        firsts = _marks(first)
+    else:
+        first = written(first, "first_lines", paths)
+        sets = lines.join(first, "id", "left_semi")
 
-    pairs = _pairs(sets, table, similarity, block, kept)
+    pairs = _pairs(sets, table, similarity, block, kept, firsts=firsts)
     done = written(_verified(pairs, lines, similarity, paths), "line_results", paths)
     gone = done.where("gone").select("id")
     again = done.where("more AND NOT gone").select("id")
@@ -421,16 +493,72 @@ def duplicate_lines(
         some = written(some, "again", paths)
         # whole lists: a block's key is not its token's
         keys = some.mapInArrow(_postings(table, similarity, 1 << 62), POSTINGS).select("key").distinct()
-        pairs = _pairs(sets, table, similarity, block, None, _bit_table(keys), some)
+        pairs = _pairs(sets, table, similarity, block, None, _bit_table(keys), some, firsts)
         gone = gone.unionByName(_verified(pairs, lines, similarity, paths).where("gone").select("id"))
-    gone = _lines_of(lines, written(gone, "gone_ids", paths), "row", "line").select("row", "line")
-    out = written(gone.unionByName(equal.select("row", "line")), "gone")
+    places = lines.select("id", "row", "line")
+    if firsts is not None:
+        similar = _marks(gone)
+
+        def removed(batches):
+            for b in batches:
+                ids = b.column(0).to_numpy()
+                yield b.filter(pa.array(~_marked(firsts.value, ids) | _marked(similar.value, ids)))
+
+        out = places.mapInArrow(removed, places.schema)
+    else:
+        stay = first.join(written(gone, "gone_ids", paths), "id", "left_anti")
+        out = places.join(stay, "id", "left_anti")
+    out = written(out.select("row", "line"), "gone")
     discard(spark, paths)
     return out
 
 
-#: Most lines to remove that are broadcast, as lists by document (under 20 MB); more are joined by a shuffle.
-BROADCAST_LINES = 1 << 19
+def _placed(docs: DataFrame) -> DataFrame:
+    """(row, doc) of every row of `docs`, as a table; `row` is the place of the
+    row's first line, places being counted up over all lines of a partition."""
+
+    @F.arrow_udf("long")
+    def first_place(counts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        from pyspark import TaskContext
+
+        at = TaskContext.get().partitionId() << PART_BITS
+        for n in counts:
+            ends = at + np.cumsum(n.to_numpy(zero_copy_only=False).astype(np.int64))
+            yield pa.array(np.concatenate([[at], ends[:-1]]) if len(ends) else ends, pa.int64())
+            at = int(ends[-1]) if len(ends) else at
+
+    ship_package(docs.sparkSession)
+    text = F.coalesce(docs["text"], F.lit(""))
+    lines = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + F.lit(1)
+    whole = docs.select(
+        first_place.asNondeterministic()(lines.cast("long")).alias("row"), F.struct(*(docs[c] for c in docs.columns)).alias("doc")
+    )
+    return written(whole, "rows", compression="zstd")
+
+
+def _shortened(gone) -> Column:
+    """(text, lines removed) of (place of the first line, text), by the marks of the places that go."""
+
+    @F.arrow_udf("text string, removed int")
+    def cut(row: pa.Array, text: pa.Array) -> pa.Array:
+        count = pc.fill_null(pc.count_substring(text, "\n"), -1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        ends = np.cumsum(count)
+        goes = np.zeros(0, dtype=bool)
+        if len(ends) and ends[-1]:
+            at = np.arange(ends[-1]) - np.repeat(ends - count, count)
+            goes = _marked(gone.value, np.repeat(row.to_numpy(), count) + at)
+        total = np.concatenate([[0], np.cumsum(goes)])
+        removed = (total[ends] - total[ends - count]).astype(np.int32)
+        change = np.flatnonzero(removed)
+        if len(change):
+            new = []
+            for i, old in zip(change.tolist(), text.take(pa.array(change)).cast(pa.binary()).to_pylist()):
+                stay = ~goes[ends[i] - count[i] : ends[i]]
+                new.append(b"\n".join(compress(old.split(b"\n"), stay.tolist())))
+            text = pc.replace_with_mask(text, pa.array(removed > 0), pa.array(new, pa.binary()).view(pa.string()).cast(text.type))
+        return pa.StructArray.from_arrays([text, pa.array(removed)], ["text", "removed"])
+
+    return cut("row", "doc.text")
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = ANY_WORDS) -> DataFrame:
@@ -438,21 +566,24 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int
     shortened and `n_chars`, if there, counted anew; one more column, __removed,
     has the number of lines taken out.
 
-    `docs` is scanned once: its rows are written with their numbers, and both
-    the search and the removal read that table."""
-    whole = numbered(docs)
+    `docs` is scanned once: its rows are written with their places, and both
+    the search and the removal read that table.  The lines that go are marked by
+    one bit each, so texts are not shuffled; beyond MARKED_LINES they are."""
+    whole = _placed(docs)
     text = F.coalesce("doc.text", F.lit(""))
     last = F.lit((1 << 63) - 1)
     rows = whole.select("row", F.coalesce("doc.doc_id", last).alias("doc_id"), text.alias("text"))
     gone = duplicate_lines(rows, similarity, min_words)
-    lists = written(gone.groupBy("row").agg(F.collect_list("line").alias("lines")), "gone_of")
-    lists = lists.withColumnRenamed("row", "of")
-    lists = F.broadcast(lists) if fits(gone, BROADCAST_LINES) else lists
-    joined = whole.join(lists, F.col("row") == F.col("of"), "left")
-    parts = F.split(F.col("doc.text"), "\n", -1)
-    left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("lines"), i)), "\n")
-    new = F.when(F.col("lines").isNull(), F.col("doc.text")).otherwise(left)
-    out = joined.select("doc", new.alias("text"), F.coalesce(F.size("lines"), F.lit(0)).alias("removed"))
+    if fits(gone, MARKED_LINES):
+        out = whole.withColumn("new", _shortened(_marks(gone.select((F.col("row") + F.col("line")).alias("place")))))
+        out = out.select("doc", "new.text", "new.removed")
+    else:
+        lists = gone.groupBy("row").agg(F.collect_list("line").alias("lines")).withColumnRenamed("row", "of")
+        joined = whole.join(lists, F.col("row") == F.col("of"), "left")
+        parts = F.split(F.col("doc.text"), "\n", -1)
+        left = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(F.col("lines"), i)), "\n")
+        new = F.when(F.col("lines").isNull(), F.col("doc.text")).otherwise(left)
+        out = joined.select("doc", new.alias("text"), F.coalesce(F.size("lines"), F.lit(0)).alias("removed"))
     columns = []
     for c in docs.columns:
         if c == "text":
