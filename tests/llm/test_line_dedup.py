@@ -179,3 +179,76 @@ def test_words_are_those_between_ascii_white_space():
     assert [set(tokens[a:b].tolist()) for a, b in zip(at, at[1:])] == [{xxh64_intdigest(w) for w in x} for _, _, x in expected]
     assert line_dedup._words(pa.array(texts), 4)[2].tolist() == []
     assert line_dedup._words(pa.array(texts), 3)[1].tolist() == [0, 4]
+
+
+def lines_of(rng, n):
+    """n postings of lines of some words, with ids and doc_ids from end to end of their range."""
+    ids = rng.integers(0, 9, n) << 33 | rng.integers(0, 1000, n)
+    doc = np.where(rng.random(n) < 0.1, rng.choice([(1 << 63) - 1, -(1 << 63), -7], n), rng.integers(0, 50, n))
+    size = rng.integers(4, 400, n)
+    sign, sign2 = rng.integers(-(1 << 63), 1 << 63, (2, n))
+    key = rng.integers(-(1 << 63), 1 << 63, 40)[rng.integers(0, 40, n)]
+    return [key, doc, ids, sign, np.where(size <= line_dedup.SHORT, 0, sign2), size << 40 | rng.integers(0, 30, n) << 19 | rng.integers(1, 4, n)]
+
+
+def test_postings_travel_packed_by_bucket():
+    """Few rows and few bytes a posting reach the shuffle, and each comes out as it went in, beside its key's others."""
+    columns = lines_of(np.random.default_rng(3), 6000)
+    batches = [pa.RecordBatch.from_arrays([pa.array(c[at : at + 1000]) for c in columns], line_dedup._names(line_dedup.POSTINGS)) for at in range(0, 6000, 1000)]
+    rows = [b for part in (batches[:2], batches[2:]) for b in line_dedup._by_bucket(4)(iter(part))]
+    table = pa.Table.from_batches(rows).sort_by("bucket")
+    assert table.num_rows <= 8 and sum(table["n"].to_pylist()) == 6000
+    assert table["postings"].nbytes < 34 * 6000  # what a row of six numbers took in the shuffle
+    got = list(line_dedup._lists(iter(table.to_batches(max_chunksize=3))))
+    sent = Counter(zip(*(c.tolist() for c in columns[1:])))
+    assert sent == Counter(x for b in got for x in zip(*(c.to_pylist() for c in b.columns[1:])))
+    keys = dict(zip(zip(*(c.tolist() for c in columns[1:])), columns[0].tolist()))
+    lists = [[keys[x] for x in zip(*(c.to_pylist() for c in b.columns[1:]))] for b in got]
+    assert sum(len(set(x)) for x in lists) == len(set(columns[0].tolist()))  # a key is in one bucket
+    assert all(b["key"].to_pylist() == sorted(b["key"].to_pylist()) for b in got)
+
+
+def test_lists_in_order_of_length_give_every_near_pair():
+    """Pairs that pass the filters, found by comparing all, in small steps and in one."""
+    rng = np.random.default_rng(5)
+    columns = lines_of(rng, 900)
+    base = rng.integers(-(1 << 63), 1 << 63, 40)[columns[0] % 40]  # near signatures within a list
+    columns[3] = base ^ (1 << rng.integers(0, 63, 900))
+    columns[4] = np.zeros(900, dtype=np.int64)
+    columns = [c[np.argsort(columns[0], kind="stable")] for c in columns]
+    c = dict(zip(line_dedup._names(line_dedup.POSTINGS), (x.tolist() for x in columns)))
+    expected = Counter()
+    for i in range(900):
+        for j in range(900):
+            if c["key"][i] != c["key"][j] or (c["doc_id"][j], c["id"][j]) >= (c["doc_id"][i], c["id"][i]) or c["id"][i] == c["id"][j]:
+                continue
+            (ni, pi, di), (nj, pj, dj) = ((x >> 40, x >> 19 & 0x1FFFFF, x & 3) for x in (c["shape"][i], c["shape"][j]))
+            needed = int(np.ceil((ni + nj) * 4 / 9 - 1e-9))
+            near = min(ni, nj) >= 0.8 * max(ni, nj) - 1e-9 and min(ni - pi, nj - pj) >= needed
+            if near and (c["sign"][i] ^ c["sign"][j]).bit_count() <= ni + nj - 2 * needed and di & line_dedup.LOOKING and dj & line_dedup.MET:
+                expected[c["id"][i], c["id"][j]] += 1
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in columns], list(c))
+    for step in (1, 50, 1 << 19):
+        got = list(line_dedup._meet(0.8, None, step=step)(iter([batch])))
+        assert Counter((i, j) for b in got for i, j in zip(b["id"].to_pylist(), b["to"].to_pylist())) == expected
+    assert len(expected) > 100
+
+
+def test_token_sets_are_written_by_the_block(spark, tmp_path):
+    """A few rows hold all lines' sets, and the lines asked for come out with their tokens."""
+    rows = noisy(60, seed=13)
+    docs = stored(spark, tmp_path / "d", rows).selectExpr("monotonically_increasing_id() as row", "doc_id", "text").coalesce(1)
+    blocks = line_dedup.token_blocks(docs)
+    assert blocks.count() == 1
+    texts = {r.row: r.text for r in docs.collect()}
+    every = blocks.mapInArrow(line_dedup._lines_in(), line_dedup.LINES).collect()
+    assert len(every) == sum(1 for t in texts.values() for x in t.split("\n") if x.split())
+    for r in every:
+        words = set(texts[r.row].split("\n")[r.line].split())
+        assert {t % (1 << 64) for t in r.tokens} == {xxh64_intdigest(w) for w in words} and r.n == len(words)
+    wanted = {every[3].id, every[50].id}
+    some = blocks.mapInArrow(line_dedup._lines_in(lambda ids: np.isin(ids, list(wanted))), line_dedup.LINES).collect()
+    assert sorted(some) == sorted([every[3], every[50]])
+    token = every[7].tokens[0]
+    has = blocks.mapInArrow(line_dedup._lines_in(has=lambda x: x == np.uint64(token % (1 << 64))), line_dedup.LINES).collect()
+    assert sorted(has) == sorted(r for r in every if token in r.tokens)

@@ -5,8 +5,9 @@ A line goes if an earlier line (smaller doc_id, then smaller line number) has a
 Jaccard similarity of SIMILARITY or more with it.  Every line with a word takes
 part (ANY_WORDS); with `min_words`, only lines of so many words or more.
 
-1. One pass over the texts writes the lines' token sets (64-bit hashes) and
-   counts the lines of each token, in HASH_BUCKETS hash buckets.
+1. One pass over the texts writes the lines' token sets (64-bit hashes), one row
+   for the lines of a few MB of text: these share a dictionary of hashes.  From
+   them the lines of each token are counted, in hash buckets.
 2. Lines order their tokens by rarity: bucket count, then hash, one order for
    the whole corpus (the counts are a table of fixed size that every worker
    gets).  Two sets as similar as asked share a token of their prefixes, the
@@ -14,8 +15,10 @@ part (ANY_WORDS); with `min_words`, only lines of so many words or more.
    prefix tokens, with its length, the token's position, and a 128-bit parity
    signature of the set.  Of equal sets only the earliest is listed, and sets so
    small that a similar one must be equal (under 4 words) are not: step 5 has
-   the others.
-3. The lists meet by token; pairs must pass the length filter, the positional
+   the others.  Postings travel to the lists in rows of PACKED: those of one task
+   and one bucket of keys as one compressed value.
+3. The lists meet by token, in order of length, so that only lines near in length
+   are compared; lists of many lines meet in order of place.  Pairs must pass the length filter, the positional
    filter (tokens left after the shared one) and the signature filter (every
    differing bit is a differing token).  A list of a hot token is cut into
    blocks by hash and its block pairs are dealt out; only tokens above BLOCK
@@ -63,23 +66,53 @@ PART_BITS = 33
 #: Earliest candidates that a line passes on from one list in round one: few lines have more, so few lists are made again.
 KEPT = 4
 
-#: Token sets repeat their tokens: dictionaries of up to 8 MB a row group take the place of most hashes.
-COMPACT = {"parquet.dictionary.page.size": str(8 << 20), "compression": "zstd"}
+LINES = "id long, row long, doc_id long, line int, n int, same long, sign long, sign2 long, tokens array<long>"
+#: LINES without the tokens.
+HEADS = LINES.rsplit(", ", 1)[0]
 
-#: Most numbers of lines (8 bytes each) that are broadcast; more are joined by a shuffle.
-BROADCAST_IDS = 1 << 20
+#: The written token sets, one row for the lines of a few MB of text: the number of the first line, of the lines,
+#: of their tokens and of the different ones; HEADS but the id; the different tokens' hashes and the lines' places in them.
+BLOCKS = "first long, lines int, words int, kinds int, heads binary, hashes binary, tokens binary"
+HEAD_TYPES = [np.int64, np.int64, np.int32, np.int32, np.int64, np.int64, np.int64]
 
-LINES = "id long, row long, doc_id long, line int, n int, same long, sign long, sign2 long, tokens array<long>"
+#: The columns of BLOCKS are compressed already.
+PLAIN = {"compression": "none", "parquet.enable.dictionary": "false"}
 
 
 def _names(schema: str) -> list[str]:
     return [f.split()[0] for f in schema.split(", ")]
 
 
+def _chain(*steps):
+    """One function of batches that runs `steps` one after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps:
+            batches = step(batches)
+        return batches
+
+    return run
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Number columns as one compressed value, byte by byte place: the leading
+    bytes of small numbers are all alike and take next to no room."""
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(-1, c.itemsize).T).tobytes() for c in columns]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: pa.Scalar, n: int, types: list) -> list[np.ndarray]:
+    """The columns of `n` numbers each that `_packed` was given."""
+    widths = [np.dtype(t).itemsize for t in types]
+    raw = np.frombuffer(pa.decompress(packed.as_buffer(), decompressed_size=n * sum(widths), codec="zstd"), np.uint8)
+    parts = np.split(raw, np.cumsum(widths)[:-1] * n)
+    return [np.ascontiguousarray(x.reshape(w, n).T).reshape(-1).view(t) for x, w, t in zip(parts, widths, types)]
+
+
 def _words(texts: pa.Array, min_words: int):
     """(text, line number, number of tokens) of the lines with `min_words` words
-    or more, and all their tokens: the words are split, told apart and made sets
-    for all texts at once, and each different word is hashed once."""
+    or more, and all their tokens, coded: the words are split, told apart and made
+    sets for all texts at once, and each different word is hashed once."""
     from xxhash import xxh64_intdigest
 
     lines = pc.split_pattern(texts, "\n")
@@ -104,7 +137,8 @@ def _words(texts: pa.Array, min_words: int):
     size = np.bincount(both >> 32, minlength=len(per_line))[kept]
     text = np.repeat(np.arange(len(per_text)), per_text)
     number = np.arange(len(per_line)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-    return text[kept], number[kept], size, hashes[both & 0xFFFFFFFF]
+    codes = pa.array((both & 0xFFFFFFFF).astype(np.int32))
+    return text[kept], number[kept], size, pa.DictionaryArray.from_arrays(codes, pa.array(hashes))
 
 
 def _by_size(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -118,8 +152,8 @@ def _by_size(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator
 
 
 def _token_sets(min_words: int):
-    """Documents (row, doc_id, text) -> lines with their token sets.  A line's
-    `id` grows with row and line inside a partition, like row numbers do."""
+    """Documents (row, doc_id, text) -> lines with their token sets, as BLOCKS.
+    A line's id grows with row and line inside a partition, like row numbers do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -130,31 +164,75 @@ def _token_sets(min_words: int):
             text, line, n, tokens = _words(b.column(2), min_words)
             if not len(n):
                 continue
-            ends = np.concatenate([[0], np.cumsum(n)])
-            mixed = tokens * np.uint64(0x9E3779B97F4A7C15)
+            codes, hashes = tokens.indices.to_numpy(), tokens.dictionary.to_numpy()
+            starts = np.cumsum(n) - n
+            mixed = hashes * np.uint64(0x9E3779B97F4A7C15)
             mixed ^= mixed >> np.uint64(29)
             mixed *= np.uint64(0xBF58476D1CE4E5B9)
             mixed ^= mixed >> np.uint64(32)
-            same = np.add.reduceat(mixed, ends[:-1])  # equal sets have equal sums
+            same = np.add.reduceat(mixed[codes], starts)  # equal sets have equal sums
             # a token flips one of 128 bits, in two words
             bit, low = np.uint64(1) << (mixed & np.uint64(63)), mixed & np.uint64(64) == 0
-            sign, sign2 = (np.bitwise_xor.reduceat(np.where(x, bit, np.uint64(0)), ends[:-1]) for x in (low, ~low))
-            ids = np.arange(first, first + len(n))
-            first += len(n)
+            sign, sign2 = (np.bitwise_xor.reduceat(np.where(x, bit, np.uint64(0))[codes], starts) for x in (low, ~low))
             row, doc = (b.column(i).to_numpy()[text] for i in (0, 1))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens.view(np.int64)))
-            columns = [pa.array(ids), pa.array(row), pa.array(doc), pa.array(line, pa.int32()), pa.array(n, pa.int32())]
-            columns += [pa.array(same.view(np.int64)), pa.array(sign.view(np.int64)), pa.array(sign2.view(np.int64)), lists]
-            yield pa.RecordBatch.from_arrays(columns, _names(LINES))
+            heads = [x.astype(t, copy=False) for x, t in zip((row, doc, line, n), HEAD_TYPES)]
+            values = (first, len(n), len(codes), len(hashes), _packed(*heads, same, sign, sign2), hashes.tobytes(), _packed(codes))
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, _BLOCK_TYPES)], _names(BLOCKS))
+            first += len(n)
 
     return run
 
 
-def token_lines(rows: DataFrame, min_words: int = ANY_WORDS) -> DataFrame:
-    return rows.mapInArrow(_token_sets(min_words), LINES)
+_BLOCK_TYPES = [pa.int64(), *[pa.int32()] * 3, *[pa.binary()] * 3]
 
 
-def rarity(lines: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def token_blocks(rows: DataFrame, min_words: int = ANY_WORDS) -> DataFrame:
+    return rows.mapInArrow(_token_sets(min_words), BLOCKS)
+
+
+def _ids_of(b: pa.RecordBatch, i: int) -> np.ndarray:
+    first = b["first"][i].as_py()
+    return np.arange(first, first + b["lines"][i].as_py())
+
+
+def _heads_of(b: pa.RecordBatch, i: int) -> list[np.ndarray]:
+    """HEADS of row `i` of a batch of BLOCKS."""
+    return [_ids_of(b, i), *_unpacked(b["heads"][i], b["lines"][i].as_py(), HEAD_TYPES)]
+
+
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i in range(b.num_rows):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _heads_of(b, i)], _names(HEADS))
+
+
+def _lines_in(wanted=None, has=None):
+    """BLOCKS -> LINES: those that `wanted` says of their ids, and that have a
+    token that `has` says of the tokens' hashes, if given."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                some = wanted(_ids_of(b, i)) if wanted else np.ones(b["lines"][i].as_py(), dtype=bool)
+                hashes = np.frombuffer(b["hashes"][i].as_buffer(), np.int64)
+                found = has(hashes.view(np.uint64)) if has else None
+                if not some.any() or found is not None and not found.any():
+                    continue
+                heads = _heads_of(b, i)
+                codes = _unpacked(b["tokens"][i], b["words"][i].as_py(), [np.int32])[0]
+                if found is not None:
+                    some &= np.logical_or.reduceat(found[codes], np.cumsum(heads[4]) - heads[4])
+                if not some.all():
+                    codes = codes[np.repeat(some, heads[4])]
+                    heads = [x[some] for x in heads]
+                ends = np.concatenate([[0], np.cumsum(heads[4])])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes[codes]))
+                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in heads), lists], _names(LINES))
+
+    return run
+
+
+def rarity(blocks: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(rank of each token bucket by its number of lines, lines by rank): two
     tables of 2 ** BUCKET_BITS numbers, whatever the corpus' size."""
     size = 1 << BUCKET_BITS
@@ -162,12 +240,14 @@ def rarity(lines: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(batches):
         total = np.zeros(size, dtype=np.int64)
         for b in batches:
-            tokens = b.column(0).flatten().to_numpy().view(np.uint64)
-            total += np.bincount((tokens >> np.uint64(REST_BITS)).astype(np.int64), minlength=size)
+            for words, kinds, hashes, tokens in zip(*b.columns):
+                lines_of = np.bincount(_unpacked(tokens, words.as_py(), [np.int32])[0], minlength=kinds.as_py())
+                bucket = np.frombuffer(hashes.as_buffer(), np.uint64) >> np.uint64(REST_BITS)
+                total += np.bincount(bucket.astype(np.int64), lines_of, size).astype(np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["k", "n"])
 
-    got = lines.select("tokens").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
+    got = blocks.select("words", "kinds", "hashes", "tokens").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(size, dtype=np.int64)
     counts[got["k"].to_numpy()] = got["n"].to_numpy()
     order = np.argsort(counts, kind="stable")
@@ -185,7 +265,9 @@ def _marks(ids: DataFrame):
     the values of a one-column frame: (first word of each partition, words)."""
     name = ids.columns[0]
     bit = F.expr(f"shiftleft(1L, CAST(`{name}` & 63 AS INT))")
-    got = ids.groupBy(F.shiftright(name, 6).alias("k")).agg(F.bit_or(bit).alias("w")).toPandas()
+    paths: list[str] = []  # as a table, so that the shuffle is freed
+    got = written(ids.groupBy(F.shiftright(name, 6).alias("k")).agg(F.bit_or(bit).alias("w")), "marks", paths).toPandas()
+    discard(ids.sparkSession, paths)
     k, low = got["k"].to_numpy(np.int64), PART_BITS - 6
     part, word = k >> low, k & ((1 << low) - 1)
     size = np.zeros(int(part.max(initial=-1)) + 1, dtype=np.int64)
@@ -221,25 +303,24 @@ def _needed(n: np.ndarray, similarity: float) -> np.ndarray:
     return np.ceil(similarity * n - 1e-9).astype(np.int64)
 
 
-def _postings(table, similarity: float, block: int, only=None, does: int = BOTH, firsts=None):
-    """Lines -> one row per prefix token (and per block pair of a hot token).
+def _by_rarity(rank: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Sort values of tokens: the rank of the bucket in front, the other bits
+    behind, so each is the token itself under another name, and sorting by it is
+    sorting by rarity."""
+    return rank[(tokens >> np.uint64(REST_BITS)).astype(np.int64)] << np.uint64(REST_BITS) | tokens & np.uint64((1 << REST_BITS) - 1)
 
-    A token's sort value has the rank of its bucket in front and its other bits
-    behind, so it is the token itself under another name, and sorting by it is
-    sorting by rarity.  `only`: a bit table of the keys that are wanted;
-    `firsts`: marks of the lines that are listed."""
-    rest = np.uint64((1 << REST_BITS) - 1)
+
+def _postings(table, similarity: float, block: int, only=None, does: int = BOTH):
+    """Lines -> one row per prefix token (and per block pair of a hot token).
+    `only`: a bit table of the keys that are wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, lines_of = table.value
         for b in batches:
-            if firsts is not None:
-                b = b.filter(pa.array(_marked(firsts.value, b.column(0).to_numpy())))
             ids, doc, n, sign, sign2 = (b.column(k).to_numpy() for k in (0, 2, 4, 6, 7))
             n = n.astype(np.int64)
             sign, sign2 = np.where(n <= SHORT, sign ^ sign2, sign), np.where(n <= SHORT, 0, sign2)
-            flat = b.column(8).flatten().to_numpy().view(np.uint64)
-            flat = rank[(flat >> np.uint64(REST_BITS)).astype(np.int64)] << np.uint64(REST_BITS) | flat & rest
+            flat = _by_rarity(rank, b.column(8).flatten().to_numpy().view(np.uint64))
             ends = np.cumsum(n)
             for s, e in zip((ends - n).tolist(), ends.tolist()):
                 flat[s:e].sort()
@@ -273,12 +354,81 @@ def _postings(table, similarity: float, block: int, only=None, does: int = BOTH,
     return run
 
 
+#: Postings on their way to their lists: those that a task has for one bucket of keys.
+PACKED = "bucket int, n int, postings binary"
+PACKED_TYPES = [np.uint32, np.int64, np.int64, np.uint64, np.uint64, np.int32, np.int32, np.uint8]
+#: Least number of buckets, lines a bucket beyond it (some ten postings each), and postings that a task packs at a time.
+BUCKETS, LINES_A_BUCKET, PACK = 1024, 100_000, 1 << 19
+
+
+def _by_bucket(buckets: int):
+    """Postings -> rows of PACKED.  Of a key, the bucket and 32 other bits
+    travel: where two keys fall together, their lists are one, with all pairs of
+    both; what it adds fails the filters or the verification."""
+
+    def packed(c: list[np.ndarray]) -> pa.RecordBatch:
+        mixed = c[0].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        bucket = (mixed >> np.uint64(40)) % np.uint64(buckets)
+        order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
+        bucket = bucket[order].astype(np.int32)
+        key, doc, ids, sign, sign2, shape = (x[order] for x in ((mixed & np.uint64(0xFFFFFFFF)).astype(np.uint32), *c[1:]))
+        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        # differences from the posting before, from zero at the start of a bucket
+        steps = [np.diff(x, prepend=0) for x in (doc, ids)]
+        for x, step in zip((doc, ids), steps):
+            step[starts] = x[starts]
+        columns = [key, *steps, sign, sign2, *((shape >> 40), shape >> 19 & 0x1FFFFF, shape & 3)]
+        columns = [x.view(t) if x.itemsize == np.dtype(t).itemsize else x.astype(t) for x, t in zip(columns, PACKED_TYPES)]
+        ends = np.append(starts[1:], len(bucket))
+        rows = [_packed(*(x[lo:hi] for x in columns)) for lo, hi in zip(starts.tolist(), ends.tolist())]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[starts]), pa.array(ends - starts, pa.int32()), pa.array(rows, pa.binary())], _names(PACKED)
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n >= PACK:
+                yield packed([np.concatenate([x.column(i).to_numpy() for x in held]) for i in range(6)])
+                held, n = [], 0
+        if n:
+            yield packed([np.concatenate([x.column(i).to_numpy() for x in held]) for i in range(6)])
+
+    return run
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of PACKED, sorted by bucket -> postings, a bucket's at a time, sorted by key and length."""
+
+    def whole(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        key, doc, ids, sign, sign2, n, pos, does = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(key.astype(np.int64) << 24 | n)
+        shape = n.astype(np.int64) << 40 | pos.astype(np.int64) << 19 | does
+        columns = (key.astype(np.int64), doc, ids, sign.view(np.int64), sign2.view(np.int64), shape)
+        return pa.RecordBatch.from_arrays([pa.array(x[order]) for x in columns], _names(POSTINGS))
+
+    now, parts = None, []
+    for b in batches:
+        for bucket, n, postings in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            if bucket != now and parts:
+                yield whole(parts)
+                parts = []
+            key, doc, ids, *rest = _unpacked(postings, n, PACKED_TYPES)
+            now = bucket
+            parts.append([key, np.cumsum(doc), np.cumsum(ids), *rest])
+    if parts:
+        yield whole(parts)
+
+
 PAIRS = "id long, n int, to long, to_n int, more boolean"
 
 
-def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256, wide: int = 4096):
-    """Postings sorted by key -> candidate pairs, later line first.  A list is
-    put in order of place here, so that Spark sorts by one number only.
+def _meet(similarity: float, kept: int | None, small: int = 512, chunk: int = 256, wide: int = 4096, step: int = 1 << 19):
+    """Postings sorted by key -> candidate pairs, later line first.  Lists of up
+    to `small` lines are put in order of length, so that a line meets those near
+    in length only, about `step` pairs at a time; longer ones in order of place.
 
     `kept`: most candidates of a line from one list, None for all; `more` says
     that a list had, or may have had, further ones."""
@@ -330,41 +480,56 @@ def _meet(similarity: float, kept: int | None, small: int = 48, chunk: int = 256
             if kept is not None:
                 looking = looking[found[looking - lo] < kept]
 
+    def in_small(c, group):
+        """All lists of a few lines: (late, early, more) of some whole lists at a time."""
+        order = np.argsort(group << 24 | c["n"], kind="stable")  # in order already if the lists came so
+        c, group = {k: v[order] for k, v in c.items()}, group[order]
+        longest = ((c["n"] + 1e-9) / similarity).astype(np.int64)
+        to = np.searchsorted(group << 24 | c["n"], group << 24 | np.minimum(longest, (1 << 24) - 1), "right")
+        met = to - np.arange(len(to)) - 1
+        ends = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, len(group))
+        total = np.concatenate([[0], np.cumsum(met)])
+        lo = 0
+        while lo < len(group):
+            k = np.searchsorted(total[ends], total[lo] + step, "right") - 1
+            hi = int(ends[max(k, np.searchsorted(ends, lo, "right"))])
+            i = np.repeat(np.arange(lo, hi), met[lo:hi])
+            j = i + 1 + np.arange(len(i)) - np.repeat(total[lo:hi] - total[lo], met[lo:hi])
+            ok = passes(c, i, j)
+            i, j = i[ok], j[ok]
+            di, dj = c["doc_id"][i], c["doc_id"][j]
+            after = (di > dj) | (di == dj) & (c["id"][i] > c["id"][j])
+            late, early = np.where(after, i, j), np.where(after, j, i)
+            ok = (c["shape"][early] & MET > 0) & (c["shape"][late] & LOOKING > 0)
+            late, early = late[ok], early[ok]
+            more = np.zeros(len(late), dtype=bool)
+            if kept is not None and len(late):
+                order = np.lexsort((c["id"][early], c["doc_id"][early], late))
+                late, early = late[order], early[order]
+                at = np.arange(len(late))
+                rank = at - np.maximum.accumulate(np.where(np.concatenate([[True], late[1:] != late[:-1]]), at, 0))
+                many = np.unique(late[rank >= kept])
+                late, early = late[rank < kept], early[rank < kept]
+                more = np.isin(late, many)
+            if len(late):
+                yield out(c, late, early, more)
+            lo = hi
+
     def batch(c):
         n = len(c["key"])
-        order = np.lexsort((c["id"], c["doc_id"], c["key"]))
-        c = {k: v[order] for k, v in c.items()}
-        group = np.concatenate([[0], np.cumsum(c["key"][1:] != c["key"][:-1])])
         c["n"], c["pos"] = c["shape"] >> 40, c["shape"] >> 19 & 0x1FFFFF
-        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        first = np.concatenate([[True], c["key"][1:] != c["key"][:-1]])
+        starts = np.flatnonzero(first)
         ends = np.append(starts[1:], n)
         size = np.repeat(ends - starts, ends - starts)
-        late, early = [np.zeros(0, int)], [np.zeros(0, int)]
-        at = np.flatnonzero((size <= small) & (size > 1))
-        lag = 1
-        while len(at):
-            at = at[at + lag < n]
-            at = at[group[at] == group[at + lag]]
-            some = at[near(c["n"][at], c["n"][at + lag]) & (c["shape"][at] & MET > 0) & (c["shape"][at + lag] & LOOKING > 0)]
-            some = some[passes(c, some, some + lag)]
-            early.append(some)
-            late.append(some + lag)
-            lag += 1
-        late, early = np.concatenate(late), np.concatenate(early)
-        more = np.zeros(len(late), dtype=bool)
-        if kept is not None and len(late):
-            order = np.lexsort((early, late))
-            late, early = late[order], early[order]
-            at = np.arange(len(late))
-            rank = at - np.maximum.accumulate(np.where(np.concatenate([[True], late[1:] != late[:-1]]), at, 0))
-            many = np.unique(late[rank >= kept])
-            late, early = late[rank < kept], early[rank < kept]
-            more = np.isin(late, many)
-        yield out(c, late, early, more)
-        for lo, hi in zip(starts, ends):
-            if hi - lo > small:
-                for part in in_large(c, lo, hi):
-                    yield out(c, *part)
+        some = np.flatnonzero((size <= small) & (size > 1))
+        if len(some):
+            yield from in_small({k: v[some] for k, v in c.items()}, np.cumsum(first)[some])
+        for lo, hi in zip(starts[ends - starts > small].tolist(), ends[ends - starts > small].tolist()):
+            order = lo + np.lexsort((c["id"][lo:hi], c["doc_id"][lo:hi]))
+            part = {k: v[order] for k, v in c.items()}
+            for found in in_large(part, 0, hi - lo):
+                yield out(part, *found)
 
     def out(c, late, early, more):
         columns = [c["id"][late], c["n"][late].astype(np.int32), c["id"][early], c["n"][early].astype(np.int32), more]
@@ -421,49 +586,29 @@ def _bit_table(values: DataFrame):
     return values.sparkSession.sparkContext.broadcast(words)
 
 
-def _near_lines_of(lines: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
-    """(id, columns) of the lines in the one-column frame `ids`, and of few
-    others where there are too many ids to send them to every task."""
-    some = lines.select("id", *columns)
-    ids = ids.toDF("id").distinct()
-    if fits(ids, BROADCAST_IDS):
-        return some.join(F.broadcast(ids), "id", "left_semi")
-    wanted = _bit_table(ids)
+def _lines_of(blocks: DataFrame, ids: DataFrame, marked: bool) -> DataFrame:
+    """The lines in the one-column frame `ids`, and of few others where there
+    are too many lines to mark them by a bit each."""
+    ids = ids.toDF("id")
+    wanted, is_in = (_marks(ids), _marked) if marked else (_bit_table(ids), _has)
+    return blocks.mapInArrow(_lines_in(lambda x: is_in(wanted.value, x)), LINES)
 
-    def filtered(batches):
-        for b in batches:
-            yield b.filter(pa.array(_has(wanted.value, b.column(0).to_numpy())))
 
-    return some.mapInArrow(filtered, some.schema)
-
-
-def _lines_of(lines: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
-    """(id, columns) of the lines in `ids`."""
-    return _near_lines_of(lines, ids, *columns).join(ids, "id", "left_semi")
-
-
-def _verified(pairs: DataFrame, lines: DataFrame, similarity: float, paths: list[str]) -> DataFrame:
+def _verified(pairs: DataFrame, blocks: DataFrame, marked: bool, similarity: float, paths: list[str]) -> DataFrame:
     """(id, more, gone) for every later line of `pairs`.  Token sets travel
     twice: the earlier lines' to the pairs, both to the later lines."""
     pairs = written(pairs.groupBy("id", "n", "to", "to_n").agg(F.max("more").alias("more")), "line_pairs", paths)
-    early = _near_lines_of(lines, pairs.select("to"), "tokens")
-    late = _near_lines_of(lines, pairs.select("id"), "tokens")
-    both = pairs.join(early.select(F.col("id").alias("to"), F.col("tokens").alias("to_tokens")), "to").join(late, "id")
+    early, late = (_lines_of(blocks, pairs.select(k), marked).select("id", "tokens") for k in ("to", "id"))
+    both = pairs.join(early.toDF("to", "to_tokens"), "to").join(late, "id")
     overlap = F.size(F.array_intersect("tokens", "to_tokens"))
     near = overlap >= F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("to_n")) - 1e-9
     return both.groupBy("id").agg(F.max("more").alias("more"), F.max(near).alias("gone"))
 
 
-def _pairs(lines: DataFrame, table, similarity: float, block: int, kept: int | None, only=None, looking=None, firsts=None) -> DataFrame:
-    """Candidate pairs of `lines`; of those in `looking`, if given, with all of
-    `lines` in the lists `only`."""
-    if looking is None:
-        listed = lines.mapInArrow(_postings(table, similarity, block, None, BOTH, firsts), POSTINGS)
-    else:
-        listed = lines.mapInArrow(_postings(table, similarity, block, only, MET, firsts), POSTINGS)
-        listed = listed.unionByName(looking.mapInArrow(_postings(table, similarity, block, None, LOOKING), POSTINGS))
-    met = listed.repartition("key").sortWithinPartitions("key")
-    return met.mapInArrow(_meet(similarity, kept), PAIRS)
+def _pairs(listed: DataFrame, similarity: float, kept: int | None) -> DataFrame:
+    """Candidate pairs of postings (PACKED)."""
+    met = listed.repartition("bucket").sortWithinPartitions("bucket")
+    return met.mapInArrow(_chain(_lists, _meet(similarity, kept)), PAIRS)
 
 
 def duplicate_lines(
@@ -472,43 +617,52 @@ def duplicate_lines(
     """(row, line): the lines to remove from `rows` (row, doc_id, text)."""
     spark = rows.sparkSession
     paths: list[str] = []
-    lines = written(token_lines(rows, min_words), "lines", paths, **COMPACT)
-    table = spark.sparkContext.broadcast(rarity(lines))
+    blocks = written(token_blocks(rows, min_words), "lines", paths, **PLAIN)
+    table = spark.sparkContext.broadcast(rarity(blocks))
+    heads = blocks.select("first", "lines", "heads").mapInArrow(_heads, HEADS)
+    total = blocks.agg(F.sum("lines")).first()[0] or 0
+    marked, pack = total <= MARKED_LINES, _by_bucket(max(BUCKETS, total // LINES_A_BUCKET))
     # of equal sets, the lists hold the first
-    first = lines.groupBy("same", "sign", "n").agg(F.min(F.struct("doc_id", "id")).alias("first")).select("first.id")
-    firsts, sets = None, lines
-    if lines.count() <= MARKED_LINES:
+    first = heads.groupBy("same", "sign", "n").agg(F.min(F.struct("doc_id", "id")).alias("first")).select("first.id")
+    if marked:
         firsts = _marks(first)
     else:
         first = written(first, "first_lines", paths)
-        sets = lines.join(first, "id", "left_semi")
 
-    pairs = _pairs(sets, table, similarity, block, kept, firsts=firsts)
-    done = written(_verified(pairs, lines, similarity, paths), "line_results", paths)
+    def listed(only=None, does: int = BOTH) -> DataFrame:
+        has = only and (lambda tokens: _has(only.value, _by_rarity(table.value[0], tokens)))
+        post = _chain(_postings(table, similarity, block, only, does), pack)
+        if marked:
+            return blocks.mapInArrow(_chain(_lines_in(lambda ids: _marked(firsts.value, ids), has), post), PACKED)
+        sets = blocks.mapInArrow(_lines_in(has=has), LINES).join(first, "id", "left_semi").select(*_names(LINES))
+        return sets.mapInArrow(post, PACKED)
+
+    done = written(_verified(_pairs(listed(), similarity, kept), blocks, marked, similarity, paths), "line_results", paths)
     gone = done.where("gone").select("id")
     again = done.where("more AND NOT gone").select("id")
     if not again.isEmpty():
         # only the lists that such a line stands in
-        some = _lines_of(lines, again, *(c for c in _names(LINES) if c != "id")).select(*_names(LINES))
-        some = written(some, "again", paths)
+        some = written(_lines_of(blocks, again, marked).join(again, "id", "left_semi").select(*_names(LINES)), "again", paths)
         # whole lists: a block's key is not its token's
         keys = some.mapInArrow(_postings(table, similarity, 1 << 62), POSTINGS).select("key").distinct()
-        pairs = _pairs(sets, table, similarity, block, None, _bit_table(keys), some, firsts)
-        gone = gone.unionByName(_verified(pairs, lines, similarity, paths).where("gone").select("id"))
-    places = lines.select("id", "row", "line")
-    if firsts is not None:
+        looking = some.mapInArrow(_chain(_postings(table, similarity, block, None, LOOKING), pack), PACKED)
+        pairs = _pairs(listed(_bit_table(keys), MET).unionByName(looking), similarity, None)
+        gone = gone.unionByName(_verified(pairs, blocks, marked, similarity, paths).where("gone").select("id"))
+    if marked:
         similar = _marks(gone)
 
         def removed(batches):
             for b in batches:
-                ids = b.column(0).to_numpy()
-                yield b.filter(pa.array(~_marked(firsts.value, ids) | _marked(similar.value, ids)))
+                for i in range(b.num_rows):
+                    ids, row, _, line, *_ = _heads_of(b, i)
+                    goes = ~_marked(firsts.value, ids) | _marked(similar.value, ids)
+                    yield pa.RecordBatch.from_arrays([pa.array(row[goes]), pa.array(line[goes])], ["row", "line"])
 
-        out = places.mapInArrow(removed, places.schema)
+        out = blocks.select("first", "lines", "heads").mapInArrow(removed, "row long, line int")
     else:
         stay = first.join(written(gone, "gone_ids", paths), "id", "left_anti")
-        out = places.join(stay, "id", "left_anti")
-    out = written(out.select("row", "line"), "gone")
+        out = heads.join(stay, "id", "left_anti").select("row", "line")
+    out = written(out, "gone")
     discard(spark, paths)
     return out
 
