@@ -358,7 +358,7 @@ def _postings(table, similarity: float, block: int, only=None, does: int = BOTH)
 PACKED = "bucket int, n int, postings binary"
 PACKED_TYPES = [np.uint32, np.int64, np.int64, np.uint64, np.uint64, np.int32, np.int32, np.uint8]
 #: Least number of buckets, lines a bucket beyond it (some ten postings each), and postings that a task packs at a time.
-BUCKETS, LINES_A_BUCKET, PACK = 1024, 100_000, 1 << 19
+BUCKETS, LINES_A_BUCKET, PACK = 1024, 100_000, 1 << 18
 
 
 def _by_bucket(buckets: int):
@@ -425,7 +425,7 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 PAIRS = "id long, n int, to long, to_n int, more boolean"
 
 
-def _meet(similarity: float, kept: int | None, small: int = 512, chunk: int = 256, wide: int = 4096, step: int = 1 << 19):
+def _meet(similarity: float, kept: int | None, small: int = 512, chunk: int = 256, wide: int = 4096, step: int = 1 << 17):
     """Postings sorted by key -> candidate pairs, later line first.  Lists of up
     to `small` lines are put in order of length, so that a line meets those near
     in length only, about `step` pairs at a time; longer ones in order of place.
