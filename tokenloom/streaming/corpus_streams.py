@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tokenloom.operators.bpe import Tokenizer
-from tokenloom.operators.codec import broadcast_tokenizer, encode_udf, pieces_for_encoding
+from tokenloom.operators.codec import broadcast_tokenizer, encoded, pieces_for_encoding
 from tokenloom.operators.pretoken import training_pieces
 
 #: Tables of one level that are merged into one of the next.
@@ -41,7 +41,7 @@ def document_stream(spark: SparkSession, path: str, schema, max_files_per_trigge
 def encode_stream(docs: DataFrame, tok: Tokenizer, text_col: str = "text") -> DataFrame:
     """Streaming (or batch) documents -> (doc_id, ids); row-wise, no state."""
     bc = broadcast_tokenizer(docs.sparkSession, tok)
-    return docs.select("doc_id", encode_udf(bc)(pieces_for_encoding(F.col(text_col), tok.specials)).alias("ids"))
+    return encoded(docs.select("doc_id", pieces_for_encoding(F.col(text_col), tok.specials).alias("pieces")), bc)
 
 
 def stream_encode(
